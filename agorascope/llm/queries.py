@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import secrets, tokens
+from agorascope.llm import packing, secrets, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,8 +19,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_read(spark, sf_dir, "documents"))
 
 
+def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_markov_secrets, op8_token_counts)}
+    return {f.__name__: f for f in (op4_markov_secrets, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:

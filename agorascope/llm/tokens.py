@@ -139,7 +139,7 @@ class IdEncoder:
         if UNSAFE.search(text) or SPECIAL in text:
             self.exact = self.exact or load_tokenizer(self.path)
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
-        return np.array(self.fast._core_bpe.encode_ordinary(text), np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
 _ENCODERS: dict[str, IdEncoder] = {}
