@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import packing, secrets, tokens
+from agorascope.llm import packing, secrets, simhash, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_read(spark, sf_dir, "documents")))
 
@@ -24,7 +28,7 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_markov_secrets, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:
