@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import packing, secrets, simhash, tokens
+from agorascope.llm import packing, rules, rules_sql, secrets, simhash, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_read(spark, sf_dir, "documents")))
 
 
+def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.judged(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_read(spark, sf_dir, "documents"))
 
@@ -28,8 +33,8 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules)}
