@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import packing, rules, rules_sql, secrets, simhash, tokens
+from agorascope.llm import decontaminate, packing, rules, rules_sql, secrets, simhash, tokens
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits")
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_read(spark, sf_dir, "documents"))
 
@@ -33,8 +37,8 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:
-    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules)}
+    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules), "op6_spaced_seeds": decontaminate.sql()}
