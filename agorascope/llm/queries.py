@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, packing, rules, rules_sql, secrets, simhash, tokens
+from agorascope.llm import decontaminate, packing, rules, rules_sql, secrets, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_read(spark, sf_dir, "pages"))
+
+
 def op3_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -37,8 +41,8 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:
-    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules), "op6_spaced_seeds": decontaminate.sql()}
+    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules), "op6_spaced_seeds": decontaminate.sql(), "op2_link_graph_urls": urls.sql()}
