@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, packing, rules, rules_sql, secrets, simhash, tokens, urls
+from agorascope.llm import decontaminate, language, packing, rules, rules_sql, secrets, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_byte_network_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_read(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(_read(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit)}
 
 
 def oracle_sql() -> dict:
