@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, language, packing, rules, rules_sql, secrets, simhash, tokens, urls
+from agorascope.llm import decontaminate, html_text, language, packing, rules, rules_sql, secrets, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,8 +44,12 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op10_scored_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit)}
+    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html)}
 
 
 def oracle_sql() -> dict:
