@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, html_text, language, packing, rules, rules_sql, secrets, simhash, tokens, urls
+from agorascope.llm import decontaminate, html_text, language, licenses, packing, rules, rules_sql, secrets, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op2_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_read(spark, sf_dir, "pages"))
 
@@ -49,7 +53,7 @@ def op10_scored_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html)}
+    return {f.__name__: f for f in (op1_patience_licenses, op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html)}
 
 
 def oracle_sql() -> dict:

@@ -21,7 +21,7 @@ POSITION_BITS = 24
 RULES = (
     ("few_words", "n_words < 10"),
     ("repeated_words", "100 * n_repeat_words > 20 * n_words"),
-    ("many_symbols", "10 * n_symbols > 3 * n_words"),
+    ("many_symbols", "n_symbols > n_words"),
     ("repeated_lines", "n_lines >= 4 and 2 * n_dup_lines > n_lines"),
     ("short_words", "n_words >= 10 and word_chars < 2 * n_words"),
     ("long_words", "n_words >= 10 and word_chars > 20 * n_words"),
@@ -76,11 +76,12 @@ def ledger(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.expr(f"sort_array(transform(h, (x, i) -> (x & {~mask}L) | i))").alias("s"),
     )
-    # positions of windows that stand beside an equal one in the sorted keys
-    found = keyed.select("*", F.expr(f"""sort_array(transform(filter(transform(s, (x, i) -> named_struct('p', x & {mask}L,
+    # Positions of windows that stand beside an equal one in the sorted keys. The condition on a row number always
+    # holds: no filter on what follows is moved below it, where all steps would be written out at each of their uses.
+    found = keyed.select("*", F.when(F.monotonically_increasing_id() >= 0, F.expr(f"""sort_array(transform(filter(transform(s, (x, i) -> named_struct('p', x & {mask}L,
         'd', (i > 0 and (x ^ s[greatest(i - 1, 0)]) <= {mask}L and (x ^ s[greatest(i - 1, 0)]) >= 0 and h[int(x & {mask}L)] = h[int(s[greatest(i - 1, 0)] & {mask}L)])
           or (i < size(s) - 1 and (x ^ s[least(i + 1, size(s) - 1)]) <= {mask}L and (x ^ s[least(i + 1, size(s) - 1)]) >= 0 and h[int(x & {mask}L)] = h[int(s[least(i + 1, size(s) - 1)] & {mask}L)]))),
-        y -> y.d), y -> y.p))""").alias("p"))
+        y -> y.d), y -> y.p))""")).alias("p"))
     covered = found.select("*", F.expr(f"aggregate(transform(p, (x, i) -> if(i = 0, {WINDOW}L, least({WINDOW}L, x - p[greatest(i - 1, 0)]))), 0L, (a, x) -> a + x)").alias("n_repeat_words"))
     out = covered.select("id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
     bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, (_, rule) in enumerate(RULES)), F.lit(0).cast("long"))
