@@ -1,11 +1,158 @@
-"""Every query of the library, with its SQL counterpart."""
+"""Every registered query over the data tables, and its SQL counterpart."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from agorascope import oracle
+from agorascope.config import Boilerplate
+from agorascope.functions import text as X
+from agorascope.operators import audit as A
+from agorascope.operators import classify as K
+from agorascope.operators import rows as R
+from agorascope.operators import sections as S
+from agorascope.plans import corpus as C
+from agorascope.plans import engine as E
+from agorascope.session import read
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_N = F.count(F.lit(1)).alias("n")
+#: Copies that make boilerplate in queries over the small derived corpus.
+FEW = Boilerplate(min_repeats=1)
+
+
+def _items(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, d: build(C.items(spark, d))
+
+
+def _framed(build) -> Query:
+    return lambda spark, d: build(C.items(spark, d), C.SUB_TAGS, C.STREAM_KINDS)
+
+
+def _cosine(spark, d):
+    vectors = read(spark, d, "embeddings").select("vec_id", X.l2_normalize(F.col("embedding").cast("array<double>")).alias("v"))
+    target = vectors.where("vec_id = 0").select("v").scalar()
+    return vectors.select("vec_id", F.round(X.dot(F.col("v"), target), 5).alias("similarity"))
+
+
+def _sub_mentions(spark, d):
+    host = F.regexp_replace(F.regexp_extract("url", "://([^/]*)", 1), "[^A-Za-z0-9]", "_")
+    return read(spark, d, "pages").select("page_id", F.array_join(F.array_sort(X.sub_mentions(F.concat("url", F.lit(" r/"), host), F.lit(""))), ",").alias("mentions"))
+
+
+def _registry(spark, d):
+    titles = K.harvest(C.posts(spark, d), "title", "title", 40, 1)
+    return K.merge_registry(K.harvest(C.comments(spark, d), "body", "comment-body", 120, 1), titles)
+
+
+def _filtered(spark, d):
+    comments = C.comments(spark, d)
+    return K.filter_comments(comments, K.harvest(comments, "body", "comment-body", 120, 1)).groupBy("reason").agg(_N)
+
+
+def _upsert(spark, d):
+    rows = C.posts(spark, d).withColumn("q", F.expr("cast(substring(row_key, 2) as bigint) div 20"))
+    old = rows.where("q % 2 = 0").select("subreddit", "row_key", "title", "analyzed")
+    merged = R.merge_rows(old, rows.select("subreddit", "row_key", "title"), ["subreddit", "row_key"])
+    return merged.groupBy("is_new").agg(_N, F.sum(F.length("title")).alias("title_chars"), F.count_if(F.coalesce("analyzed", F.lit(False))).alias("analyzed"))
+
+
+def _new_rows(spark, d):
+    rows = C.posts(spark, d).select("subreddit", "row_key")
+    stored = rows.where("(cast(substring(row_key, 2) as bigint) div 20) % 2 = 0")
+    return R.admit(stored, rows.unionByName(rows), ["subreddit", "row_key"]).agg(F.count(F.lit(1)).alias("n_new"))
+
+
+def _provenance(spark, d):
+    items = C.items(spark, d)
+    return A.quote_provenance(items, C.posts(spark, d), C.comments(spark, d))
+
+
+def _gate(spark, d):
+    parents = C.items(spark, d).select(F.col("id").alias("row_key"), "ai_related")
+    return K.comment_gate(C.comments(spark, d), parents).groupBy("reason", "selected").agg(_N)
+
+
+QUERIES: dict[str, Query] = {
+    "normalize_hash": lambda s, d: read(s, d, "documents").select("doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized")),
+    "week_key_counts": lambda s, d: read(s, d, "events").groupBy(X.week_key(F.unix_timestamp("ts")).alias("week")).agg(_N),
+    "sub_mentions": _sub_mentions,
+    "ai_prefilter": lambda s, d: read(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _N),
+    "non_english_by_lang": lambda s, d: read(s, d, "documents").groupBy("lang").agg(_N, F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
+    "empty_or_removed": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.count_if(X.is_empty_or_removed(F.col("body"))).alias("n")),
+    "embedding_cosine_top": _cosine,
+    "parse_skipped": lambda s, d: R.parse_rows(C.posts(s, d).where("analyzed")).groupBy("valid").agg(_N),
+    "meta_counts": _items(S.meta),
+    "content_class_counts": _items(S.non_human_reasons),
+    "classify_with_bodies": lambda s, d: K.classify_rows(C.posts(s, d), FEW, "body").groupBy(F.col("content_class_reason").alias("reason")).agg(_N),
+    "heatmap_topic_week": _items(S.heatmap_weeks),
+    "heatmap_sub_topic": _items(S.heatmap_subs),
+    "stance_by_week": _items(S.stance_by_week),
+    "dist_stance": _items(lambda i: S.distribution(i, "stance")),
+    "dist_experience": _items(lambda i: S.distribution(i, "experience")),
+    "dist_source_stance": _items(S.source_stance),
+    "dist_topics": _items(S.topic_totals),
+    "dist_tools_top": _items(S.tool_totals),
+    "dist_pains_top": _items(S.pain_totals),
+    "minbar_baseline": _items(S.baseline_totals),
+    "minbar_dealbreakers": _items(S.dealbreakers),
+    "minbar_kinds": _items(S.dealbreaker_kinds),
+    "trust_board": _items(S.trust_board),
+    "features_board": _items(S.feature_board),
+    "competitors_board": _items(S.competitors),
+    "switching_moments": _items(S.switching_moments),
+    "recurrence": _items(S.recurrence),
+    "salience_rows": _items(S.salience),
+    "quotes_top": _items(S.quotes),
+    "resonance_top": _items(S.resonance),
+    "topic_spikes": _items(S.spikes),
+    "discovery_candidates": lambda s, d: S.discovery(C.items(s, d), C.comments(s, d).select("subreddit", F.array().cast("array<string>").alias("sub_mentions")), ["sub1", "sub2"]),
+    "rules_by_sub": _items(S.rules),
+    "rules_samples": _items(S.rule_samples),
+    "cohort_by_frame": _framed(S.cohort),
+    "cohort_basis_counts": _framed(S.cohort_basis),
+    "comment_stance_mix": _framed(S.comment_mix),
+    "author_modal_stance": lambda s, d: S.modal_stance(S.human_ai(C.items(s, d)).withColumn("frame", S.frame_of(C.SUB_TAGS, C.STREAM_KINDS))),
+    "audit_author_top20": _items(A.top_authors),
+    "audit_author_concentration": _items(A.author_concentration),
+    "audit_sub_concentration": _items(lambda i: A.sub_concentration(i, C.SUB_TAGS)),
+    "audit_week_spikes": _items(A.week_concentration),
+    "audit_stance_coherence": _items(A.stance_coherence),
+    "audit_detection_coverage": _items(A.detection_coverage),
+    "audit_flair": _items(A.flairs),
+    "audit_critique_sample": _items(A.critique_sample),
+    "audit_body_stats": lambda s, d: A.body_stats(C.posts(s, d)),
+    "audit_duplicates": lambda s, d: A.duplicate_summary(C.posts(s, d)),
+    "audit_quote_provenance": lambda s, d: A.quote_buckets(_provenance(s, d)),
+    "audit_quote_sample": lambda s, d: A.quote_sample(_provenance(s, d)),
+    "contamination_by_sub": lambda s, d: A.contamination(C.items(s, d), C.comments(s, d)),
+    "retag_report": lambda s, d: A.retag_report(C.posts(s, d), K.classify_rows(C.posts(s, d))),
+    "registry_hashes": _registry,
+    "comment_filter_reasons": _filtered,
+    "comment_policy_dry_run": _gate,
+    "comments_first20": lambda s, d: R.first_replies(C.comments(s, d)).select("link_id", "row_key", F.col("position").cast("long").alias("position")),
+    "ingest_dedupe": _new_rows,
+    "upsert_merge": _upsert,
+    "backfill_watermarks": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.max("created_utc").alias("watermark"), _N),
+    "daily_cap_admission": lambda s, d: K.admit_under_cap(C.posts(s, d).where("not analyzed"), 20, 5).select("row_key", "created_utc"),
+    "ask_recency_top": lambda s, d: E.ask_rows(C.items(s, d), ai_only=True, stance="wary").select("id", "created_utc", "stance"),
+    "reanalyze_selection": lambda s, d: E.reanalyze_selection(C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100).select("row_key"),
+    "health_counts": lambda s, d: E.health(C.posts(s, d), C.comments(s, d)),
+    "export_rows": _items(lambda i: i.select("id", "subreddit", "week", "stance", "experience", "intensity", "ai_related")),
+    "snapshot_headline": _items(E.snapshot),
+}
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["cohort_by_frame"](spark, sf_dir)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return oracle.oracle_sql()
