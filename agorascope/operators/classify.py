@@ -49,8 +49,11 @@ def classify_rows(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: st
 
 def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:
     """A stored tag wins; the others are classified, copies counted among them only, by title."""
-    tagged = rows.where("content_class is not null")
-    return tagged.unionByName(classify_rows(rows.where("content_class is null"), limits).select(*rows.columns))
+    fresh = F.col("_stored").isNull()
+    renamed = rows.withColumnsRenamed({"content_class": "_stored", "content_class_reason": "_stored_reason", "title": "_shown"}).withColumn("title", F.when(fresh, F.col("_shown")))
+    out = classify_rows(renamed, limits)
+    pick = {"content_class": F.coalesce("_stored", "content_class"), "content_class_reason": F.when(fresh, F.col("content_class_reason")).otherwise(F.col("_stored_reason")), "title": F.col("_shown")}
+    return out.select(*[pick.get(c, F.col(c)).alias(c) for c in rows.columns])
 
 
 def filter_comments(comments: DataFrame, registry: DataFrame | None = None, min_chars: int = 120) -> DataFrame:

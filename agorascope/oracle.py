@@ -97,7 +97,7 @@ def _examples(source: str, keys: str) -> str:
     return f"SELECT {keys}, string_agg(quote, ' | ' ORDER BY r) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY subreddit, id) AS r FROM {source}) WHERE r <= 3 GROUP BY {keys}"
 
 
-_RESONANCE = " + ".join([f"{p} * (list_contains(ts, '{t}'))::INT" for t, p in V.RESONANCE_TOPICS] + [f"2 * (regexp_matches(pool, '(?i){p}'))::INT" for p in V.PILLARS.values()])
+_RESONANCE = " + ".join([f"{p} * (list_contains(tps, '{t}'))::INT" for t, p in V.RESONANCE_TOPICS] + [f"2 * (regexp_matches(pool, '(?i){p}'))::INT" for p in V.PILLARS.values()])
 _STOP = " + ".join(f"(strpos(w, ' {x} ') > 0)::INT" for x in V.ENGLISH_STOPWORDS)
 _TRIMMED = f"regexp_replace(coalesce(body, ''), '^{SPACE}+|{SPACE}+$', '', 'g')"
 
@@ -132,7 +132,7 @@ SELECTS = {
     "recurrence": "SELECT claim, name, threads FROM recurrence",
     "salience_rows": "SELECT id, salience FROM salience",
     "quotes_top": "SELECT id, quote, stance, experience, subreddit, '/r/' || subreddit || '/' || doc_id AS permalink, week, 'post' AS kind, salience FROM ai JOIN salience USING (id) WHERE quote <> '' ORDER BY salience DESC, created_utc, id LIMIT 400",
-    "resonance_top": f"SELECT id, fit, salience, stance, experience, week, count(*) OVER () AS total_matching FROM (SELECT *, ({_RESONANCE})::BIGINT AS fit FROM (SELECT h.*, t.ts, concat_ws(' | ', f.feature, 'Signal ' || (q % 7), 'Pain ' || (k % 13), CASE WHEN k % 2 = 0 THEN ' pain ' || (q % 11) || ' ' END, quote) AS pool FROM human h JOIN (SELECT id, list(topic) AS ts FROM topics GROUP BY id) t USING (id) LEFT JOIN features f USING (id))) JOIN salience USING (id) WHERE fit >= 4 ORDER BY fit DESC, salience DESC, subreddit, id LIMIT 50",
+    "resonance_top": f"SELECT id, fit, salience, stance, experience, week, count(*) OVER () AS total_matching FROM (SELECT *, ({_RESONANCE})::BIGINT AS fit FROM (SELECT h.*, t.tps, concat_ws(' | ', f.feature, 'Signal ' || (q % 7), 'Pain ' || (k % 13), CASE WHEN k % 2 = 0 THEN ' pain ' || (q % 11) || ' ' END, quote) AS pool FROM human h JOIN (SELECT id, list(topic) AS tps FROM topics GROUP BY id) t USING (id) LEFT JOIN features f USING (id))) JOIN salience USING (id) WHERE fit >= 4 ORDER BY fit DESC, salience DESC, subreddit, id LIMIT 50",
     "topic_spikes": f"SELECT topic, label, cur AS this_week, round(mean, 1) AS trailing_mean, round(cur / greatest(mean, 1.0), 1) AS ratio FROM (SELECT t.topic, t.label, count(a.id) FILTER (o.back = 0) AS cur, count(a.id) FILTER (o.back BETWEEN 1 AND 4) / 4.0 AS mean FROM (SELECT unnest({_list(T)}) AS topic, unnest({_list([x for _, x in V.TOPICS])}) AS label) t LEFT JOIN ai_topics a ON a.topic = t.topic LEFT JOIN observed o ON o.week = a.week GROUP BY ALL) WHERE cur >= 5 AND cur >= 2 * greatest(mean, 1.0) AND (SELECT max(back) FROM observed) >= 4",
     "discovery_candidates": f"SELECT sub, count(*) AS mentions, array_to_string(list_slice(list_sort(list_distinct(list(subreddit))), 1, 6), ',') AS cited_by FROM (SELECT subreddit, 'sub' || (k % 15) AS sub FROM human WHERE q % 4 = 0) WHERE sub NOT IN ('sub1', 'sub2') GROUP BY sub HAVING count(*) >= 3 ORDER BY mentions DESC, sub LIMIT 40",
     "rules_by_sub": "SELECT subreddit, reason, count(*) AS n FROM items WHERE class <> 'human' GROUP BY ALL",

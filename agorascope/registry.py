@@ -34,8 +34,8 @@ def _framed(build) -> Query:
 
 def _cosine(spark, d):
     vectors = read(spark, d, "embeddings").select("vec_id", X.l2_normalize(F.col("embedding").cast("array<double>")).alias("v"))
-    target = vectors.where("vec_id = 0").select("v").scalar()
-    return vectors.select("vec_id", F.round(X.dot(F.col("v"), target), 5).alias("similarity"))
+    target = vectors.where("vec_id = 0").first()["v"]  # one vector, as a question's would be
+    return vectors.select("vec_id", F.round(X.dot(F.col("v"), F.array(*map(F.lit, target))), 5).alias("similarity"))
 
 
 def _sub_mentions(spark, d):
