@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ANALYSIS = (
-    "week string, ai_related boolean, stance_on_ai string, persona struct<experience: string, goal: string>, stance_basis array<string>, stance_intensity int, "
-    "comment_stance_mix map<string, int>, topics array<string>, pain_points array<string>, expected_baseline array<string>, "
-    "deal_breakers array<struct<item: string, kind: string, quote: string>>, trust_signals array<struct<signal: string, direction: string, quote: string>>, "
-    "feature_requests array<struct<feature: string, ai_related: boolean, quote: string>>, ethics_concerns array<string>, notable_quote string, summary string"
+    "week: string, ai_related: boolean, stance_on_ai: string, persona: struct<experience: string, goal: string>, stance_basis: array<string>, stance_intensity: int, "
+    "comment_stance_mix: map<string, int>, topics: array<string>, pain_points: array<string>, expected_baseline: array<string>, "
+    "deal_breakers: array<struct<item: string, kind: string, quote: string>>, trust_signals: array<struct<signal: string, direction: string, quote: string>>, "
+    "feature_requests: array<struct<feature: string, ai_related: boolean, quote: string>>, ethics_concerns: array<string>, notable_quote: string, summary: string"
 )
 TOOL = "struct<tool: string, sentiment: string, switching: boolean, context: string>"
 
@@ -20,15 +20,8 @@ def parse_rows(rows: DataFrame) -> DataFrame:
     A list around the text makes trailing text, a second value or a cut object malformed. Old rows
     name tools as bare strings; these read as neutral mentions.
     """
-    wrapped = F.concat(F.lit("["), "analysis_json", F.lit("]"))
-    variant = F.try_parse_json(wrapped)
-    parsed = rows.select(
-        "*",
-        F.from_json(F.to_json(F.try_variant_get(variant, "$[0]", "variant")), f"struct<{ANALYSIS}>").alias("a"),
-        F.try_variant_get(variant, "$[0].tools_mentioned", "array<variant>").alias("tool_list"),
-        F.coalesce(F.size(F.try_variant_get(variant, "$", "array<variant>")) == 1, F.lit(False)).alias("one"),
-        F.coalesce(F.schema_of_variant(F.try_variant_get(variant, "$[0]", "variant")).startswith("OBJECT"), F.lit(False)).alias("object"),
-    )
+    list_of_one = F.from_json(F.concat(F.lit("["), "analysis_json", F.lit("]")), f"array<struct<{ANALYSIS}, tools_mentioned: variant>>", {"allowSingleQuotes": "false"})
+    parsed = rows.withColumn("list", list_of_one).withColumn("a", F.get("list", F.lit(0))).withColumn("tool_list", F.try_variant_get("a.tools_mentioned", "$", "array<variant>"))
     empty = lambda kind: F.array().cast(kind)
     field = lambda t, k, kind="string": F.try_variant_get(t, f"$.{k}", kind)
     tools = F.transform(
@@ -51,7 +44,7 @@ def parse_rows(rows: DataFrame) -> DataFrame:
         F.coalesce("a.expected_baseline", empty("array<string>")).alias("expected_baseline"), F.coalesce("a.deal_breakers", empty("array<struct<item:string,kind:string,quote:string>>")).alias("deal_breakers"),
         F.coalesce("a.trust_signals", empty("array<struct<signal:string,direction:string,quote:string>>")).alias("trust_signals"), F.coalesce("a.feature_requests", empty("array<struct<feature:string,ai_related:boolean,quote:string>>")).alias("features"),
         F.coalesce(tools, empty(f"array<{TOOL}>")).alias("tools"), F.coalesce("a.notable_quote", F.lit("")).alias("quote"), F.coalesce("a.summary", F.lit("")).alias("summary"),
-        (F.col("one") & F.col("object")).alias("valid"),
+        (F.coalesce(F.size("list") == 1, F.lit(False)) & F.col("a").isNotNull()).alias("valid"),
     )
 
 
