@@ -25,8 +25,8 @@ def repeat_counts(rows: DataFrame, hash: str, sub: str = "subreddit") -> DataFra
 
 
 def _flag(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFrame:
-    known = repeated.select(F.col("sub").alias("_sub"), F.col("hash").alias("_hash"), F.lit(True).alias(flag))
-    return rows.join(known, (F.lower("subreddit") == F.col("_sub")) & (F.col(hash) == F.col("_hash")), "left").drop("_sub", "_hash")
+    known = repeated.select(F.col("sub").alias("_sub"), F.col("hash").alias("_copied"), F.lit(True).alias(flag))
+    return rows.join(known, (F.lower("subreddit") == F.col("_sub")) & (F.col(hash) == F.col("_copied")), "left").drop("_sub", "_copied")
 
 
 def classify_rows(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = None) -> DataFrame:
@@ -74,7 +74,7 @@ def comment_gate(comments: DataFrame, parents: DataFrame, policy: str = "filtere
     else:
         long = F.col("body_chars") >= min_chars
         reason = F.when(F.coalesce("parent_ai", F.lit(False)), "parent-ai-related").when(long & F.col("ai_prefilter_hit"), "long-and-ai-mentioning").when(~long, "too-short").otherwise("no-ai-mention")
-    return out.drop("parent_ai").withColumn("reason", reason).withColumn("selected", F.col("reason").isin("parent-ai-related", "long-and-ai-mentioning", "policy-all"))
+    return out.withColumn("reason", reason).drop("parent_ai").withColumn("selected", F.col("reason").isin("parent-ai-related", "long-and-ai-mentioning", "policy-all"))
 
 
 def harvest(rows: DataFrame, text: str, kind: str, min_chars: int, min_repeats: int = 5) -> DataFrame:

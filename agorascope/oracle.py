@@ -28,14 +28,14 @@ def hashed(text: str, floor: int) -> str:
     return f"CASE WHEN length({normalize(text)}) >= {floor} THEN substr(sha1({normalize(text)}), 1, 16) END"
 
 
-WEEK = "year(ts) || '-W' || lpad(CAST(ceil((epoch(ts - date_trunc('year', ts)) / 86400 + dayofweek(date_trunc('year', ts)) + 1) / 7) AS BIGINT)::VARCHAR, 2, '0')"
+WEEK = "year(ts) || '-W' || lpad(CAST(ceil((floor(epoch(ts - date_trunc('year', ts))) / 86400 + dayofweek(date_trunc('year', ts)) + 1) / 7) AS BIGINT)::VARCHAR, 2, '0')"
 T = [t for t, _ in V.TOPICS]
 SHARE = lambda a, b: f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE ({a})::DOUBLE / ({b}) END, 6)"
 AI = V.AI_WORDS.replace("'", "''")
 
 CORPUS = f"""
 WITH base AS (
-  SELECT d.doc_id, d.text AS body, d.source AS subreddit, e.user_id AS u, e.ts, epoch(e.ts)::BIGINT AS created_utc, CAST(regexp_extract(e.props, '([0-9]+)', 1) AS BIGINT) AS k, d.doc_id // 20 AS q,
+  SELECT d.doc_id, d.text AS body, d.source AS subreddit, e.user_id AS u, e.ts, floor(epoch(e.ts))::BIGINT AS created_utc, CAST(regexp_extract(e.props, '([0-9]+)', 1) AS BIGINT) AS k, d.doc_id // 20 AS q,
     coalesce(l.quality = 1, false) AS good
   FROM documents d JOIN (SELECT event_id, coalesce(user_id, 0) AS user_id, ts, props FROM events) e ON e.event_id = d.doc_id
   LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope import oracle
@@ -19,11 +19,14 @@ from agorascope.plans import engine as E
 from agorascope.session import read
 
 Query = Callable[[SparkSession, str], DataFrame]
-_N = F.count(F.lit(1)).alias("n")
 #: Copies that make boilerplate in queries over the small derived corpus.
 FEW = Boilerplate(min_repeats=1)
 
 
+def _n() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
+
 def _items(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(C.items(spark, d))
 
@@ -50,14 +53,14 @@ def _registry(spark, d):
 
 def _filtered(spark, d):
     comments = C.comments(spark, d)
-    return K.filter_comments(comments, K.harvest(comments, "body", "comment-body", 120, 1)).groupBy("reason").agg(_N)
+    return K.filter_comments(comments, K.harvest(comments, "body", "comment-body", 120, 1)).groupBy("reason").agg(_n())
 
 
 def _upsert(spark, d):
     rows = C.posts(spark, d).withColumn("q", F.expr("cast(substring(row_key, 2) as bigint) div 20"))
     old = rows.where("q % 2 = 0").select("subreddit", "row_key", "title", "analyzed")
     merged = R.merge_rows(old, rows.select("subreddit", "row_key", "title"), ["subreddit", "row_key"])
-    return merged.groupBy("is_new").agg(_N, F.sum(F.length("title")).alias("title_chars"), F.count_if(F.coalesce("analyzed", F.lit(False))).alias("analyzed"))
+    return merged.groupBy("is_new").agg(_n(), F.sum(F.length("title")).alias("title_chars"), F.count_if(F.coalesce("analyzed", F.lit(False))).alias("analyzed"))
 
 
 def _new_rows(spark, d):
@@ -73,21 +76,21 @@ def _provenance(spark, d):
 
 def _gate(spark, d):
     parents = C.items(spark, d).select(F.col("id").alias("row_key"), "ai_related")
-    return K.comment_gate(C.comments(spark, d), parents).groupBy("reason", "selected").agg(_N)
+    return K.comment_gate(C.comments(spark, d), parents).groupBy("reason", "selected").agg(_n())
 
 
 QUERIES: dict[str, Query] = {
     "normalize_hash": lambda s, d: read(s, d, "documents").select("doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized")),
-    "week_key_counts": lambda s, d: read(s, d, "events").groupBy(X.week_key(F.unix_timestamp("ts")).alias("week")).agg(_N),
+    "week_key_counts": lambda s, d: read(s, d, "events").groupBy(X.week_key(F.unix_timestamp("ts")).alias("week")).agg(_n()),
     "sub_mentions": _sub_mentions,
-    "ai_prefilter": lambda s, d: read(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _N),
-    "non_english_by_lang": lambda s, d: read(s, d, "documents").groupBy("lang").agg(_N, F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
+    "ai_prefilter": lambda s, d: read(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _n()),
+    "non_english_by_lang": lambda s, d: read(s, d, "documents").groupBy("lang").agg(_n(), F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
     "empty_or_removed": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.count_if(X.is_empty_or_removed(F.col("body"))).alias("n")),
     "embedding_cosine_top": _cosine,
-    "parse_skipped": lambda s, d: R.parse_rows(C.posts(s, d).where("analyzed")).groupBy("valid").agg(_N),
+    "parse_skipped": lambda s, d: R.parse_rows(C.posts(s, d).where("analyzed")).groupBy("valid").agg(_n()),
     "meta_counts": _items(S.meta),
     "content_class_counts": _items(S.non_human_reasons),
-    "classify_with_bodies": lambda s, d: K.classify_rows(C.posts(s, d), FEW, "body").groupBy(F.col("content_class_reason").alias("reason")).agg(_N),
+    "classify_with_bodies": lambda s, d: K.classify_rows(C.posts(s, d), FEW, "body").groupBy(F.col("content_class_reason").alias("reason")).agg(_n()),
     "heatmap_topic_week": _items(S.heatmap_weeks),
     "heatmap_sub_topic": _items(S.heatmap_subs),
     "stance_by_week": _items(S.stance_by_week),
@@ -136,7 +139,7 @@ QUERIES: dict[str, Query] = {
     "comments_first20": lambda s, d: R.first_replies(C.comments(s, d)).select("link_id", "row_key", F.col("position").cast("long").alias("position")),
     "ingest_dedupe": _new_rows,
     "upsert_merge": _upsert,
-    "backfill_watermarks": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.max("created_utc").alias("watermark"), _N),
+    "backfill_watermarks": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.max("created_utc").alias("watermark"), _n()),
     "daily_cap_admission": lambda s, d: K.admit_under_cap(C.posts(s, d).where("not analyzed"), 20, 5).select("row_key", "created_utc"),
     "ask_recency_top": lambda s, d: E.ask_rows(C.items(s, d), ai_only=True, stance="wary").select("id", "created_utc", "stance"),
     "reanalyze_selection": lambda s, d: E.reanalyze_selection(C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100).select("row_key"),
