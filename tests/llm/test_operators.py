@@ -322,12 +322,57 @@ def test_best_region_is_the_maximum():
         assert sum(v[a:b]) == max(0, max(sum(v[i:j]) for i in range(12) for j in range(i, 13)))
 
 
+def brute_pipeline(docs, bench):
+    """(doc_id, text) that the first four stages leave, in plain Python."""
+    def passes(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+        repeated = len({i + k for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for k in range(5)})
+        lines = [x for x in (text or "").split("\n") if x.split()]
+        chars = sum(map(len, words))
+        return len(words) >= 10 and 100 * repeated <= 20 * len(words) and len(re.findall(r"[#*$%&|<>]", text)) <= len(words) and not (len(lines) >= 4 and 2 * (len(lines) - len(set(lines))) > len(lines)) and 2 * len(words) <= chars <= 20 * len(words)
+
+    kept = [(i, t) for i, t in docs if passes(t)]
+    pairs = [(i, simhash.fingerprint(t)) for i, t in kept]
+    component = brute_components(pairs)
+    kept = [(i, t) for (i, t), (_, fp) in zip(kept, pairs, strict=True) if component[fp] == i]
+    split = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    items = [split(t) for t in bench]
+
+    def leaks(text):
+        words = split(text)
+        at = defaultdict(list)
+        for i, w in enumerate(words):
+            at[w].append(i)
+        for item in items:
+            starts = {i - k for k, w in enumerate(item) for i in at[w]}
+            for s in starts:
+                equal = [0 <= s + k < len(words) and words[s + k] == w for k, w in enumerate(item)]
+                seed = any(all(equal[p + k] for k, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for p in range(len(item) - 8))
+                if seed and any(10 * sum(equal[p : p + 13]) >= 8 * min(13, len(item)) for p in range(max(1, len(item) - 12))):
+                    return True
+        return False
+
+    models = secrets.train(secrets.labelled_samples())
+    return [(i, secrets._replaced(t, secrets.spans(t, models), "[secret]")) for i, t in kept if not leaks(t)]
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sf = "/root/testdata/sf0.001"
+    docs = given = spark.read.parquet(f"{sf}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, "/root/testdata/sf0.001")
-        assert out.columns == docs.columns
-    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert packed.count() > 0 and set(packed.columns) >= {"doc_id", "piece", "sequence_id", "offset"}
+        docs = stage(spark, docs, sf)
+        assert docs.columns == given.columns
+    bench = [r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    expected = brute_pipeline([(r.doc_id, r.text) for r in given.collect()], bench)
+    left = docs.collect()
+    assert sorted((r.doc_id, r.text) for r in left) == sorted(expected) and 0 < len(expected) < given.count()
+    assert all(r.n_chars == len(r.text) for r in left)
+    library = tokens.load_tokenizer(tokens.tokenizer_path())
+    lengths = {i: len(library.encode(t, add_special_tokens=False).ids) + 1 for i, t in expected}
+    total = Counter()
+    for r in corpus_pipeline.run(spark, sf).collect():
+        total[r.doc_id] += r.length
+    assert total == lengths
