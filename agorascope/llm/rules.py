@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 SPACE = r"[ \t\n\x0B\f\r]"
 WINDOW = 5
-#: Low bits of a sort key that hold a window's position in its text.
-POSITION_BITS = 24
+#: Low bits of a sort key that hold a window's position in its text: texts have up to 67 million words.
+POSITION_BITS = 26
 
 #: Bit order of the ledger. Never reorder: stored ledgers depend on it; append instead.
 RULES = (
