@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ NOT_SPACE = SPACE.replace("[", "[^", 1)
 QUOTE_MIN_CHARS, REMOVED_MIN_CHARS = 25, 20
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
@@ -31,8 +38,7 @@ def hash_text(normalized: Column) -> Column:
 
 def hash_if_eligible(text: Column, min_chars: int) -> Column:
     """Hash of the normalised text, null if that is shorter than ``min_chars``."""
-    n = normalize(text)
-    return F.when(F.length(n) >= min_chars, hash_text(n))
+    return _let(normalize(text), lambda n: F.when(F.length(n) >= min_chars, hash_text(n)))
 
 
 def utf16_length(text: Column) -> Column:
@@ -59,15 +65,16 @@ def mentions_ai(text: Column) -> Column:
 
 def looks_non_english(text: Column) -> Column:
     """Fewer than two of twenty English words in the first 200 normalised characters; never for short texts."""
-    n = normalize(text)
-    window = F.concat(F.lit(" "), F.substring(n, 1, 200), F.lit(" "))
-    hits = sum((F.when(F.instr(window, f" {w} ") > 0, 1).otherwise(0) for w in ENGLISH_STOPWORDS), F.lit(0))
-    return (F.length(n) >= 40) & (hits < 2)
+    def few(window):
+        return sum((F.when(F.instr(window, f" {w} ") > 0, 1).otherwise(0) for w in ENGLISH_STOPWORDS), F.lit(0)) < 2
+
+    padded = lambda n: F.concat(F.lit(" "), F.substring(n, 1, 200), F.lit(" "))
+    return _let(normalize(text), lambda n: (F.length(n) >= 40) & _let(padded(n), few))
 
 
 def is_empty_or_removed(text: Column) -> Column:
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
-    return (F.length(t) < REMOVED_MIN_CHARS) | F.lower(t).isin(*REMOVED_MARKERS)
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACE}+|{SPACE}+$", "")
+    return _let(trimmed, lambda t: (F.length(t) < REMOVED_MIN_CHARS) | F.lower(t).isin(*REMOVED_MARKERS))
 
 
 def critique_flaired(flair: Column) -> Column:

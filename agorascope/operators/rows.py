@@ -21,6 +21,8 @@ def parse_rows(rows: DataFrame) -> DataFrame:
     name tools as bare strings; these read as neutral mentions.
     """
     list_of_one = F.from_json(F.concat(F.lit("["), "analysis_json", F.lit("]")), f"array<struct<{ANALYSIS}, tools_mentioned: variant>>", {"allowSingleQuotes": "false"})
+    # Always true: filters on what is parsed aren't moved below the parsing, where it would be done again for each.
+    list_of_one = F.when(F.monotonically_increasing_id() >= 0, list_of_one)
     parsed = rows.withColumn("list", list_of_one).withColumn("a", F.get("list", F.lit(0))).withColumn("tool_list", F.try_variant_get("a.tools_mentioned", "$", "array<variant>"))
     empty = lambda kind: F.array().cast(kind)
     field = lambda t, k, kind="string": F.try_variant_get(t, f"$.{k}", kind)
