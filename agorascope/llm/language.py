@@ -23,10 +23,15 @@ WIDEST = max(WIDTHS)
 TEXTS_PER_LANGUAGE, SAMPLE_CHARS = 400, 1000
 #: Windows scored at a time.
 CHUNK = 256
+#: Word characters but decimal digits: letters, and a few numbers such as fractions, which ``has_letter`` sorts out.
 LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
+def has_letter(text: str) -> bool:
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def windows_of(data: bytes) -> np.ndarray:
     """Consecutive windows of all bytes, the last filled up with zeros, and room for the widest filter."""
     n = -(-len(data) // WINDOW)
@@ -93,7 +98,7 @@ class ByteNetwork:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and probability of each whole text."""
-        data = [t.encode() if t and LETTER.search(t) else b"" for t in texts]
+        data = [t.encode() if t and has_letter(t) else b"" for t in texts]
         totals = np.zeros((len(texts), len(self.languages)))
         for start, stop in _groups([len(d) for d in data]):
             x = np.concatenate([windows_of(d) for d in data[start:stop]])
@@ -142,7 +147,7 @@ def labelled_sample(docs: DataFrame, id: str, text: str, lang: str, per_language
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = TEXTS_PER_LANGUAGE) -> ByteNetwork | None:
     """A network for the languages of the labelled sample; None without labelled texts."""
-    rows = [r for r in labelled_sample(docs, id, text, lang, per_language) if LETTER.search(r["t"])]
+    rows = [r for r in labelled_sample(docs, id, text, lang, per_language) if has_letter(r["t"])]
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

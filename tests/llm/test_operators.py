@@ -245,13 +245,13 @@ def test_policies_and_ablations(docs):
 def test_language_learns_and_is_undetermined_without_letters(spark, docs):
     rng = random.Random(3)
     words = {"en": "the and of with reading house".split(), "de": "der und über straße lesen haus".split()}
-    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for i in range(400) for lang in [("en", "de")[i % 2]]] + [(1000, "123 !", "en"), (1001, None, "de")]
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(40)), lang) for i in range(400) for lang in [("en", "de")[i % 2]]] + [(1000, "123 !", "en"), (1001, None, "de"), (1002, "½² 7", "en")]
     found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     truth = {i: lang for i, _, lang in rows}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
     held = [r for r in found if r.held_out and r.doc_id < 1000]
     assert held and sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.97
-    assert {r.doc_id: (r.lang_pred, r.score) for r in found if r.doc_id >= 1000} == {1000: ("und", 0.0), 1001: ("und", 0.0)}
+    assert {r.doc_id: (r.lang_pred, r.score) for r in found if r.doc_id >= 1000} == {1000: ("und", 0.0), 1001: ("und", 0.0), 1002: ("und", 0.0)}
 
 
 def test_decontamination(spark, docs, empty):
