@@ -103,3 +103,15 @@ def dot(a: Column, b: Column) -> Column:
 def chunks(text: Column, size: int = 30_000) -> Column:
     """Pieces of ``size`` characters; joined they are the text."""
     return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")), lambda i: F.substring(text, i * size + 1, F.lit(size))))
+
+
+def shrink_fields(fields: Column, budget: int) -> Column:
+    """(kept, dropped) of a map of texts: the longest fields go until the others have at most ``budget`` characters."""
+    sizes = F.array_sort(F.transform(F.map_entries(fields), lambda e: F.struct(F.coalesce(F.length(e["value"]), F.lit(0)).cast("long").alias("n"), e["key"].alias("key"))))
+
+    def split(ordered: Column) -> Column:
+        upto = lambda i: F.aggregate(F.slice(ordered, F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+        keys = F.transform(F.filter(ordered, lambda x, i: upto(i) <= budget), lambda x: x["key"])
+        return _let(keys, lambda k: F.struct(F.map_filter(fields, lambda key, _: F.array_contains(k, key)).alias("kept"), F.array_sort(F.array_except(F.map_keys(fields), k)).alias("dropped")))
+
+    return _let(sizes, split)

@@ -92,3 +92,18 @@ def merge_registry(old: DataFrame, new: DataFrame, most: int = 4000) -> DataFram
 def admit_under_cap(pending: DataFrame, cap: int, used: int = 0, order: tuple[str, ...] = ("created_utc", "row_key")) -> DataFrame:
     """The oldest pending rows that the day's cap still allows; the others wait."""
     return pending.orderBy(*order).limit(max(0, cap - used))
+
+
+def registry_summary(registry: DataFrame) -> DataFrame:
+    """(sub, kind, hashes, most): what the registry holds of each community."""
+    return registry.groupBy("sub", "kind").agg(F.count(F.lit(1)).alias("hashes"), F.max("repeats").alias("most"))
+
+
+def filter_tally(filtered: DataFrame, day: Column) -> DataFrame:
+    """(day, reason, n) of filtered comments, from the rows themselves, so that a repeated run counts nothing twice."""
+    return filtered.where("reason is not null").groupBy(day.alias("day"), "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def filtered_last_day(tally: DataFrame, today: Column) -> DataFrame:
+    """(reason, n) of today and yesterday."""
+    return tally.where(F.col("day").between(F.date_sub(today, 1), today)).groupBy("reason").agg(F.sum("n").alias("n"))

@@ -72,3 +72,13 @@ def first_replies(comments: DataFrame, most: int = 20) -> DataFrame:
 
     order = Window.partitionBy("link_id").orderBy("created_utc", "row_key")
     return comments.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
+
+
+def page_after(rows: DataFrame, keys: list[str], cursor: tuple | None, n: int) -> DataFrame:
+    """The ``n`` rows that follow ``cursor`` in key order, so that a bounded scan goes on where it stopped; None starts it."""
+    if cursor is not None:
+        after = F.lit(False)
+        for key, value in reversed(list(zip(keys, cursor, strict=True))):
+            after = (F.col(key) > value) | ((F.col(key) == value) & after)
+        rows = rows.where((F.col(keys[0]) >= cursor[0]) & after)  # the first condition by itself reaches the scan
+    return rows.orderBy(*keys).limit(n)

@@ -167,6 +167,17 @@ SELECTS = {
     "export_rows": "SELECT id, subreddit, week, stance, experience, intensity::INT AS intensity, ai_related FROM items",
     "snapshot_headline": "SELECT (SELECT count(*) FROM items) AS total_rows, (SELECT count(*) FROM items WHERE ai_related) AS ai_rows, stance, count(*) AS n FROM ai GROUP BY stance",
 }
+_FIELDS = "SELECT doc_id, 'title' AS key, substr(string_split(text, chr(10))[1], 1, 200) AS value FROM documents UNION ALL SELECT doc_id, 'body', text FROM documents UNION ALL SELECT doc_id, 'lang', lang FROM documents"
+_COSINE = "list_dot_product(e.embedding::DOUBLE[], t.embedding::DOUBLE[]) / sqrt(list_dot_product(e.embedding::DOUBLE[], e.embedding::DOUBLE[])) / sqrt(list_dot_product(t.embedding::DOUBLE[], t.embedding::DOUBLE[]))"
+SELECTS |= {
+    "registry_summary": f"SELECT sub, kind, count(*) AS hashes, max(repeats) AS most FROM ({SELECTS['registry_hashes']}) GROUP BY ALL",
+    "filtered_last_day": "SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL AND turn IN (4, 5) GROUP BY reason",
+    "keyset_page": "SELECT subreddit, id AS row_key FROM stored WHERE subreddit > 'src3' OR (subreddit = 'src3' AND id > 'd5') ORDER BY subreddit, id LIMIT 50",
+    "row_keys": "SELECT 'post' AS kind, count(*) AS n, count(*) AS round_trips FROM stored UNION ALL SELECT 'comment', count(*), count(*) FROM talk",
+    "payload_chunks": "SELECT doc_id, greatest(1, (n + 999) // 1000)::BIGINT AS n_chunks, (n - 1000 * (greatest(1, (n + 999) // 1000) - 1))::BIGINT AS last_chars, true AS whole FROM (SELECT doc_id, length(coalesce(text, '')) AS n FROM documents)",
+    "payload_shrunk": f"SELECT doc_id, coalesce(string_agg(key, ',' ORDER BY key) FILTER (upto <= 2000), '') AS kept, coalesce(string_agg(key, ',' ORDER BY key) FILTER (upto > 2000), '') AS dropped FROM (SELECT doc_id, key, sum(coalesce(length(value), 0)) OVER (PARTITION BY doc_id ORDER BY coalesce(length(value), 0), key) AS upto FROM ({_FIELDS})) GROUP BY doc_id",
+    "ask_similarity_top": f"SELECT i.id, round({_COSINE}, 5) AS similarity FROM items i JOIN embeddings e ON i.id = 'd' || e.vec_id, (SELECT embedding FROM embeddings WHERE vec_id = 0) t WHERE i.ai_related ORDER BY {_COSINE} DESC, i.id LIMIT 50",
+}
 _COHORT = f"""SELECT p.frame, p.frame = 'reddit' AS is_primary, ai_posts, neg_posts, {SHARE('neg_posts', 'ai_posts')} AS neg_post_share, coalesce(distinct_authors, 0) AS distinct_authors, {SHARE('coalesce(neg_authors, 0)', 'coalesce(distinct_authors, 0)')} AS neg_author_share,
   distinct_threads, {SHARE('neg_threads', 'distinct_threads')} AS neg_thread_share, {SHARE('intense', 'neg_posts')} AS hi_intensity_neg_share, commented_posts
 FROM (SELECT frame, count(*) AS ai_posts, count(*) FILTER (stance IN ('hostile', 'wary')) AS neg_posts, count(DISTINCT id) AS distinct_threads, count(DISTINCT id) FILTER (stance IN ('hostile', 'wary')) AS neg_threads, count(*) FILTER (stance IN ('hostile', 'wary') AND intensity >= 3) AS intense, count(*) FILTER (k % 5 = 0) AS commented_posts FROM framed GROUP BY frame) p

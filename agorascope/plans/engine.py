@@ -83,7 +83,7 @@ def run_sections(items: DataFrame, path: str, sections: dict | None = None, now:
 class Engine:
     """Jobs over a store: ``posts`` and ``comments`` tables, sections under ``path``, and injected model calls."""
 
-    VIEWS = tuple(S.SECTIONS)
+    VIEWS = (*S.SECTIONS, "health", "snapshots")
 
     def __init__(self, spark: SparkSession, posts: DataFrame, comments: DataFrame, path: str, answer: Callable | None = None, notify: Callable | None = None):
         self.spark, self.posts, self.comments, self.path, self.answer, self.notify = spark, posts, comments, path, answer, notify
@@ -109,7 +109,12 @@ class Engine:
             items.unpersist()
 
     def insights(self, view: str, table: str | None = None) -> DataFrame:
-        if view not in self.VIEWS:
+        """A section's table as last written, the current counts (``health``), or all days' headlines (``snapshots``)."""
+        if view == "health":
+            return self.health()
+        if view == "snapshots":
+            return self.spark.read.parquet(f"{self.path}/snapshots")
+        if view not in S.SECTIONS:
             raise ValueError(f"unknown view {view}; views are {', '.join(self.VIEWS)}")
         return self.spark.read.parquet(f"{self.path}/{view}/{table or next(iter(S.SECTIONS[view]))}")
 
@@ -118,6 +123,10 @@ class Engine:
         rows = ask_rows(self.items(), vector, **filters)
         return self.answer(question, rows.collect()) if self.answer else rows
 
+    def take_snapshot(self, day: str) -> None:
+        """The day's headline numbers; a second run on the same day replaces them."""
+        snapshot(self.items()).write.mode("overwrite").parquet(f"{self.path}/snapshots/day={day}")
+
     def export(self, path: str) -> None:
         self.items().write.mode("overwrite").json(path)
 

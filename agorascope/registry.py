@@ -74,6 +74,29 @@ def _provenance(spark, d):
     return A.quote_provenance(items, C.posts(spark, d), C.comments(spark, d))
 
 
+def _keys(spark, d):
+    rows = C.posts(spark, d).select("kind", "row_key").unionByName(C.comments(spark, d).select("kind", "row_key"))
+    again = X.row_key(F.col("kind"), X.id_of_row_key(F.col("row_key")))
+    return rows.groupBy("kind").agg(_n(), F.count_if(again == F.col("row_key")).alias("round_trips"))
+
+
+def _chunked(spark, d):
+    rows = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("c", X.chunks(F.col("text"), 1000))
+    return rows.select("doc_id", F.size("c").cast("long").alias("n_chunks"), F.length(F.element_at("c", -1)).cast("long").alias("last_chars"), (F.array_join("c", "") == F.col("text")).alias("whole"))
+
+
+def _shrunk(spark, d):
+    fields = F.create_map(F.lit("title"), F.substring(F.substring_index("text", "\n", 1), 1, 200), F.lit("body"), F.col("text"), F.lit("lang"), F.col("lang"))
+    rows = read(spark, d, "documents").select("doc_id", X.shrink_fields(fields, 2000).alias("s"))
+    return rows.select("doc_id", F.array_join(F.array_sort(F.map_keys("s.kept")), ",").alias("kept"), F.array_join("s.dropped", ",").alias("dropped"))
+
+
+def _similar(spark, d):
+    vectors = read(spark, d, "embeddings").select(F.concat(F.lit("d"), "vec_id").alias("id"), X.l2_normalize(F.col("embedding").cast("array<double>")).alias("emb"))
+    target = vectors.where("id = 'd0'").first()["emb"]  # one vector, as a question's would be
+    return E.ask_rows(C.items(spark, d).join(vectors, "id"), target, ai_only=True, n=50).select("id", F.round("similarity", 5).alias("similarity"))
+
+
 def _gate(spark, d):
     parents = C.items(spark, d).select(F.col("id").alias("row_key"), "ai_related")
     return K.comment_gate(C.comments(spark, d), parents).groupBy("reason", "selected").agg(_n())
@@ -144,6 +167,13 @@ QUERIES: dict[str, Query] = {
     "ask_recency_top": lambda s, d: E.ask_rows(C.items(s, d), ai_only=True, stance="wary").select("id", "created_utc", "stance"),
     "reanalyze_selection": lambda s, d: E.reanalyze_selection(C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100).select("row_key"),
     "health_counts": lambda s, d: E.health(C.posts(s, d), C.comments(s, d)),
+    "registry_summary": lambda s, d: K.registry_summary(_registry(s, d)),
+    "filtered_last_day": lambda s, d: K.filtered_last_day(K.filter_tally(K.filter_comments(C.comments(s, d)), F.date_from_unix_date(F.col("turn").cast("int"))), F.to_date(F.lit("1970-01-06"))),
+    "keyset_page": lambda s, d: R.page_after(C.posts(s, d), ["subreddit", "row_key"], ("src3", "d5"), 50).select("subreddit", "row_key"),
+    "row_keys": _keys,
+    "payload_chunks": _chunked,
+    "payload_shrunk": _shrunk,
+    "ask_similarity_top": _similar,
     "export_rows": _items(lambda i: i.select("id", "subreddit", "week", "stance", "experience", "intensity", "ai_related")),
     "snapshot_headline": _items(E.snapshot),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agorascope.functions import text as X
 from agorascope.operators.rows import admit
 from agorascope.sources import normalize
+from agorascope.sources.archive import Archive
 
 OVERLAP = "3 days"
 
@@ -21,20 +22,38 @@ def incoming(spark: SparkSession, path: str, kind: str = "post", max_files: int
     return timed.dropDuplicatesWithinWatermark(["subreddit", "row_key"]).drop("ts")
 
 
+def append_new(rows: DataFrame, store: str) -> None:
+    """Append the rows whose keys are not in the Parquet table at ``store`` yet, each key once."""
+    session = rows.sparkSession
+    try:
+        stored = session.read.parquet(store)
+    except Exception as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        stored = session.createDataFrame([], rows.schema)
+    admit(stored, rows, ["subreddit", "row_key"]).write.mode("append").partitionBy("subreddit").parquet(store)
+
+
+def backfill(spark: SparkSession, store: str, client: str, subs: list[str], before: int, months: int = 12, kind: str = "post", window: int = 7 * 86400) -> DataFrame:
+    """Read the months up to ``before`` from the archive, a task for each community and window, and append what is new.
+
+    Returns the watermarks of the store. A repeated or resumed run adds nothing twice.
+    """
+    if not 1 <= months <= 24:
+        raise ValueError(f"a backfill covers 1 to 24 months, not {months}")
+    spark.dataSource.register(Archive)
+    options = {"client": client, "subs": ",".join(subs), "after": str(max(0, before - months * 30 * 86400)), "before": str(before), "kind": f"{kind}s", "window": str(window)}
+    raw = spark.read.format(Archive.name()).options(**options).load()
+    schema = normalize.RAW_COMMENT if kind == "comment" else normalize.RAW_POST
+    parsed = raw.select(F.from_json("json", schema).alias("r")).select("r.*")
+    append_new(normalize.comments(parsed) if kind == "comment" else normalize.posts(parsed), store)
+    return watermarks(spark.read.parquet(store))
+
+
 def ingest(spark: SparkSession, path: str, store: str, checkpoint: str, kind: str = "post"):
     """Append new rows to the Parquet table at ``store``, then stop. A replayed batch adds nothing twice."""
 
-    def add(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        try:
-            stored = session.read.parquet(store)
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            stored = session.createDataFrame([], batch.schema)
-        admit(stored, batch, ["subreddit", "row_key"]).write.mode("append").partitionBy("subreddit").parquet(store)
-
-    query = incoming(spark, path, kind).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = incoming(spark, path, kind).writeStream.foreachBatch(lambda batch, _: append_new(batch, store)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from agorascope.functions import text as X
+from agorascope.operators.rows import page_after
 from agorascope.plans import jobs
+from agorascope.plans.engine import Engine
 from tests.test_library import POST, RULE_TEXT, analysis, items, post
 
 TALK = "kind string, row_key string, link_id string, subreddit string, body string, author string, stickied boolean, distinguished string, created_utc long, body_chars long, ai_prefilter_hit boolean"
@@ -60,3 +63,28 @@ def test_sections_with_settings(spark):
     talk = spark.createDataFrame([("a", ["b"])], "subreddit string, sub_mentions array<string>")
     tables = jobs.settings_sections({"writing": "enclave-pro"}, {}, [], talk)
     assert tables["cohort"]["frames"](frame).select(F.first("frame")).first()[0] == "reddit-enclave-pro" and tables["discovery"]["candidates"](frame).count() == 0
+
+
+def test_views_of_health_and_snapshots(spark, tmp_path):
+    said = spark.createDataFrame([], TALK)
+    engine = Engine(spark, spark.createDataFrame([post(i, analysis(i)) for i in range(4)], POST), said, str(tmp_path))
+    for day in ("2026-01-01", "2026-01-02", "2026-01-02"):
+        engine.take_snapshot(day)
+    found = engine.insights("snapshots")
+    assert found.select("day").distinct().count() == 2 and {r.total_rows for r in found.collect()} == {4}
+    assert engine.insights("health").first().posts == 4
+
+
+def test_fields_shrink_from_the_longest_down(spark):
+    fields = F.expr("map('a', repeat('x', 50), 'b', repeat('y', 8), 'c', 'zz', 'd', cast(null as string))")
+    kept = {n: spark.range(1).select(X.shrink_fields(fields, n).alias("s")).first().s for n in (100, 10, 9, 0)}
+    assert {n: (sorted(s.kept), s.dropped) for n, s in kept.items()} == {100: (["a", "b", "c", "d"], []), 10: (["b", "c", "d"], ["a"]), 9: (["c", "d"], ["a", "b"]), 0: (["d"], ["a", "b", "c"])}
+
+
+def test_scan_goes_on_after_a_cursor(spark):
+    rows = spark.createDataFrame([("a", 2), ("b", 1), ("a", 1), ("b", 2)], "sub string, k long")
+    pages, at = [], None
+    while found := [tuple(r) for r in page_after(rows, ["sub", "k"], at, 3).collect()]:
+        pages.append(found)
+        at = found[-1]
+    assert pages == [[("a", 1), ("a", 2), ("b", 1)], [("b", 2)]]

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from agorascope.sources import normalize
@@ -52,3 +53,13 @@ def test_ingest_is_idempotent(spark, tmp_path):
 def test_weekly_counts(spark):
     rows = spark.createDataFrame([("w", 1704067200), ("w", 1704067201)], "subreddit string, created_utc long")
     assert ingest.weekly_counts(rows).agg(F.sum("n")).first()[0] == 2
+
+
+def test_backfill_appends_once(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for _ in range(2):
+        marks = ingest.backfill(spark, store, "tests.fake_archive:client", ["a", "b"], before=1080, window=600)
+    assert spark.read.parquet(store).count() == 2 * 240
+    assert {(r["subreddit"], r["watermark"]) for r in marks.collect()} == {("a", 1079), ("b", 1079)}
+    with pytest.raises(ValueError):
+        ingest.backfill(spark, store, "tests.fake_archive:client", ["a"], before=1080, months=30)
