@@ -16,7 +16,7 @@ def op1_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.judge(_read(spark, sf_dir, "pages"))
+    return urls.judge(_read(spark, sf_dir, "pages"), rounds=None)
 
 
 def op3_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Trust flows along host links from hosts with allowed pages (personalised PageRank); distrust flows
 against them from hosts with blocked pages. A host is blocked if its distrust is more than
-``RATIO`` times its trust.
+``RATIO`` times its trust. The registered query lets both flow until they settle; the registered
+SQL, and ``judge`` by default, stop after ``ROUNDS`` rounds of ``PLACES`` decimals.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 ROUNDS, DAMPING, RATIO = 8, 0.85, 2.0
 #: Decimal places kept in each round, so that the order of a sum never shows.
 PLACES = 12
+#: Largest relative change of a settled score, and the significant digits that are told of one.
+TOLERANCE, DIGITS = 1e-6, 6
 LINK = r"""(?i)href\s*=\s*["']?\s*(https?://[^"'\s>]*)"""
+#: As well links that take over the page's scheme.
+ANY_LINK = r"""(?i)href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]*)"""
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,10 +43,11 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(src, dst, n): links between different hosts, counted. Only absolute links lead to another host."""
-    found = pages.select(host_and_path(F.col(url))[0].alias("src"), F.explode_outer(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1))).alias("link"))
-    return found.select("src", host_and_path(F.col("link"))[0].alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+def host_links(pages: DataFrame, url: str = "url", html: str = "html", pattern: str = LINK) -> DataFrame:
+    """(src, dst, n): links between different hosts, counted. Only links that name a host lead to another one."""
+    found = pages.select(host_and_path(F.col(url))[0].alias("src"), F.explode_outer(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))).alias("link"))
+    link = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), "link")).otherwise(F.col("link"))
+    return found.select("src", host_and_path(link)[0].alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
 def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
@@ -68,9 +74,49 @@ def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping:
     return score.groupBy("host").agg(pick("t").alias("trust"), pick("d").alias("distrust"))
 
 
-def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def settle(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """As ``propagate``, but unrounded and until no score changes by more than ``tolerance`` of itself.
+
+    What moved in a round is kept beside the score, and a link of each host to itself carries the score
+    over, so a round is one join and one sum. What moves only shrinks from there on, so the end is
+    reached at any depth; a score that no round of doubles can hold (under 1e-308) is lost.
+    """
+    total = seeds.agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")).first()
+    of = lambda column, kind: seeds.where(F.col(column) > 0).select("host", F.lit(kind).alias("kind"), (F.col(column) / F.lit(total[column])).alias("seed"))
+    start = cut(of("allowed", "t").unionByName(of("blocked", "d")))
+    ways = links.select(F.col("src").alias("host"), F.lit("t").alias("kind"), F.col("dst").alias("to"), "n")
+    ways = ways.unionByName(links.select(F.col("dst").alias("host"), F.lit("d").alias("kind"), F.col("src").alias("to"), "n"))
+    out = ways.groupBy("host", "kind").agg(F.sum("n").alias("all"))
+    ways = cut(ways.join(out, ["host", "kind"]).select("host", "kind", "to", (damping * F.col("n") / F.col("all")).alias("w")))
+    if ways.isEmpty():
+        score = start.select("host", "kind", F.col("seed").alias("score"))
+    else:
+        hosts = start.select("host", "kind").union(ways.select("to", "kind")).distinct()
+        ways = cut(ways.unionByName(hosts.select("host", "kind", F.col("host").alias("to"), F.lit(None).cast("double").alias("w"))))
+        score = start.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score")).withColumn("moved", F.col("score"))
+        change = None
+        while change is None or change > tolerance:
+            for _ in range(ROUNDS):
+                flow = F.col("moved") * F.col("w")
+                went = score.join(ways, ["host", "kind"]).select(F.col("to").alias("host"), "kind", F.coalesce(flow, "score").alias("score"), F.coalesce(flow, F.lit(0.0)).alias("moved"))
+                score = went.groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved"))
+            score = cut(score.where("score > 0"))
+            change = score.agg(F.max(F.col("moved") / F.col("score"))).first()[0] or 0.0
+    pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
+    return score.groupBy("host").agg(pick("t").alias("trust"), pick("d").alias("distrust"))
+
+
+def told(score: Column) -> Column:
+    """``PLACES`` decimals, or for small scores ``DIGITS`` significant digits."""
+    return F.when(score < 10.0 ** (DIGITS - PLACES), F.format_string(f"%.{DIGITS - 1}e", score).cast("double")).otherwise(F.round(score, PLACES))
+
+
+def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = ROUNDS) -> DataFrame:
     """(id, host, path, rule, verdict, trust, distrust) for every page.
 
+    With ``rounds`` None, scores settle, ``//host`` links count too, and only the scores told are rounded,
+    not those that are compared.
+
     A null url, or one without ``://``, has an empty host and path, no rule, and is allowed: nothing
     speaks against it. Hosts that no seed reaches have no trust or distrust and are allowed too.
     Repeated rows each come back, null ids and null html stay, other columns are not read, an empty
@@ -82,9 +128,13 @@ def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id: str = "page_i
     ruled = ruled.select(id, "host", "path", name.alias("rule"), verdict.alias("by_rule"))
     count = lambda v: F.sum(F.when(F.col("by_rule") == v, 1).otherwise(0))
     seeds = ruled.where("by_rule is not null").groupBy("host").agg(count("allow").alias("allowed"), count("block").alias("blocked"))
-    scores = propagate(seeds, host_links(pages, url, html))
-    method = F.when(F.coalesce(F.col("distrust") > ratio * F.col("trust"), F.lit(False)), "block").otherwise("allow")
-    return ruled.join(scores, "host", "left").select(id, "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "trust", "distrust")
+    if rounds is None:
+        scores, slack = settle(seeds, host_links(pages, url, html, ANY_LINK)), 1 + TOLERANCE
+    else:
+        scores, slack = propagate(seeds, host_links(pages, url, html), rounds), 1.0
+    method = F.when(F.coalesce(F.col("distrust") > ratio * slack * F.col("trust"), F.lit(False)), "block").otherwise("allow")
+    tell = (lambda c: told(F.col(c)).alias(c)) if rounds is None else F.col
+    return ruled.join(scores, "host", "left").select(id, "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), tell("trust"), tell("distrust"))
 
 
 def sql(rules=RULES) -> str:

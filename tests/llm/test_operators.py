@@ -278,6 +278,31 @@ def test_urls(spark):
     ])
 
 
+def test_settled_scores_reach_far_and_small(spark):
+    """A host 12 links from the only blocked page, one link of 200 at each step, in either scheme."""
+    chain = [f"c{i}.net" for i in range(13)]
+    aside = [f"<a href='http://z{k}.net/'>" for k in range(199)]
+    pages = [(i, f"http://{h}/", "".join([f"<a href='{'' if i % 2 else 'http:'}//{chain[i - 1]}/'>" * (i > 0), *(f"<a href='http://{h}/'>" for _ in range(3))])) for i, h in enumerate(chain)]
+    pages += [(100 + i, f"http://side{i}.net/", "".join(f"<a href='//{h}/'>" for h in chain)) for i in range(199)]
+    pages += [(500, "http://b.com/de/", ""), (501, "http://a.com/fr/", "".join(aside)), (502, "http://c0.net/", "<a href='http://b.com/'>"), (503, "http://alone.net/", None)]
+    given = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.host: r for r in urls.judge(given, rounds=None).collect()}
+    assert found["c12.net"].verdict == "block" and 0 < found["c12.net"].distrust < 1e-20
+    assert {r.verdict for r in urls.judge(given).where("host = 'c12.net'").collect()} == {"allow"}  # what the SQL's rounds lose
+    assert (found["alone.net"].verdict, found["alone.net"].trust) == ("allow", None)
+    # against a solution in numpy
+    hosts = sorted(found | {f"z{k}.net": 0 for k in range(199)})
+    n = np.zeros((len(hosts), len(hosts)))
+    for _, url, html in pages:
+        src = hosts.index(url.split("/")[2])
+        for dst in re.findall("//([^/]*)/", html or ""):
+            n[src, hosts.index(dst)] += hosts[src] != dst
+    for kind, seed, links in (("trust", "a.com", n), ("distrust", "b.com", n.T)):
+        w = links / np.maximum(1, links.sum(1, keepdims=True))
+        exact = np.linalg.solve(np.eye(len(hosts)) - urls.DAMPING * w.T, (1 - urls.DAMPING) * np.eye(len(hosts))[hosts.index(seed)])
+        assert all(getattr(r, kind) in (0.0, None) and exact[hosts.index(h)] < 1e-300 or getattr(r, kind) == pytest.approx(exact[hosts.index(h)], rel=3e-5) for h, r in found.items())
+
+
 def test_licenses(spark, docs, empty):
     apache = licenses.TEMPLATES["apache-2.0-header"]
     changed = apache.replace("compliance", "accordance").replace("express", "stated")
