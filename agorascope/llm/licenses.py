@@ -2,7 +2,8 @@
 
 Words that are unique in both the text region and the template are anchors; the longest increasing
 subsequence of their positions is kept, and the gaps between anchors are aligned in the same way.
-Coverage is the share of the template's words that the alignment matches.
+Coverage is the share of the template's words that the alignment matches. The words that tell a
+license from its relatives must be among them, with nothing between that could make it another one.
 """
 
 from __future__ import annotations
@@ -32,8 +33,19 @@ TEMPLATES = {
     "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under CC0 1.0.",
     "all-rights-reserved": "All rights reserved.",
 }
+#: Words of a template, in order, that must be matched whatever the coverage.
+KEYS = {
+    "apache-2.0": "apache 2 0", "apache-2.0-header": "apache 2 0", "mit-notice": "mit", "gpl-3.0-notice": "gnu general public license 3", "gpl-3.0-header": "gnu general public license 3",
+    "cc-by-4.0": "cc by 4 0", "cc-by-sa-4.0": "cc by sa 4 0", "cc-by-nc-4.0": "cc by nc 4 0", "cc0-1.0": "cc0 1 0", "all-rights-reserved": "all rights reserved",
+}
+#: Words that may be inserted in templates of at most ``ONE_LINE`` words, and between neighbours that are both keys.
+NEUTRAL = frozenset("a an and conditions gpl international licence license of software terms the v version".split())
+ONE_LINE = 12
+#: Words by which a place that a single hit implies is widened, for what is inserted there.
+WIDER = 4
 COVERAGE = 0.8
-WORD = re.compile(r"[^\W_]+")
+#: A version like v3 is two words.
+WORD = re.compile(r"v(?=\d)|[^\W_]+")
 
 
 def increasing(values: list[int]) -> list[int]:
@@ -85,27 +97,56 @@ class Scanner:
     the text puts words between all of them.
     """
 
-    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE, keys: dict[str, str] | None = None):
         self.coverage = coverage
         self.templates = {k: WORD.findall(t.lower()) for k, t in templates.items()}
         self.vocabulary = {w for t in self.templates.values() for w in t}
         self.pairs: dict[tuple[str, str], list[tuple[str, int]]] = {}
+        self.keys: dict[str, set[int]] = {}
         for k, t in self.templates.items():
             for at, p in enumerate(zip(t, t[1:], strict=False)):
                 self.pairs.setdefault(p, []).append((k, at))
-
-    def best(self, words: list[str], name: str, hits: list[tuple[int, int]]) -> tuple[int, int, int] | None:
-        """(matched words, first, last) of the best region. Where copies follow one another no word is unique, so
-        then the places that single hits imply are aligned by themselves."""
-        best, template = None, self.templates[name]
-        for ranges in (self.regions(words, name, hits), dict.fromkeys((max(0, i - at), i - at + len(template)) for i, at in hits)):
-            for a, b in ranges:
-                matched = align(words[a:b], template)
-                if matched and (best is None or len(matched) > best[0]):
-                    best = (len(matched), a + matched[0][0], a + matched[-1][0])
-            if best and best[0] >= self.coverage * len(template):
-                break
-        return best
+            at, self.keys[k] = -1, set()
+            for w in (keys or {}).get(k, "").split():
+                at = t.index(w, at + 1)
+                self.keys[k].add(at)
+
+    def valid(self, matched: list[tuple[int, int]], words: list[str], name: str) -> bool:
+        """Covered, with every key, and with no more words inserted than are missing, neutral ones aside."""
+        keys, template = self.keys[name], self.templates[name]
+        if len(matched) < self.coverage * len(template) or not keys <= {c for _, c in matched}:
+            return False
+        for (i, c), (j, d) in zip(matched, matched[1:], strict=False):
+            if j - i > d - c and (len(template) <= ONE_LINE or c in keys and d in keys) and sum(w not in NEUTRAL for w in words[i + 1 : j]) >= d - c:
+                return False
+        return True
+
+    def found(self, words: list[str], name: str, hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(matched words, first, last) of the valid regions. Where copies follow one another no word is unique, and a
+        stray word may stand for one of the notice, so then the places that single hits imply are aligned by themselves."""
+        out, template, at = {}, self.templates[name], 0
+        known = set(template)
+
+        def look(a: int, b: int) -> bool:
+            part = words[a:b]
+            if sum(w in known for w in part) < self.coverage * len(template):
+                return False
+            matched = align(part, template)
+            if not self.valid(matched, part, name):
+                return False
+            out[len(matched), a + matched[0][0], a + matched[-1][0]] = None
+            return True
+
+        for a, b in self.regions(words, name, hits):
+            starts = {}
+            while at < len(hits) and hits[at][0] < b:
+                starts[hits[at][0] - hits[at][1]] = None
+                at += 1
+            if not look(a, b) or len(starts) > 1:
+                for start in starts:
+                    for wider in (0, WIDER):
+                        look(max(0, start - wider), max(0, start + len(template) + wider))
+        return list(out)
 
     def regions(self, words: list[str], name: str, hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
         reach, out = len(self.templates[name]), []
@@ -117,7 +158,8 @@ class Scanner:
         return [tuple(r) for r in out]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
-        """(template, coverage, matched words, start, end) of each template's best region, in code points."""
+        """(template, coverage, matched words, start, end) of each template's best region, in code points. Of regions that
+        overlap, only the one with the most matched words counts, of equal ones the shortest."""
         if not text:
             return []
         low = text.lower()
@@ -132,24 +174,29 @@ class Scanner:
                 if k in able:
                     hits.setdefault(k, []).append((i, at))
         # lower-casing may lengthen a text, so places are those of the words in the text as it is
-        places, out = None, []
-        for k, found in hits.items():
-            best = self.best(words, k, found)
-            if best and best[0] >= self.coverage * len(self.templates[k]):
+        able = [(-n, -n / len(self.templates[k]), b - a, a, b, k) for k, pairs in hits.items() for n, a, b in self.found(words, k, pairs)]
+        places, out, taken = None, {}, []
+        for n, share, _, a, b, k in sorted(able):
+            at = bisect_left(taken, (a, b))
+            if at and taken[at - 1][1] >= a or at < len(taken) and taken[at][0] <= b:
+                continue
+            taken.insert(at, (a, b))
+            if k not in out:
                 places = places or [m.span() for m in WORD.finditer(text if len(low) == len(text) else low)]
-                out.append((k, round(best[0] / len(self.templates[k]), 6), best[0], places[best[1]][0], places[best[2]][1]))
-        return sorted(out)
+                out[k] = (k, round(-share, 6), -n, places[a][0], places[b][1])
+        return sorted(out.values())
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id: str = "doc_id", text: str = "text", keys: dict[str, str] | None = None) -> DataFrame:
     """(id, license, coverage, n_matched, start, end): every template that a document's text covers.
 
+    ``keys`` are the words that must be matched in ``templates`` of one's own.
     One row for a document and template, its best region; documents without a license have none.
     Null and empty texts have none. Repeated rows give repeated results, null ids stay, other
     columns are not read, an empty table gives an empty table. Texts are read whole; the regions
     that are aligned are at most a few templates long unless hits follow one another. No shuffle.
     """
-    scanner = Scanner(templates or TEMPLATES, coverage)
+    scanner = Scanner(templates or TEMPLATES, coverage, keys if templates else KEYS)
 
     def setup():
         def work(ids, texts):

@@ -315,6 +315,21 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(empty).collect() == []
 
 
+def test_licenses_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES, keys=licenses.KEYS)
+    names = lambda text: {r[0] for r in scanner.scan(text)}
+    for a, text in licenses.TEMPLATES.items():
+        assert names(f"Some words. {text} More words.") == {a}
+        for b, other in licenses.TEMPLATES.items():
+            assert names(f"{text} Words between them stand here, a dozen or more, so that neither can reach over to the other one. {other}") == {a, b}
+            if {a, b} != {"apache-2.0", "apache-2.0-header"}:
+                assert names(f"{text} {other}") == {a, b}
+    for text in ("licensed under the GNU General Public License, version 2", "This work is licensed under the GNU Affero General Public License, version 3.", "Released under the BSD License.", "Licensed under CC BY-NC-SA 4.0.", "Licensed under CC BY-ND 4.0.", "Licensed under CC BY 3.0.", licenses.TEMPLATES["gpl-3.0-header"].replace("version 3", "version 2"), licenses.TEMPLATES["gpl-3.0-header"].replace("GNU General", "GNU Lesser General")):
+        assert names(text) == set()
+    for name, text in {"mit-notice": "The book was released. Use it under the MIT license.", "gpl-3.0-notice": "This software is licensed under the terms of the GNU General Public License v3", "apache-2.0": "licensed under the Apache Software License 2.0", "cc-by-4.0": "Licensed under the CC-BY 4.0 license", "cc0-1.0": licenses.TEMPLATES["cc0-1.0"].replace("the author", "The Long Name of a Foundation")}.items():
+        assert names(text) == {name}
+
+
 def test_increasing_subsequence_is_longest():
     rng = random.Random(1)
     for _ in range(200):
