@@ -33,7 +33,7 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), whole=True)
 
 
 def op7_byte_network_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -266,6 +266,37 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.overlaps(empty, bench).collect() == [] and decontaminate.overlaps(given, bench.limit(0)).collect() == []
 
 
+def test_decontamination_of_short_items(spark):
+    """Against all placements, without a seed condition."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    items = [(n, [rng.choice(words) for _ in range(n)]) for n in range(1, 16)]
+    docs = []
+    for n, item in items:
+        for _ in range(30):
+            changed = [rng.choice(words) if rng.random() < 0.2 else w for w in item]
+            ends = [[rng.choice(words) for _ in range(rng.choice((0, 0, 5)))] for _ in range(2)]
+            docs.append((len(docs), ends[0] + changed[rng.choice((0, 0, 1)) :] + ends[1]))
+    expected = set()
+    for i, text in docs:
+        for n, item in items:
+            places = []
+            for s in range(-n, len(text)):
+                e = [0 <= s + k < len(text) and text[s + k] == w for k, w in enumerate(item)]
+                places.append((max(sum(e[p : p + 13]) for p in range(max(1, n - 12))), sum(e), -s))
+            window, equal, back = max(places)
+            if 10 * window >= 8 * min(13, n):
+                expected.add((i, n, n, equal, window, -back))
+    given = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items], "item_id long, text string")
+    assert {n for _, n, *_ in expected} == set(range(1, 16))
+    for most in (decontaminate.BROADCAST_SEEDS, 0):
+        assert {tuple(r) for r in decontaminate.overlaps(given, bench, broadcast_seeds=most, whole=True).collect()} == expected
+    assert {tuple(r) for r in decontaminate.overlaps(given, bench).collect()} < expected  # what the SQL's seeds miss
+    left = {r.doc_id for r in decontaminate.clean(given, bench).collect()}
+    assert left == {i for i, _ in docs} - {r[0] for r in expected}
+
+
 def test_urls(spark):
     pages = [
         (1, "https://A.Example.org/en/2", '<a href="https://good.net/x">'), (2, "http://example.org/es/1?x", ""), (3, "x://example.org/en/15", None), (4, "http://a.com/fr/", ""), (5, "http://b.com/de/x#y", '<a href="http://far.net/">'),
