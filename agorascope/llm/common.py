@@ -1,13 +1,17 @@
-"""What the training-data operators share: bounded Arrow batches, lineage cuts, skew-safe components."""
+"""What the training-data operators share: Arrow batches bounded in bytes, lineage cuts, skew-safe components."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType, VariantType
 
 ARROW = {
     "long": pa.int64(),
@@ -16,51 +20,119 @@ ARROW = {
     "string": pa.string(),
     "boolean": pa.bool_(),
     "binary": pa.binary(),
-    "array<long>": pa.list_(pa.int64()),
     "array<struct<kind:string,start:int,end:int>>": pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
 }
 
-#: Rows in one Arrow batch. Texts of 1 MB each then make a batch of 256 MB at most.
-BATCH_ROWS = 256
+#: Bytes of texts that an operator turns into Python objects at a time, one longer text aside.
+SLICE_BYTES = 16 << 20
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Lower the session's Arrow batch size, so that long texts don't fill a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def named(column: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
-def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: list[tuple[str, str]]) -> DataFrame:
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of texts each. Spark itself bounds a batch by arrow.maxBytesPerBatch."""
+    sizes = np.ones(batch.num_rows, np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+            sizes += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes) - 1) // most
+    edges = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: list[tuple[str, str]], carried: int = 1) -> DataFrame:
     """Arrow-batched map without a shuffle.
 
-    ``setup()`` runs once a task and returns ``work(*columns)``, which takes the batch's
-    columns as Python lists and returns a dict of lists with the columns of ``schema``.
+    The first ``carried`` columns go through as they are, of any type. ``setup()`` runs once a task and
+    returns ``work(*columns)``, which takes the other columns of some rows as Python lists and returns
+    ``(rows, lists)``: a dict of lists with the columns of ``schema``, and for each element the position
+    of its row, or None for one element a row.
     """
-    bounded_batches(df.sparkSession)
-    arrow = pa.schema([(name, ARROW[kind]) for name, kind in schema])
+    names = [*df.columns[:carried], *(n for n, _ in schema)]
+    kinds = [pa.field(n, ARROW[k]).type for n, k in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = setup()
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(work(*(c.to_pylist() for c in batch.columns)), schema=arrow)
+        for whole in batches:
+            for batch in slices(whole, SLICE_BYTES):
+                rows, lists = work(*(c.to_pylist() for c in batch.columns[carried:]))
+                kept = batch.columns[:carried]
+                if rows is not None:
+                    kept = [c.take(pa.array(rows, pa.int64())) for c in kept]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(lists[n], k) for (n, _), k in zip(schema, kinds, strict=True))], names=names)
 
-    return df.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in schema))
+    made = StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in schema))
+    return df.mapInArrow(run, StructType([*df.schema.fields[:carried], *made.fields]))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable folder in spark.checkpoint.dir and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's reliable folder, which the cluster names in spark.checkpoint.dir.
 
-    A folder of our own is made only where the cluster names none, as in tests.
+    Only on a local master, where there are no other machines, one is made if none is named.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there, so that a lost executor repeats nothing before."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and reread."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+#: Columns of ``rows_apart``: all columns of the input as one, and what tells rows apart.
+ROW, KEY = "row", ("id", "digest", "other")
+
+
+def rows_apart(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(row, id, digest, other, text): each whole row as a struct, so that no name clashes, beside a key of its contents.
+
+    The key is the id of any type, the SHA-256 of the text, and a hash of all other columns but maps and
+    variants. It is the same whenever a row is computed again. Rows that agree in all of it are copies.
+    """
+    def hashable(kind) -> bool:
+        inner = [f.dataType for f in kind.fields] if isinstance(kind, StructType) else [kind.elementType] if hasattr(kind, "elementType") else []
+        return not isinstance(kind, MapType | VariantType) and all(map(hashable, inner))
+
+    others = [f.name for f in docs.schema.fields if f.name not in (id, text) and hashable(f.dataType)]
+    row = F.struct(*[named(c).alias(c) for c in docs.columns]).alias(ROW)
+    digest = F.unhex(F.sha2(named(text).cast("string").cast("binary"), 256))
+    return docs.select(row, named(id).alias("id"), digest.alias("digest"), F.xxhash64(*map(named, others), F.lit(0)).alias("other"), named(text).cast("string").alias("text"))
+
+
+def same_row(key: tuple[str, ...] = KEY) -> Column:
+    """Null-safe equality of the key with the other side's, whose columns end in ``_``."""
+    condition = F.lit(True)
+    for k in key:
+        condition &= F.col(k).eqNullSafe(F.col(f"{k}_"))
+    return condition
+
+
+def other_side(keys: DataFrame, key: tuple[str, ...] = KEY) -> DataFrame:
+    return keys.select(*[F.col(k).alias(f"{k}_") for k in key])
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select(f"{ROW}.*")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected link table: (node, component), smallest node first.
 

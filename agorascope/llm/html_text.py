@@ -1,8 +1,10 @@
 """Main text of web pages by the maximum-scoring subsequence.
 
-A page is read as words and tags. Words score positive and tags negative, with weights from
-labelled pages; one linear scan finds the contiguous region with the highest sum. The text blocks
-of that region are the main text, without the blocks of menus, adverts, forms and the like in it.
+A page is read as words and tags. Words score positive and tags negative, and words in elements
+whose names and classes labelled pages have outside the main text score below zero; one linear scan
+finds the contiguous region with the highest sum. The main text is that region's text blocks, without
+those that score below zero: what stands between an article's words is not a part of it. All weights
+are learned from labelled pages.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ import math
 import random
 import re
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import map_batches
+from agorascope.llm.common import map_batches, named
 
 #: Comments, elements whose content is not text, and tags; quotes may hold ``>``.
 MARKUP = re.compile(
@@ -25,88 +29,117 @@ MARKUP = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<[!?/][^>]*>|<[a-zA-Z][^>]*(?:>|\Z)""",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One whole attribute: its name and its value, quoted or not.
+ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: Words of a name such as side-bar, side_bar, sideBar or SIDE2.
+NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"\S+")
 #: Tags that stay within a block; all others end one.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-#: Elements, and words of a class, id or role, that hold no main text.
-ASIDE_TAGS = frozenset("nav header footer aside form button dialog menu".split())
-ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
-    "copyright disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices pagination "
-    "popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored "
-    "subscribe toolbar widget".split()
-)
 MAIN_TAGS = frozenset(("article", "main"))
-#: The page's own elements, which are never asides whatever their class says.
-PAGE_TAGS = frozenset(("html", "body", "article", "main"))
+#: What is closed by an article or main element, if it was left open.
+NEVER_AROUND_MAIN = frozenset("nav header footer form button menu ul ol li p".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+NONE: frozenset[str] = frozenset()
+#: Elements whose weights a worker remembers before it forgets them all.
+REMEMBERED = 20_000
 
 
-@dataclass(frozen=True)
-class Weights:
-    """Of a word outside and inside asides, and of each tag; tags never seen get ``other``."""
+def features(name: str, attributes: str, in_main: bool) -> frozenset[str]:
+    """What an element is judged by: its tag, unless it is inline, the words of its class, id and role, and whether it is hidden.
 
-    word: float
-    aside_word: float
-    tags: dict[str, float]
-    other: float
-    #: What penalties count inside an article or main element, where asides stand between the words.
-    within_main: float = 0.1
+    The page's own elements have none. Of an article or main element only plain classes count (``comment``,
+    not ``comments-open``).
+    """
+    if name in ("html", "body"):
+        return NONE
+    out = set() if name in INLINE else {name, f"{name} in main"} if in_main else {name}
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if key in ("class", "id", "role"):
+            words = value.split() if name in MAIN_TAGS else NAME_WORD.findall(value)
+            out.update("." + w.lower() for w in words)
+        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I):
+            out.add("hidden")
+    return frozenset(out)
 
-    def of(self, kind: str, value: str, aside: bool, in_main: bool) -> float:
-        if kind == "text":
-            n = len(WORD.findall(value))
-            return n * (self.aside_word * (self.within_main if in_main else 1) if aside else self.word)
-        return self.tags.get(value, self.other) * (self.within_main if in_main else 1)
 
+def read(page: str, of: Callable, zero, add: Callable) -> list[tuple[str, str, object, bool]]:
+    """(kind, value, sum, in_main): kind ``text``, a block's raw text piece; ``in``, an inline tag; or ``tag``.
 
-def _is_aside(name: str, attributes: str, in_main: bool) -> bool:
-    if name in PAGE_TAGS:
-        return False
-    if name in ASIDE_TAGS and not (name == "header" and in_main):
-        return True
-    if not attributes:
-        return False
-    for m in ATTRIBUTE.finditer(attributes):
-        key, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if key in ("class", "id", "role") and not ASIDE_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return not (in_main and value in ("header", "article-header", "entry-header", "post-header"))
-    return False
+    ``sum`` adds up ``of(name, attributes, in_main)`` over the open elements. Elements left open end with the
+    element around them, paragraphs and list items with the next one.
+    """
+    out, at, open_, sums, names, main = [], 0, [], [zero], Counter(), 0
 
+    def close(name: str) -> None:
+        nonlocal main
+        while names[name]:
+            last = open_.pop()
+            sums.pop()
+            names[last] -= 1
+            main -= last in MAIN_TAGS
+            if last == name:
+                return
 
-def read(page: str) -> list[tuple[str, str, bool, bool]]:
-    """(kind, value, aside, in_main): kind ``text``, a block's raw text piece; ``in``, an inline tag; or ``tag``."""
-    out, at, aside, main = [], 0, [], 0
     for m in MARKUP.finditer(page):
         if m.start() > at:
-            out.append(("text", page[at : m.start()], bool(aside), main > 0))
+            out.append(("text", page[at : m.start()], sums[-1], main > 0))
         at = m.end()
         name = (m[3] or "").lower()
         if not name:
             continue
-        if not m[2]:
-            if name in MAIN_TAGS:
-                main, aside = main + 1, []  # an aside left open ends here
-            elif aside:
-                if name == aside[0][0] and name not in VOID and not m[4].endswith("/"):
-                    aside.append((name,))
-            elif name not in VOID and _is_aside(name, m[4], main > 0):
-                aside.append((name,))
-        out.append(("in" if name in INLINE else "tag", name, bool(aside), main > 0))
         if m[2]:
-            if name in MAIN_TAGS:
-                main, aside = max(0, main - 1), []
-            elif aside and name == aside[0][0]:
-                aside.pop()
+            out.append(("in" if name in INLINE else "tag", name, sums[-1], main > 0))
+            close(name)
+            continue
+        if name in MAIN_TAGS:
+            while open_ and open_[-1] in NEVER_AROUND_MAIN:
+                close(open_[-1])
+        elif open_ and (open_[-1] == "p" and name not in INLINE or open_[-1] == name == "li"):
+            close(open_[-1])
+        if name not in VOID and not m[4].endswith("/"):
+            sums.append(add(sums[-1], of(name, m[4], main > 0)))
+            open_.append(name)
+            names[name] += 1
+            main += name in MAIN_TAGS
+        out.append(("in" if name in INLINE else "tag", name, sums[-1], main > 0))
     if at < len(page):
-        out.append(("text", page[at:], bool(aside), main > 0))
+        out.append(("text", page[at:], sums[-1], main > 0))
     return out
 
 
+@dataclass(frozen=True)
+class Weights:
+    """Of elements' features (log odds of main text), of a word in no element, and of each tag; tags never seen get ``other``."""
+
+    features: dict[str, float]
+    word: float
+    tags: dict[str, float]
+    other: float
+    #: What tags count inside an article or main element.
+    within_main: float = 0.1
+    known: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def of(self, name: str, attributes: str, in_main: bool) -> float:
+        key = (name, attributes, in_main)
+        if key not in self.known:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            self.known[key] = sum(self.features.get(f, 0.0) for f in features(name, attributes, in_main))
+        return self.known[key]
+
+    def read(self, page: str) -> list[tuple[str, str, float, bool]]:
+        return read(page, self.of, self.word, float.__add__)
+
+    def score(self, kind: str, value: str, odds: float, in_main: bool) -> float:
+        """Between -1 and 1 a word, below zero a tag."""
+        if kind == "text":
+            return len(WORD.findall(value)) * max(-1.0, min(1.0, odds))
+        return self.tags.get(value, self.other) * (self.within_main if in_main else 1)
+
+
 def best_region(scores: list[float]) -> tuple[int, int]:
     """First and last index after it of the contiguous run with the highest sum, the first and shortest of equals."""
     best, first, last, run, start = 0.0, 0, 0, 0.0, 0
@@ -123,16 +156,16 @@ def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region joined by two line feeds; empty for null, empty and wordless pages."""
     if not page:
         return ""
-    parts = read(page)
-    first, last = best_region([weights.of(*part) for part in parts])
+    parts = weights.read(page)
+    first, last = best_region([weights.score(*part) for part in parts])
     # whole blocks: the region grows to the ends of the blocks in which it begins and ends
     while first and parts[first - 1][0] != "tag":
         first -= 1
     while last < len(parts) and parts[last][0] != "tag":
         last += 1
     blocks, now = [], []
-    for kind, value, aside, _ in [*parts[first:last], ("tag", "", False, False)]:
-        if kind == "text" and not aside:
+    for kind, value, odds, _ in [*parts[first:last], ("tag", "", 0.0, False)]:
+        if kind == "text" and odds > 0:
             now.append(value)
         elif kind == "tag" and value == "br":
             now.append(" ")
@@ -143,60 +176,163 @@ def main_text(page: str | None, weights: Weights) -> str:
     return "\n\n".join(blocks)
 
 
-def labelled_pages(n: int = 200, seed: int = 11) -> list[tuple[str, tuple[int, int]]]:
-    """Pages made from a seed, with the range of their main part."""
-    rng = random.Random(seed)
-    words = lambda a, b: " ".join("".join(rng.choice("abcdefghilmnoprstuv") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(a, b)))
-    pages = []
+#: How pages are built: (tags, names of class or id) of what is main text and what isn't, for the labelled pages.
+MAIN_NAMES = "content post-body entry-content article-body story-text main-content page-body text post-content body-copy rich-text".split()
+SECTION_NAMES = "section chapter intro summary lead lede abstract body-section columns wide note example result item".split()
+ASIDES = (
+    (("nav", "div", "ul"), "menu main-nav navbar breadcrumb breadcrumbs toc-nav navigation site-menu pagination pager nav-links".split()),
+    (("header", "div"), "header site-header masthead top-bar page-header banner branding logo login signup".split()),
+    (("footer", "div"), "footer site-footer copyright bottom-bar legal colophon".split()),
+    (("aside", "div", "section"), "sidebar side-bar widget related related-posts more-stories recommended popular trending recent-posts rail tags".split()),
+    (("div", "section"), "ad ads advert advertisement advertising ad-slot sponsored sponsor promo promotion promoted ad-banner commercial".split()),
+    (("form", "div"), "search search-form newsletter subscribe subscription contact-form login-form signup-form poll survey".split()),
+    (("div", "p", "dialog"), "cookie-notice cookies consent gdpr-banner popup modal alert notice notices disclaimer overlay toast warning-bar paywall".split()),
+    (("div", "ul", "p"), "share sharing social social-links share-bar follow-us toolbar print-tools buttons".split()),
+    (("div", "section", "ol"), "comments comment-list comment replies reply discussion disqus respond user-comments commentlist feedback".split()),
+)
+
+
+def labelled_pages(n: int = 600, seed: int = 11) -> list[tuple[str, str]]:
+    """Pages made from a seed: (html, main text)."""
+    rng, pages = random.Random(seed), []
+
+    def words(a: int, b: int) -> str:
+        return " ".join("".join(rng.choice("abcdefghilmnoprstuv") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(a, b)))
+
+    def element(tag: str, name: str, inner: str) -> str:
+        kind = rng.choice(("class", "class", "id")) if name else ""
+        if name and rng.random() < 0.3:
+            name += rng.choice((" box", "-wrap", " block", "-container", " clearfix", "-1", " row"))
+        return f"<{tag} {kind}='{name}'>{inner}</{tag}>" if name else f"<{tag}>{inner}</{tag}>"
+
+    def aside(kind: int | None = None) -> str:
+        tags, names = ASIDES[rng.randrange(len(ASIDES)) if kind is None else kind]
+        tag = rng.choice(tags)
+        name = rng.choice(names) if tag in ("div", "ul", "ol", "p", "section") or rng.random() < 0.5 else ""
+        links = "".join(f"<li><a href='/{k}'>{words(1, 3)}</a></li>" for k in range(rng.randint(1, 8)))
+        prose = "".join(f"<p>{words(3, 40)}</p>" for _ in range(rng.randint(1, 3)))
+        inner = words(2, 20) if tag == "p" else rng.choice((f"<ul>{links}</ul>" if tag not in ("ul", "ol") else links, words(2, 25), prose, f"<h3>{words(1, 4)}</h3>{prose}", f"<div>{words(1, 5)}</div><a href='/x'>{words(1, 4)}</a>"))
+        if tag == "form" or rng.random() < 0.1:
+            inner = f"<label>{words(1, 3)}</label><input><button>{words(1, 2)}</button>" + inner * (rng.random() < 0.3)
+        if rng.random() < 0.05:  # never shown, whatever it is called
+            tag = rng.choice(("div", "section"))
+            return f"<{tag} {rng.choice(('hidden', 'aria-hidden=true', 'style=display:none'))}>{prose}</{tag}>"
+        return element(tag, name, inner)
+
     for _ in range(n):
-        menu = "".join(f"<li><a href='/{k}'>{words(1, 2)}</a></li>" for k in range(rng.randint(3, 12)))
-        body = f"<h1>{words(3, 9)}</h1>" + "".join(rng.choice((f"<p>{words(10, 90)}</p>", f"<p>{words(5, 30)} <b>{words(1, 4)}</b> <a href='/x'>{words(1, 3)}</a> {words(5, 30)}", f"<h2>{words(2, 6)}</h2>", f"<ul><li>{words(4, 15)}</li><li>{words(4, 15)}</li></ul>", f"<blockquote>{words(8, 30)}</blockquote>", f"<div><p>{words(6, 40)}</p></div>", f"<section><h2>{words(2, 5)}</h2><div>{words(8, 40)}</div></section>", f"<figure><img src='x'><figcaption>{words(3, 8)}</figcaption></figure>", f"<table><tr><td>{words(1, 4)}</td><td>{words(1, 4)}</td></tr></table>")) for _ in range(rng.randint(2, 12)))
-        if rng.random() < 0.3:
-            body = f"<div>{body[:body.index('</h1>') + 5]}</div>{body[body.index('</h1>') + 5:]}<p>{words(1, 3)}</p>"
-        links = " ".join(f"<a href='/{k}'>{words(1, 2)}</a>" for k in range(rng.randint(2, 6)))
-        before = f"<html><body><header><div>{words(1, 4)}</div></header><div>{links}</div><nav><ul>{menu}</ul></nav><div class='ad'><a href='/b'>{words(3, 12)}</a></div><{rng.choice(('article', 'main', 'div'))}>"
-        after = f"</div><aside><h3>{words(1, 3)}</h3><ul>{menu}</ul></aside><form><input><button>{words(1, 2)}</button></form><div class='comments'><div><p>{words(4, 20)}</p></div></div><footer><p>{words(4, 15)}</p></footer></body></html>"
-        pages.append((before + body + after, (len(before), len(before) + len(body))))
+        text: list[str] = []
+
+        def said(a: int, b: int, text: list[str] = text) -> str:
+            text.append(words(a, b))
+            return text[-1]
+
+        def part(depth: int = 0, said: Callable = said, text: list[str] = text) -> str:
+            k = rng.random()
+            if k < 0.5:
+                return f"<p>{said(1, 90)}</p>"
+            if k < 0.6:
+                a, b = words(2, 20), words(1, 4)
+                text.append(f"{a} {b}")
+                return f"<p>{a} {rng.choice((f'<b>{b}</b>', f'<em>{b}</em>', f'<a href=/x>{b}</a>', f'<span>{b}', f'<b>{b}'))}</p>"
+            if k < 0.66:
+                return "<{0}>{1}</{0}>".format(rng.choice(("h2", "h3")), said(2, 6))
+            if k < 0.72:
+                return "<{0}><li>{1}</li><li>{2}</li></{0}>".format(rng.choice(("ul", "ol")), said(3, 15), said(3, 15))
+            if k < 0.77:
+                return f"<blockquote>{said(8, 30)}</blockquote>"
+            if k < 0.82:
+                return f"<figure><img src='x'><figcaption>{said(3, 8)}</figcaption></figure>"
+            if k < 0.86:
+                return f"<table><tr><td>{said(1, 4)}</td><td>{said(1, 4)}</td></tr></table>"
+            tag, name = rng.choice(("div", "section")), rng.choice(SECTION_NAMES) if rng.random() < 0.6 else ""
+            return element(tag, name, "".join(part(depth + 1) for _ in range(rng.randint(1, 3)))) if depth < 2 else f"<p>{said(5, 30)}</p>"
+
+        tag = rng.choice(("article", "article", "main", "div", ""))
+        title = f"<h1>{said(3, 9)}</h1>"
+        body = f"<header>{title}</header>" if tag in MAIN_TAGS and rng.random() < 0.3 else title
+        body += "".join(part() + (aside(rng.choice((0, 3, 4, 4, 5, 6, 7, 8))) if rng.random() < 0.12 else "") for _ in range(rng.randint(2, 12)))
+        body += aside(8) if rng.random() < 0.3 else ""
+        before = "".join(aside(k) for k in (0, 1, 4, 6) if rng.random() < 0.6)
+        after = "".join(aside(k) for k in (3, 4, 5, 7, 8) if rng.random() < 0.5) + aside(2)
+        name = rng.choice(MAIN_NAMES) if tag == "div" or rng.random() < 0.4 else ""
+        if tag in MAIN_TAGS and rng.random() < 0.2:
+            name = "post comments-open has-sidebar"
+        pages.append((f"<html><body>{before}{element(tag, name, body) if tag else body}{after}</body></html>", "\n\n".join(text)))
     return pages
 
 
-def train(pages: list[tuple[str, tuple[int, int]]], scales: tuple[float, ...] = (1.0, 0.7, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)) -> Weights:
-    """Log odds of main against other parts, words kept at 1 or above and tags below zero.
+def fit_features(pages: list[tuple[str, str]], rounds: int = 800, rate: float = 0.5, shrink: float = 1e-5) -> tuple[dict[str, float], float]:
+    """Logistic regression of a text piece's place on the features of the elements around it: (weights, bias)."""
+    seen: Counter = Counter()
+    for page, text in pages:
+        main = set(text.split())
+        for kind, value, around, _ in read(page, features, NONE, frozenset.union):
+            if kind == "text" and (own := value.split()):
+                inside = sum(w in main for w in own) * 2 > len(own)
+                seen[around, inside] += min(len(own), 5)
+    names = sorted({f for around, _ in seen for f in around})
+    at = {f: k for k, f in enumerate(names)}
+    x, y, n = np.zeros((len(seen), len(names))), np.zeros(len(seen)), np.zeros(len(seen))
+    for row, ((around, inside), count) in enumerate(seen.items()):
+        x[row, [at[f] for f in around]], y[row], n[row] = 1, inside, count
+    n /= n.sum()
+    w, bias, moved, squares = np.zeros(len(names)), 0.5, np.zeros(len(names)), np.full(len(names), 1e-8)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-(x @ w + bias)))
+        g = x.T @ (n * (p - y)) + shrink * w
+        squares += g * g
+        moved = 0.5 * moved - rate * g / np.sqrt(squares)
+        w = w + moved
+    return dict(zip(names, w.round(4).tolist(), strict=True)), bias
+
 
-    Tags are scaled against words by the factor under which most labelled pages come out whole.
+def train(pages: list[tuple[str, str]], scales: tuple[float, ...] = (1.0, 0.7, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)) -> Weights:
+    """Features' weights by logistic regression; tags' by their log odds of standing in main text, kept below zero.
+
+    Tags are scaled against words by the factor under which
+    most labelled pages come out whole.
     """
+    weights, bias = fit_features(pages)
     inside, outside = Counter(), Counter()
-    for page, (first, last) in pages:
-        for piece, counts in ((page[:first], outside), (page[first:last], inside), (page[last:], outside)):
-            for kind, value, _, _ in read(piece):
-                counts.update({"": len(WORD.findall(value))} if kind == "text" else {value: 1})
-    odds = lambda k: math.log((inside[k] + 1) / (outside[k] + 1)) - math.log((sum(inside.values()) + 1) / (sum(outside.values()) + 1))
-    tags = {k: min(-0.05, odds(k)) for k in sorted({*inside, *outside}) if k}
-    word, other = max(1.0, odds("")), min(tags.values(), default=-1.0) / 2
-    whole = Weights(1.0, 0.0, {}, 0.0)
-    expected = [main_text(page[first:last], whole) for page, (first, last) in pages]
+    judge = Weights(weights, bias, {}, 0.0)
+    for page, _ in pages:
+        for kind, value, odds, _ in judge.read(page):
+            (inside if odds > 0 else outside).update({"": len(WORD.findall(value))} if kind == "text" else {value: 1})
+    odds_of = lambda k: math.log((inside[k] + 1) / (outside[k] + 1)) - math.log((sum(inside.values()) + 1) / (sum(outside.values()) + 1))
+    tags = {k: min(-0.05, odds_of(k)) for k in sorted({*inside, *outside}) if k}
+    other = min(tags.values(), default=-1.0) / 2
 
     def at(scale: float) -> Weights:
-        return Weights(word, -word, {k: scale * v for k, v in tags.items()}, scale * other)
+        return Weights(weights, bias, {k: scale * v for k, v in tags.items()}, scale * other)
+
+    return at(max(scales, key=lambda c: sum(main_text(page, at(c)) == text for page, text in pages)))
+
+
+_DEFAULT: list[Weights] = []
+
 
-    return at(max(scales, key=lambda c: sum(main_text(page, at(c)) == text for (page, _), text in zip(pages, expected, strict=True))))
+def default_weights() -> Weights:
+    if not _DEFAULT:
+        _DEFAULT.append(train(labelled_pages()))
+    return _DEFAULT[0]
 
 
 def extract(pages: DataFrame, weights: Weights | None = None, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of every page, without a shuffle.
 
     Null, empty and wordless html gives an empty text. Repeated rows each come back, null ids and
-    urls stay, other columns are not read, an empty table gives an empty table. Pages of any length
-    are read whole, in one pass. Unclosed tags, comments and scripts end where a browser would end
-    them, or with the page.
+    urls stay, ids may be of any type, other columns are not read, an empty table gives an empty table.
+    Pages of any length are read whole, in one pass. Unclosed tags, comments and scripts end where a
+    browser would end them, or with the page.
     """
-    weights = weights or train(labelled_pages())
+    weights = weights or default_weights()
 
     def setup():
-        def work(ids, urls, pages):
-            return {"id": ids, "url": urls, "text": [main_text(p, weights) for p in pages]}
+        def work(pages):
+            return None, {"text": [main_text(p, weights) for p in pages]}
 
         return work
 
-    found = map_batches(pages.select(F.col(id).cast("long"), F.col(url).cast("string"), F.col(html).cast("string")), setup, [("id", "long"), ("url", "string"), ("text", "string")])
+    given = pages.select(named(id).alias("id"), named(url).alias("url"), named(html).cast("string").alias("html"))
+    found = map_batches(given, setup, [("text", "string")], carried=2)
     return found.select(F.col("id").alias(id), F.col("url").alias(url), "text", F.length("text").cast("long").alias("n_chars"))

@@ -15,12 +15,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import map_batches
+from agorascope.llm.common import map_batches, named
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 192, 8, (2, 3, 4), 8
 WIDEST = max(WIDTHS)
 #: Bound of the labelled sample: about this many texts a language, and characters of each.
 TEXTS_PER_LANGUAGE, SAMPLE_CHARS = 400, 1000
+#: Most languages that are learned, those with the most texts; it bounds what a dirty column can bring to the driver.
+MOST_LANGUAGES = 200
 #: Windows scored at a time.
 CHUNK = 256
 #: Word characters but decimal digits: letters, and a few numbers such as fractions, which ``has_letter`` sorts out.
@@ -61,12 +63,12 @@ class ByteNetwork:
         n, step = flat.shape[0], flat.strides
         return np.lib.stride_tricks.as_strided(flat, (n, WINDOW, WIDEST * EMBEDDING), (step[0], EMBEDDING * step[1], step[1]))
 
-    def forward(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(probabilities, pooled responses, their positions)."""
+    def forward(self, windows: np.ndarray, positions: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """(probabilities, pooled responses, their positions where asked for)."""
         w = self.weights
         response = np.ascontiguousarray(self._columns(windows)).reshape(-1, WIDEST * EMBEDDING) @ (w["filters"] * self.mask)
         response = response.reshape(len(windows), WINDOW, -1)
-        at = response.argmax(1) if len(windows) <= 64 else None
+        at = response.argmax(1) if positions else None
         pooled = np.maximum(response.max(1) + w["bias"], 0)
         logits = pooled @ w["out"] + w["out_bias"]
         e = np.exp(logits - logits.max(1, keepdims=True))
@@ -78,9 +80,8 @@ class ByteNetwork:
         first, second, t = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}, 0
         for _ in range(epochs):
             for own in np.array_split(rng.permutation(len(windows)), max(1, len(windows) // batch)):
-                own = own[:64]
                 x, y = windows[own], labels[own]
-                p, pooled, at = self.forward(x)
+                p, pooled, at = self.forward(x, positions=True)
                 p[np.arange(len(y)), y] -= 1
                 p /= len(y)
                 d = (p @ w["out"].T) * (pooled > 0)
@@ -129,20 +130,23 @@ def _groups(lengths: list[int], most: int = 1 << 20):
 
 def held_out(id: str = "doc_id") -> F.Column:
     """Documents that nothing is learned from; a null id is not one of them, but has no part in the training either."""
-    return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return F.coalesce(F.crc32(named(id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, id: str, text: str, lang: str, per_language: int) -> list:
-    """About ``per_language`` passages of each language from texts outside the held-out part, chosen by the id's hash."""
-    known = docs.select(F.col(id).alias("id"), F.col(text).alias("t"), F.col(lang).alias("lang")).where(F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    """About ``per_language`` passages of each language from texts outside the held-out part, chosen by the id's hash.
+
+    At most ``MOST_LANGUAGES`` languages are learned, those with the most texts, the first in order of equals.
+    """
+    known = docs.select(named(id).alias("id"), named(text).cast("string").alias("t"), named(lang).cast("string").alias("lang")).where(F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
     if not counts:
         return []
     share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(int(10_000_000 * min(1.0, per_language / r["n"]))))])
     h = F.xxhash64("id")
     chosen = known.where(F.pmod(h, F.lit(10_000_000)) < F.element_at(share, F.col("lang")))
     start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.length("t") - SAMPLE_CHARS)).cast("int") + 1
-    return sorted(chosen.select("id", "lang", F.substring(F.col("t"), start, SAMPLE_CHARS).alias("t")).collect())
+    return sorted(chosen.select(F.col("id").cast("string").alias("id"), "lang", F.substring(F.col("t"), start, SAMPLE_CHARS).alias("t")).collect())
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = TEXTS_PER_LANGUAGE) -> ByteNetwork | None:
@@ -166,17 +170,18 @@ def identify(docs: DataFrame, network: ByteNetwork | None = None, id: str = "doc
     """(id, held_out, lang_pred, score) of every row.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is everything if there
-    are no labelled texts to learn from. Repeated rows each come back, null ids stay, other columns
-    are not read, an empty table gives an empty table. Texts are scored whole, whatever their length.
+    are no labelled texts to learn from. Repeated rows each come back, null ids stay, ids may be of any
+    type, other columns are not read, an empty table gives an empty table. Texts are scored whole, whatever
+    their length.
     """
     network = network or train(docs, id, text, lang)
 
     def setup():
-        def work(ids, flags, texts):
+        def work(texts):
             names, scores = network.predict(texts) if network else ([UNDETERMINED] * len(texts), [0.0] * len(texts))
-            return {"id": ids, "held_out": flags, "lang_pred": names, "score": scores}
+            return None, {"lang_pred": names, "score": scores}
 
         return work
 
-    rows = docs.select(F.col(id).cast("long"), held_out(id).alias("held_out"), F.col(text).cast("string"))
-    return map_batches(rows, setup, [("id", "long"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double")]).withColumnRenamed("id", id)
+    rows = docs.select(named(id).alias("id"), held_out(id).alias("held_out"), named(text).cast("string").alias("text"))
+    return map_batches(rows, setup, [("lang_pred", "string"), ("score", "double")], carried=2).withColumnRenamed("id", id)

@@ -15,7 +15,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import map_batches
+from agorascope.llm.common import map_batches, named
 
 #: Notices of public licenses, as their authors ask them to be given.
 TEMPLATES = {
@@ -158,11 +158,11 @@ class Scanner:
         return [tuple(r) for r in out]
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int, int]]:
-        """(template, coverage, matched words, start, end) of each template's best region, in code points. Of regions that
-        overlap, only the one with the most matched words counts, of equal ones the shortest."""
+        """(template, coverage, matched words, start, end) of every region, in code points of the text. Of regions that
+        overlap, only the one with the most matched words counts, of equal ones the shortest, then the first."""
         if not text:
             return []
-        low = text.lower()
+        low = text.replace("\u0130", "i").lower()  # the only character whose lower case is longer, so places stay
         words = WORD.findall(low)
         known = self.vocabulary.intersection(words)
         able = {k for k, t in self.templates.items() if sum(w in known for w in t) >= self.coverage * len(t)}
@@ -173,37 +173,37 @@ class Scanner:
             for k, at in self.pairs.get(pair, ()):
                 if k in able:
                     hits.setdefault(k, []).append((i, at))
-        # lower-casing may lengthen a text, so places are those of the words in the text as it is
-        able = [(-n, -n / len(self.templates[k]), b - a, a, b, k) for k, pairs in hits.items() for n, a, b in self.found(words, k, pairs)]
-        places, out, taken = None, {}, []
-        for n, share, _, a, b, k in sorted(able):
+        found = [(-n, -n / len(self.templates[k]), b - a, a, b, k) for k, pairs in hits.items() for n, a, b in self.found(words, k, pairs)]
+        places, out, taken = None, [], []
+        for n, share, _, a, b, k in sorted(found):
             at = bisect_left(taken, (a, b))
             if at and taken[at - 1][1] >= a or at < len(taken) and taken[at][0] <= b:
                 continue
             taken.insert(at, (a, b))
-            if k not in out:
-                places = places or [m.span() for m in WORD.finditer(text if len(low) == len(text) else low)]
-                out[k] = (k, round(-share, 6), -n, places[a][0], places[b][1])
-        return sorted(out.values())
+            places = places or [m.span() for m in WORD.finditer(low)]
+            out.append((k, round(-share, 6), -n, places[a][0], places[b][1]))
+        return sorted(out, key=lambda r: (r[3], r[0]))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, id: str = "doc_id", text: str = "text", keys: dict[str, str] | None = None) -> DataFrame:
-    """(id, license, coverage, n_matched, start, end): every template that a document's text covers.
+    """(id, license, coverage, n_matched, start, end): every region of a document's text that covers a template.
 
     ``keys`` are the words that must be matched in ``templates`` of one's own.
-    One row for a document and template, its best region; documents without a license have none.
-    Null and empty texts have none. Repeated rows give repeated results, null ids stay, other
-    columns are not read, an empty table gives an empty table. Texts are read whole; the regions
+    One row for a document and region; regions don't overlap; documents without a license have none.
+    Null and empty texts have none. Repeated rows give repeated results, null ids stay, ids may be of any
+    type, other columns are not read, an empty table gives an empty table. Texts are read whole; the regions
     that are aligned are at most a few templates long unless hits follow one another. No shuffle.
     """
     scanner = Scanner(templates or TEMPLATES, coverage, keys if templates else KEYS)
+    names = ("license", "coverage", "n_matched", "start", "end")
 
     def setup():
-        def work(ids, texts):
-            rows = [(i, *found) for i, t in zip(ids, texts, strict=True) for found in scanner.scan(t)]
-            return dict(zip(("id", "license", "coverage", "n_matched", "start", "end"), zip(*rows, strict=True) if rows else [()] * 6, strict=True))
+        def work(texts):
+            found = [(row, *r) for row, t in enumerate(texts) for r in scanner.scan(t)]
+            rows, *lists = zip(*found, strict=True) if found else [()] * 6
+            return rows, dict(zip(names, lists, strict=True))
 
         return work
 
-    kinds = [("id", "long"), ("license", "string"), ("coverage", "double"), ("n_matched", "long"), ("start", "long"), ("end", "long")]
-    return map_batches(docs.select(F.col(id).cast("long"), F.col(text).cast("string")), setup, kinds).withColumnRenamed("id", id)
+    kinds = list(zip(names, ("string", "double", "long", "long", "long"), strict=True))
+    return map_batches(docs.select(named(id).alias("id"), named(text).cast("string").alias("text")), setup, kinds).withColumnRenamed("id", id)

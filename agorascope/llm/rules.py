@@ -12,11 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agorascope.llm.common import named
+
 SPACE = r"[ \t\n\x0B\f\r]"
 WINDOW = 5
-#: Low bits of a sort key that hold a window's position in its text: texts have up to 67 million words.
-POSITION_BITS = 26
-
 #: Bit order of the ledger. Never reorder: stored ledgers depend on it; append instead.
 RULES = (
     ("few_words", "n_words < 10"),
@@ -46,50 +45,56 @@ BASE = Policy("base", 1, ("few_words", "repeated_words"))
 DEFAULT = Policy("default", 1, tuple(n for n, _ in RULES))
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body``, in which ``name`` stands for ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _repeated(w: str) -> str:
+    """Words of the array ``w`` in windows that occur twice or more.
+
+    Only where some window's hash repeats are the windows sorted, as pairs of hash and position, so that
+    equal ones are neighbours; each such window then covers the words that the one before it doesn't.
+    """
+    hashes = f"transform(sequence(0, size({w}) - {WINDOW}), i -> xxhash64(" + ", ".join(f"{w}[i + {k}]" for k in range(WINDOW)) + "))"
+    beside = "(j > 0 and s[greatest(j - 1, 0)].h = x.h) or (j < size(s) - 1 and s[least(j + 1, size(s) - 1)].h = x.h)"
+    places = f"sort_array(transform(filter(s, (x, j) -> {beside}), x -> x.i))"
+    covered = f"aggregate(transform(p, (x, j) -> if(j = 0, {WINDOW}L, cast(least({WINDOW}, x - p[greatest(j - 1, 0)]) as bigint))), 0L, (a, x) -> a + x)"
+    counted = _let("s", "sort_array(transform(h, (x, i) -> named_struct('h', x, 'i', i)))", _let("p", places, covered))
+    return f"case when size({w}) >= {WINDOW} then {_let('h', hashes, f'case when size(array_distinct(h)) < size(h) then {counted} else 0L end')} else 0L end"
+
+
 def ledger(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, fail_bits) for every row.
 
     Null and empty texts have no words and fail ``few_words``. Repeated rows each have a row, null
-    ids stay, other columns are not read, an empty table gives an empty table. Nothing is shuffled:
-    a text's windows are compared inside its row, as sorted longs, in n log n for any length.
-
-    A window's words are found again by the high bits of their hash, and a match is confirmed on
-    the full 64-bit hash of the five words.
+    ids stay, ids may be of any type, other columns are not read, an empty table gives an empty table.
+    Nothing is shuffled: a text's windows are compared inside its row, in n log n for any length, by
+    the 64-bit hashes of their five words.
     """
-    mask = (1 << POSITION_BITS) - 1
     words = docs.select(
-        F.col(id).alias("id"),
-        F.coalesce(F.col(text), F.lit("")).alias("t"),
-        F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACE + "+"), "").alias("w"),
+        named(id).alias("id"),
+        F.coalesce(named(text).cast("string"), F.lit("")).alias("t"),
+        F.array_remove(F.split(F.coalesce(named(text).cast("string"), F.lit("")), SPACE + "+"), "").alias("w"),
     )
+    lines = F.filter(F.split("t", "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]"))
     measured = words.select(
         "id",
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.filter(F.split("t", "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]")).alias("lines"),
-        F.when(F.size("w") >= WINDOW, F.expr(f"transform(sequence(0, size(w) - {WINDOW}), i -> xxhash64(" + ", ".join(f"w[i + {k}]" for k in range(WINDOW)) + "))")).otherwise(F.expr("array()").cast("array<bigint>")).alias("h"),
+        F.element_at(F.transform(F.array(lines), lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))), 1).alias("l"),
+        # The condition on a row number always holds: no filter on what follows is moved below it, where all
+        # steps would be written out at each of their uses.
+        F.when(F.monotonically_increasing_id() >= 0, F.expr(_repeated("w"))).alias("n_repeat_words"),
     )
-    keyed = measured.select(
-        "*",
-        F.size("lines").cast("long").alias("n_lines"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.expr(f"sort_array(transform(h, (x, i) -> (x & {~mask}L) | i))").alias("s"),
-    )
-    # Positions of windows that stand beside an equal one in the sorted keys. The condition on a row number always
-    # holds: no filter on what follows is moved below it, where all steps would be written out at each of their uses.
-    found = keyed.select("*", F.when(F.monotonically_increasing_id() >= 0, F.expr(f"""sort_array(transform(filter(transform(s, (x, i) -> named_struct('p', x & {mask}L,
-        'd', (i > 0 and (x ^ s[greatest(i - 1, 0)]) <= {mask}L and (x ^ s[greatest(i - 1, 0)]) >= 0 and h[int(x & {mask}L)] = h[int(s[greatest(i - 1, 0)] & {mask}L)])
-          or (i < size(s) - 1 and (x ^ s[least(i + 1, size(s) - 1)]) <= {mask}L and (x ^ s[least(i + 1, size(s) - 1)]) >= 0 and h[int(x & {mask}L)] = h[int(s[least(i + 1, size(s) - 1)] & {mask}L)]))),
-        y -> y.d), y -> y.p))""")).alias("p"))
-    covered = found.select("*", F.expr(f"aggregate(transform(p, (x, i) -> if(i = 0, {WINDOW}L, least({WINDOW}L, x - p[greatest(i - 1, 0)]))), 0L, (a, x) -> a + x)").alias("n_repeat_words"))
-    out = covered.select("id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+    out = measured.select("id", "n_words", "word_chars", "n_symbols", F.col("l.n").alias("n_lines"), F.col("l.dup").alias("n_dup_lines"), "n_repeat_words")
     bits = sum((F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, (_, rule) in enumerate(RULES)), F.lit(0).cast("long"))
     return out.withColumn("fail_bits", bits).withColumnRenamed("id", id)
 
 
 def apply_policy(ledger_rows: DataFrame, policy: Policy) -> DataFrame:
-    """The ledger with a boolean ``kept``; an empty table stays empty."""
+    """The ledger with a boolean ``kept``, which every row has, repeated rows each; an empty table stays empty."""
     return ledger_rows.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(policy.mask)) == 0)
 
 
@@ -116,7 +121,10 @@ def judged(docs: DataFrame, policy: Policy = DEFAULT, id: str = "doc_id", text:
 
 
 def passing(docs: DataFrame, policy: Policy = DEFAULT, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, that the policy keeps, in one pass and without a join."""
-    names = docs.columns
-    row = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("id"), F.col(text).alias("text"))
-    return judged(row, policy, "id", "text").where("kept").select(*[F.col(f"id.`{n}`").alias(n) for n in names])
+    """The rows of ``docs``, all columns unchanged, that the policy keeps, in one pass and without a join.
+
+    Each row is judged by its own text: null and empty texts go with ``few_words``, repeated rows stay or
+    go together, ids are not read, an empty table stays empty. Columns may have any names.
+    """
+    row = docs.select(F.struct(*[named(n).alias(n) for n in docs.columns]).alias("id"), named(text).cast("string").alias("text"))
+    return judged(row, policy, "id", "text").where("kept").select("id.*")

@@ -1,8 +1,8 @@
 """Token counts by a map-side two-tier lookup, and token ids for packing.
 
-Tier one is a compact table of frequent pre-tokens and their lengths in tokens, broadcast once.
-Tier two is a cache in each Python worker, which the tokenizer fills for what the table misses.
-No pre-token is ever shuffled.
+Tier one is a compact table of frequent pre-tokens and their lengths in tokens, broadcast once: the
+vocabulary's own entries, which are the frequent ones by its making. Tier two is a cache in each Python
+worker, which the tokenizer fills for what the table misses. No pre-token is ever shuffled.
 """
 
 from __future__ import annotations
@@ -10,26 +10,19 @@ from __future__ import annotations
 import base64
 import os
 import re
-from collections import Counter
+import sys
+import unicodedata
+from itertools import groupby
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import map_batches
+from agorascope.llm.common import map_batches, named
 
-#: Fixed value: the pre-token pattern of the byte-level vocabularies, for texts of SAFE characters
-#: only. There ``[^\W\d_]`` is a letter, ``\d`` a number and ``\s`` a white space for every library.
-PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Any character outside ASCII without odd controls, Latin-1 letters and Latin Extended-A, general
-#: punctuation without odd spaces, or currency signs. A text that has one goes to the library whole.
-UNSAFE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xa9\xab\xac\xae-\xb1\xb4\xb6-\xb8\xbb\xbf-ſ‐-‧‰-⁞₠-₿]")
 SPECIAL = "<|endoftext|>"
-SPECIAL_ID = 50256
-
 #: Entries that a worker's cache holds before it is emptied: about 200 MB.
 CACHE_ENTRIES = 1_000_000
-#: Bounds of what the frequent table is made from. They set the speed only, never a result.
-TABLE_DOCS, TABLE_CHARS, TABLE_SIZE = 400, 20_000, 30_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -45,12 +38,32 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def unassigned() -> re.Pattern:
+    """Characters without a place in this Python's Unicode tables, on which libraries of other ages may differ."""
+    runs = [(k, [c for _, c in g]) for k, g in groupby(((unicodedata.category(chr(c)) in ("Cn", "Cs"), c) for c in range(128, sys.maxunicode + 1)), key=lambda x: x[0])]
+    return re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for odd, r in runs if odd) + "]")
+
+
+class Splitter:
+    """Pre-tokens of a text by the vocabulary's own pattern; None where the library must split the text itself."""
+
+    def __init__(self, pattern: str):
+        import regex
+
+        self.find, self.odd = regex.compile(pattern).findall, unassigned().search
+
+    def __call__(self, text: str) -> list[str] | None:
+        if SPECIAL in text or not text.isascii() and self.odd(text):
+            return None
+        return self.find(text)
+
+
 class LengthCache(dict):
     """Pre-token to length in tokens; a miss is encoded once."""
 
-    def __init__(self, tokenizer, first: dict[str, int]):
+    def __init__(self, tokenizer, first: dict[str, int], split: Splitter):
         super().__init__(first)
-        self.tokenizer, self.first = tokenizer, first
+        self.tokenizer, self.first, self.split = tokenizer, first, split
 
     def __missing__(self, word: str) -> int:
         n = self[word] = len(self.tokenizer.encode(word, add_special_tokens=False).ids)
@@ -68,7 +81,9 @@ _CACHES: dict[str, LengthCache] = {}
 def worker_cache(path: str, table) -> LengthCache:
     """This worker's cache, kept between its tasks and started from the broadcast table."""
     if path not in _CACHES:
-        _CACHES[path] = LengthCache(load_tokenizer(path), table.value)
+        import public_tokenizers
+
+        _CACHES[path] = LengthCache(load_tokenizer(path), table.value, Splitter(public_tokenizers.PATTERN))
     return _CACHES[path]
 
 
@@ -76,51 +91,51 @@ def count_tokens(text: str, cache: LengthCache) -> int:
     """Tokens of one whole text, as the library counts them."""
     if not text:
         return 0
-    if UNSAFE.search(text) or SPECIAL in text:
+    words = cache.split(text)
+    if words is None:
         return len(cache.tokenizer.encode(text, add_special_tokens=False).ids)
-    return sum(map(cache.__getitem__, PRETOKEN.findall(text)))
-
-
-def frequent_lengths(docs: DataFrame, path: str, text: str = "text") -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a bounded number of rows."""
-    rows = docs.select(F.substring(F.col(text), 1, TABLE_CHARS).alias("t")).where("t is not null").limit(TABLE_DOCS).collect()
-    seen: Counter = Counter()
-    for (t,) in rows:
-        if not UNSAFE.search(t):
-            seen.update(PRETOKEN.findall(t))
-    words = [w for w, n in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:TABLE_SIZE] if n > 1]
-    tokenizer = load_tokenizer(path)
+    return sum(map(cache.__getitem__, words))
+
+
+def frequent_lengths(path: str) -> dict[str, int]:
+    """Lengths of the vocabulary's entries that are whole pre-tokens, as the tokenizer gives them; at most its size."""
+    import public_tokenizers
+
+    tokenizer, split = load_tokenizer(path), Splitter(public_tokenizers.PATTERN)
+    texts = tokenizer.decode_batch([[i] for i in range(tokenizer.get_vocab_size())], skip_special_tokens=False)
+    words = sorted({t for t in texts if t and "\ufffd" not in t and split(t) == [t]})
     return {w: len(e.ids) for w, e in zip(words, tokenizer.encode_batch(words, add_special_tokens=False), strict=True)}
 
 
 def token_counts(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = None, limit: int = 1024) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row of ``docs``, one row for each, without a shuffle.
 
-    Null and empty texts have no bytes and no tokens. Repeated rows are each counted. Null ids stay.
-    Other columns of ``docs`` are not read, so their names never clash. An empty table gives an
-    empty table. Texts of any length are counted whole.
+    Null and empty texts have no bytes and no tokens. Repeated rows are each counted. Null ids stay, and
+    ids may be of any type. Other columns of ``docs`` are not read, so their names never clash. An empty
+    table gives an empty table. Texts of any length and script are counted whole; those with a special
+    string or an unassigned character are left to the library.
     """
     path = path or tokenizer_path()
-    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text))
+    table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(path))
 
     def setup():
         cache = worker_cache(path, table)
 
-        def work(ids, texts):
+        def work(texts):
             cache.trim()
-            return {"id": ids, "n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": [count_tokens(t, cache) for t in texts]}
+            return None, {"n_bytes": [len((t or "").encode()) for t in texts], "n_tokens": [count_tokens(t, cache) for t in texts]}
 
         return work
 
-    found = map_batches(docs.select(F.col(id).cast("long"), F.col(text).cast("string")), setup, [("id", "long"), ("n_bytes", "long"), ("n_tokens", "long")])
+    found = map_batches(docs.select(named(id).alias("id"), named(text).cast("string").alias("text")), setup, [("n_bytes", "long"), ("n_tokens", "long")])
     return found.select(F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 class IdEncoder:
     """Ids of whole texts, equal to the json vocabulary's.
 
-    The rank file holds the same vocabulary and its library is several times as fast; texts with
-    characters on which the two libraries' Unicode tables could differ go to the json's library.
+    The rank file holds the same vocabulary and its library is several times as fast; both split alike
+    at every code point (a test compares them). Texts with a special string go to the json's library.
     """
 
     def __init__(self, path: str, ranks_path: str, pattern: str):
@@ -131,12 +146,10 @@ class IdEncoder:
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.path, self.exact = path, None
 
-    def __call__(self, text: str):
-        import numpy as np
-
+    def __call__(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if UNSAFE.search(text) or SPECIAL in text:
+        if SPECIAL in text:
             self.exact = self.exact or load_tokenizer(self.path)
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, disallowed_special=())

@@ -1,30 +1,32 @@
 """URL filters: prefix rules, and link-graph propagation for hosts without one. DataFrame functions only.
 
 Trust flows along host links from hosts with allowed pages (personalised PageRank); distrust flows
-against them from hosts with blocked pages. A host is blocked if its distrust is more than
-``RATIO`` times its trust. The registered query lets both flow until they settle; the registered
-SQL, and ``judge`` by default, stop after ``ROUNDS`` rounds of ``PLACES`` decimals.
+against them from hosts with blocked pages. Both flow until they settle. A host is blocked if its
+distrust is more than ``RATIO`` times its trust.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import cut
+from agorascope.llm.common import cut, named
 
 #: Fixed values: (host, path, verdict). A rule holds for the host and its subdomains.
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
-ROUNDS, DAMPING, RATIO = 8, 0.85, 2.0
-#: Decimal places kept in each round, so that the order of a sum never shows.
-PLACES = 12
-#: Largest relative change of a settled score, and the significant digits that are told of one.
-TOLERANCE, DIGITS = 1e-6, 6
-LINK = r"""(?i)href\s*=\s*["']?\s*(https?://[^"'\s>]*)"""
-#: As well links that take over the page's scheme.
-ANY_LINK = r"""(?i)href\s*=\s*["']?\s*((?:https?:)?//[^"'\s>]*)"""
+DAMPING, RATIO = 0.85, 2.0
+#: Largest relative change of a settled score, and the rounds between two looks at it and two cuts.
+TOLERANCE, ROUNDS = 1e-6, 8
+#: Significant digits that are told of a score.
+DIGITS = 4
+#: Hosts with more than one in this many of all pages are hot, so there are fewer of them than this; their pages are dealt in parts.
+HOT, PARTS = 256, 64
+#: Addresses that name a host, in any attribute or in the text: href, src, base, canonical and the like, with or without a scheme.
+LINK = r"""(?i)(?:["'=]\s*|https?:)//([^"'\s<>/?#\\]+)"""
+#: What may follow an address in a text and is no part of its host.
+AFTER = "[.,;:!)\\]]+$"
+#: Rounds of the registered SQL, which has no loop: what is left is a 1e-8 of all.
+SQL_ROUNDS = 112
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,57 +45,35 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def host_links(pages: DataFrame, url: str = "url", html: str = "html", pattern: str = LINK) -> DataFrame:
-    """(src, dst, n): links between different hosts, counted. Only links that name a host lead to another one."""
-    found = pages.select(host_and_path(F.col(url))[0].alias("src"), F.explode_outer(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))).alias("link"))
-    link = F.when(F.col("link").startswith("//"), F.concat(F.lit("http:"), "link")).otherwise(F.col("link"))
-    return found.select("src", host_and_path(link)[0].alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
-
-
-def propagate(seeds: DataFrame, links: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, allowed, blocked: page counts) and links (src, dst, n).
+def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(src, dst, n): links between different hosts, counted. Only addresses that name a host lead to another one.
 
-    Hosts that nothing reaches are not returned. A host with many links is one row for each
-    neighbour, so its share of the work is what a join can split; sums are combined before the shuffle.
+    Pages without a host or html have none; repeated pages each count; an empty table gives an empty table.
     """
-    total = seeds.agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")).first()
-    of = lambda column, kind: seeds.where(F.col(column) > 0).select("host", F.lit(kind).alias("kind"), F.round(F.col(column) / F.lit(total[column]), PLACES).alias("seed"))
-    start = cut(of("allowed", "t").unionByName(of("blocked", "d")))
-    ways = links.select(F.col("src").alias("host"), F.lit("t").alias("kind"), F.col("dst").alias("to"), "n")
-    ways = ways.unionByName(links.select(F.col("dst").alias("host"), F.lit("d").alias("kind"), F.col("src").alias("to"), "n"))
-    out = ways.groupBy("host", "kind").agg(F.sum("n").alias("all"))
-    ways = cut(ways.join(out, ["host", "kind"]).select("host", "kind", "to", (F.col("n") / F.col("all")).alias("w")))
-    if ways.isEmpty():
-        rounds = 0
-    score = start.select("host", "kind", F.col("seed").alias("score"))
-    base = start.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score"))
-    for _ in range(rounds):
-        moved = score.join(ways, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (damping * F.col("score") * F.col("w")).alias("score"))
-        score = base.unionByName(moved).groupBy("host", "kind").agg(F.round(F.sum("score"), PLACES).alias("score"))
-    pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
-    return score.groupBy("host").agg(pick("t").alias("trust"), pick("d").alias("distrust"))
+    found = pages.select(host_and_path(named(url))[0].alias("src"), F.explode_outer(F.regexp_extract_all(named(html), F.lit(LINK), F.lit(1))).alias("link"))
+    dst = F.regexp_replace(F.translate("link", UPPER, LOWER), AFTER, "")
+    return found.select("src", dst.alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def settle(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
-    """As ``propagate``, but unrounded and until no score changes by more than ``tolerance`` of itself.
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust) from seeds (host, allowed, blocked: page counts) and links (src, dst, n).
 
-    What moved in a round is kept beside the score, and a link of each host to itself carries the score
-    over, so a round is one join and one sum. What moves only shrinks from there on, so the end is
-    reached at any depth; a score that no round of doubles can hold (under 1e-308) is lost.
+    Scores are never rounded and move until no score changes by more than ``tolerance`` of itself, so
+    neither a host's distance from the seeds nor the size of the table decides. What moved in a round is
+    kept beside the score, and a link of each host to itself carries the score over, so a round is one join
+    and one sum, combined before the shuffle. What reaches a host without links ends there. Hosts that nothing
+    reaches are not returned; without seeds there are none. A score under 1e-308 is lost.
     """
     total = seeds.agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")).first()
-    of = lambda column, kind: seeds.where(F.col(column) > 0).select("host", F.lit(kind).alias("kind"), (F.col(column) / F.lit(total[column])).alias("seed"))
-    start = cut(of("allowed", "t").unionByName(of("blocked", "d")))
+    of = lambda column, kind: seeds.where(F.col(column) > 0).select("host", F.lit(kind).alias("kind"), (F.lit(1 - damping) * F.col(column) / F.lit(total[column])).alias("score"))
+    score = cut(of("allowed", "t").unionByName(of("blocked", "d")).withColumn("moved", F.col("score")))
     ways = links.select(F.col("src").alias("host"), F.lit("t").alias("kind"), F.col("dst").alias("to"), "n")
     ways = ways.unionByName(links.select(F.col("dst").alias("host"), F.lit("d").alias("kind"), F.col("src").alias("to"), "n"))
     out = ways.groupBy("host", "kind").agg(F.sum("n").alias("all"))
     ways = cut(ways.join(out, ["host", "kind"]).select("host", "kind", "to", (damping * F.col("n") / F.col("all")).alias("w")))
-    if ways.isEmpty():
-        score = start.select("host", "kind", F.col("seed").alias("score"))
-    else:
-        hosts = start.select("host", "kind").union(ways.select("to", "kind")).distinct()
+    if not ways.isEmpty():
+        hosts = score.select("host", "kind").union(ways.select("to", "kind")).distinct()
         ways = cut(ways.unionByName(hosts.select("host", "kind", F.col("host").alias("to"), F.lit(None).cast("double").alias("w"))))
-        score = start.select("host", "kind", ((1 - damping) * F.col("seed")).alias("score")).withColumn("moved", F.col("score"))
         change = None
         while change is None or change > tolerance:
             for _ in range(ROUNDS):
@@ -106,35 +86,33 @@ def settle(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, toleran
     return score.groupBy("host").agg(pick("t").alias("trust"), pick("d").alias("distrust"))
 
 
-def told(score: Column) -> Column:
-    """``PLACES`` decimals, or for small scores ``DIGITS`` significant digits."""
-    return F.when(score < 10.0 ** (DIGITS - PLACES), F.format_string(f"%.{DIGITS - 1}e", score).cast("double")).otherwise(F.round(score, PLACES))
-
-
-def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id: str = "page_id", url: str = "url", html: str = "html", rounds: int | None = ROUNDS) -> DataFrame:
-    """(id, host, path, rule, verdict, trust, distrust) for every page.
-
-    With ``rounds`` None, scores settle, ``//host`` links count too, and only the scores told are rounded,
-    not those that are compared.
+def judge(pages: DataFrame, rules=RULES, ratio: float = RATIO, id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(id, host, path, rule, verdict, trust, distrust) for every page, the scores to ``DIGITS`` significant digits.
 
     A null url, or one without ``://``, has an empty host and path, no rule, and is allowed: nothing
     speaks against it. Hosts that no seed reaches have no trust or distrust and are allowed too.
-    Repeated rows each come back, null ids and null html stay, other columns are not read, an empty
-    table gives an empty table.
+    Repeated rows each come back, null ids and null html stay, ids may be of any type, other columns are
+    not read, an empty table gives an empty table. Pages of a hot host are dealt in parts to their scores.
     """
-    host, path = host_and_path(F.col(url))
-    ruled = pages.select(F.col(id), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
+    host, path = host_and_path(named(url))
+    ruled = pages.select(named(id).alias("id"), named(url).alias("url"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = ruled.select(id, "host", "path", name.alias("rule"), verdict.alias("by_rule"))
+    ruled = ruled.select("*", name.alias("rule"), verdict.alias("by_rule"))
     count = lambda v: F.sum(F.when(F.col("by_rule") == v, 1).otherwise(0))
-    seeds = ruled.where("by_rule is not null").groupBy("host").agg(count("allow").alias("allowed"), count("block").alias("blocked"))
-    if rounds is None:
-        scores, slack = settle(seeds, host_links(pages, url, html, ANY_LINK)), 1 + TOLERANCE
-    else:
-        scores, slack = propagate(seeds, host_links(pages, url, html), rounds), 1.0
-    method = F.when(F.coalesce(F.col("distrust") > ratio * slack * F.col("trust"), F.lit(False)), "block").otherwise("allow")
-    tell = (lambda c: told(F.col(c)).alias(c)) if rounds is None else F.col
-    return ruled.join(scores, "host", "left").select(id, "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), tell("trust"), tell("distrust"))
+    hosts = cut(ruled.groupBy("host").agg(F.count(F.lit(1)).alias("n"), count("allow").alias("allowed"), count("block").alias("blocked")))
+    scores = propagate(hosts.where("allowed + blocked > 0"), host_links(pages, url, html))
+    slack = 1 + TOLERANCE
+    blocked = F.coalesce(F.col("distrust") > ratio * slack * F.col("trust"), F.lit(False))
+    tell = lambda c: F.format_string(f"%.{DIGITS - 1}e", F.col(c)).cast("double").alias(c)
+    told = scores.select("host", blocked.alias("blocked"), tell("trust"), tell("distrust"))
+    most = hosts.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(hosts.where(F.col("n") * HOT > most).select("host", F.lit(True).alias("hot")))
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64("id", "url"), F.lit(PARTS)).cast("int")).otherwise(0)
+    told = told.join(hot, "host", "left").select("host", "blocked", "trust", "distrust", F.explode(parts).alias("part"))
+    rows = ruled.join(hot, "host", "left").withColumn("part", part)
+    method = F.when(F.coalesce("blocked", F.lit(False)), "block").otherwise("allow")
+    return rows.join(told, ["host", "part"], "left").select(F.col("id").alias(id), "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), "trust", "distrust")
 
 
 def sql(rules=RULES) -> str:
@@ -146,22 +124,20 @@ def sql(rules=RULES) -> str:
     link = LINK.replace("'", "''")
     steps = "".join(
         f""",
-s{k + 1} AS (SELECT host, kind, round(sum(score), {PLACES}) AS score FROM (
-  SELECT host, kind, {1 - DAMPING!r} * seed AS score FROM start
-  UNION ALL SELECT w.dst, w.kind, {DAMPING!r} * s.score * w.w FROM s{k} s JOIN ways w ON s.host = w.host AND s.kind = w.kind) GROUP BY host, kind)"""
-        for k in range(ROUNDS)
+s{k + 1} AS MATERIALIZED (SELECT host, kind, sum(score) AS score FROM (
+  SELECT * FROM s0 UNION ALL SELECT w.dst, w.kind, {DAMPING!r} * s.score * w.w FROM s{k} s JOIN ways w ON s.host = w.host AND s.kind = w.kind) GROUP BY host, kind)"""
+        for k in range(SQL_ROUNDS)
     )
-    last = f"SELECT * FROM s{ROUNDS} WHERE EXISTS (SELECT 1 FROM ways) UNION ALL SELECT * FROM s0 WHERE NOT EXISTS (SELECT 1 FROM ways)"
+    tell = lambda c: f"printf('%.{DIGITS - 1}e', {c})::DOUBLE AS {c}"
     return f"""WITH p AS (SELECT page_id, coalesce({host('url')}, '') AS host, coalesce(regexp_extract({rest('url')}, '^[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
 r AS (SELECT page_id, host, path, {case(0)} AS rule, {case(1)} AS by_rule FROM p),
 seeds AS (SELECT host, count(*) FILTER (by_rule = 'allow') AS allowed, count(*) FILTER (by_rule = 'block') AS blocked FROM r WHERE by_rule IS NOT NULL GROUP BY host),
-start AS (SELECT host, 't' AS kind, round(allowed / (SELECT sum(allowed) FROM seeds), {PLACES}) AS seed FROM seeds WHERE allowed > 0
-  UNION ALL SELECT host, 'd', round(blocked / (SELECT sum(blocked) FROM seeds), {PLACES}) FROM seeds WHERE blocked > 0),
-u AS (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM p),
-links AS (SELECT src, {host('link')} AS dst, count(*) AS n FROM u WHERE src <> '' AND {host('link')} <> '' AND src <> {host('link')} GROUP BY ALL),
+s0 AS MATERIALIZED (SELECT host, 't' AS kind, {1 - DAMPING!r} * allowed / (SELECT sum(allowed) FROM seeds) AS score FROM seeds WHERE allowed > 0
+  UNION ALL SELECT host, 'd', {1 - DAMPING!r} * blocked / (SELECT sum(blocked) FROM seeds) FROM seeds WHERE blocked > 0),
+u AS (SELECT host AS src, regexp_replace(translate(unnest(regexp_extract_all(html, '{link}', 1)), '{UPPER}', '{LOWER}'), '{AFTER}', '') AS dst FROM p),
+links AS (SELECT src, dst, count(*) AS n FROM u WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
 arcs AS (SELECT src AS host, 't' AS kind, dst, n FROM links UNION ALL SELECT dst, 'd', src, n FROM links),
-ways AS (SELECT host, kind, dst, n / sum(n) OVER (PARTITION BY host, kind) AS w FROM arcs),
-s0 AS (SELECT host, kind, seed AS score FROM start){steps},
-f AS (SELECT host, coalesce(sum(score) FILTER (kind = 't'), 0.0)::DOUBLE AS trust, coalesce(sum(score) FILTER (kind = 'd'), 0.0)::DOUBLE AS distrust FROM ({last}) GROUP BY host)
-SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN distrust > {RATIO} * trust THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+ways AS MATERIALIZED (SELECT host, kind, dst, n / sum(n) OVER (PARTITION BY host, kind) AS w FROM arcs){steps},
+f AS (SELECT host, coalesce(sum(score) FILTER (kind = 't'), 0.0)::DOUBLE AS trust, coalesce(sum(score) FILTER (kind = 'd'), 0.0)::DOUBLE AS distrust FROM s{SQL_ROUNDS} GROUP BY host)
+SELECT page_id, r.host, path, rule, coalesce(by_rule, CASE WHEN distrust > {RATIO * (1 + TOLERANCE)!r} * trust THEN 'block' ELSE 'allow' END) AS verdict, {tell('trust')}, {tell('distrust')}
 FROM r LEFT JOIN f ON r.host = f.host"""
