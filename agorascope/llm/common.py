@@ -23,8 +23,8 @@ ARROW = {
     "array<struct<kind:string,start:int,end:int>>": pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
 }
 
-#: Bytes of texts that an operator turns into Python objects at a time, one longer text aside.
-SLICE_BYTES = 16 << 20
+#: Bytes of an Arrow batch, and of the texts that an operator turns into Python objects at a time, one longer text aside.
+BATCH_BYTES = 4 << 20
 
 
 def named(column: str) -> Column:
@@ -32,8 +32,16 @@ def named(column: str) -> Column:
     return F.col("`" + column.replace("`", "``") + "`")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bound of an Arrow batch in bytes, where it is higher: the JVM and the worker each hold a batch and
+    its copies, for every core. It is a setting of the session, as the plan reads it only when it runs, and changes no result."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("bB")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about ``most`` bytes of texts each. Spark itself bounds a batch by arrow.maxBytesPerBatch."""
+    """Parts of a batch with about ``most`` bytes of texts each, should the batch be larger after all."""
     sizes = np.ones(batch.num_rows, np.int64)
     for c in batch.columns:
         if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
@@ -53,13 +61,14 @@ def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: list[tuple
     ``(rows, lists)``: a dict of lists with the columns of ``schema``, and for each element the position
     of its row, or None for one element a row.
     """
+    bounded_batches(df.sparkSession)
     names = [*df.columns[:carried], *(n for n, _ in schema)]
     kinds = [pa.field(n, ARROW[k]).type for n, k in schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = setup()
         for whole in batches:
-            for batch in slices(whole, SLICE_BYTES):
+            for batch in slices(whole, BATCH_BYTES):
                 rows, lists = work(*(c.to_pylist() for c in batch.columns[carried:]))
                 kept = batch.columns[:carried]
                 if rows is not None:

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agorascope.llm.common import map_batches, named
+from agorascope.llm.common import bounded_batches, map_batches, named
 
 #: The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -271,6 +271,7 @@ def redact(docs: DataFrame, models: MarkovModels | None = None, text: str = "tex
     def cleaned(texts):
         return texts.map(lambda t: t if t is None else _replaced(t, spans(t, models), mark))
 
+    bounded_batches(docs.sparkSession)
     out = docs.withColumn(text, cleaned(named(text)))
     return out.withColumn("n_chars", F.length(named(text)).cast("long")) if "n_chars" in docs.columns else out
 
