@@ -24,11 +24,30 @@ def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 
 
+#: What the normal form leaves out, in this order, and what stands in its place. Equal hashes depend on them.
+NORMAL_FORM = (
+    ("```[\\s\\S]*?```", " "),
+    ("https?://" + NOT_SPACE + "+", " "),
+    ("&[a-z]{2,8};", " "),
+    ("[*_~`>#|]+", " "),
+    ("\\[([^\\]]*)\\]\\([^)]*\\)", "$1"),
+    ("[0-9]{1,4}([-/][0-9]{1,4}){1,2}", " "),
+)
+#: What a text must hold for a step of the normal form to change it; a search for it costs a fraction of the step.
+HINTS = ("```", "http", "&", None, "](", None)
+
+
 def normalize(text: Column) -> Column:
     """Lower case without fenced code, links, entities, markup and date stamps, white space collapsed; order matters."""
+    def step(value: Column, pattern: str, put: str, hint: str | None) -> Column:
+        if pattern.startswith("[*"):  # single characters, each to a space, as spaces are collapsed in the end
+            return F.translate(value, pattern[1:-2], " " * len(pattern[1:-2]))
+        change = lambda v: F.regexp_replace(v, pattern, put)
+        return _let(value, lambda v: F.when(F.contains(v, F.lit(hint)), change(v)).otherwise(v)) if hint else change(value)
+
     out = F.lower(F.coalesce(text, F.lit("")))
-    for pattern, put in (("```[\\s\\S]*?```", " "), ("https?://" + NOT_SPACE + "+", " "), ("&[a-z]{2,8};", " "), ("[*_~`>#|]+", " "), ("\\[([^\\]]*)\\]\\([^)]*\\)", "$1"), ("[0-9]{1,4}([-/][0-9]{1,4}){1,2}", " ")):
-        out = F.regexp_replace(out, pattern, put)
+    for (pattern, put), hint in zip(NORMAL_FORM, HINTS, strict=True):
+        out = step(out, pattern, put, hint)
     return collapse(out)
 
 
@@ -96,22 +115,73 @@ def l2_normalize(vector: Column) -> Column:
 
 
 def dot(a: Column, b: Column) -> Column:
-    """Dot product over the shorter length."""
+    """Dot product over the shorter length, in index order."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0)).cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
+def vector_to_base64(vector: Column) -> Column:
+    """Base64 of the vector's elements as little-endian 32-bit floats, in Arrow batches: Spark has no function for a float's bits."""
+    import base64
+
+    import numpy as np
+
+    @F.pandas_udf("string")
+    def encoded(vectors):
+        return vectors.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, "<f4").tobytes()).decode())
+
+    return encoded(vector)
+
+
+def vector_from_base64(text: Column) -> Column:
+    """array<float> from the base64 of little-endian 32-bit floats; null for null or torn values.
+
+    A float is put together from its bits: sign, exponent and fraction. Infinities and NaN read as null elements.
+    """
+    def element(hex8: Column) -> Column:
+        order = F.concat(*[F.substring(hex8, k, 2) for k in (7, 5, 3, 1)])
+        bits = F.conv(order, 16, 10).cast("long")
+        sign = F.when(F.shiftright(bits, 31) == 1, -1.0).otherwise(1.0)
+        exponent, fraction = F.shiftright(bits, 23).bitwiseAND(F.lit(255)), bits.bitwiseAND(F.lit(0x7FFFFF))
+        normal = sign * (1 + fraction / 2.0**23) * F.pow(F.lit(2.0), exponent - 127)
+        return F.when(exponent == 255, None).when(exponent == 0, sign * fraction * 2.0**-149).otherwise(normal).cast("float")
+
+    def of(digits: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), (F.length(digits) / 8 - 1).cast("int")), lambda i: F.substring(digits, i * 8 + 1, F.lit(8)))
+        return F.when((F.length(digits) > 0) & (F.length(digits) % 8 == 0), F.transform(each, element)).when(F.length(digits) == 0, F.array().cast("array<float>"))
+
+    return _let(F.hex(F.try_to_binary(text, F.lit("base64"))), of)
+
+
 def chunks(text: Column, size: int = 30_000) -> Column:
     """Pieces of ``size`` characters; joined they are the text."""
     return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")), lambda i: F.substring(text, i * size + 1, F.lit(size))))
 
 
 def shrink_fields(fields: Column, budget: int) -> Column:
-    """(kept, dropped) of a map of texts: the longest fields go until the others have at most ``budget`` characters."""
+    """(kept, dropped) of a map of texts: the longest fields go until the others have at most ``budget`` characters.
+
+    Running totals are made in one pass over the fields in order of length.
+    """
     sizes = F.array_sort(F.transform(F.map_entries(fields), lambda e: F.struct(F.coalesce(F.length(e["value"]), F.lit(0)).cast("long").alias("n"), e["key"].alias("key"))))
+    start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<string>").alias("keys"))
+
+    def take(state: Column, x: Column) -> Column:
+        total = state["total"] + x["n"]
+        return F.struct(total.alias("total"), F.when(total <= budget, F.array_append(state["keys"], x["key"])).otherwise(state["keys"]).alias("keys"))
+
+    keys = F.aggregate(sizes, start, take, lambda state: state["keys"])
+    return _let(keys, lambda k: F.struct(F.map_filter(fields, lambda key, _: F.array_contains(k, key)).alias("kept"), F.array_sort(F.array_except(F.map_keys(fields), k)).alias("dropped")))
+
+
+def marked(kept: Column, dropped: Column) -> Column:
+    """The kept fields, with ``_truncated`` naming the dropped ones, if any."""
+    return F.when(F.size(dropped) > 0, F.map_concat(kept, F.create_map(F.lit("_truncated"), F.array_join(dropped, ",")))).otherwise(kept)
+
 
-    def split(ordered: Column) -> Column:
-        upto = lambda i: F.aggregate(F.slice(ordered, F.lit(1), i + 1), F.lit(0).cast("long"), lambda a, x: a + x["n"])
-        keys = F.transform(F.filter(ordered, lambda x, i: upto(i) <= budget), lambda x: x["key"])
-        return _let(keys, lambda k: F.struct(F.map_filter(fields, lambda key, _: F.array_contains(k, key)).alias("kept"), F.array_sort(F.array_except(F.map_keys(fields), k)).alias("dropped")))
+def shrink_list(values: Column, budget: int) -> Column:
+    """The list, halved from its end until its JSON has at most ``budget`` characters."""
+    def of(v: Column) -> Column:
+        ends = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.call_function("shiftright", F.size(v), k.cast("int")))
+        return F.slice(v, F.lit(1), F.coalesce(F.get(F.filter(ends, lambda n: F.length(F.to_json(F.slice(v, F.lit(1), n))) <= budget), F.lit(0)), F.lit(0)))
 
-    return _let(sizes, split)
+    return F.when(F.length(F.to_json(values)) <= budget, values).otherwise(_let(values, of))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from agorascope.functions import text as X
 from agorascope.operators.classify import filter_comments
 from agorascope.operators.sections import share
+from agorascope.session import cut
 from agorascope.vocabulary import FICTION_HEAVY
 
 
@@ -87,6 +88,10 @@ def duplicate_summary(rows: DataFrame) -> DataFrame:
     return duplicate_hashes(rows).groupBy("kind").agg(_count().alias("hashes"), F.sum("n").alias("rows"))
 
 
+def top_duplicates(rows: DataFrame, n: int = 20) -> DataFrame:
+    return duplicate_hashes(rows).orderBy(F.desc("n"), "hash").limit(n)
+
+
 def quote_fields(items: DataFrame) -> DataFrame:
     """(id, subreddit, field, pos, quote): every verbatim quote of the analysis."""
     of = lambda field, array: F.transform(array, lambda x: F.struct(F.lit(field).alias("field"), x["quote"].alias("quote")))
@@ -94,45 +99,67 @@ def quote_fields(items: DataFrame) -> DataFrame:
     return items.select("id", "subreddit", F.posexplode(all_of).alias("pos", "q")).where("q.quote <> ''").select("id", "subreddit", "pos", "q.field", "q.quote")
 
 
+def _needles(items: DataFrame) -> DataFrame:
+    return quote_fields(items).withColumn("needle", X.normalize(F.col("quote"))).where(F.length("needle") >= X.QUOTE_MIN_CHARS)
+
+
 def quote_provenance(items: DataFrame, bodies: DataFrame, comments: DataFrame) -> DataFrame:
     """(id, subreddit, field, pos, bucket): where each quote of 25 characters or more stands.
 
     Post text comes first, then human comments, then filtered ones. Quotes meet only the comments of
-    their own thread, by an equality join; matches are then counted, never gathered.
+    their own thread, by an equality join; threads without a quote are left out before their texts are
+    normalised, and matches are counted, never gathered.
     """
-    quotes = quote_fields(items).withColumn("needle", X.normalize(F.col("quote"))).where(F.length("needle") >= X.QUOTE_MIN_CHARS)
-    posts = bodies.select(F.col("row_key").alias("id"), X.normalize(F.col("body")).alias("post"))
-    said = filter_comments(comments).select(F.col("link_id").alias("id"), X.normalize(F.col("body")).alias("said"), F.col("reason").isNull().alias("by_human"))
+    quotes = cut(_needles(items))
+    asked = quotes.select("id").distinct()
+    posts = bodies.select(F.col("row_key").alias("id"), "body").join(asked, "id", "left_semi").select("id", X.normalize(F.col("body")).alias("post"))
+    there = filter_comments(comments).withColumn("id", F.col("link_id")).join(asked, "id", "left_semi")
+    said = there.select("id", X.normalize(F.col("body")).alias("said"), F.col("reason").isNull().alias("by_human"))
     in_post = quotes.join(posts, "id", "left").withColumn("in_post", F.coalesce(F.instr("post", F.col("needle")) > 0, F.lit(False))).drop("post")
     in_talk = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).groupBy("id", "pos").agg(F.bool_or("by_human").alias("by_human"))
     bucket = F.when(F.col("in_post"), "post-body").when(F.col("by_human"), "human-comment").when(F.col("by_human").isNotNull(), "bot-comment").otherwise("not-found")
     return in_post.join(in_talk, ["id", "pos"], "left").select("id", "subreddit", "field", "pos", bucket.alias("bucket"))
 
 
+def missing_bodies(items: DataFrame, raw: DataFrame) -> DataFrame:
+    """(subreddit, read, missing): posts whose raw record is in the archive, and those where it is not. raw: (subreddit, row_key)."""
+    there = raw.select("subreddit", F.col("row_key").alias("id"), F.lit(True).alias("_there")).dropDuplicates(["subreddit", "id"])
+    rows = items.where("kind = 'post'").select("subreddit", "id").join(there, ["subreddit", "id"], "left")
+    return rows.groupBy("subreddit").agg(F.count("_there").alias("read"), F.count_if(F.col("_there").isNull()).alias("missing"))
+
+
 def quote_buckets(provenance: DataFrame) -> DataFrame:
     return provenance.groupBy("field", "bucket").agg(_count().alias("n"))
 
 
 def quote_sample(provenance: DataFrame, k: int = 5) -> DataFrame:
-    """``k`` quotes of each community and bucket by hash order, with the number there are."""
-    by = Window.partitionBy("subreddit", "bucket")
-    rows = provenance.withColumn("r", F.row_number().over(by.orderBy(F.xxhash64("id", "pos"), "id", "pos")))
-    seen = provenance.groupBy("subreddit", "bucket").agg(_count().alias("seen"))
-    return rows.where(F.col("r") <= k).join(seen, ["subreddit", "bucket"]).select("subreddit", "bucket", "id", "pos", "seen")
+    """``k`` quotes of each community and bucket in the order of a hash of their place, with the number there are.
+
+    Each task keeps ``k`` of a group: the least of the hash's first characters are found with partial aggregates, and only
+    rows at or below the k-th go on to be ranked.
+    """
+    by = ["subreddit", "bucket"]
+    rows = provenance.withColumn("h", F.sha1(F.concat_ws("|", "id", "pos").cast("binary")))
+    slots = rows.groupBy(*by, F.substring("h", 1, 3).alias("slot")).agg(_count().alias("n"))  # at most 4096 a group
+    upto = Window.partitionBy(*by).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    last = slots.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < k).groupBy(*by).agg(F.max("slot").alias("slot"))
+    seen = slots.groupBy(*by).agg(F.sum("n").alias("seen"))
+    near = rows.join(last.join(seen, by), by).where(F.substring("h", 1, 3) <= F.col("slot"))
+    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h", "id", "pos")))
+    return ranked.where(F.col("r") <= k).select(*by, "id", "pos", "seen")
 
 
 def contamination(items: DataFrame, comments: DataFrame) -> DataFrame:
     """By community: rows with comments, with a filtered comment, and with a quote inside a filtered comment."""
-    said = filter_comments(comments).select(F.col("link_id").alias("id"), F.col("reason").isNotNull().alias("flagged"), X.normalize(F.col("body")).alias("said"))
-    eligible = said.groupBy("id").agg(F.bool_or("flagged").alias("broad"))
-    quotes = quote_fields(items).withColumn("needle", X.normalize(F.col("quote"))).where(F.length("needle") >= X.QUOTE_MIN_CHARS)
-    narrow = quotes.join(said.where("flagged"), "id").where(F.instr("said", F.col("needle")) > 0).select("id").distinct().withColumn("narrow", F.lit(True))
+    judged = filter_comments(comments).select(F.col("link_id").alias("id"), F.col("reason").isNotNull().alias("flagged"), "body")
+    eligible = judged.groupBy("id").agg(F.bool_or("flagged").alias("broad"))
+    quotes = _needles(items)
+    said = judged.where("flagged").select("id", X.normalize(F.col("body")).alias("said"))
+    narrow = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).select("id").distinct().withColumn("narrow", F.lit(True))
     rows = items.select("id", "subreddit").join(eligible, "id").join(narrow, "id", "left")
     return rows.groupBy("subreddit").agg(_count().alias("eligible"), F.count_if("broad").alias("broad"), F.count_if(F.coalesce("narrow", F.lit(False))).alias("narrow"))
 
 
-def retag_report(rows: DataFrame, classified: DataFrame) -> DataFrame:
-    """Rows whose tag would change, by the old and the new reason."""
-    old = rows.select("row_key", F.coalesce("content_class_reason", F.lit("")).alias("old_reason"))
-    new = classified.select("row_key", F.col("content_class_reason").alias("new_reason"))
-    return old.join(new, "row_key").groupBy("old_reason", "new_reason").agg(_count().alias("n"))
+def retag_report(tagged: DataFrame) -> DataFrame:
+    """Rows by the old and the new reason. tagged: rows with both, as the classifier of bodies gives them."""
+    return tagged.groupBy("old_reason", F.col("content_class_reason").alias("new_reason")).agg(_count().alias("n"))

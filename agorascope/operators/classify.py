@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agorascope.config import Boilerplate
 from agorascope.functions import text as X
+from agorascope.session import cut
 from agorascope.vocabulary import BOT_AUTHORS
 
 
@@ -25,26 +26,52 @@ def repeat_counts(rows: DataFrame, hash: str, sub: str = "subreddit") -> DataFra
 
 
 def _flag(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFrame:
+    """Rows with ``flag`` true where (community, hash) is among ``repeated``.
+
+    Rows without a hash can't match: their own key stands for it, which spreads them over all tasks instead of
+    gathering a community's in one. The repeated side is broadcast where its measured size allows; else rows that
+    share a hash are split by the skew join.
+    """
     known = repeated.select(F.col("sub").alias("_sub"), F.col("hash").alias("_copied"), F.lit(True).alias(flag))
-    return rows.join(known, (F.lower("subreddit") == F.col("_sub")) & (F.col(hash) == F.col("_copied")), "left").drop("_sub", "_copied")
+    keys = [F.col(k) for k in ("row_key", "id") if k in rows.columns]
+    own = F.coalesce(F.col(hash), *[F.concat(F.lit("-"), k) for k in keys])
+    return rows.withColumn("_own", own).join(known, (F.lower("subreddit") == F.col("_sub")) & (F.col("_own") == F.col("_copied")), "left").drop("_sub", "_copied", "_own")
+
 
+def hashed(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = None) -> DataFrame:
+    """Rows with ``title_hash`` and, if ``body`` names a column, ``body_hash``; those that are stored already are kept."""
+    out = rows if "title_hash" in rows.columns else rows.withColumn("title_hash", X.hash_if_eligible(F.col("title"), limits.title_chars))
+    return out.withColumn("body_hash", X.hash_if_eligible(F.col(body), limits.body_chars)) if body and "body_hash" not in rows.columns else out
 
-def classify_rows(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = None) -> DataFrame:
-    """Rows with ``content_class`` and ``content_class_reason``.
+
+def _tagged(rows: DataFrame, limits: Boilerplate, tests: dict[str, str]) -> DataFrame:
+    out = rows
+    for hash, flag in tests.items():
+        out = _flag(out, repeat_counts(rows, hash).where(F.col("repeats") > limits.min_repeats), hash, flag)
+    repeated = F.coalesce(*[F.col(flag) for flag in tests.values()], F.lit(False))
+    reason = F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(repeated, "repeat-hash"), F.lit(""))
+    out = out.withColumn("content_class_reason", reason).drop(*tests, *tests.values())
+    return out.withColumn("content_class", class_of(F.col("content_class_reason")))
+
+
+def classify_rows(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:
+    """Rows with ``content_class`` and ``content_class_reason``, copies told by their titles.
 
     Copies are counted once, and only the hashes above the limit are joined back: an aggregate and a
     small join instead of a window that would gather each group's rows in one task.
     """
-    hashed = rows.withColumn("_title", X.hash_if_eligible(F.col("title"), limits.title_chars))
-    tests = [("_title", "_t")]
-    if body:
-        hashed, tests = hashed.withColumn("_body", X.hash_if_eligible(F.col(body), limits.body_chars)), [*tests, ("_body", "_b")]
-    for hash, flag in tests:
-        hashed = _flag(hashed, repeat_counts(hashed, hash).where(F.col("repeats") > limits.min_repeats), hash, flag)
-    repeated = F.coalesce(*[F.col(flag) for _, flag in tests], F.lit(False))
-    reason = F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(repeated, "repeat-hash"), F.lit(""))
-    out = hashed.withColumn("content_class_reason", reason).drop(*[c for t in tests for c in t])
-    return out.withColumn("content_class", class_of(F.col("content_class_reason")))
+    return _tagged(hashed(rows, limits), limits, {"title_hash": "_t"})
+
+
+def classify_bodies(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str = "body") -> DataFrame:
+    """(subreddit, row_key, content_class, content_class_reason, and ``old_reason``: the tag so far), by titles and bodies.
+
+    The texts are read and hashed once: what is left of a row, its key, flags and hashes, is cut to the shared folder,
+    and the counts and joins work on that.
+    """
+    old = F.coalesce("content_class_reason", F.lit("")) if "content_class_reason" in rows.columns else F.lit("")
+    slim = hashed(rows, limits, body).select("subreddit", "row_key", "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"))
+    return _tagged(cut(slim), limits, {"title_hash": "_t", "body_hash": "_b"}).drop("author", "distinguished", "stickied")
 
 
 def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:
@@ -58,9 +85,9 @@ def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> D
 
 def filter_comments(comments: DataFrame, registry: DataFrame | None = None, min_chars: int = 120) -> DataFrame:
     """Comments with ``reason``, null for those that are kept. registry: (sub, hash)."""
-    out = comments.withColumn("_hash", X.hash_if_eligible(F.col("body"), min_chars))
-    listed = F.lit(None).cast("boolean")
+    out, listed = comments, F.lit(None).cast("boolean")
     if registry is not None:
+        out = comments.withColumn("_hash", X.hash_if_eligible(F.col("body"), min_chars))
         out, listed = _flag(out, registry.select("sub", "hash").distinct(), "_hash", "_listed"), F.col("_listed")
     return out.withColumn("reason", F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(listed, "registry-hash"))).drop("_hash", "_listed")
 
@@ -83,10 +110,23 @@ def harvest(rows: DataFrame, text: str, kind: str, min_chars: int, min_repeats:
 
 
 def merge_registry(old: DataFrame, new: DataFrame, most: int = 4000) -> DataFrame:
-    """One entry a community and hash, the one with more repeats; the ``most`` repeated of each community."""
+    """One entry a community and hash, the one with more repeats; the ``most`` repeated of each community.
+
+    A community's rank is taken over a histogram of its repeats first, so that only entries at or above the count at
+    which the limit is reached meet in one task: at most ``most`` and the ties of the last count.
+    """
     both = old.unionByName(new).groupBy("sub", "hash").agg(F.max(F.struct("repeats", "kind")).alias("b")).select("sub", "hash", "b.repeats", "b.kind")
+    counts = both.groupBy("sub", "repeats").agg(F.count(F.lit(1)).alias("n"))
+    above = Window.partitionBy("sub").orderBy(F.desc("repeats")).rowsBetween(Window.unboundedPreceding, -1)
+    floor = counts.withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))).where(F.col("before") < most).groupBy("sub").agg(F.min("repeats").alias("floor"))
+    kept = both.join(floor, "sub").where(F.col("repeats") >= F.col("floor"))
     rank = F.row_number().over(Window.partitionBy("sub").orderBy(F.desc("repeats"), "hash"))
-    return both.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r")
+    return kept.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r", "floor")
+
+
+def registry_of(titles: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:
+    """What a rollup publishes: titles that repeat within a community."""
+    return harvest(titles, "title", "title", limits.title_chars, limits.min_repeats)
 
 
 def admit_under_cap(pending: DataFrame, cap: int, used: int = 0, order: tuple[str, ...] = ("created_utc", "row_key")) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agorascope.functions import text
+
 ANALYSIS = (
     "week: string, ai_related: boolean, stance_on_ai: string, persona: struct<experience: string, goal: string>, stance_basis: array<string>, stance_intensity: int, "
     "comment_stance_mix: map<string, int>, topics: array<string>, pain_points: array<string>, expected_baseline: array<string>, "
@@ -61,17 +63,22 @@ def merge_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return o.join(n, keys, "full_outer").select(*keys, *[pick(c) for c in columns], F.col("_old").isNull().alias("is_new"))
 
 
-def admit(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Incoming rows, one for each key, that are not stored yet."""
-    return incoming.dropDuplicates(keys).join(stored.select(*keys), keys, "left_anti")
+def admit(stored: DataFrame, incoming: DataFrame, keys: list[str], newest: str = "created_utc") -> DataFrame:
+    """Incoming rows, one for each key, that are not stored yet.
 
+    Of rows with equal keys the one with the greatest ``newest`` is taken, then the one whose other columns have
+    the greatest hash, so which one it is never depends on the run.
+    """
+    others = [c for c in incoming.columns if c not in keys]
+    order = F.struct(*([F.col(newest)] if newest in others else []), F.xxhash64(*others, F.lit(0)))
+    one = incoming.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_row")).select(*keys, "_row.*") if others else incoming.select(*keys).distinct()
+    return one.join(stored.select(*keys), keys, "left_anti").select(*incoming.columns)
 
-def first_replies(comments: DataFrame, most: int = 20) -> DataFrame:
-    """The first replies of each thread in time order, never by score."""
-    from pyspark.sql import Window
 
+def first_replies(comments: DataFrame, most: int = 20) -> DataFrame:
+    """The first top-level replies of each thread in time order, never by score. A reply to a comment has its ``parent_id``."""
     order = Window.partitionBy("link_id").orderBy("created_utc", "row_key")
-    return comments.withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
+    return comments.where("parent_id is null").withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
 
 
 def page_after(rows: DataFrame, keys: list[str], cursor: tuple | None, n: int) -> DataFrame:
@@ -82,3 +89,42 @@ def page_after(rows: DataFrame, keys: list[str], cursor: tuple | None, n: int) -
             after = (F.col(key) > value) | ((F.col(key) == value) & after)
         rows = rows.where((F.col(keys[0]) >= cursor[0]) & after)  # the first condition by itself reaches the scan
     return rows.orderBy(*keys).limit(n)
+
+
+def row_of(rows: DataFrame, subreddit: str, row_key: str) -> DataFrame:
+    """The stored row with this key, if there is one; both conditions reach the scan, the first prunes folders."""
+    return rows.where((F.col("subreddit") == subreddit.lower()) & (F.col("row_key") == row_key)).limit(1)
+
+
+def promoted(analysis: str = "analysis_json") -> dict[str, Column]:
+    """Columns of the analysis that stand beside it in the store, so that scans need not parse it."""
+    a = F.from_json(analysis, f"struct<{ANALYSIS}>")
+    plain = {"ai_related": F.coalesce(a["ai_related"], F.lit(False)), "stance": F.coalesce(a["stance_on_ai"], F.lit("na")), "experience": F.coalesce(a["persona"]["experience"], F.lit("unknown"))}
+    lists = {"topics_csv": a["topics"], "stance_basis_csv": a["stance_basis"]}
+    return plain | {k: F.array_join(F.coalesce(v, F.array().cast("array<string>")), ",") for k, v in lists.items()} | {"intensity": F.coalesce(a["stance_intensity"], F.lit(0)), "week": F.coalesce(a["week"], F.lit(""))}
+
+
+def save_analysis(rows: DataFrame, made: DataFrame, schema_version: int, most_chars: int = 30_000) -> DataFrame:
+    """The stored rows with a model's results in them. made: (subreddit, row_key, analysis_json) and what else it brings.
+
+    A row of ``made`` is marked analyzed, its analysis stands beside its promoted columns, and an analysis of more than
+    ``most_chars`` characters loses its longest fields, whose names ``analysis_truncated`` tells. Other rows and columns
+    stay. A key that comes twice in ``made`` counts once, the greatest analysis.
+    """
+    fields = F.from_json("analysis_json", "map<string, string>")
+    shrunk = text.shrink_fields(fields, most_chars)
+    one = made.groupBy("subreddit", "row_key").agg(F.max_by(F.struct(*[c for c in made.columns if c not in ("subreddit", "row_key")]), "analysis_json").alias("m")).select("subreddit", "row_key", "m.*")
+    long = F.length("analysis_json") > most_chars
+    cutoff = one.withColumn("_s", F.when(long, shrunk))
+    # what is dropped is cut out of the text's own values, so that the kept ones stay as they were
+    kept = F.when(long, F.to_json(F.map_filter(F.from_json("analysis_json", "map<string, variant>"), lambda k, _: ~F.array_contains(F.col("_s.dropped"), k)))).otherwise(F.col("analysis_json"))
+    packed = cutoff.withColumn("analysis_truncated", F.coalesce(F.array_join("_s.dropped", ","), F.lit(""))).withColumn("analysis_json", kept).drop("_s")
+    new = packed.withColumns(promoted() | {"analyzed": F.lit(True), "schema_version": F.lit(schema_version)})
+    return merge_rows(rows, new, ["subreddit", "row_key"]).drop("is_new")
+
+
+def save_tags(rows: DataFrame, tags: DataFrame) -> DataFrame:
+    """The stored rows with new tags (subreddit, row_key, content_class, content_class_reason); nothing else changes, no row comes."""
+    known = tags.select("subreddit", "row_key", F.col("content_class").alias("_class"), F.col("content_class_reason").alias("_reason"))
+    put = {"content_class": F.coalesce("_class", "content_class"), "content_class_reason": F.when(F.col("_class").isNotNull(), F.col("_reason")).otherwise(F.col("content_class_reason"))}
+    return rows.join(known, ["subreddit", "row_key"], "left").select(*[put.get(c, F.col(c)).alias(c) for c in rows.columns])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope import vocabulary as V
+from agorascope.session import cut
 
 
 def _key(text: Column) -> Column:
@@ -61,6 +62,14 @@ def meta(items: DataFrame) -> DataFrame:
     return items.agg(n(is_human).alias("total_posts"), _count().alias("total_rows"), n(is_human & F.col("ai_related")).alias("ai_related"), n(~is_human).alias("non_human"), n(F.col("content_class") == "bot").alias("bot"), n(F.col("content_class") == "boilerplate").alias("boilerplate"), n(is_human & (F.col("kind") == "post")).alias("submissions"), n(is_human & (F.col("kind") == "comment")).alias("comments"), F.countDistinct(F.when(is_human, F.col("subreddit"))).alias("subreddits"), F.countDistinct(F.when(is_human & (F.col("week") != ""), F.col("week"))).alias("weeks"))
 
 
+def meta_lists(items: DataFrame) -> DataFrame:
+    """The communities and the weeks of human rows, sorted; distinct values are found before they are gathered in one row."""
+    own = human(items)
+    gathered = lambda c, rows: rows.agg(F.array_sort(F.collect_list(c)).alias(c))
+    subs = gathered("subreddit", own.select("subreddit").distinct())
+    return subs.select(F.col("subreddit").alias("subreddits"), gathered("week", own.where("week <> ''").select("week").distinct()).scalar().alias("weeks"))
+
+
 def non_human_reasons(items: DataFrame) -> DataFrame:
     return non_human(items).groupBy("content_class", F.when(F.col("content_class_reason") == "", "unknown").otherwise(F.col("content_class_reason")).alias("reason")).agg(_count().alias("n"))
 
@@ -70,9 +79,9 @@ def topics_table(items: DataFrame) -> DataFrame:
 
 
 def heatmap_weeks(items: DataFrame) -> DataFrame:
-    """Topic and week counts; topics outside the vocabulary are dropped."""
-    rows = human_ai(items).select("week", F.explode("topics").alias("topic"))
-    return rows.join(F.broadcast(topics_table(items).select("topic")), "topic").groupBy("topic", "week").agg(_count().alias("n"))
+    """Topic and week counts; topics outside the vocabulary are dropped, those without rows have one with a null week and 0."""
+    counted = human_ai(items).select("week", F.explode("topics").alias("topic")).where(F.col("topic").isin([t for t, _ in V.TOPICS])).groupBy("topic", "week").agg(_count().alias("n"))
+    return topics_table(items).select("topic").join(counted, "topic", "left").select("topic", "week", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def heatmap_subs(items: DataFrame) -> DataFrame:
@@ -147,16 +156,25 @@ def feature_board(items: DataFrame, n: int = 25) -> DataFrame:
     return _top(rows.groupBy("feature").agg(_count().alias("n"), F.min("seen").alias("seen")), n, F.desc("n"), "seen").select("feature", "n")
 
 
+def feature_names(items: DataFrame, most: int = 400) -> DataFrame:
+    """(member, feature, ai_related, quote, permalink, subreddit): the first features, which a clusterer is given in this order."""
+    first = _top(_exploded(human(items), "features", "permalink"), most, "seen")
+    at = (F.row_number().over(Window.orderBy("seen")) - 1).alias("member")  # at most ``most`` rows
+    return first.select(at, F.col("x.feature").alias("feature"), F.coalesce("x.ai_related", F.lit(False)).alias("ai_related"), F.col("x.quote").alias("quote"), "permalink", "subreddit")
+
+
 def clustered_features(items: DataFrame, groups: DataFrame, n: int = 40, most: int = 400) -> DataFrame:
     """The board of a clusterer's groups (canonical, members: positions among the first ``most`` names).
 
-    A feature is AI-related if at least half its members are; only members that resolve count.
+    ``n`` is the length of a group's list. A feature is AI-related if at least half of the members that resolve are,
+    and one does; the first three of them in list order are its examples. Groups without members stay.
     """
-    first = _top(_exploded(human(items), "features"), most, "seen")
-    names = first.withColumn("member", F.row_number().over(Window.orderBy("seen")) - 1)  # at most 400 rows
-    found = groups.select(F.posexplode("members").alias("at", "member"), "canonical").join(F.broadcast(names), "member")
-    votes = F.count_if(F.coalesce("x.ai_related", F.lit(False)))
-    return _top(found.groupBy("canonical").agg(_count().alias("n"), (votes * 2 >= _count()).alias("ai_related")), n, F.desc("n"), "canonical")
+    numbered = groups.select("canonical", F.size("members").cast("long").alias("n"), F.posexplode_outer("members").alias("at", "member"))
+    found = numbered.join(F.broadcast(feature_names(items, most)), "member", "left")
+    votes, resolved = F.count_if("ai_related"), F.count("feature")
+    listed = F.array_sort(F.collect_list(F.when(F.col("feature").isNotNull(), F.struct("at", F.coalesce("quote", F.lit("")).alias("quote")))))
+    board = found.groupBy("canonical", "n").agg(((votes * 2 >= resolved) & (resolved > 0)).alias("ai_related"), F.array_join(F.transform(F.slice(listed, 1, 3), lambda e: e["quote"]), " | ").alias("examples"))
+    return _top(board, n, F.desc("n"), "canonical")
 
 
 def competitors(items: DataFrame, n: int = 25) -> DataFrame:
@@ -170,30 +188,49 @@ def switching_moments(items: DataFrame, n: int = 40) -> DataFrame:
     return _top(rows, n, "seen").select(F.trim("x.tool").alias("tool"), F.col("x.context").alias("context"), "permalink", "subreddit", "week")
 
 
+def claims() -> Column:
+    topic = F.transform("topics", lambda t: F.struct(F.lit("topic").alias("claim"), t.alias("name")))
+    return F.concat(topic, F.transform("pain_points", lambda p: F.struct(F.lit("pain").alias("claim"), _key(p).alias("name"))))
+
+
+def _claimed(items: DataFrame) -> DataFrame:
+    return human(items).select("thread_id", F.explode(claims()).alias("c")).where("c.name <> ''")
+
+
 def recurrence(items: DataFrame) -> DataFrame:
     """(claim, name, threads): distinct threads of each topic and pain of human rows."""
-    rows = human(items).select("thread_id", F.explode(claims()).alias("c"))
-    return rows.where("c.name <> ''").groupBy("c.claim", "c.name").agg(F.countDistinct("thread_id").alias("threads"))
+    return _claimed(items).groupBy("c.claim", "c.name").agg(F.countDistinct("thread_id").alias("threads"))
 
 
-def claims() -> Column:
-    topic = F.transform("topics", lambda t: F.struct(F.lit("topic").alias("claim"), t.alias("name")))
-    return F.concat(topic, F.transform("pain_points", lambda p: F.struct(F.lit("pain").alias("claim"), _key(p).alias("name"))))
+#: Claims that are looked up by a broadcast, the most frequent ones; the others have at most one in this many of all rows each.
+FREQUENT = 1000
 
 
-def salience(items: DataFrame) -> DataFrame:
-    """(id, salience): the recurrence of a human row's claims, repeats in the row included; 0 without claims."""
-    rows = human(items).select("id", F.explode_outer(claims()).alias("c")).select("id", "c.claim", "c.name")
-    return rows.join(recurrence(items), ["claim", "name"], "left").groupBy("id").agg(F.coalesce(F.sum("threads"), F.lit(0)).alias("salience"))
+def salience(items: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """(id, salience): the recurrence of a human row's claims, repeats in the row included; 0 without claims.
+
+    ``rows`` are the rows asked for, by default all; claims recur over all ``items``. A claim that very many rows make is
+    not shuffled: the ``FREQUENT`` most frequent ones are broadcast, which bounds that table.
+    """
+    by_thread = _claimed(items).groupBy("c.claim", "c.name", "thread_id").agg(_count().alias("n"))
+    known = cut(by_thread.groupBy("claim", "name").agg(_count().alias("threads"), F.sum("n").alias("n")))
+    frequent = known.orderBy(F.desc("n"), "claim", "name").limit(FREQUENT).select("claim", "name", F.col("threads").alias("often"))
+    asked = human(items if rows is None else rows).select("id", F.explode_outer(claims()).alias("c")).select("id", "c.claim", "c.name")
+    first = asked.join(F.broadcast(frequent), ["claim", "name"], "left")
+    # rows that are answered so far have no key left and go past the second join
+    rest = first.where("often is null and name is not null").join(known.select("claim", "name", "threads"), ["claim", "name"])
+    told = first.select("id", F.coalesce("often", F.lit(0)).alias("threads")).unionByName(rest.select("id", "threads"))
+    return told.groupBy("id").agg(F.sum("threads").alias("salience"))
 
 
 def ranked(items: DataFrame, rows: DataFrame) -> DataFrame:
-    return rows.join(salience(items), "id")
+    """``rows`` of ``items`` with their salience, which is computed for them only."""
+    return rows.join(salience(items, rows), "id")
 
 
 def quotes(items: DataFrame, n: int = 400) -> DataFrame:
     rows = ranked(items, human_ai(items).where("quote <> ''"))
-    return _top(rows, n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id").select("id", "quote", "stance", "experience", "subreddit", "permalink", "week", "kind", "salience")
+    return _top(rows, n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id").select("id", "quote", "stance", "experience", F.array_join("topics", ",").alias("topics"), "subreddit", "permalink", "title", "week", "kind", "salience")
 
 
 def persona_sample(items: DataFrame, n: int = 200) -> DataFrame:
@@ -202,22 +239,26 @@ def persona_sample(items: DataFrame, n: int = 200) -> DataFrame:
 
 
 def resonance(items: DataFrame, n: int = 50, least: int = 4) -> DataFrame:
-    """Rows that ask for what the product's pillars offer, by fit and then salience; ``total_matching`` beside each."""
+    """Rows that ask for what the product's pillars offer, by fit and then salience, with what they hit; ``total_matching``
+    beside each. The capture-time score is shown and ranks nothing."""
     pool = F.array_join(F.concat(F.transform("features", lambda f: F.coalesce(f["feature"], F.lit(""))), F.transform("trust_signals", lambda t: F.coalesce(t["signal"], F.lit(""))), "pain_points", F.array("quote")), " | ")
-    fit = sum((F.when(F.array_contains("topics", t), p).otherwise(0) for t, p in V.RESONANCE_TOPICS), F.lit(0))
-    fit = fit + sum((F.when(F.col("pool").rlike(f"(?i){p}"), 2).otherwise(0) for p in V.PILLARS.values()), F.lit(0))
-    rows = human(items).withColumn("pool", pool).withColumn("fit", fit.cast("long")).where(F.col("fit") >= least)
+    tests = [(F.array_contains("topics", t), p, label) for t, p, label in V.RESONANCE_TOPICS] + [(F.col("pool").rlike(f"(?i){p}"), 2, k) for k, p in V.PILLARS.items()]
+    hits = F.filter(F.array(*[F.when(c, F.struct(F.lit(p).alias("points"), F.lit(label).alias("label"))) for c, p, label in tests]), lambda h: h.isNotNull())
+    scored = human(items).withColumn("pool", pool).withColumn("hits", hits).withColumn("fit", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["points"]))
+    rows = scored.where(F.col("fit") >= least).drop("pool")
     total = rows.agg(_count()).scalar().alias("total_matching")
-    return _top(ranked(items, rows), n, F.desc("fit"), F.desc("salience"), "subreddit", "id").select("id", "fit", "salience", "stance", "experience", "week", total)
+    best = _top(ranked(items, rows), n, F.desc("fit"), F.desc("salience"), "subreddit", "id")
+    return best.select("id", "fit", F.array_join(F.transform("hits", lambda h: h["label"]), ",").alias("hits"), "title", "quote", "permalink", "subreddit", "kind", "salience", "score_at_capture", "stance", "experience", "week", total)
 
 
 def spikes(items: DataFrame) -> DataFrame:
-    """Topics of the newest week against the mean of the four observed weeks before, missing weeks as 0."""
+    """Topics of the newest week against the mean of the four observed weeks before, missing weeks as 0; the highest ratio first."""
     topics = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(label).alias("label")) for t, label in V.TOPICS])
     grid = weeks(items).where("back <= 4").select("week", "back", F.inline(topics))
     full = grid.join(heatmap_weeks(items), ["topic", "week"], "left").groupBy("topic", "label").agg(F.coalesce(F.sum(F.when(F.col("back") == 0, F.col("n"))), F.lit(0)).alias("this_week"), (F.coalesce(F.sum(F.when(F.col("back") > 0, F.col("n"))), F.lit(0)) / 4).alias("mean"), F.max("back").alias("last"))
     floor = F.greatest(F.col("mean"), F.lit(1.0))
-    return full.where((F.col("last") == 4) & (F.col("this_week") >= 5) & (F.col("this_week") >= 2 * floor)).select("topic", "label", "this_week", F.round("mean", 1).alias("trailing_mean"), F.round(F.col("this_week") / floor, 1).alias("ratio"))
+    found = full.where((F.col("last") == 4) & (F.col("this_week") >= 5) & (F.col("this_week") >= 2 * floor)).select("topic", "label", "this_week", F.round("mean", 1).alias("trailing_mean"), F.round(F.col("this_week") / floor, 1).alias("ratio"))
+    return found.orderBy(F.desc("ratio"), "topic")
 
 
 def discovery(items: DataFrame, comment_mentions: DataFrame, tracked: list[str], n: int = 40, least: int = 3) -> DataFrame:
@@ -244,7 +285,8 @@ def rule_samples(items: DataFrame, k: int = 5) -> DataFrame:
 def frame_of(tags: dict[str, str], kinds: dict[str, str]) -> Column:
     """Sampling frame: communities by tag, streams by kind; frames are never pooled."""
     look = lambda m, key: F.element_at(F.create_map(*[F.lit(x) for kv in m.items() for x in kv]), key) if m else F.lit(None).cast("string")
-    stream = F.coalesce(F.concat(F.lit("bluesky-"), look(kinds, F.col("subreddit"))), F.lit("bluesky-untagged"))
+    kind = look({k: v for k, v in kinds.items() if v in ("topic", "community")}, F.col("subreddit"))
+    stream = F.coalesce(F.concat(F.lit("bluesky-"), kind), F.lit("bluesky-untagged"))
     tag = look({k.lower(): v for k, v in tags.items()}, F.lower("subreddit"))
     return F.when(F.col("source") == "bluesky", stream).otherwise(F.coalesce(F.concat(F.lit("reddit-"), tag), F.lit("reddit")))
 
@@ -257,14 +299,16 @@ def modal_stance(rows: DataFrame, by: tuple[str, ...] = ("frame",)) -> DataFrame
 
 
 def cohort(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -> DataFrame:
-    """Negativity of each frame by posts, authors and threads; ``is_primary`` marks the population's frame."""
+    """Negativity of each frame by posts, authors and threads. ``is_primary`` marks the population's frame, or, if no row
+    is of it, the frame that comes first in (community, id) order. Frames are as many as there are tags and kinds."""
     rows = human_ai(items).withColumn("frame", frame_of(tags, kinds))
     negative = F.col("stance").isin(*V.NEGATIVE)
-    posts = rows.groupBy("frame").agg(_count().alias("ai_posts"), F.count_if(negative).alias("neg_posts"), F.countDistinct("thread_id").alias("distinct_threads"), F.countDistinct(F.when(negative, F.col("thread_id"))).alias("neg_threads"), F.count_if(negative & (F.col("intensity") >= 3)).alias("intense"), F.count_if(F.col("comment_mix").isNotNull()).alias("commented_posts"))
+    posts = rows.groupBy("frame").agg(_count().alias("ai_posts"), F.count_if(negative).alias("neg_posts"), F.countDistinct("thread_id").alias("distinct_threads"), F.countDistinct(F.when(negative, F.col("thread_id"))).alias("neg_threads"), F.count_if(negative & (F.col("intensity") >= 3)).alias("intense"), F.count_if(F.col("comment_mix").isNotNull()).alias("commented_posts"), F.min(F.struct("subreddit", "id")).alias("seen"))
     authors = modal_stance(rows).groupBy("frame").agg(_count().alias("distinct_authors"), F.count_if(negative).alias("neg_authors"))
     both = posts.join(authors, "frame", "left").na.fill(0, ["distinct_authors", "neg_authors"])
     c = F.col
-    return both.select("frame", (c("frame") == "reddit").alias("is_primary"), "ai_posts", "neg_posts", share(c("neg_posts"), c("ai_posts")).alias("neg_post_share"), "distinct_authors", share(c("neg_authors"), c("distinct_authors")).alias("neg_author_share"), "distinct_threads", share(c("neg_threads"), c("distinct_threads")).alias("neg_thread_share"), share(c("intense"), c("neg_posts")).alias("hi_intensity_neg_share"), "commented_posts")
+    both = both.withColumn("first", F.row_number().over(Window.orderBy((c("frame") == "reddit").desc(), "seen")) == 1)
+    return both.select("frame", c("first").alias("is_primary"), "ai_posts", "neg_posts", share(c("neg_posts"), c("ai_posts")).alias("neg_post_share"), "distinct_authors", share(c("neg_authors"), c("distinct_authors")).alias("neg_author_share"), "distinct_threads", share(c("neg_threads"), c("distinct_threads")).alias("neg_thread_share"), share(c("intense"), c("neg_posts")).alias("hi_intensity_neg_share"), "commented_posts")
 
 
 def cohort_basis(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -> DataFrame:
@@ -279,7 +323,7 @@ def comment_mix(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -
 
 #: Section name to the tables it is made of; each takes the items.
 SECTIONS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
-    "meta": {"counts": meta, "non_human": non_human_reasons},
+    "meta": {"counts": meta, "lists": meta_lists, "non_human": non_human_reasons},
     "heatmap": {"weeks": heatmap_weeks, "subs": heatmap_subs},
     "stance": {"by_week": stance_by_week},
     "distributions": {"experience": lambda i: distribution(i, "experience"), "stance": lambda i: distribution(i, "stance"), "source_stance": source_stance, "topics": topic_totals, "tools": tool_totals, "pains": pain_totals},

@@ -67,7 +67,7 @@ salience AS (SELECT id, sum(threads)::BIGINT AS salience FROM claims JOIN recurr
 observed AS (SELECT week, row_number() OVER (ORDER BY week DESC) - 1 AS back FROM (SELECT DISTINCT week FROM human WHERE week <> '')),
 talk AS (
   SELECT 'c_' || conv_id || '_' || turn AS row_key, 'd' || conv_id AS id, 'src' || (conv_id % 20) AS subreddit, conv_id, turn, role, text AS body, length(text) AS body_chars,
-    regexp_matches(text, '(?i)(^|[^A-Za-z0-9_])({AI})($|[^A-Za-z0-9_])') AS ai_hit FROM conversations),
+    regexp_matches(text, '(?i)(^|[^A-Za-z0-9_])({AI})($|[^A-Za-z0-9_])') AS ai_hit, turn % 3 = 2 AS is_reply FROM conversations),
 body_repeats AS (SELECT subreddit, h, count(*) AS n FROM (SELECT subreddit, {hashed('body', 120)} AS h FROM talk) WHERE h IS NOT NULL GROUP BY ALL),
 judged AS (SELECT *, CASE role WHEN 'assistant' THEN 'automod-author' WHEN 'system' THEN 'stickied' END AS reason FROM talk),
 needles AS (
@@ -97,7 +97,8 @@ def _examples(source: str, keys: str) -> str:
     return f"SELECT {keys}, string_agg(quote, ' | ' ORDER BY r) AS examples FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY subreddit, id) AS r FROM {source}) WHERE r <= 3 GROUP BY {keys}"
 
 
-_RESONANCE = " + ".join([f"{p} * (list_contains(tps, '{t}'))::INT" for t, p in V.RESONANCE_TOPICS] + [f"2 * (regexp_matches(pool, '(?i){p}'))::INT" for p in V.PILLARS.values()])
+_RESONANCE = " + ".join([f"{p} * (list_contains(tps, '{t}'))::INT" for t, p, _ in V.RESONANCE_TOPICS] + [f"2 * (regexp_matches(pool, '(?i){p}'))::INT" for p in V.PILLARS.values()])
+_HITS = ", ".join([f"CASE WHEN list_contains(tps, '{t}') THEN '{label}' END" for t, _, label in V.RESONANCE_TOPICS] + [f"CASE WHEN regexp_matches(pool, '(?i){p}') THEN '{name}' END" for name, p in V.PILLARS.items()])
 _STOP = " + ".join(f"(strpos(w, ' {x} ') > 0)::INT" for x in V.ENGLISH_STOPWORDS)
 _TRIMMED = f"regexp_replace(coalesce(body, ''), '^{SPACE}+|{SPACE}+$', '', 'g')"
 
@@ -108,12 +109,13 @@ SELECTS = {
     "ai_prefilter": "SELECT role, count(*) FILTER (ai_hit) AS n_hit, count(*) AS n FROM talk GROUP BY role",
     "non_english_by_lang": f"SELECT lang, count(*) AS n, count(*) FILTER (length(t) >= 40 AND ({_STOP}) < 2) AS non_english FROM (SELECT lang, t, ' ' || substr(t, 1, 200) || ' ' AS w FROM (SELECT lang, {normalize('text')} AS t FROM documents)) GROUP BY lang",
     "empty_or_removed": f"SELECT subreddit, count(*) FILTER (length({_TRIMMED}) < 20 OR lower({_TRIMMED}) IN ('[removed]', '[deleted]')) AS n FROM base GROUP BY subreddit",
-    "embedding_cosine_top": "SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) / (SELECT sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) FROM embeddings WHERE vec_id = 0), 5) AS similarity FROM embeddings",
+    "vector_base64": "SELECT vec_id, len(embedding) AS n, len(embedding) AS n_equal, round(list_sum(embedding::DOUBLE[]), 3) AS total FROM embeddings",
+    "embedding_cosine_top": "SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], (SELECT embedding FROM embeddings WHERE vec_id = 0)::DOUBLE[]) / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) / (SELECT sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) FROM embeddings WHERE vec_id = 0), 5) AS similarity FROM embeddings ORDER BY similarity DESC, vec_id LIMIT 100",
     "parse_skipped": "SELECT parses AS valid, count(*) AS n FROM stored WHERE analyzed GROUP BY parses",
     "meta_counts": "SELECT count(*) FILTER (class = 'human') AS total_posts, count(*) AS total_rows, count(*) FILTER (class = 'human' AND ai_related) AS ai_related, count(*) FILTER (class <> 'human') AS non_human, count(*) FILTER (class = 'bot') AS bot, count(*) FILTER (class = 'boilerplate') AS boilerplate, count(*) FILTER (class = 'human') AS submissions, 0::BIGINT AS comments, count(DISTINCT subreddit) FILTER (class = 'human') AS subreddits, count(DISTINCT week) FILTER (class = 'human') AS weeks FROM items",
     "content_class_counts": "SELECT class AS content_class, reason, count(*) AS n FROM items WHERE class <> 'human' GROUP BY ALL",
     "classify_with_bodies": f"SELECT r AS reason, count(*) AS n FROM (SELECT CASE WHEN author = 'AutoModerator' THEN 'automod-author' WHEN moderator THEN 'distinguished' WHEN stickied THEN 'stickied' WHEN (th IS NOT NULL AND count(*) OVER (PARTITION BY subreddit, th) > 1) OR (bh IS NOT NULL AND count(*) OVER (PARTITION BY subreddit, bh) > 1) THEN 'repeat-hash' ELSE '' END AS r FROM (SELECT *, {hashed('title', 40)} AS th, {hashed('body', 120)} AS bh FROM stored)) GROUP BY r",
-    "heatmap_topic_week": f"SELECT topic, week, count(*) AS n FROM ai_topics WHERE topic IN ({', '.join(repr(t) for t in T)}) GROUP BY ALL",
+    "heatmap_topic_week": f"SELECT t.topic, a.week, count(a.id) AS n FROM (SELECT unnest({_list(T)}) AS topic) t LEFT JOIN ai_topics a ON a.topic = t.topic GROUP BY ALL",
     "heatmap_sub_topic": "SELECT subreddit, topic, count(*) AS n FROM ai_topics GROUP BY ALL",
     "stance_by_week": "SELECT week, stance, count(*) AS n FROM ai GROUP BY ALL",
     "dist_stance": _board("ai", "stance"),
@@ -131,10 +133,10 @@ SELECTS = {
     "switching_moments": "SELECT tool, 'context ' || q AS context, '/r/' || subreddit || '/' || doc_id AS permalink, subreddit, week FROM tools WHERE switching ORDER BY subreddit, id LIMIT 40",
     "recurrence": "SELECT claim, name, threads FROM recurrence",
     "salience_rows": "SELECT id, salience FROM salience",
-    "quotes_top": "SELECT id, quote, stance, experience, subreddit, '/r/' || subreddit || '/' || doc_id AS permalink, week, 'post' AS kind, salience FROM ai JOIN salience USING (id) WHERE quote <> '' ORDER BY salience DESC, created_utc, id LIMIT 400",
-    "resonance_top": f"SELECT id, fit, salience, stance, experience, week, count(*) OVER () AS total_matching FROM (SELECT *, ({_RESONANCE})::BIGINT AS fit FROM (SELECT h.*, t.tps, concat_ws(' | ', f.feature, 'Signal ' || (q % 7), 'Pain ' || (k % 13), CASE WHEN k % 2 = 0 THEN ' pain ' || (q % 11) || ' ' END, quote) AS pool FROM human h JOIN (SELECT id, list(topic) AS tps FROM topics GROUP BY id) t USING (id) LEFT JOIN features f USING (id))) JOIN salience USING (id) WHERE fit >= 4 ORDER BY fit DESC, salience DESC, subreddit, id LIMIT 50",
-    "topic_spikes": f"SELECT topic, label, cur AS this_week, round(mean, 1) AS trailing_mean, round(cur / greatest(mean, 1.0), 1) AS ratio FROM (SELECT t.topic, t.label, count(a.id) FILTER (o.back = 0) AS cur, count(a.id) FILTER (o.back BETWEEN 1 AND 4) / 4.0 AS mean FROM (SELECT unnest({_list(T)}) AS topic, unnest({_list([x for _, x in V.TOPICS])}) AS label) t LEFT JOIN ai_topics a ON a.topic = t.topic LEFT JOIN observed o ON o.week = a.week GROUP BY ALL) WHERE cur >= 5 AND cur >= 2 * greatest(mean, 1.0) AND (SELECT max(back) FROM observed) >= 4",
-    "discovery_candidates": f"SELECT sub, count(*) AS mentions, array_to_string(list_slice(list_sort(list_distinct(list(subreddit))), 1, 6), ',') AS cited_by FROM (SELECT subreddit, 'sub' || (k % 15) AS sub FROM human WHERE q % 4 = 0) WHERE sub NOT IN ('sub1', 'sub2') GROUP BY sub HAVING count(*) >= 3 ORDER BY mentions DESC, sub LIMIT 40",
+    "quotes_top": "SELECT id, quote, stance, experience, (SELECT string_agg(topic, ',' ORDER BY pos) FROM topics t WHERE t.id = ai.id) AS topics, title, subreddit, '/r/' || subreddit || '/' || doc_id AS permalink, week, 'post' AS kind, salience FROM ai JOIN salience USING (id) WHERE quote <> '' ORDER BY salience DESC, created_utc, id LIMIT 400",
+    "resonance_top": f"SELECT id, fit, hits, title, quote, '/r/' || subreddit || '/' || doc_id AS permalink, subreddit, 'post' AS kind, salience, k::INT AS score_at_capture, stance, experience, week, count(*) OVER () AS total_matching FROM (SELECT *, ({_RESONANCE})::BIGINT AS fit, array_to_string(list_filter([{_HITS}], lambda h: h IS NOT NULL), ',') AS hits FROM (SELECT h.*, t.tps, concat_ws(' | ', f.feature, 'Signal ' || (q % 7), 'Pain ' || (k % 13), CASE WHEN k % 2 = 0 THEN ' pain ' || (q % 11) || ' ' END, quote) AS pool FROM human h JOIN (SELECT id, list(topic) AS tps FROM topics GROUP BY id) t USING (id) LEFT JOIN features f USING (id))) JOIN salience USING (id) WHERE fit >= 4 ORDER BY fit DESC, salience DESC, subreddit, id LIMIT 50",
+    "topic_spikes": f"SELECT topic, label, cur AS this_week, round(mean, 1) AS trailing_mean, round(cur / greatest(mean, 1.0), 1) AS ratio FROM (SELECT t.topic, t.label, count(a.id) FILTER (o.back = 0) AS cur, count(a.id) FILTER (o.back BETWEEN 1 AND 4) / 4.0 AS mean FROM (SELECT unnest({_list(T)}) AS topic, unnest({_list([x for _, x in V.TOPICS])}) AS label) t LEFT JOIN (SELECT *, CASE WHEN k % 4 <> 0 THEN 0 ELSE 4 - q % 4 END AS back FROM ai_topics) a ON a.topic = t.topic CROSS JOIN LATERAL (SELECT a.back) o GROUP BY ALL) WHERE cur >= 5 AND cur >= 2 * greatest(mean, 1.0)",
+    "discovery_candidates": f"SELECT sub, count(*) AS mentions, array_to_string(list_slice(list_sort(list_distinct(list(subreddit))), 1, 6), ',') AS cited_by FROM (SELECT subreddit, 'sub' || (k % 15) AS sub FROM human WHERE q % 4 = 0 UNION ALL SELECT subreddit, 'sub' || (conv_id % 20) FROM talk WHERE turn % 2 = 0 UNION ALL SELECT subreddit, 'src' || (conv_id % 20) FROM talk WHERE turn % 2 = 0) WHERE sub NOT IN ('sub1', 'sub2') AND sub NOT IN (SELECT subreddit FROM human) GROUP BY sub HAVING count(*) >= 3 ORDER BY mentions DESC, sub LIMIT 40",
     "rules_by_sub": "SELECT subreddit, reason, count(*) AS n FROM items WHERE class <> 'human' GROUP BY ALL",
     "rules_samples": f"SELECT subreddit, first_id, text FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY first_id, text) AS r FROM (SELECT subreddit, trim(CASE WHEN quote <> '' THEN quote ELSE 'summary ' || doc_id END, ' ') AS text, min(id) AS first_id FROM items WHERE class <> 'human' GROUP BY ALL) WHERE text <> '') WHERE r <= 5",
     "author_modal_stance": "SELECT frame, author, stance FROM (SELECT *, row_number() OVER (PARTITION BY frame, author ORDER BY n DESC, s) AS r FROM (SELECT frame, author, stance, count(*) AS n, min(subreddit || '/' || id) AS s FROM framed WHERE author <> '[deleted]' GROUP BY ALL)) WHERE r = 1",
@@ -156,15 +158,15 @@ SELECTS = {
     "registry_hashes": f"SELECT subreddit AS sub, h AS hash, max(n) AS repeats, max(kind) AS kind FROM (SELECT subreddit, h, n, 'comment-body' AS kind FROM body_repeats WHERE n > 1 UNION ALL SELECT subreddit, h, count(*), 'title' FROM (SELECT subreddit, {hashed('title', 40)} AS h FROM stored) WHERE h IS NOT NULL GROUP BY ALL HAVING count(*) > 1) GROUP BY ALL",
     "comment_filter_reasons": f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN j.reason IS NOT NULL THEN j.reason WHEN b.n > 1 THEN 'registry-hash' END AS reason FROM (SELECT *, {hashed('body', 120)} AS h FROM judged) j LEFT JOIN body_repeats b ON b.subreddit = j.subreddit AND b.h = j.h) GROUP BY reason",
     "comment_policy_dry_run": "SELECT reason, reason IN ('parent-ai-related', 'long-and-ai-mentioning') AS selected, count(*) AS n FROM (SELECT CASE WHEN coalesce(s.ai_related, false) THEN 'parent-ai-related' WHEN body_chars >= 400 AND ai_hit THEN 'long-and-ai-mentioning' WHEN body_chars < 400 THEN 'too-short' ELSE 'no-ai-mention' END AS reason FROM talk t LEFT JOIN items s ON s.id = t.id) GROUP BY ALL",
-    "comments_first20": "SELECT id AS link_id, row_key, rank AS position FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, row_key) AS rank FROM talk) WHERE rank <= 20",
+    "comments_first20": "SELECT id AS link_id, row_key, rank AS position FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, row_key) AS rank FROM talk WHERE NOT is_reply) WHERE rank <= 20",
     "ingest_dedupe": "SELECT count(*) AS n_new FROM stored WHERE q % 2 = 1",
     "upsert_merge": "SELECT CASE WHEN q % 2 = 0 THEN false ELSE true END AS is_new, count(*) AS n, sum(length(title))::BIGINT AS title_chars, count(*) FILTER (q % 2 = 0 AND q % 37 <> 0) AS analyzed FROM stored GROUP BY 1",
-    "backfill_watermarks": "SELECT subreddit, max(created_utc) AS watermark, count(*) AS n FROM stored GROUP BY subreddit",
+    "backfill_watermarks": "SELECT subreddit, 'post' AS kind, max(created_utc) AS watermark, count(*) AS n FROM stored GROUP BY subreddit",
     "daily_cap_admission": "SELECT id AS row_key, created_utc FROM stored WHERE NOT analyzed ORDER BY created_utc, id LIMIT 15",
     "ask_recency_top": "SELECT id, created_utc, stance FROM items WHERE ai_related AND stance = 'wary' ORDER BY created_utc DESC, id LIMIT 300",
     "reanalyze_selection": "SELECT id AS row_key FROM stored WHERE subreddit = 'src5' AND q % 37 <> 0 ORDER BY id LIMIT 100",
     "health_counts": "SELECT count(*) AS posts, count(*) FILTER (analyzed) AS analyzed, count(*) FILTER (NOT analyzed) AS pending, (SELECT count(*) FROM talk) AS comments FROM stored",
-    "export_rows": "SELECT id, subreddit, week, stance, experience, intensity::INT AS intensity, ai_related FROM items",
+    "export_rows": f"SELECT id, subreddit, title, author, 'post' AS kind, NULL::VARCHAR AS link_id, NULL::VARCHAR AS parent_id, k::INT AS score_at_capture, u::INT AS num_comments_at_capture, created_utc, '/r/' || subreddit || '/' || doc_id AS permalink, nullif(flair, '') AS flair, {V.SCHEMA_VERSION} AS schema_version, '' AS emb, parses, CASE WHEN parses THEN week END AS week FROM stored WHERE analyzed",
     "snapshot_headline": "SELECT (SELECT count(*) FROM items) AS total_rows, (SELECT count(*) FROM items WHERE ai_related) AS ai_rows, stance, count(*) AS n FROM ai GROUP BY stance",
 }
 _FIELDS = "SELECT doc_id, 'title' AS key, substr(string_split(text, chr(10))[1], 1, 200) AS value FROM documents UNION ALL SELECT doc_id, 'body', text FROM documents UNION ALL SELECT doc_id, 'lang', lang FROM documents"
@@ -178,6 +180,19 @@ SELECTS |= {
     "payload_shrunk": f"SELECT doc_id, coalesce(string_agg(key, ',' ORDER BY key) FILTER (upto <= 2000), '') AS kept, coalesce(string_agg(key, ',' ORDER BY key) FILTER (upto > 2000), '') AS dropped FROM (SELECT doc_id, key, sum(coalesce(length(value), 0)) OVER (PARTITION BY doc_id ORDER BY coalesce(length(value), 0), key) AS upto FROM ({_FIELDS})) GROUP BY doc_id",
     "ask_similarity_top": f"SELECT i.id, round({_COSINE}, 5) AS similarity FROM items i JOIN embeddings e ON i.id = 'd' || e.vec_id, (SELECT embedding FROM embeddings WHERE vec_id = 0) t WHERE i.ai_related ORDER BY {_COSINE} DESC, i.id LIMIT 50",
 }
+_MEMBERS = "SELECT 'group ' || g AS canonical, spot, CASE WHEN spot = 2 THEN 9000 ELSE g + 7 * spot END AS member, 14 - g AS n FROM range(7) t(g), range(14) w(spot) WHERE spot <= 13 - g"
+SELECTS |= {
+    "meta_lists": "SELECT (SELECT string_agg(s, ',' ORDER BY s) FROM (SELECT DISTINCT subreddit AS s FROM human)) AS subreddits, (SELECT string_agg(w, ',' ORDER BY w) FROM (SELECT DISTINCT week AS w FROM human WHERE week <> '')) AS weeks",
+    "persona_sample": "SELECT id, stance, experience, 'summary ' || doc_id AS summary, quote FROM ai JOIN salience USING (id) ORDER BY salience DESC, created_utc, id LIMIT 200",
+    "features_clustered": f"SELECT canonical, n, 2 * count(*) FILTER (f.id IS NOT NULL AND u % 2 = 0) >= count(f.id) AND count(f.id) > 0 AS ai_related, coalesce(string_agg('want ' || q, ' | ' ORDER BY spot) FILTER (r <= 3), '') AS examples FROM (SELECT m.*, f.id, h.u, h.q, row_number() OVER (PARTITION BY canonical, f.id IS NULL ORDER BY spot) + CASE WHEN f.id IS NULL THEN 1000 ELSE 0 END AS r FROM ({_MEMBERS}) m LEFT JOIN (SELECT id, row_number() OVER (ORDER BY subreddit, id) - 1 AS member FROM features ORDER BY subreddit, id LIMIT 400) f USING (member) LEFT JOIN human h ON h.id = f.id) f GROUP BY canonical, n ORDER BY n DESC, canonical LIMIT 40",
+    "audit_top_duplicates": f"SELECT h AS hash, count(*) AS n, count(DISTINCT subreddit) AS subs, CASE WHEN count(DISTINCT subreddit) > 1 THEN 'crosspost' ELSE 'repost' END AS kind FROM (SELECT subreddit, {hashed('body', 120)} AS h FROM stored) WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1 ORDER BY n DESC, h LIMIT 20",
+    "audit_missing_bodies": "SELECT subreddit, count(*) FILTER (q % 7 <> 0) AS read, count(*) FILTER (q % 7 = 0) AS missing FROM items GROUP BY subreddit",
+    "audit_quote_sample": "SELECT subreddit, bucket, id, pos::INT AS pos, seen FROM (SELECT *, row_number() OVER (PARTITION BY subreddit, bucket ORDER BY sha1(id || '|' || pos), id, pos) AS r, count(*) OVER (PARTITION BY subreddit, bucket) AS seen FROM provenance) WHERE r <= 5",
+    "retag_saved": SELECTS["retag_report"].replace("SELECT old_reason, reason AS new_reason, count(*) AS n FROM", "SELECT CASE WHEN reason IN ('automod-author', 'distinguished') THEN 'bot' WHEN reason <> '' THEN 'boilerplate' ELSE '-' END AS content_class, CASE WHEN reason = '' THEN '-' ELSE reason END AS reason, count(*) AS n FROM"),
+    "registry_published": f"SELECT subreddit AS sub, h AS hash, count(*) AS repeats, 'title' AS kind FROM (SELECT subreddit, {hashed('title', 40)} AS h FROM items) WHERE h IS NOT NULL GROUP BY ALL HAVING count(*) > 1",
+    "comment_corpus": f"SELECT reason, selected, n, round(n / (SELECT count(*) FROM talk), 6) AS share FROM ({SELECTS['comment_policy_dry_run']})",
+    "analysis_saved": "SELECT q % 5 = 0 AND q % 31 <> 0 AS analyzed, CASE WHEN q % 5 = 0 AND q % 31 <> 0 THEN stance END AS stance, count(*) AS n, CASE WHEN q % 5 = 0 AND q % 31 <> 0 THEN sum(intensity)::BIGINT END AS intensity, count(*) FILTER (q % 5 = 0 AND q % 31 <> 0 AND ai_related) AS ai_related, CASE WHEN q % 5 = 0 AND q % 31 <> 0 THEN sum(topic_chars)::BIGINT END AS topic_chars, CASE WHEN q % 5 = 0 AND q % 31 <> 0 THEN 4 ELSE 3 END AS schema_version FROM (SELECT s.*, length(" + _of(T, "k * 7 + q") + ") + 1 + length(" + _of(T, "u + 3 * q") + ") + CASE WHEN k % 4 = 0 THEN 14 ELSE 0 END AS topic_chars FROM stored s WHERE analyzed OR (q % 31 <> 0 AND q % 5 = 0)) GROUP BY q % 5 = 0 AND q % 31 <> 0, CASE WHEN q % 5 = 0 AND q % 31 <> 0 THEN stance END",
+}
 _COHORT = f"""SELECT p.frame, p.frame = 'reddit' AS is_primary, ai_posts, neg_posts, {SHARE('neg_posts', 'ai_posts')} AS neg_post_share, coalesce(distinct_authors, 0) AS distinct_authors, {SHARE('coalesce(neg_authors, 0)', 'coalesce(distinct_authors, 0)')} AS neg_author_share,
   distinct_threads, {SHARE('neg_threads', 'distinct_threads')} AS neg_thread_share, {SHARE('intense', 'neg_posts')} AS hi_intensity_neg_share, commented_posts
 FROM (SELECT frame, count(*) AS ai_posts, count(*) FILTER (stance IN ('hostile', 'wary')) AS neg_posts, count(DISTINCT id) AS distinct_threads, count(DISTINCT id) FILTER (stance IN ('hostile', 'wary')) AS neg_threads, count(*) FILTER (stance IN ('hostile', 'wary') AND intensity >= 3) AS intense, count(*) FILTER (k % 5 = 0) AS commented_posts FROM framed GROUP BY frame) p

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from agorascope import vocabulary as V
 from agorascope.functions import text as X
-from agorascope.operators.rows import ANALYSIS, parse_rows
-from agorascope.session import read
+from agorascope.operators.classify import classify_untagged
+from agorascope.operators.rows import parse_rows
+from agorascope.session import read, read_texts
 
 FEATURES = ("proof of work", "continuity checker", "offline mode", "control over the ai", "dark mode", "Word export", "disclosure badge", "timeline view", "no training promise", "fast search")
 #: Tags of communities, and kinds of streams, as the settings would hold them.
@@ -26,7 +27,7 @@ def _of(values, index: str) -> str:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of submissions, analysis as JSON text; some of it is cut off, as after a failed write."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = read_texts(spark, sf_dir, "documents").select("doc_id", "text", "source")
     events = read(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id", "ts", F.regexp_extract("props", "([0-9]+)", 1).cast("long").alias("k"))
     labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
     base = docs.join(events, "doc_id").join(labels, "doc_id", "left").select("*", F.expr("doc_id div 20").alias("q"), F.coalesce("user_id", F.lit(0)).alias("u"), F.unix_timestamp("ts").alias("created_utc"))
@@ -67,30 +68,19 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored rows of comments, one for each conversation turn."""
-    turns = read(spark, sf_dir, "conversations")
+    """Stored rows of comments, one for each conversation turn; each third is a reply to the turn before."""
+    turns = read_texts(spark, sf_dir, "conversations")
     return turns.select(
         F.lit("comment").alias("kind"), F.concat(F.lit("c_"), "conv_id", F.lit("_"), "turn").alias("row_key"), F.concat(F.lit("d"), "conv_id").alias("link_id"),
         F.expr("concat('src', conv_id % 20)").alias("subreddit"), F.col("text").alias("body"),
         F.expr("case role when 'assistant' then 'AutoModerator' when 'system' then 'mod' else concat('user', conv_id % 40) end").alias("author"),
         (F.col("role") == "system").alias("stickied"), F.lit(None).cast("string").alias("distinguished"), F.col("turn").alias("created_utc"),
         F.length("text").cast("long").alias("body_chars"), X.mentions_ai(F.col("text")).alias("ai_prefilter_hit"), "conv_id", "turn",
+        F.expr("if(turn % 3 = 2, concat(conv_id, '_', turn - 1), null)").alias("parent_id"),
+        F.expr("if(turn % 2 = 0, array(concat('sub', conv_id % 20), concat('src', conv_id % 20)), array())").alias("sub_mentions"),
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classified items of the analyzed submissions: what every section reads."""
-    from agorascope.operators.classify import classify_untagged
-
     return classify_untagged(parse_rows(posts(spark, sf_dir).where("analyzed")).where("valid").drop("valid"))
-
-
-def human(frame: DataFrame) -> DataFrame:
-    return frame.where(F.coalesce("content_class", F.lit("human")) == "human")
-
-
-def non_human(frame: DataFrame) -> DataFrame:
-    return frame.where(F.coalesce("content_class", F.lit("human")) != "human")
-
-
-__all__ = ["ANALYSIS", "SUB_TAGS", "STREAM_KINDS", "posts", "comments", "items", "human", "non_human"]

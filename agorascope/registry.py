@@ -16,7 +16,9 @@ from agorascope.operators import rows as R
 from agorascope.operators import sections as S
 from agorascope.plans import corpus as C
 from agorascope.plans import engine as E
-from agorascope.session import read
+from agorascope.plans import jobs as J
+from agorascope.session import cut, read, read_texts
+from agorascope.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Copies that make boilerplate in queries over the small derived corpus.
@@ -31,14 +33,26 @@ def _items(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(C.items(spark, d))
 
 
+def _reused(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """As ``_items``, for what uses the items more than once: they are made once and cut."""
+    return lambda spark, d: build(cut(C.items(spark, d)))
+
+
 def _framed(build) -> Query:
-    return lambda spark, d: build(C.items(spark, d), C.SUB_TAGS, C.STREAM_KINDS)
+    return lambda spark, d: build(cut(C.items(spark, d)), C.SUB_TAGS, C.STREAM_KINDS)
 
 
 def _cosine(spark, d):
     vectors = read(spark, d, "embeddings").select("vec_id", X.l2_normalize(F.col("embedding").cast("array<double>")).alias("v"))
     target = vectors.where("vec_id = 0").first()["v"]  # one vector, as a question's would be
-    return vectors.select("vec_id", F.round(X.dot(F.col("v"), F.array(*map(F.lit, target))), 5).alias("similarity"))
+    scored = vectors.select("vec_id", F.round(X.dot(F.col("v"), F.array(*map(F.lit, target))), 5).alias("similarity"))
+    return scored.orderBy(F.desc("similarity"), "vec_id").limit(100)
+
+
+def _base64(spark, d):
+    rows = read(spark, d, "embeddings").withColumn("again", X.vector_from_base64(X.vector_to_base64(F.col("embedding"))))
+    near = F.size(F.filter(F.zip_with("embedding", "again", lambda a, b: F.abs(a - b) < 1e-6), lambda same: same))
+    return rows.select("vec_id", F.size("again").cast("long").alias("n"), near.cast("long").alias("n_equal"), F.round(F.aggregate("again", F.lit(0.0), lambda s, x: s + x), 3).alias("total"))
 
 
 def _sub_mentions(spark, d):
@@ -46,6 +60,11 @@ def _sub_mentions(spark, d):
     return read(spark, d, "pages").select("page_id", F.array_join(F.array_sort(X.sub_mentions(F.concat("url", F.lit(" r/"), host), F.lit(""))), ",").alias("mentions"))
 
 
+def _lists(items: DataFrame) -> DataFrame:
+    found = S.meta_lists(items)
+    return found.select(*[F.array_join(c, ",").alias(c) for c in found.columns])
+
+
 def _registry(spark, d):
     titles = K.harvest(C.posts(spark, d), "title", "title", 40, 1)
     return K.merge_registry(K.harvest(C.comments(spark, d), "body", "comment-body", 120, 1), titles)
@@ -70,8 +89,51 @@ def _new_rows(spark, d):
 
 
 def _provenance(spark, d):
-    items = C.items(spark, d)
-    return A.quote_provenance(items, C.posts(spark, d), C.comments(spark, d))
+    return A.quote_provenance(cut(C.items(spark, d)), C.posts(spark, d), C.comments(spark, d))
+
+
+def _number(id: str) -> str:
+    return f"(cast(substring({id}, 2) as bigint) div 20)"
+
+
+def _spiking(items: DataFrame) -> DataFrame:
+    """Three quarters of the rows in the newest of five weeks."""
+    week = F.expr(f"if(score_at_capture % 4 <> 0, '2024-W05', concat('2024-W0', 1 + {_number('id')} % 4))")
+    return S.spikes(cut(items.withColumn("week", week)))
+
+
+def _clusters(spark, d):
+    groups = spark.range(7).select(F.concat(F.lit("group "), "id").alias("canonical"), F.expr("transform(sequence(0, 13 - cast(id as int)), i -> cast(if(i = 2, 9000, id + 7 * i) as int))").alias("members"))
+    return S.clustered_features(cut(C.items(spark, d)), groups)
+
+
+def _saved(spark, d):
+    rows = C.posts(spark, d).drop("flair")
+    made = rows.where(f"{_number('row_key')} % 31 <> 0 and {_number('row_key')} % 5 = 0").select("subreddit", "row_key", "analysis_json")
+    stored = rows.where("analyzed").withColumns({"analyzed": F.lit(False), "analysis_json": F.lit(None).cast("string")})
+    saved = R.save_analysis(stored, made, 4)
+    return saved.groupBy("analyzed", "stance").agg(_n(), F.sum("intensity").alias("intensity"), F.count_if("ai_related").alias("ai_related"), F.sum(F.length("topics_csv")).alias("topic_chars"), F.max("schema_version").alias("schema_version"))
+
+
+def _tags_saved(spark, d):
+    rows = C.posts(spark, d)
+    changed, _ = J.retag(rows, body=None)
+    saved = R.save_tags(rows, changed)
+    return saved.groupBy(F.coalesce("content_class", F.lit("-")).alias("content_class"), F.coalesce("content_class_reason", F.lit("-")).alias("reason")).agg(_n())
+
+
+def _missing(spark, d):
+    raw = C.posts(spark, d).where(f"{_number('row_key')} % 7 <> 0").select("subreddit", "row_key")
+    return A.missing_bodies(C.items(spark, d), raw)
+
+
+def _dry_run(spark, d):
+    parents = C.items(spark, d).select(F.col("id").alias("row_key"), "ai_related")
+    return E.comment_corpus(C.comments(spark, d), parents)
+
+
+def _export(spark, d):
+    return E.export_rows(C.posts(spark, d)).select(*[c for c in E.export_rows(C.posts(spark, d)).columns if c != "analysis"], F.col("analysis").isNotNull().alias("parses"), F.get_json_object("analysis", "$.week").alias("week"))
 
 
 def _keys(spark, d):
@@ -103,17 +165,19 @@ def _gate(spark, d):
 
 
 QUERIES: dict[str, Query] = {
-    "normalize_hash": lambda s, d: read(s, d, "documents").select("doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized")),
+    "normalize_hash": lambda s, d: read_texts(s, d, "documents").select("doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized")),
     "week_key_counts": lambda s, d: read(s, d, "events").groupBy(X.week_key(F.unix_timestamp("ts")).alias("week")).agg(_n()),
     "sub_mentions": _sub_mentions,
-    "ai_prefilter": lambda s, d: read(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _n()),
-    "non_english_by_lang": lambda s, d: read(s, d, "documents").groupBy("lang").agg(_n(), F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
+    "ai_prefilter": lambda s, d: read_texts(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _n()),
+    "non_english_by_lang": lambda s, d: read_texts(s, d, "documents").groupBy("lang").agg(_n(), F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
     "empty_or_removed": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.count_if(X.is_empty_or_removed(F.col("body"))).alias("n")),
     "embedding_cosine_top": _cosine,
+    "vector_base64": _base64,
     "parse_skipped": lambda s, d: R.parse_rows(C.posts(s, d).where("analyzed")).groupBy("valid").agg(_n()),
     "meta_counts": _items(S.meta),
+    "meta_lists": _reused(_lists),
     "content_class_counts": _items(S.non_human_reasons),
-    "classify_with_bodies": lambda s, d: K.classify_rows(C.posts(s, d), FEW, "body").groupBy(F.col("content_class_reason").alias("reason")).agg(_n()),
+    "classify_with_bodies": lambda s, d: K.classify_bodies(C.posts(s, d), FEW).groupBy(F.col("content_class_reason").alias("reason")).agg(_n()),
     "heatmap_topic_week": _items(S.heatmap_weeks),
     "heatmap_sub_topic": _items(S.heatmap_subs),
     "stance_by_week": _items(S.stance_by_week),
@@ -124,18 +188,20 @@ QUERIES: dict[str, Query] = {
     "dist_tools_top": _items(S.tool_totals),
     "dist_pains_top": _items(S.pain_totals),
     "minbar_baseline": _items(S.baseline_totals),
-    "minbar_dealbreakers": _items(S.dealbreakers),
+    "minbar_dealbreakers": _reused(S.dealbreakers),
     "minbar_kinds": _items(S.dealbreaker_kinds),
-    "trust_board": _items(S.trust_board),
+    "trust_board": _reused(S.trust_board),
     "features_board": _items(S.feature_board),
+    "features_clustered": _clusters,
     "competitors_board": _items(S.competitors),
     "switching_moments": _items(S.switching_moments),
     "recurrence": _items(S.recurrence),
-    "salience_rows": _items(S.salience),
-    "quotes_top": _items(S.quotes),
-    "resonance_top": _items(S.resonance),
-    "topic_spikes": _items(S.spikes),
-    "discovery_candidates": lambda s, d: S.discovery(C.items(s, d), C.comments(s, d).select("subreddit", F.array().cast("array<string>").alias("sub_mentions")), ["sub1", "sub2"]),
+    "salience_rows": _reused(S.salience),
+    "quotes_top": _reused(S.quotes),
+    "persona_sample": _reused(S.persona_sample),
+    "resonance_top": _reused(S.resonance),
+    "topic_spikes": _items(_spiking),
+    "discovery_candidates": lambda s, d: S.discovery(cut(C.items(s, d)), C.comments(s, d).select("subreddit", "sub_mentions"), ["sub1", "sub2"]),
     "rules_by_sub": _items(S.rules),
     "rules_samples": _items(S.rule_samples),
     "cohort_by_frame": _framed(S.cohort),
@@ -143,26 +209,32 @@ QUERIES: dict[str, Query] = {
     "comment_stance_mix": _framed(S.comment_mix),
     "author_modal_stance": lambda s, d: S.modal_stance(S.human_ai(C.items(s, d)).withColumn("frame", S.frame_of(C.SUB_TAGS, C.STREAM_KINDS))),
     "audit_author_top20": _items(A.top_authors),
-    "audit_author_concentration": _items(A.author_concentration),
+    "audit_author_concentration": _reused(A.author_concentration),
     "audit_sub_concentration": _items(lambda i: A.sub_concentration(i, C.SUB_TAGS)),
-    "audit_week_spikes": _items(A.week_concentration),
+    "audit_week_spikes": _reused(A.week_concentration),
     "audit_stance_coherence": _items(A.stance_coherence),
     "audit_detection_coverage": _items(A.detection_coverage),
     "audit_flair": _items(A.flairs),
     "audit_critique_sample": _items(A.critique_sample),
     "audit_body_stats": lambda s, d: A.body_stats(C.posts(s, d)),
     "audit_duplicates": lambda s, d: A.duplicate_summary(C.posts(s, d)),
+    "audit_top_duplicates": lambda s, d: A.top_duplicates(C.posts(s, d)),
+    "audit_missing_bodies": _missing,
     "audit_quote_provenance": lambda s, d: A.quote_buckets(_provenance(s, d)),
     "audit_quote_sample": lambda s, d: A.quote_sample(_provenance(s, d)),
-    "contamination_by_sub": lambda s, d: A.contamination(C.items(s, d), C.comments(s, d)),
-    "retag_report": lambda s, d: A.retag_report(C.posts(s, d), K.classify_rows(C.posts(s, d))),
+    "contamination_by_sub": lambda s, d: A.contamination(cut(C.items(s, d)), C.comments(s, d)),
+    "retag_report": lambda s, d: J.retag(C.posts(s, d), body=None)[1],
+    "retag_saved": _tags_saved,
     "registry_hashes": _registry,
+    "registry_published": lambda s, d: K.registry_of(C.items(s, d), FEW),
     "comment_filter_reasons": _filtered,
     "comment_policy_dry_run": _gate,
+    "comment_corpus": _dry_run,
     "comments_first20": lambda s, d: R.first_replies(C.comments(s, d)).select("link_id", "row_key", F.col("position").cast("long").alias("position")),
     "ingest_dedupe": _new_rows,
     "upsert_merge": _upsert,
-    "backfill_watermarks": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.max("created_utc").alias("watermark"), _n()),
+    "analysis_saved": _saved,
+    "backfill_watermarks": lambda s, d: I.watermarks(C.posts(s, d)),
     "daily_cap_admission": lambda s, d: K.admit_under_cap(C.posts(s, d).where("not analyzed"), 20, 5).select("row_key", "created_utc"),
     "ask_recency_top": lambda s, d: E.ask_rows(C.items(s, d), ai_only=True, stance="wary").select("id", "created_utc", "stance"),
     "reanalyze_selection": lambda s, d: E.reanalyze_selection(C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100).select("row_key"),
@@ -174,8 +246,8 @@ QUERIES: dict[str, Query] = {
     "payload_chunks": _chunked,
     "payload_shrunk": _shrunk,
     "ask_similarity_top": _similar,
-    "export_rows": _items(lambda i: i.select("id", "subreddit", "week", "stance", "experience", "intensity", "ai_related")),
-    "snapshot_headline": _items(E.snapshot),
+    "export_rows": _export,
+    "snapshot_headline": _reused(E.snapshot),
 }
 
 

@@ -1,8 +1,14 @@
-"""Session settings that every query of the package assumes."""
+"""Session settings that every query of the package assumes, and reading and cutting of tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of fewer bytes than this may lie in one row group, which one task reads; it is dealt over all cores instead.
+SMALL = 64 << 20
 
 
 def session(app: str = "agorascope", master: str | None = None, **conf: str) -> SparkSession:
@@ -14,11 +20,42 @@ def session(app: str = "agorascope", master: str | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     return builder.config(map=defaults | conf).getOrCreate()
 
 
-def read(spark: SparkSession, sf_dir: str, table: str):
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a data folder. The path goes to Spark's reader unopened, so any store works."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def read_texts(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """As ``read``, for tables whose rows are costly to work on: one of fewer than ``SMALL`` bytes, whose size is
+    asked of the store, is dealt over the cores; larger ones have row groups enough and are never shuffled."""
+    rows = read(spark, sf_dir, table)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{table}.parquet")
+    size = files.agg(F.sum("length")).first()[0] or 0  # lists the files without reading them
+    return rows.repartition(spark.sparkContext.defaultParallelism) if size < SMALL else rows
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's reliable folder, which the cluster names in spark.checkpoint.dir.
+
+    Only on a local master, where there are no other machines, one is made if none is named.
+    """
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there: it is computed once however often it is used, and a lost
+    executor repeats nothing before."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -1,8 +1,9 @@
-"""An archive of posts and comments as a Spark data source: one partition for each community and time window.
+"""Archives, keyword streams and listings of posts and comments as Spark data sources.
 
 The client that fetches pages is named by the option ``client`` (``package.module:factory``) and made in
-the task, so that tests and clusters bring their own. ``factory()`` returns ``fetch(sub, kind, after,
-before, limit)``, which lists records of ``[after, before)`` in ascending ``created_utc``.
+the task, so that tests and clusters bring their own. For an archive ``factory()`` returns ``fetch(sub, kind,
+after, before, limit)``, which lists records of ``[after, before)`` in ascending ``created_utc``; sessions, tokens and
+throttles are the client's.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ import json
 import time
 from collections.abc import Callable, Iterator
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAGE = 100
@@ -53,32 +56,120 @@ def with_retries(call: Callable, tries: int = 4, most_wait: int = 60, sleep: Cal
     return run
 
 
-class ArchiveReader(DataSourceReader):
+class Place(InputPartition):
+    """One community, stream or listing, and the time from which it is read."""
+
+    def __init__(self, name: str, after: int):
+        super().__init__((name, after))
+        self.name, self.after = name, after
+
+
+def walk_cursor(fetch: Callable, name: str, after: int, most_pages: int) -> Iterator[dict]:
+    """Pages behind a cursor, newest first: until one is empty, has no cursor, or all its records are older than ``after``,
+    and at most ``most_pages``. Older records are left out. ``fetch(name, cursor, after)`` gives (records, next cursor)."""
+    cursor = None
+    for _ in range(most_pages):
+        records, cursor = fetch(name, cursor, after)
+        yield from (r for r in records if int(r["created_utc"]) >= after)
+        if not records or cursor is None or all(int(r["created_utc"]) < after for r in records):
+            return
+
+
+def _names(options: dict) -> list[str]:
+    return [s.strip() for s in options["subs"].split(",") if s.strip()]
+
+
+class Reader(DataSourceReader):
+    """Rows (sub, json, error). With ``isolate`` a community that can't be read gives one row with its error, and what it had
+    given before that stays; without, its error ends the query."""
+
     def __init__(self, options: dict):
         self.options = options
+        self.starts = {k: int(v) for k, v in json.loads(options.get("starts", "{}")).items()}
+
+    def records(self, fetch: Callable, partition) -> Iterator[tuple[str, dict]]:
+        raise NotImplementedError
+
+    def read(self, partition):
+        module, factory = self.options["client"].split(":")
+        try:
+            fetch = with_retries(getattr(importlib.import_module(module), factory)())
+            for sub, record in self.records(fetch, partition):
+                yield (sub, json.dumps(record), None)
+        except Exception as failure:
+            if self.options.get("isolate") != "true":
+                raise
+            yield (partition.sub if isinstance(partition, Window) else partition.name, None, str(failure)[:500] or type(failure).__name__)
+
+
+class ArchiveReader(Reader):
+    """One partition for each community and time window, so that a long walk is spread over tasks."""
 
     def partitions(self) -> list[Window]:
         after, before = int(self.options["after"]), int(self.options["before"])
         step = int(self.options.get("window", 86400 * 7))
-        subs = [s.strip() for s in self.options["subs"].split(",") if s.strip()]
-        return [Window(s, t, min(before, t + step)) for s in subs for t in range(after, before, step)]
+        return [Window(s, t, min(before, t + step)) for s in _names(self.options) for t in range(max(0, self.starts.get(s, after)), before, step)]
 
-    def read(self, partition: Window):
-        module, factory = self.options["client"].split(":")
-        fetch = with_retries(getattr(importlib.import_module(module), factory)())
+    def records(self, fetch, partition):
         for record in walk(fetch, partition.sub, self.options.get("kind", "posts"), partition.after, partition.before):
-            yield (partition.sub, json.dumps(record))
+            yield partition.sub, record
+
+
+class CursorReader(Reader):
+    """One partition for each keyword stream or listing, as a cursor can't be split."""
+
+    def partitions(self) -> list[Place]:
+        return [Place(s, self.starts.get(s, int(self.options.get("after", 0)))) for s in _names(self.options)]
+
+    def records(self, fetch, partition):
+        for record in walk_cursor(fetch, partition.name, partition.after, int(self.options.get("pages", 3))):
+            yield partition.name, record
 
 
 class Archive(DataSource):
-    """``spark.read.format("discussion_archive")`` with options client, subs, after, before, kind, window; rows (sub, json)."""
+    """``spark.read.format("discussion_archive")`` with options client, subs, after, before, kind, window, starts, isolate."""
 
     @classmethod
     def name(cls) -> str:
         return "discussion_archive"
 
     def schema(self) -> str:
-        return "sub string, json string"
+        return "sub string, json string, error string"
 
-    def reader(self, schema) -> ArchiveReader:
+    def reader(self, schema) -> Reader:
         return ArchiveReader(dict(self.options))
+
+
+class Cursored(Archive):
+    """``spark.read.format("discussion_cursor")``: keyword streams (newest first) and listings (new, top or search), with
+    options client, subs, after, pages, starts, isolate. The client knows the query or listing behind a name."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "discussion_cursor"
+
+    def reader(self, schema) -> Reader:
+        return CursorReader(dict(self.options))
+
+
+def replies(posts: DataFrame, client: str, schema: str, least: int = 3, most: int = 20) -> DataFrame:
+    """The first ``most`` replies of each post that has at least ``least``, as the client gives them, without a shuffle.
+
+    ``factory()`` returns ``fetch(row, most)``, which lists records of ``schema``. A post whose replies can't be read has none.
+    """
+    def run(batches):
+        import pandas as pd
+
+        module, factory = client.split(":")
+        fetch = with_retries(getattr(importlib.import_module(module), factory)())
+        for batch in batches:
+            found = []
+            for row in batch.to_dict("records"):
+                try:
+                    found += fetch(row, most)[:most]
+                except Exception:  # one post's replies never end the read; the post itself is kept
+                    continue
+            if found:
+                yield pd.DataFrame(found)
+
+    return posts.where(F.col("num_comments") >= least).mapInPandas(run, schema)

@@ -40,11 +40,22 @@ def comments(raw: DataFrame, body_chars: int = 3000) -> DataFrame:
     )
 
 
-def stream_posts(raw: DataFrame, stream: str) -> DataFrame:
+def replies(raw: DataFrame, most: int = 20, body_chars: int = 3000) -> DataFrame:
+    """(link_id, replies): the first top-level replies of each thread in time order, as they are archived beside a post."""
+    from agorascope.operators.rows import first_replies
+
+    kept = first_replies(comments(raw, body_chars), most)
+    each = F.struct("position", F.struct(F.col("row_key").alias("id"), "author", F.col("score").alias("score_at_capture"), "created_utc", "body").alias("reply"))
+    return kept.groupBy("link_id").agg(F.transform(F.array_sort(F.collect_list(each)), lambda e: e["reply"]).alias("replies"))
+
+
+def stream_posts(raw: DataFrame, stream: str | Column) -> DataFrame:
     """Posts of a keyword stream: the community is the stream's name, the key the author's id and the record's."""
+    name = F.lower(F.lit(stream) if isinstance(stream, str) else stream)
     did, record = F.regexp_extract("uri", "^at://([^/]+)/", 1), F.regexp_extract("uri", "([^/]+)$", 1)
     text = F.coalesce("text", F.lit(""))
     return raw.select(
-        F.lit("bluesky").alias("source"), F.lit("post").alias("kind"), F.lit(stream.lower()).alias("subreddit"), F.concat_ws(".", F.regexp_replace(did, "[^A-Za-z0-9]", "_"), record).alias("row_key"), F.substring(F.substring_index(text, "\n", 1), 1, 200).alias("title"), text.alias("body"), F.coalesce("handle", F.lit("")).alias("author"),
+        F.lit("bluesky").alias("source"), F.lit("post").alias("kind"), name.alias("subreddit"), F.concat_ws(".", F.regexp_replace(did, "[^A-Za-z0-9]", "_"), record).alias("row_key"), F.substring(F.substring_index(text, "\n", 1), 1, 200).alias("title"), text.alias("body"), F.coalesce("handle", F.lit("")).alias("author"),
+        F.when(F.col("handle").isNotNull(), F.concat(F.lit("https://bsky.app/profile/"), "handle", F.lit("/post/"), record)).otherwise(F.col("uri")).alias("permalink"),
         (F.coalesce("like_count", F.lit(0)) + F.coalesce("repost_count", F.lit(0))).alias("score"), F.coalesce("reply_count", F.lit(0)).alias("num_comments"), epoch(F.col("created_at")).alias("created_utc"),
     )

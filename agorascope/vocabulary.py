@@ -35,8 +35,9 @@ PILLARS = {
     "trustLocal": r"local.?(only|first)|offline|own(s|ing)? my (data|words|manuscript)|not train|no training|privacy",
     "safeAI": r"safe(ly)? (try|experiment|use)|without (the )?guilt|boundar|dial|control (over|of) (the )?ai",
 }
-#: What counts as mentioning AI, between characters that are not word characters.
-AI_WORDS = r"a\.?i\.?|artificial intelligence|chatgpt|gpt-?[0-9]*|claude|gemini|llm|copilot|sudowrite|novelcrafter|midjourney|generative|genai|machine.?(written|generated)|ai-?(generated|written|assisted|slop|art)|prompt(ing|ed)?|algorithm(ic)?ally generated"
+#: What counts as mentioning AI, between characters that are not word characters. The boundaries are added by the users of
+#: this pattern, as the two regular expression engines that run it take ``\b`` to mean different things beyond ASCII.
+AI_WORDS = r"a\.?i\.?|artificial intelligence|chatgpt|gpt-?\d*|claude|gemini|llm|copilot|sudowrite|novelcrafter|midjourney|generative|genai|machine.?(written|generated)|ai-?(generated|written|assisted|slop|art)|prompt(ing|ed)?|algorithm(ic)?ally generated"
 ENGLISH_STOPWORDS = ("the", "and", "is", "to", "of", "a", "in", "that", "it", "for", "on", "with", "as", "was", "but", "are", "this", "have", "be", "i")
 REMOVED_MARKERS = ("[removed]", "[deleted]")
 BOT_AUTHORS = ("automoderator",)
@@ -44,4 +45,4 @@ CRITIQUE_FLAIRS = ("critique", "excerpt", "feedback", "sharing")
 FICTION_HEAVY = ("destructivereaders", "betareaders", "writing", "fictionwriting")
 DISCOVERY_NOISE = ("all", "askreddit", "popular", "funny", "pics", "memes", "aita", "amitheasshole")
 #: Topic slugs of the product's concern, with their points and labels.
-RESONANCE_TOPICS = (("provenance-proof", 3), ("continuity-consistency", 2), ("detection-accusations", 2), ("ai-boundaries", 1))
+RESONANCE_TOPICS = (("provenance-proof", 3, "provenance topic"), ("continuity-consistency", 2, "continuity topic"), ("detection-accusations", 2, "accusation pain"), ("ai-boundaries", 1, "boundaries topic"))

@@ -13,6 +13,7 @@ from agorascope.operators import classify as K
 from agorascope.operators import rows as R
 from agorascope.operators import sections as S
 from agorascope.plans import engine as E
+from agorascope.plans.store import Versions
 
 POST = "source string, kind string, subreddit string, row_key string, title string, body string, author string, permalink string, score int, num_comments int, created_utc long, distinguished string, stickied boolean, flair string, link_id string, parent_id string, sub_mentions array<string>, content_class string, content_class_reason string, analyzed boolean, schema_version int, analysis_json string"
 NAMES = [c.split()[0] for c in POST.split(", ")]
@@ -50,7 +51,18 @@ def test_old_tools_are_bare_strings(spark):
 @pytest.mark.parametrize(("copies", "subs", "expected"), [(8, 1, 8), (3, 1, 0), (5, 1, 0), (6, 1, 6), (8, 8, 0)])
 def test_repeated_bodies(spark, copies, subs, expected):
     rows = spark.createDataFrame([post(i, body=RULE_TEXT, subreddit=f"s{i % subs}") for i in range(copies)], POST)
-    assert K.classify_rows(rows, body="body").where("content_class_reason = 'repeat-hash'").count() == expected
+    assert K.classify_bodies(rows).where("content_class_reason = 'repeat-hash'").count() == expected
+
+
+def test_rows_without_a_hash_are_spread_and_texts_hashed_once(spark):
+    rows = spark.createDataFrame([post(i, title="short", body=f"body {i}") for i in range(40)], POST)
+    found = K.classify_bodies(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "sha1" not in plan and "regexp_replace" not in plan  # the hashes were made before the cut
+    assert found.where("content_class = 'human'").count() == 40
+    known = spark.createDataFrame([("s", "h")], "sub string, hash string")
+    keys = K._flag(rows.withColumn("title_hash", F.lit(None).cast("string")), known, "title_hash", "f")._jdf.queryExecution().analyzed().toString()
+    assert "concat(-, row_key" in keys  # a row's own key stands for a missing hash
 
 
 def test_repeated_titles_and_precedence(spark):
@@ -205,19 +217,121 @@ def test_sections_are_isolated(spark, tmp_path):
         raise RuntimeError("boom")
 
     frame = items(spark, [post(i, analysis(i)) for i in range(4)])
-    done = E.run_sections(frame, str(tmp_path), {"meta": S.SECTIONS["meta"], "bad": {"t": broken}, "stance": S.SECTIONS["stance"]})
+    store = Versions(spark, str(tmp_path))
+    done = E.run_sections(frame, store, {"meta": S.SECTIONS["meta"], "bad": {"t": broken}, "stance": S.SECTIONS["stance"]})
     assert done.written == ["meta", "stance"] and done.failed == {"bad": "boom"}
-    assert spark.read.parquet(f"{tmp_path}/bad/_error").first().error == "boom" and spark.read.parquet(f"{tmp_path}/meta/counts").first().total_posts == 4
-
+    assert {r.section: (r.ok, r.error) for r in store.status().collect()} == {"meta": (True, None), "bad": (False, "boom"), "stance": (True, None)}
+    assert store.table("meta", "counts").first().total_posts == 4 and store.table("bad", "t") is None
+    # a section that fails midway leaves its last good tables, and a good run clears its error
+    half = {"meta": {"counts": lambda i: S.meta(i.limit(0)), "later": broken}}
+    assert E.run_sections(frame, store, half).failed == {"meta": "boom"} and store.table("meta", "counts").first().total_posts == 4
+    E.run_sections(frame.limit(1), store, {"bad": S.SECTIONS["meta"]})
+    assert store.status().where("section = 'bad'").first().ok and store.table("bad", "counts").first().total_rows == 1
+
+
+TALK = "kind string, row_key string, link_id string, subreddit string, body string, author string, stickied boolean, distinguished string, created_utc long, body_chars long, ai_prefilter_hit boolean, parent_id string, sub_mentions array<string>"
+
+
+def full_corpus(spark):
+    """Forty analyzed rows over six weeks, some with each list, two that don't parse, and comments."""
+    def full(i):
+        return analysis(
+            i, topics=["other", "provenance-proof", "continuity-consistency"], pain_points=["P1", f"p{i % 3}"], persona={"experience": "hobbyist", "goal": "g"}, stance_basis=["craft-quality"], stance_intensity=i % 4, expected_baseline=["B1"],
+            deal_breakers=[{"item": "X", "kind": "cost", "quote": f"q{i}"}], trust_signals=[{"direction": "builds", "signal": "s", "quote": "t"}], feature_requests=[{"feature": f"F{i % 4}", "ai_related": i % 2 == 0, "quote": f"want {i}"}],
+            tools_mentioned=[{"tool": "Pen", "sentiment": "positive", "switching": True, "context": "c"}], summary="s", comment_stance_mix={"hostile": 1},
+        )
+
+    rows = [post(i, full(i), sub_mentions=["bookbinding"] if i % 10 == 0 else [], title=f"The weekly thread of this community, number {i % 2}") for i in range(40)] + [post(50, "{cut"), post(51, "null")]
+    said = [("comment", f"c_{i}", f"id{i}", "writing", "text", "u", False, None, i, 500, i % 2 == 0, None, ["bookbinding"]) for i in range(4)]
+    return spark.createDataFrame(rows, POST), spark.createDataFrame(said, TALK)
+
+
+def test_whole_rollup(spark, tmp_path):
+    posts, said = full_corpus(spark)
+    told = []
+    models = {"features": lambda names: [("all", list(range(len(names)))), ("none", [999])], "personas": lambda sample, counts: {"n": len(sample)}, "brief": lambda pack: {"boards": sorted(pack)}}
+    engine = E.Engine(spark, posts, said, str(tmp_path), notify=told.append, settings=E.Settings(tags={"writing": "enclave-pro"}, tracked=("drafts",), limits=config.Boilerplate(min_repeats=50)), models=models)
+    done = engine.rollup()
+    assert done.failed == {} and done.ok and (done.rows_scanned, done.rows_analyzed, done.skipped_rows) == (42, 40, 2)
+    expected = {"meta", "heatmap", "stance", "distributions", "features", "minbar", "trust", "cohort", "quotes", "personas", "competitors", "resonance", "signals", "discovery", "rules", "brief", "snapshot"}
+    assert expected <= set(done.written) and done.would_select == 4
+    assert engine.insights("meta").first().total_posts == 40 and engine.insights("cohort").first().frame == "reddit-enclave-pro"
+    assert [tuple(r) for r in engine.insights("discovery").collect()] == [("bookbinding", 8, "writing")]
+    board = {r.canonical: r for r in engine.insights("features").collect()}
+    assert (board["all"].n, board["all"].ai_related, board["all"].examples) == (40, True, "want 0 | want 1 | want 10") and (board["none"].n, board["none"].ai_related, board["none"].examples) == (1, False, "")
+    assert engine.insights("snapshot").count() == 4 and engine.insights("comment_corpus").count() == 1
+    assert json.loads(engine.insights("personas", "made").first().value) == {"n": 40} and "quotes" in json.loads(engine.insights("brief").first().value)["boards"]
+    health = engine.insights("health").first()
+    assert health.last_rollup_ok and health.last_rollup_skipped == 2 and len(health.last_rollup_written) == len(done.written)
+    assert set(engine.insights("all")) >= expected - {"snapshot"}
+    with pytest.raises(ValueError):
+        engine.insights("nope")
 
-def test_engine(spark, tmp_path):
+    def fails(*_):
+        raise RuntimeError("no model")
+
+    engine.models = dict.fromkeys(models, fails)
+    assert engine.rollup().failed == {}
+    row = engine.insights("personas", "made").first()
+    assert json.loads(row.value) == {"n": 40} and row.stale and row.stale_reason == "no model"
+    assert {r.degraded for r in engine.insights("features").collect()} == {"no model"} and engine.insights("features").count() == 4
+    # missing tags fail the cohort alone, whose last good tables stay
+    engine.settings = E.Settings()
+    assert set(engine.rollup({k: v for k, v in engine.sections().items() if k in ("cohort", "stance")}).failed) == {"cohort"}
+    assert engine.insights("cohort").count() == 1 and "SUB_TAGS" in engine.insights("status").where("section = 'cohort'").first().error
+
+
+def test_rollup_publishes_repeated_titles(spark, tmp_path):
+    posts, said = full_corpus(spark)
+    engine = E.Engine(spark, posts, said, str(tmp_path))
+    assert engine.rollup({"meta": S.SECTIONS["meta"]}).registry_hashes == 2
+    assert {(r["sub"], r.repeats, r.kind) for r in engine.registry().collect()} == {("writing", 20, "title")}
+    again = engine.registry().withColumn("repeats", F.lit(3).cast("long")).withColumn("kind", F.lit("comment-body"))
+    engine.publish(again)  # the entry with more repeats stays
+    assert {r.repeats for r in engine.registry().collect()} == {20}
+    report = engine.retag(save=lambda rows: rows.write.parquet(f"{tmp_path}/tagged"))
+    assert {(r.old_reason, r.new_reason): r.n for r in report.collect()} == {("", "repeat-hash"): 40, ("", ""): 2}
+    assert spark.read.parquet(f"{tmp_path}/tagged").where("content_class = 'boilerplate'").count() == 40
+
+
+def test_engine_without_sections_of_its_own(spark, tmp_path):
     posts = spark.createDataFrame([post(i, analysis(i)) for i in range(6)] + [post(7, "{cut")], POST)
-    engine = E.Engine(spark, posts, spark.createDataFrame([("c",)], "row_key string"), str(tmp_path), answer=lambda q, rows: f"{q} {len(rows)}")
+    engine = E.Engine(spark, posts, spark.createDataFrame([], TALK), str(tmp_path), answer=lambda q, rows: f"{q} {len(rows)}")
     done = engine.rollup({k: S.SECTIONS[k] for k in ("stance", "signals")})
     assert done.skipped_rows == 1 and not done.failed and engine.insights("stance").count() > 0
     assert engine.ask("how many", stance="wary") == "how many 2"
-    with pytest.raises(ValueError):
-        engine.insights("nope")
+    engine.export(f"{tmp_path}/export")
+    out = {r.id: r for r in spark.read.json(f"{tmp_path}/export").collect()}
+    assert len(out) == 7 and json.loads(out["id1"].analysis)["stance_on_ai"] == "wary" and out["id7"].analysis is None and out["id2"].score_at_capture == 2
+    assert R.row_of(posts, "Writing", "id3").count() == 1 and R.row_of(posts, "writing", "nope").count() == 0
+    chosen = []
+    assert engine.reanalyze(put=lambda rows: chosen.append(rows.count()), force=True).count() == chosen[0] == 7
+    tables = engine.audit(raw=posts.where("row_key <> 'id1'").select("subreddit", "row_key"))
+    assert (tables["missing"].first().read, tables["missing"].first().missing) == (5, 1)
+
+
+def test_saved_analysis(spark):
+    long = analysis(1, summary="x" * 40_000, notable_quote="kept")
+    rows = spark.createDataFrame([post(i, analyzed=False) for i in range(3)], POST)
+    made = spark.createDataFrame([("writing", "id1", json.dumps(long)), ("writing", "id2", json.dumps(analysis(2)))], "subreddit string, row_key string, analysis_json string")
+    saved = {r.row_key: r for r in R.save_analysis(rows, made, 4).collect()}
+    assert len(saved) == 3 and saved["id0"].analyzed is False and saved["id0"].title == "t0" and saved["id0"].analysis_json is None
+    one = json.loads(saved["id1"].analysis_json)
+    assert saved["id1"].analyzed and saved["id1"].analysis_truncated == "summary" and one == {k: v for k, v in long.items() if k != "summary"} and saved["id1"].stance == "wary"
+    assert (saved["id2"].topics_csv, saved["id2"].week, saved["id2"].schema_version, saved["id2"].analysis_truncated) == ("other", "2026-W32", 4, "") and json.loads(saved["id2"].analysis_json) == analysis(2)
+
+
+def test_one_row_a_key_is_the_newest_whatever_the_run(spark):
+    rows = [("a", "k", t, v) for t, v in ((1, "old"), (3, "new"), (2, "mid"))]
+    for order in (rows, rows[::-1]):
+        given = spark.createDataFrame(order, "subreddit string, row_key string, created_utc long, v string")
+        assert [r.v for r in R.admit(given.limit(0), given, ["subreddit", "row_key"]).collect()] == ["new"]
+
+
+def test_only_top_level_replies_count(spark):
+    said = spark.createDataFrame([("p", f"c{i:02}", i, None if i % 2 else "c00") for i in range(50)], "link_id string, row_key string, created_utc long, parent_id string")
+    found = R.first_replies(said).orderBy("position").collect()
+    assert [r.created_utc for r in found] == list(range(1, 41, 2))
 
 
 def test_ask_by_similarity(spark):
