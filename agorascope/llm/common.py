@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
 
+from agorascope.session import cut, shared_folder
+
 ARROW = {
     "long": pa.int64(),
     "int": pa.int32(),
@@ -79,26 +80,6 @@ def map_batches(df: DataFrame, setup: Callable[[], Callable], schema: list[tuple
     return df.mapInArrow(run, StructType([*df.schema.fields[:carried], *made.fields]))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The session's reliable folder, which the cluster names in spark.checkpoint.dir.
-
-    Only on a local master, where there are no other machines, one is made if none is named.
-    """
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there, so that a lost executor repeats nothing before."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet in the shared folder and reread."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"

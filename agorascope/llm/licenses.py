@@ -43,6 +43,8 @@ NEUTRAL = frozenset("a an and conditions gpl international licence license of so
 ONE_LINE = 12
 #: Words by which a place that a single hit implies is widened, for what is inserted there.
 WIDER = 4
+#: Most words of a region, as a multiple of the template's; what reaches further joins two notices.
+STRETCH = 1.25
 COVERAGE = 0.8
 #: A version like v3 is two words.
 WORD = re.compile(r"v(?=\d)|[^\W_]+")
@@ -127,12 +129,18 @@ class Scanner:
         out, template, at = {}, self.templates[name], 0
         known = set(template)
 
-        def look(a: int, b: int) -> bool:
+        def look(a: int, b: int, again: bool = True) -> bool:
             part = words[a:b]
             if sum(w in known for w in part) < self.coverage * len(template):
                 return False
             matched = align(part, template)
-            if not self.valid(matched, part, name):
+            apart = [k for k, ((i, c), (j, d)) in enumerate(zip(matched, matched[1:], strict=False)) if j - i > d - c + WIDER]
+            first = max((k + 1 for k in apart if k + 1 <= len(matched) // 5), default=0)
+            last = min((k + 1 for k in apart if k + 1 >= len(matched) - len(matched) // 5), default=len(matched))
+            if again and last - first < len(matched):  # stray words at the ends: the place that the others imply
+                (i, c), (j, d) = matched[first], matched[last - 1]
+                return look(max(0, a + i - c), a + j + len(template) - d, again=False)
+            if not self.valid(matched, part, name) or matched[-1][0] - matched[0][0] >= STRETCH * len(template) + WIDER:
                 return False
             out[len(matched), a + matched[0][0], a + matched[-1][0]] = None
             return True
@@ -144,7 +152,7 @@ class Scanner:
                 at += 1
             if not look(a, b) or len(starts) > 1:
                 for start in starts:
-                    for wider in (0, WIDER):
+                    for wider in (0, WIDER, len(template) // 5):
                         look(max(0, start - wider), max(0, start + len(template) + wider))
         return list(out)
 

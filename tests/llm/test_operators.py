@@ -323,6 +323,36 @@ def test_language_learns_and_is_undetermined_without_letters(spark, docs):
     assert {r.doc_id: (r.lang_pred, r.score) for r in found if r.doc_id >= 1000} == {1000: ("und", 0.0), 1001: ("und", 0.0), 1002: ("und", 0.0)}
 
 
+def test_language_on_the_table(spark):
+    """Held-out documents of the sf0.1 table, from which nothing was learned."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null and lang_pred <> 'und'")
+    right = found.groupBy((F.col("lang") == F.col("lang_pred")).alias("right")).count().collect()
+    n = {r.right: r["count"] for r in right}
+    assert n[True] > 0.985 * sum(n.values()) and sum(n.values()) > 1500
+
+
+def test_languages_beyond_the_bound_are_not_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(i, f"some words in language {i % 4} stand here", "abcd"[i % 4]) for i in range(400) if i % 4 < 2 or i % 8 > 4]
+    sample = language.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", 50)
+    assert {r["lang"] for r in sample} == {"a", "b"}
+
+
+def test_training_uses_every_window_of_a_split():
+    seen = []
+
+    class Counting(language.ByteNetwork):
+        def forward(self, windows, positions=False):
+            seen.append(len(windows))
+            return super().forward(windows, positions)
+
+    rng = np.random.default_rng(0)
+    x = rng.integers(1, 255, (127, language.WINDOW + language.WIDEST - 1)).astype(np.uint8)
+    Counting(["a", "b"]).fit(x, rng.integers(0, 2, 127), epochs=1)
+    assert sum(seen) == 127
+
+
 def test_decontamination(spark, docs, empty):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (2, None), (2, "too short"), (3, "")], "item_id long, text string")
     passage = "alpha beta gamma DELTA epsilon zeta, eta theta iota kappa; lambda mu nu xi"
@@ -428,6 +458,51 @@ def test_licenses_are_told_apart():
         assert names(text) == {name}
 
 
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], max(last + 1 if x == y else 0, row[j + 1], row[j])
+    return row[-1]
+
+
+def test_licenses_against_all_regions():
+    """Notices with words changed, left out and put in, several in a text and beside each other: all are found, in place, and
+    wherever something is told, the best alignment of the region covers the template as well."""
+    rng, scanner = random.Random(7), licenses.Scanner(licenses.TEMPLATES, keys=licenses.KEYS)
+    filler = [f"word{i}" for i in range(300)] + "the of and this to in software with".split()
+    planted, found = 0, 0
+    for _ in range(120):
+        parts, places = [], []
+        for name in rng.sample(sorted(licenses.TEMPLATES), rng.randint(1, 3)) * rng.choice((1, 1, 2)):
+            parts += [rng.choice(filler) for _ in range(rng.randint(0, 30))]
+            words, keys = list(scanner.templates[name]), scanner.keys[name]
+            made = []
+            for k, w in enumerate(words):
+                free = len(words) > licenses.ONE_LINE and k not in keys and rng.random() < 0.05
+                made += rng.choice(([], [f"new{k}"], [w, f"new{k}"])) if free else [w]
+            places.append((name, len(parts), len(parts) + len(made)))
+            parts += made
+        text = " ".join(parts + [rng.choice(filler) for _ in range(rng.randint(0, 30))])
+        starts = np.cumsum([0] + [len(w) + 1 for w in text.split(" ")])
+        told = scanner.scan(text)
+        for name, a, b in places:
+            planted += 1
+            found += any(k == name and abs(s - starts[a]) < 60 and abs(e - starts[b]) < 60 for k, _, _, s, e in told)
+        for name, coverage, n, s, e in told:
+            best = longest_common(licenses.WORD.findall(text[s:e].lower()), scanner.templates[name])
+            assert n <= best and best >= licenses.COVERAGE * len(scanner.templates[name]) and coverage == round(n / len(scanner.templates[name]), 6)
+        assert all(x[4] <= y[3] for x, y in zip(told, told[1:], strict=False))  # regions don't overlap
+    assert found >= 0.97 * planted
+
+
+def test_license_places_are_those_of_the_text():
+    scanner = licenses.Scanner(licenses.TEMPLATES, keys=licenses.KEYS)
+    text = "İİİ ΣΑΣ Released Under the MIT LICENSE. İ Licensed under CC BY 4.0. Released under the MIT License. GNU General Public License V3"
+    assert [text[s:e] for _, _, _, s, e in scanner.scan(text)][:3] == ["Released Under the MIT LICENSE", "Licensed under CC BY 4.0", "Released under the MIT License"]
+
+
 def test_increasing_subsequence_is_longest():
     rng = random.Random(1)
     for _ in range(200):
