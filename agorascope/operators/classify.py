@@ -75,12 +75,13 @@ def classify_bodies(rows: DataFrame, limits: Boilerplate = Boilerplate(), body:
 
 
 def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:
-    """A stored tag wins; the others are classified, copies counted among them only, by title."""
-    fresh = F.col("_stored").isNull()
-    renamed = rows.withColumnsRenamed({"content_class": "_stored", "content_class_reason": "_stored_reason", "title": "_shown"}).withColumn("title", F.when(fresh, F.col("_shown")))
-    out = classify_rows(renamed, limits)
-    pick = {"content_class": F.coalesce("_stored", "content_class"), "content_class_reason": F.when(fresh, F.col("content_class_reason")).otherwise(F.col("_stored_reason")), "title": F.col("_shown")}
-    return out.select(*[pick.get(c, F.col(c)).alias(c) for c in rows.columns])
+    """A stored tag wins; the others are classified, copies counted among them only, by title. ``title_hash`` is used if it is there."""
+    fresh = F.col("content_class").isNull()
+    ready = hashed(rows, limits).withColumn("title_hash", F.when(fresh, F.col("title_hash")))
+    out = _tagged(ready.withColumnsRenamed({"content_class": "_stored", "content_class_reason": "_stored_reason"}), limits, {"title_hash": "_t"})
+    stored = F.col("_stored").isNotNull()
+    pick = {"content_class": F.coalesce("_stored", "content_class"), "content_class_reason": F.when(stored, F.col("_stored_reason")).otherwise(F.col("content_class_reason"))}
+    return out.select(*[pick.get(c, F.col(c)).alias(c) for c in rows.columns if c != "title_hash"])
 
 
 def filter_comments(comments: DataFrame, registry: DataFrame | None = None, min_chars: int = 120) -> DataFrame:

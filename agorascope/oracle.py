@@ -105,7 +105,7 @@ _TRIMMED = f"regexp_replace(coalesce(body, ''), '^{SPACE}+|{SPACE}+$', '', 'g')"
 SELECTS = {
     "normalize_hash": f"SELECT doc_id, {hashed('body', 120)} AS hash, length({normalize('body')}) AS n_normalized FROM base",
     "week_key_counts": f"SELECT {WEEK} AS week, count(*) AS n FROM events GROUP BY 1",
-    "sub_mentions": r"SELECT page_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(url || ' r/' || regexp_replace(split_part(split_part(url, '://', 2), '/', 1), '[^A-Za-z0-9]', '_', 'g'), '\br/([A-Za-z0-9_]{3,21})\b', 1), lambda m: lower(m)))), ',') AS mentions FROM pages",
+    "sub_mentions": r"SELECT page_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i AND x <> 'sub_3')[1:30], ',') AS mentions FROM (SELECT page_id, list_transform(regexp_extract_all(url || ' r/' || h || ' r/' || upper(h) || array_to_string(list_transform(range(0, page_id % 40 + 1), lambda i: ' see r/Sub_' || i), ','), '\br/([A-Za-z0-9_]{3,21})\b', 1), lambda m: lower(m)) AS l FROM (SELECT page_id, url, regexp_replace(split_part(split_part(url, '://', 2), '/', 1), '[^A-Za-z0-9]', '_', 'g') AS h FROM pages))",
     "ai_prefilter": "SELECT role, count(*) FILTER (ai_hit) AS n_hit, count(*) AS n FROM talk GROUP BY role",
     "non_english_by_lang": f"SELECT lang, count(*) AS n, count(*) FILTER (length(t) >= 40 AND ({_STOP}) < 2) AS non_english FROM (SELECT lang, t, ' ' || substr(t, 1, 200) || ' ' AS w FROM (SELECT lang, {normalize('text')} AS t FROM documents)) GROUP BY lang",
     "empty_or_removed": f"SELECT subreddit, count(*) FILTER (length({_TRIMMED}) < 20 OR lower({_TRIMMED}) IN ('[removed]', '[deleted]')) AS n FROM base GROUP BY subreddit",
@@ -159,7 +159,7 @@ SELECTS = {
     "comment_filter_reasons": f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN j.reason IS NOT NULL THEN j.reason WHEN b.n > 1 THEN 'registry-hash' END AS reason FROM (SELECT *, {hashed('body', 120)} AS h FROM judged) j LEFT JOIN body_repeats b ON b.subreddit = j.subreddit AND b.h = j.h) GROUP BY reason",
     "comment_policy_dry_run": "SELECT reason, reason IN ('parent-ai-related', 'long-and-ai-mentioning') AS selected, count(*) AS n FROM (SELECT CASE WHEN coalesce(s.ai_related, false) THEN 'parent-ai-related' WHEN body_chars >= 400 AND ai_hit THEN 'long-and-ai-mentioning' WHEN body_chars < 400 THEN 'too-short' ELSE 'no-ai-mention' END AS reason FROM talk t LEFT JOIN items s ON s.id = t.id) GROUP BY ALL",
     "comments_first20": "SELECT id AS link_id, row_key, rank AS position FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, row_key) AS rank FROM talk WHERE NOT is_reply) WHERE rank <= 20",
-    "ingest_dedupe": "SELECT count(*) AS n_new FROM stored WHERE q % 2 = 1",
+    "ingest_dedupe": "SELECT subreddit, id AS row_key, created_utc + 5 AS created_utc, 'newest' AS title FROM stored WHERE q % 2 = 1",
     "upsert_merge": "SELECT CASE WHEN q % 2 = 0 THEN false ELSE true END AS is_new, count(*) AS n, sum(length(title))::BIGINT AS title_chars, count(*) FILTER (q % 2 = 0 AND q % 37 <> 0) AS analyzed FROM stored GROUP BY 1",
     "backfill_watermarks": "SELECT subreddit, 'post' AS kind, max(created_utc) AS watermark, count(*) AS n FROM stored GROUP BY subreddit",
     "daily_cap_admission": "SELECT id AS row_key, created_utc FROM stored WHERE NOT analyzed ORDER BY created_utc, id LIMIT 15",

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from agorascope import vocabulary as V
 from agorascope.functions import text as X
-from agorascope.operators.classify import classify_untagged
+from agorascope.operators.classify import classify_untagged, hashed
 from agorascope.operators.rows import parse_rows
-from agorascope.session import read, read_texts
+from agorascope.session import cut, read, read_texts
 
 FEATURES = ("proof of work", "continuity checker", "offline mode", "control over the ai", "dark mode", "Word export", "disclosure badge", "timeline view", "no training promise", "fast search")
 #: Tags of communities, and kinds of streams, as the settings would hold them.
@@ -82,5 +82,5 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classified items of the analyzed submissions: what every section reads."""
-    return classify_untagged(parse_rows(posts(spark, sf_dir).where("analyzed")).where("valid").drop("valid"))
+    """Classified items of the analyzed submissions: what every section reads. The texts are read and the analyses parsed once."""
+    return classify_untagged(cut(hashed(parse_rows(posts(spark, sf_dir).where("analyzed")).where("valid").drop("valid"))))

@@ -150,7 +150,8 @@ class Engine:
         self.settings, self.models, self.store = settings or Settings(), models or {}, Versions(spark, path)
 
     def items(self) -> DataFrame:
-        return K.classify_untagged(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)
+        """Classified items; the analyses are parsed once and kept in the shared folder."""
+        return K.classify_untagged(cut(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits)
 
     def sections(self) -> dict[str, dict[str, Callable]]:
         """All sections, those that need settings, comments, models or other sections' tables among them, in order."""
@@ -174,7 +175,7 @@ class Engine:
     def rollup(self, sections: dict | None = None) -> Summary:
         """All sections from one kept copy of the items; then the registry, the spike digest and a health row, none of them fatal."""
         began = datetime.now(UTC)
-        parsed = cut(R.parse_rows(self.posts.where("analyzed")))
+        parsed = cut(K.hashed(R.parse_rows(self.posts.where("analyzed")), self.settings.limits))
         items = cut(K.classify_untagged(parsed.where("valid").drop("valid"), self.settings.limits))
         done = run_sections(items, self.store, sections or self.sections())
         counts = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid")).first()

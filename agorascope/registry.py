@@ -17,7 +17,7 @@ from agorascope.operators import sections as S
 from agorascope.plans import corpus as C
 from agorascope.plans import engine as E
 from agorascope.plans import jobs as J
-from agorascope.session import cut, read, read_texts
+from agorascope.session import read, read_texts
 from agorascope.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,13 +33,8 @@ def _items(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(C.items(spark, d))
 
 
-def _reused(build: Callable[[DataFrame], DataFrame]) -> Query:
-    """As ``_items``, for what uses the items more than once: they are made once and cut."""
-    return lambda spark, d: build(cut(C.items(spark, d)))
-
-
 def _framed(build) -> Query:
-    return lambda spark, d: build(cut(C.items(spark, d)), C.SUB_TAGS, C.STREAM_KINDS)
+    return lambda spark, d: build(C.items(spark, d), C.SUB_TAGS, C.STREAM_KINDS)
 
 
 def _cosine(spark, d):
@@ -56,8 +51,11 @@ def _base64(spark, d):
 
 
 def _sub_mentions(spark, d):
+    """Each page's host, in two spellings, and up to 39 more names, one of which is one's own."""
     host = F.regexp_replace(F.regexp_extract("url", "://([^/]*)", 1), "[^A-Za-z0-9]", "_")
-    return read(spark, d, "pages").select("page_id", F.array_join(F.array_sort(X.sub_mentions(F.concat("url", F.lit(" r/"), host), F.lit(""))), ",").alias("mentions"))
+    more = F.expr("array_join(transform(sequence(0, page_id % 40), i -> concat(' see r/Sub_', i)), ',')")
+    text = F.concat("url", F.lit(" r/"), host, F.lit(" r/"), F.upper(host), more)
+    return read(spark, d, "pages").select("page_id", F.array_join(X.sub_mentions(text, F.lit("SUB_3")), ",").alias("mentions"))
 
 
 def _lists(items: DataFrame) -> DataFrame:
@@ -83,13 +81,15 @@ def _upsert(spark, d):
 
 
 def _new_rows(spark, d):
-    rows = C.posts(spark, d).select("subreddit", "row_key")
+    """Half of the rows are stored; of the others each comes three times, the newest not the last."""
+    rows = C.posts(spark, d).select("subreddit", "row_key", "created_utc", "title")
     stored = rows.where("(cast(substring(row_key, 2) as bigint) div 20) % 2 = 0")
-    return R.admit(stored, rows.unionByName(rows), ["subreddit", "row_key"]).agg(F.count(F.lit(1)).alias("n_new"))
+    again = rows.withColumn("created_utc", F.col("created_utc") + 5).withColumn("title", F.lit("newest"))
+    return R.admit(stored, rows.unionByName(again).unionByName(rows), ["subreddit", "row_key"])
 
 
 def _provenance(spark, d):
-    return A.quote_provenance(cut(C.items(spark, d)), C.posts(spark, d), C.comments(spark, d))
+    return A.quote_provenance(C.items(spark, d), C.posts(spark, d), C.comments(spark, d))
 
 
 def _number(id: str) -> str:
@@ -99,12 +99,12 @@ def _number(id: str) -> str:
 def _spiking(items: DataFrame) -> DataFrame:
     """Three quarters of the rows in the newest of five weeks."""
     week = F.expr(f"if(score_at_capture % 4 <> 0, '2024-W05', concat('2024-W0', 1 + {_number('id')} % 4))")
-    return S.spikes(cut(items.withColumn("week", week)))
+    return S.spikes(items.withColumn("week", week))
 
 
 def _clusters(spark, d):
     groups = spark.range(7).select(F.concat(F.lit("group "), "id").alias("canonical"), F.expr("transform(sequence(0, 13 - cast(id as int)), i -> cast(if(i = 2, 9000, id + 7 * i) as int))").alias("members"))
-    return S.clustered_features(cut(C.items(spark, d)), groups)
+    return S.clustered_features(C.items(spark, d), groups)
 
 
 def _saved(spark, d):
@@ -175,7 +175,7 @@ QUERIES: dict[str, Query] = {
     "vector_base64": _base64,
     "parse_skipped": lambda s, d: R.parse_rows(C.posts(s, d).where("analyzed")).groupBy("valid").agg(_n()),
     "meta_counts": _items(S.meta),
-    "meta_lists": _reused(_lists),
+    "meta_lists": _items(_lists),
     "content_class_counts": _items(S.non_human_reasons),
     "classify_with_bodies": lambda s, d: K.classify_bodies(C.posts(s, d), FEW).groupBy(F.col("content_class_reason").alias("reason")).agg(_n()),
     "heatmap_topic_week": _items(S.heatmap_weeks),
@@ -188,20 +188,20 @@ QUERIES: dict[str, Query] = {
     "dist_tools_top": _items(S.tool_totals),
     "dist_pains_top": _items(S.pain_totals),
     "minbar_baseline": _items(S.baseline_totals),
-    "minbar_dealbreakers": _reused(S.dealbreakers),
+    "minbar_dealbreakers": _items(S.dealbreakers),
     "minbar_kinds": _items(S.dealbreaker_kinds),
-    "trust_board": _reused(S.trust_board),
+    "trust_board": _items(S.trust_board),
     "features_board": _items(S.feature_board),
     "features_clustered": _clusters,
     "competitors_board": _items(S.competitors),
     "switching_moments": _items(S.switching_moments),
     "recurrence": _items(S.recurrence),
-    "salience_rows": _reused(S.salience),
-    "quotes_top": _reused(S.quotes),
-    "persona_sample": _reused(S.persona_sample),
-    "resonance_top": _reused(S.resonance),
+    "salience_rows": _items(S.salience),
+    "quotes_top": _items(S.quotes),
+    "persona_sample": _items(S.persona_sample),
+    "resonance_top": _items(S.resonance),
     "topic_spikes": _items(_spiking),
-    "discovery_candidates": lambda s, d: S.discovery(cut(C.items(s, d)), C.comments(s, d).select("subreddit", "sub_mentions"), ["sub1", "sub2"]),
+    "discovery_candidates": lambda s, d: S.discovery(C.items(s, d), C.comments(s, d).select("subreddit", "sub_mentions"), ["sub1", "sub2"]),
     "rules_by_sub": _items(S.rules),
     "rules_samples": _items(S.rule_samples),
     "cohort_by_frame": _framed(S.cohort),
@@ -209,9 +209,9 @@ QUERIES: dict[str, Query] = {
     "comment_stance_mix": _framed(S.comment_mix),
     "author_modal_stance": lambda s, d: S.modal_stance(S.human_ai(C.items(s, d)).withColumn("frame", S.frame_of(C.SUB_TAGS, C.STREAM_KINDS))),
     "audit_author_top20": _items(A.top_authors),
-    "audit_author_concentration": _reused(A.author_concentration),
+    "audit_author_concentration": _items(A.author_concentration),
     "audit_sub_concentration": _items(lambda i: A.sub_concentration(i, C.SUB_TAGS)),
-    "audit_week_spikes": _reused(A.week_concentration),
+    "audit_week_spikes": _items(A.week_concentration),
     "audit_stance_coherence": _items(A.stance_coherence),
     "audit_detection_coverage": _items(A.detection_coverage),
     "audit_flair": _items(A.flairs),
@@ -222,7 +222,7 @@ QUERIES: dict[str, Query] = {
     "audit_missing_bodies": _missing,
     "audit_quote_provenance": lambda s, d: A.quote_buckets(_provenance(s, d)),
     "audit_quote_sample": lambda s, d: A.quote_sample(_provenance(s, d)),
-    "contamination_by_sub": lambda s, d: A.contamination(cut(C.items(s, d)), C.comments(s, d)),
+    "contamination_by_sub": lambda s, d: A.contamination(C.items(s, d), C.comments(s, d)),
     "retag_report": lambda s, d: J.retag(C.posts(s, d), body=None)[1],
     "retag_saved": _tags_saved,
     "registry_hashes": _registry,
@@ -247,7 +247,7 @@ QUERIES: dict[str, Query] = {
     "payload_shrunk": _shrunk,
     "ask_similarity_top": _similar,
     "export_rows": _export,
-    "snapshot_headline": _reused(E.snapshot),
+    "snapshot_headline": _items(E.snapshot),
 }
 
 

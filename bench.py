@@ -9,7 +9,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ("cohort_by_frame", "stance_by_week", "heatmap_topic_week", "quotes_top", "resonance_top", "audit_body_stats", "audit_duplicates", "audit_quote_provenance", "contamination_by_sub", "classify_with_bodies", "normalize_hash", "registry_hashes")
+HEADLINE = ("cohort_by_frame", "stance_by_week", "heatmap_topic_week", "quotes_top", "resonance_top", "audit_body_stats", "audit_duplicates", "audit_quote_provenance", "contamination_by_sub", "classify_with_bodies", "normalize_hash", "registry_hashes", "retag_report")
 
 
 def main() -> None:
