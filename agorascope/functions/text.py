@@ -147,14 +147,18 @@ def vector_from_base64(text: Column) -> Column:
 
     def of(digits: Column) -> Column:
         each = F.transform(F.sequence(F.lit(0), (F.length(digits) / 8 - 1).cast("int")), lambda i: F.substring(digits, i * 8 + 1, F.lit(8)))
-        return F.when((F.length(digits) > 0) & (F.length(digits) % 8 == 0), F.transform(each, element)).when(F.length(digits) == 0, F.array().cast("array<float>"))
+        return F.when(
+            (F.length(digits) > 0) & (F.length(digits) % 8 == 0), F.transform(each, element),
+        ).when(F.length(digits) == 0, F.array().cast("array<float>"))
 
     return _let(F.hex(F.try_to_binary(text, F.lit("base64"))), of)
 
 
 def chunks(text: Column, size: int = 30_000) -> Column:
     """Pieces of ``size`` characters; joined they are the text."""
-    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")), lambda i: F.substring(text, i * size + 1, F.lit(size))))
+    return F.when(
+        F.length(text) == 0, F.array(F.lit("")),
+    ).otherwise(F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / size).cast("int")), lambda i: F.substring(text, i * size + 1, F.lit(size))))
 
 
 def shrink_fields(fields: Column, budget: int) -> Column:
@@ -162,7 +166,9 @@ def shrink_fields(fields: Column, budget: int) -> Column:
 
     Running totals are made in one pass over the fields in order of length.
     """
-    sizes = F.array_sort(F.transform(F.map_entries(fields), lambda e: F.struct(F.coalesce(F.length(e["value"]), F.lit(0)).cast("long").alias("n"), e["key"].alias("key"))))
+    sizes = F.array_sort(F.transform(
+        F.map_entries(fields), lambda e: F.struct(F.coalesce(F.length(e["value"]), F.lit(0)).cast("long").alias("n"), e["key"].alias("key")),
+    ))
     start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<string>").alias("keys"))
 
     def take(state: Column, x: Column) -> Column:
@@ -170,7 +176,13 @@ def shrink_fields(fields: Column, budget: int) -> Column:
         return F.struct(total.alias("total"), F.when(total <= budget, F.array_append(state["keys"], x["key"])).otherwise(state["keys"]).alias("keys"))
 
     keys = F.aggregate(sizes, start, take, lambda state: state["keys"])
-    return _let(keys, lambda k: F.struct(F.map_filter(fields, lambda key, _: F.array_contains(k, key)).alias("kept"), F.array_sort(F.array_except(F.map_keys(fields), k)).alias("dropped")))
+    return _let(
+        keys,
+        lambda k: F.struct(
+            F.map_filter(fields, lambda key, _: F.array_contains(k, key)).alias("kept"),
+            F.array_sort(F.array_except(F.map_keys(fields), k)).alias("dropped"),
+        ),
+    )
 
 
 def marked(kept: Column, dropped: Column) -> Column:
@@ -182,6 +194,8 @@ def shrink_list(values: Column, budget: int) -> Column:
     """The list, halved from its end until its JSON has at most ``budget`` characters."""
     def of(v: Column) -> Column:
         ends = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.call_function("shiftright", F.size(v), k.cast("int")))
-        return F.slice(v, F.lit(1), F.coalesce(F.get(F.filter(ends, lambda n: F.length(F.to_json(F.slice(v, F.lit(1), n))) <= budget), F.lit(0)), F.lit(0)))
+        return F.slice(
+            v, F.lit(1), F.coalesce(F.get(F.filter(ends, lambda n: F.length(F.to_json(F.slice(v, F.lit(1), n))) <= budget), F.lit(0)), F.lit(0)),
+        )
 
     return F.when(F.length(F.to_json(values)) <= budget, values).otherwise(_let(values, of))

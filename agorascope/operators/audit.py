@@ -17,7 +17,10 @@ def _count() -> Column:
 
 
 def authors(items: DataFrame) -> DataFrame:
-    return items.groupBy(F.when(F.col("author") == "", "[unknown]").otherwise(F.col("author")).alias("author")).agg(_count().alias("posts"), F.count_if("ai_related").alias("ai_posts"), F.countDistinct("subreddit").alias("subs"), F.min(F.struct("subreddit", "id")).alias("seen"))
+    return items.groupBy(F.when(F.col("author") == "", "[unknown]").otherwise(F.col("author")).alias("author")).agg(
+        _count().alias("posts"), F.count_if("ai_related").alias("ai_posts"), F.countDistinct("subreddit").alias("subs"),
+        F.min(F.struct("subreddit", "id")).alias("seen"),
+    )
 
 
 def top_authors(items: DataFrame, n: int = 20) -> DataFrame:
@@ -32,17 +35,25 @@ def author_concentration(items: DataFrame) -> DataFrame:
     """
     counts = authors(items).groupBy("ai_posts").agg(_count().alias("n"))
     above = Window.orderBy(F.desc("ai_posts")).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.select("*", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"), counts.agg(F.sum("n")).scalar().alias("total_authors"), counts.agg(F.sum(F.col("n") * F.col("ai_posts"))).scalar().alias("total_ai"))
+    ranked = counts.select(
+        "*", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("before"), counts.agg(F.sum("n")).scalar().alias("total_authors"),
+        counts.agg(F.sum(F.col("n") * F.col("ai_posts"))).scalar().alias("total_ai"),
+    )
     def top(p):
         cut = F.greatest(F.lit(1), F.ceil(F.col("total_authors") * p))
         return F.sum(F.col("ai_posts") * F.greatest(F.lit(0), F.least(F.col("n"), cut - F.col("before"))))
-    return ranked.groupBy("total_authors", "total_ai").agg(top(0.01).alias("a"), top(0.1).alias("b")).select("total_authors", "total_ai", share(F.col("a"), F.col("total_ai")).alias("top1_share"), share(F.col("b"), F.col("total_ai")).alias("top10_share"))
+    return ranked.groupBy("total_authors", "total_ai").agg(top(0.01).alias("a"), top(0.1).alias("b")).select(
+        "total_authors", "total_ai", share(F.col("a"), F.col("total_ai")).alias("top1_share"),
+        share(F.col("b"), F.col("total_ai")).alias("top10_share"),
+    )
 
 
 def sub_concentration(items: DataFrame, tags: dict[str, str]) -> DataFrame:
     """AI posts by community and tag; a tag that begins with ``enclave`` counts as one, in any case of the name."""
     table = F.create_map(*[F.lit(x) for k, v in tags.items() for x in (k.lower(), v)])
-    rows = items.where("ai_related").groupBy("subreddit").agg(_count().alias("n")).withColumn("tag", F.coalesce(F.element_at(table, F.lower("subreddit")), F.lit("population")))
+    rows = items.where("ai_related").groupBy("subreddit").agg(_count().alias("n")).withColumn(
+        "tag", F.coalesce(F.element_at(table, F.lower("subreddit")), F.lit("population")),
+    )
     enclave = rows.agg(share(F.sum(F.when(F.col("tag").startswith("enclave"), F.col("n")).otherwise(0)), F.sum("n"))).scalar()
     return rows.select("subreddit", "tag", "n", enclave.alias("enclave_share"))
 
@@ -50,22 +61,32 @@ def sub_concentration(items: DataFrame, tags: dict[str, str]) -> DataFrame:
 def week_concentration(items: DataFrame) -> DataFrame:
     """Weekly AI posts with the exact median, spikes above three times it, and weeks before 2019."""
     rows = items.where("ai_related and week <> ''").groupBy("week").agg(_count().alias("n"))
-    return rows.select("week", "n", rows.agg(F.median("n")).scalar().alias("median")).select("week", "n", "median", ((F.col("median") > 0) & (F.col("n") > 3 * F.col("median"))).alias("spike"), (F.col("week") < "2019-W01").alias("stray"))
+    return rows.select("week", "n", rows.agg(F.median("n")).scalar().alias("median")).select(
+        "week", "n", "median", ((F.col("median") > 0) & (F.col("n") > 3 * F.col("median"))).alias("spike"),
+        (F.col("week") < "2019-W01").alias("stray"),
+    )
 
 
 def stance_coherence(items: DataFrame) -> DataFrame:
     strong = F.col("stance") != "na"
-    return items.agg(F.count_if(strong & ~F.col("ai_related")).alias("strong_not_ai"), F.count_if(F.col("ai_related") & ~strong).alias("ai_no_stance"), _count().alias("total"))
+    return items.agg(
+        F.count_if(strong & ~F.col("ai_related")).alias("strong_not_ai"), F.count_if(F.col("ai_related") & ~strong).alias("ai_no_stance"),
+        _count().alias("total"),
+    )
 
 
 def detection_coverage(items: DataFrame) -> DataFrame:
     n = lambda k: F.count_if(F.coalesce("content_class", F.lit("human")) == k).alias(k)
-    return items.groupBy("subreddit").agg(_count().alias("total"), n("bot"), n("boilerplate"), n("human")).withColumn("zero_detection", (F.col("bot") == 0) & (F.col("boilerplate") == 0))
+    return items.groupBy("subreddit").agg(_count().alias("total"), n("bot"), n("boilerplate"), n("human")).withColumn(
+        "zero_detection", (F.col("bot") == 0) & (F.col("boilerplate") == 0),
+    )
 
 
 def flairs(items: DataFrame) -> DataFrame:
     critique = F.lower("subreddit").isin(*FICTION_HEAVY) | X.critique_flaired(F.col("flair"))
-    return items.groupBy("subreddit", F.coalesce(F.when(F.col("flair") != "", F.col("flair")), F.lit("(none)")).alias("flair")).agg(_count().alias("n"), F.count_if(critique).alias("critique"))
+    return items.groupBy(
+        "subreddit", F.coalesce(F.when(F.col("flair") != "", F.col("flair")), F.lit("(none)")).alias("flair"),
+    ).agg(_count().alias("n"), F.count_if(critique).alias("critique"))
 
 
 def critique_sample(items: DataFrame, n: int = 30) -> DataFrame:
@@ -75,13 +96,18 @@ def critique_sample(items: DataFrame, n: int = 30) -> DataFrame:
 
 def body_stats(rows: DataFrame, key: str = "subreddit") -> DataFrame:
     """Length sums, and empty, removed or non-English bodies, by community."""
-    return rows.groupBy(key).agg(_count().alias("n"), F.sum(X.utf16_length(F.coalesce("body", F.lit("")))).alias("chars"), F.count_if(X.is_empty_or_removed(F.col("body"))).alias("empty"), F.count_if(X.looks_non_english(F.col("body"))).alias("non_english"))
+    return rows.groupBy(key).agg(
+        _count().alias("n"), F.sum(X.utf16_length(F.coalesce("body", F.lit("")))).alias("chars"),
+        F.count_if(X.is_empty_or_removed(F.col("body"))).alias("empty"), F.count_if(X.looks_non_english(F.col("body"))).alias("non_english"),
+    )
 
 
 def duplicate_hashes(rows: DataFrame, min_chars: int = 120) -> DataFrame:
     """Bodies that occur more than once: crossposts over several communities, reposts within one."""
     hashed = rows.select("subreddit", X.hash_if_eligible(F.col("body"), min_chars).alias("hash")).where("hash is not null")
-    return hashed.groupBy("hash").agg(_count().alias("n"), F.countDistinct("subreddit").alias("subs")).where("n > 1").withColumn("kind", F.when(F.col("subs") > 1, "crosspost").otherwise("repost"))
+    return hashed.groupBy("hash").agg(_count().alias("n"), F.countDistinct("subreddit").alias("subs")).where("n > 1").withColumn(
+        "kind", F.when(F.col("subs") > 1, "crosspost").otherwise("repost"),
+    )
 
 
 def duplicate_summary(rows: DataFrame) -> DataFrame:
@@ -95,8 +121,13 @@ def top_duplicates(rows: DataFrame, n: int = 20) -> DataFrame:
 def quote_fields(items: DataFrame) -> DataFrame:
     """(id, subreddit, field, pos, quote): every verbatim quote of the analysis."""
     of = lambda field, array: F.transform(array, lambda x: F.struct(F.lit(field).alias("field"), x["quote"].alias("quote")))
-    all_of = F.concat(F.array(F.struct(F.lit("notable_quote").alias("field"), F.col("quote").alias("quote"))), of("deal_breakers", "deal_breakers"), of("trust_signals", "trust_signals"), of("feature_requests", "features"))
-    return items.select("id", "subreddit", F.posexplode(all_of).alias("pos", "q")).where("q.quote <> ''").select("id", "subreddit", "pos", "q.field", "q.quote")
+    all_of = F.concat(
+        F.array(F.struct(F.lit("notable_quote").alias("field"), F.col("quote").alias("quote"))), of("deal_breakers", "deal_breakers"),
+        of("trust_signals", "trust_signals"), of("feature_requests", "features"),
+    )
+    return items.select(
+        "id", "subreddit", F.posexplode(all_of).alias("pos", "q"),
+    ).where("q.quote <> ''").select("id", "subreddit", "pos", "q.field", "q.quote")
 
 
 def _needles(items: DataFrame) -> DataFrame:
@@ -117,7 +148,9 @@ def quote_provenance(items: DataFrame, bodies: DataFrame, comments: DataFrame) -
     said = there.select("id", X.normalize(F.col("body")).alias("said"), F.col("reason").isNull().alias("by_human"))
     in_post = quotes.join(posts, "id", "left").withColumn("in_post", F.coalesce(F.instr("post", F.col("needle")) > 0, F.lit(False))).drop("post")
     in_talk = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).groupBy("id", "pos").agg(F.bool_or("by_human").alias("by_human"))
-    bucket = F.when(F.col("in_post"), "post-body").when(F.col("by_human"), "human-comment").when(F.col("by_human").isNotNull(), "bot-comment").otherwise("not-found")
+    bucket = F.when(F.col("in_post"), "post-body").when(F.col("by_human"), "human-comment").when(
+        F.col("by_human").isNotNull(), "bot-comment",
+    ).otherwise("not-found")
     return in_post.join(in_talk, ["id", "pos"], "left").select("id", "subreddit", "field", "pos", bucket.alias("bucket"))
 
 
@@ -142,7 +175,9 @@ def quote_sample(provenance: DataFrame, k: int = 5) -> DataFrame:
     rows = provenance.withColumn("h", F.sha1(F.concat_ws("|", "id", "pos").cast("binary")))
     slots = rows.groupBy(*by, F.substring("h", 1, 3).alias("slot")).agg(_count().alias("n"))  # at most 4096 a group
     upto = Window.partitionBy(*by).orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    last = slots.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < k).groupBy(*by).agg(F.max("slot").alias("slot"))
+    last = slots.withColumn(
+        "before", F.coalesce(F.sum("n").over(upto), F.lit(0)),
+    ).where(F.col("before") < k).groupBy(*by).agg(F.max("slot").alias("slot"))
     seen = slots.groupBy(*by).agg(F.sum("n").alias("seen"))
     near = rows.join(last.join(seen, by), by).where(F.substring("h", 1, 3) <= F.col("slot"))
     ranked = near.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("h", "id", "pos")))
@@ -157,7 +192,9 @@ def contamination(items: DataFrame, comments: DataFrame) -> DataFrame:
     said = judged.where("flagged").select("id", X.normalize(F.col("body")).alias("said"))
     narrow = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).select("id").distinct().withColumn("narrow", F.lit(True))
     rows = items.select("id", "subreddit").join(eligible, "id").join(narrow, "id", "left")
-    return rows.groupBy("subreddit").agg(_count().alias("eligible"), F.count_if("broad").alias("broad"), F.count_if(F.coalesce("narrow", F.lit(False))).alias("narrow"))
+    return rows.groupBy("subreddit").agg(
+        _count().alias("eligible"), F.count_if("broad").alias("broad"), F.count_if(F.coalesce("narrow", F.lit(False))).alias("narrow"),
+    )
 
 
 def retag_report(tagged: DataFrame) -> DataFrame:

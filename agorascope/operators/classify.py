@@ -13,7 +13,9 @@ from agorascope.vocabulary import BOT_AUTHORS
 
 def _by_row(author: Column, distinguished: Column, stickied: Column) -> Column:
     """Reason that a row gives by itself, most certain first; null if there is none."""
-    return F.when(F.lower(author).isin(*BOT_AUTHORS), "automod-author").when(F.lower(distinguished) == "moderator", "distinguished").when(stickied, "stickied")
+    return F.when(F.lower(author).isin(*BOT_AUTHORS), "automod-author").when(
+        F.lower(distinguished) == "moderator", "distinguished",
+    ).when(stickied, "stickied")
 
 
 def class_of(reason: Column) -> Column:
@@ -35,7 +37,9 @@ def _flag(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFra
     known = repeated.select(F.col("sub").alias("_sub"), F.col("hash").alias("_copied"), F.lit(True).alias(flag))
     keys = [F.col(k) for k in ("row_key", "id") if k in rows.columns]
     own = F.coalesce(F.col(hash), *[F.concat(F.lit("-"), k) for k in keys])
-    return rows.withColumn("_own", own).join(known, (F.lower("subreddit") == F.col("_sub")) & (F.col("_own") == F.col("_copied")), "left").drop("_sub", "_copied", "_own")
+    return rows.withColumn("_own", own).join(
+        known, (F.lower("subreddit") == F.col("_sub")) & (F.col("_own") == F.col("_copied")), "left",
+    ).drop("_sub", "_copied", "_own")
 
 
 def hashed(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = None) -> DataFrame:
@@ -70,7 +74,9 @@ def classify_bodies(rows: DataFrame, limits: Boilerplate = Boilerplate(), body:
     and the counts and joins work on that.
     """
     old = F.coalesce("content_class_reason", F.lit("")) if "content_class_reason" in rows.columns else F.lit("")
-    slim = hashed(rows, limits, body).select("subreddit", "row_key", "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"))
+    slim = hashed(rows, limits, body).select(
+        "subreddit", "row_key", "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"),
+    )
     return _tagged(cut(slim), limits, {"title_hash": "_t", "body_hash": "_b"}).drop("author", "distinguished", "stickied")
 
 
@@ -80,7 +86,10 @@ def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> D
     ready = hashed(rows, limits).withColumn("title_hash", F.when(fresh, F.col("title_hash")))
     out = _tagged(ready.withColumnsRenamed({"content_class": "_stored", "content_class_reason": "_stored_reason"}), limits, {"title_hash": "_t"})
     stored = F.col("_stored").isNotNull()
-    pick = {"content_class": F.coalesce("_stored", "content_class"), "content_class_reason": F.when(stored, F.col("_stored_reason")).otherwise(F.col("content_class_reason"))}
+    pick = {
+        "content_class": F.coalesce("_stored", "content_class"),
+        "content_class_reason": F.when(stored, F.col("_stored_reason")).otherwise(F.col("content_class_reason")),
+    }
     return out.select(*[pick.get(c, F.col(c)).alias(c) for c in rows.columns if c != "title_hash"])
 
 
@@ -90,7 +99,9 @@ def filter_comments(comments: DataFrame, registry: DataFrame | None = None, min_
     if registry is not None:
         out = comments.withColumn("_hash", X.hash_if_eligible(F.col("body"), min_chars))
         out, listed = _flag(out, registry.select("sub", "hash").distinct(), "_hash", "_listed"), F.col("_listed")
-    return out.withColumn("reason", F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(listed, "registry-hash"))).drop("_hash", "_listed")
+    return out.withColumn(
+        "reason", F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(listed, "registry-hash")),
+    ).drop("_hash", "_listed")
 
 
 def comment_gate(comments: DataFrame, parents: DataFrame, policy: str = "filtered", min_chars: int = 400) -> DataFrame:
@@ -101,13 +112,19 @@ def comment_gate(comments: DataFrame, parents: DataFrame, policy: str = "filtere
         reason = F.lit("ingest-only" if policy == "ingest-only" else "policy-all")
     else:
         long = F.col("body_chars") >= min_chars
-        reason = F.when(F.coalesce("parent_ai", F.lit(False)), "parent-ai-related").when(long & F.col("ai_prefilter_hit"), "long-and-ai-mentioning").when(~long, "too-short").otherwise("no-ai-mention")
-    return out.withColumn("reason", reason).drop("parent_ai").withColumn("selected", F.col("reason").isin("parent-ai-related", "long-and-ai-mentioning", "policy-all"))
+        reason = F.when(
+            F.coalesce("parent_ai", F.lit(False)), "parent-ai-related",
+        ).when(long & F.col("ai_prefilter_hit"), "long-and-ai-mentioning").when(~long, "too-short").otherwise("no-ai-mention")
+    return out.withColumn("reason", reason).drop("parent_ai").withColumn(
+        "selected", F.col("reason").isin("parent-ai-related", "long-and-ai-mentioning", "policy-all"),
+    )
 
 
 def harvest(rows: DataFrame, text: str, kind: str, min_chars: int, min_repeats: int = 5) -> DataFrame:
     """(sub, hash, repeats, kind): texts that repeat within a community more than ``min_repeats`` times."""
-    return repeat_counts(rows.withColumn("_h", X.hash_if_eligible(F.col(text), min_chars)), "_h").where(F.col("repeats") > min_repeats).withColumn("kind", F.lit(kind))
+    return repeat_counts(
+        rows.withColumn("_h", X.hash_if_eligible(F.col(text), min_chars)), "_h",
+    ).where(F.col("repeats") > min_repeats).withColumn("kind", F.lit(kind))
 
 
 def merge_registry(old: DataFrame, new: DataFrame, most: int = 4000) -> DataFrame:
@@ -119,7 +136,9 @@ def merge_registry(old: DataFrame, new: DataFrame, most: int = 4000) -> DataFram
     both = old.unionByName(new).groupBy("sub", "hash").agg(F.max(F.struct("repeats", "kind")).alias("b")).select("sub", "hash", "b.repeats", "b.kind")
     counts = both.groupBy("sub", "repeats").agg(F.count(F.lit(1)).alias("n"))
     above = Window.partitionBy("sub").orderBy(F.desc("repeats")).rowsBetween(Window.unboundedPreceding, -1)
-    floor = counts.withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))).where(F.col("before") < most).groupBy("sub").agg(F.min("repeats").alias("floor"))
+    floor = counts.withColumn(
+        "before", F.coalesce(F.sum("n").over(above), F.lit(0)),
+    ).where(F.col("before") < most).groupBy("sub").agg(F.min("repeats").alias("floor"))
     kept = both.join(floor, "sub").where(F.col("repeats") >= F.col("floor"))
     rank = F.row_number().over(Window.partitionBy("sub").orderBy(F.desc("repeats"), "hash"))
     return kept.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r", "floor")

@@ -22,7 +22,9 @@ def _key(text: Column) -> Column:
 
 def _exploded(items: DataFrame, array: str, *keep: str) -> DataFrame:
     """One row an element: ``x``, its ``seen`` place, and the kept columns."""
-    return items.select("subreddit", "id", *[k for k in keep if k not in ("subreddit", "id")], F.posexplode(array).alias("pos", "x")).withColumn("seen", F.struct("subreddit", "id", "pos"))
+    return items.select(
+        "subreddit", "id", *[k for k in keep if k not in ("subreddit", "id")], F.posexplode(array).alias("pos", "x"),
+    ).withColumn("seen", F.struct("subreddit", "id", "pos"))
 
 
 def _top(frame: DataFrame, n: int, *order) -> DataFrame:
@@ -59,7 +61,13 @@ def weeks(items: DataFrame) -> DataFrame:
 def meta(items: DataFrame) -> DataFrame:
     is_human = F.coalesce("content_class", F.lit("human")) == "human"
     n = lambda c: F.count_if(c)
-    return items.agg(n(is_human).alias("total_posts"), _count().alias("total_rows"), n(is_human & F.col("ai_related")).alias("ai_related"), n(~is_human).alias("non_human"), n(F.col("content_class") == "bot").alias("bot"), n(F.col("content_class") == "boilerplate").alias("boilerplate"), n(is_human & (F.col("kind") == "post")).alias("submissions"), n(is_human & (F.col("kind") == "comment")).alias("comments"), F.countDistinct(F.when(is_human, F.col("subreddit"))).alias("subreddits"), F.countDistinct(F.when(is_human & (F.col("week") != ""), F.col("week"))).alias("weeks"))
+    return items.agg(
+        n(is_human).alias("total_posts"), _count().alias("total_rows"), n(is_human & F.col("ai_related")).alias("ai_related"),
+        n(~is_human).alias("non_human"), n(F.col("content_class") == "bot").alias("bot"),
+        n(F.col("content_class") == "boilerplate").alias("boilerplate"), n(is_human & (F.col("kind") == "post")).alias("submissions"),
+        n(is_human & (F.col("kind") == "comment")).alias("comments"), F.countDistinct(F.when(is_human, F.col("subreddit"))).alias("subreddits"),
+        F.countDistinct(F.when(is_human & (F.col("week") != ""), F.col("week"))).alias("weeks"),
+    )
 
 
 def meta_lists(items: DataFrame) -> DataFrame:
@@ -67,11 +75,15 @@ def meta_lists(items: DataFrame) -> DataFrame:
     own = human(items)
     gathered = lambda c, rows: rows.agg(F.array_sort(F.collect_list(c)).alias(c))
     subs = gathered("subreddit", own.select("subreddit").distinct())
-    return subs.select(F.col("subreddit").alias("subreddits"), gathered("week", own.where("week <> ''").select("week").distinct()).scalar().alias("weeks"))
+    return subs.select(
+        F.col("subreddit").alias("subreddits"), gathered("week", own.where("week <> ''").select("week").distinct()).scalar().alias("weeks"),
+    )
 
 
 def non_human_reasons(items: DataFrame) -> DataFrame:
-    return non_human(items).groupBy("content_class", F.when(F.col("content_class_reason") == "", "unknown").otherwise(F.col("content_class_reason")).alias("reason")).agg(_count().alias("n"))
+    return non_human(items).groupBy(
+        "content_class", F.when(F.col("content_class_reason") == "", "unknown").otherwise(F.col("content_class_reason")).alias("reason"),
+    ).agg(_count().alias("n"))
 
 
 def topics_table(items: DataFrame) -> DataFrame:
@@ -80,7 +92,9 @@ def topics_table(items: DataFrame) -> DataFrame:
 
 def heatmap_weeks(items: DataFrame) -> DataFrame:
     """Topic and week counts; topics outside the vocabulary are dropped, those without rows have one with a null week and 0."""
-    counted = human_ai(items).select("week", F.explode("topics").alias("topic")).where(F.col("topic").isin([t for t, _ in V.TOPICS])).groupBy("topic", "week").agg(_count().alias("n"))
+    counted = human_ai(items).select(
+        "week", F.explode("topics").alias("topic"),
+    ).where(F.col("topic").isin([t for t, _ in V.TOPICS])).groupBy("topic", "week").agg(_count().alias("n"))
     return topics_table(items).select("topic").join(counted, "topic", "left").select("topic", "week", F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -128,14 +142,23 @@ def _examples(rows: DataFrame, by: list[str], quote: Column, k: int = 3) -> Data
     """First ``k`` quotes of each group in ``seen`` order, joined by `` | ``; partial aggregation keeps ``k`` a task."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy("seen"))
     first = rows.withColumn("_q", quote).withColumn("_r", rank).where(F.col("_r") <= k)
-    return first.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_q"))), lambda s: F.coalesce(s["_q"], F.lit(""))), " | ").alias("examples"))
+    return first.groupBy(*by).agg(F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("_r", "_q"))), lambda s: F.coalesce(s["_q"], F.lit(""))), " | ",
+    ).alias("examples"))
 
 
 def dealbreakers(items: DataFrame, n: int = 30) -> DataFrame:
     """Deal-breakers by item, the first-seen wording and kind, three examples."""
     rows = _exploded(human(items), "deal_breakers").withColumn("key", _key(F.col("x.item")))
-    board = _top(rows.groupBy("key").agg(_count().alias("n"), F.min("seen").alias("seen"), F.min_by("x.item", "seen").alias("item"), F.min_by("x.kind", "seen").alias("kind")), n, F.desc("n"), "seen")
-    return board.join(_examples(rows.join(F.broadcast(board.select("key")), "key"), ["key"], F.col("x.quote")), "key").select("item", "kind", "n", "examples")
+    board = _top(
+        rows.groupBy("key").agg(
+            _count().alias("n"), F.min("seen").alias("seen"), F.min_by("x.item", "seen").alias("item"), F.min_by("x.kind", "seen").alias("kind"),
+        ),
+        n, F.desc("n"), "seen",
+    )
+    return board.join(
+        _examples(rows.join(F.broadcast(board.select("key")), "key"), ["key"], F.col("x.quote")), "key",
+    ).select("item", "kind", "n", "examples")
 
 
 def dealbreaker_kinds(items: DataFrame) -> DataFrame:
@@ -143,11 +166,15 @@ def dealbreaker_kinds(items: DataFrame) -> DataFrame:
 
 
 def trust_board(items: DataFrame, n: int = 20) -> DataFrame:
-    rows = _exploded(human(items), "trust_signals").where(F.col("x.direction").isin("builds", "breaks")).select("seen", F.col("x.direction").alias("direction"), _key(F.col("x.signal")).alias("signal"), F.col("x.quote").alias("quote"))
+    rows = _exploded(human(items), "trust_signals").where(F.col("x.direction").isin("builds", "breaks")).select(
+        "seen", F.col("x.direction").alias("direction"), _key(F.col("x.signal")).alias("signal"), F.col("x.quote").alias("quote"),
+    )
     counted = rows.groupBy("direction", "signal").agg(_count().alias("n"), F.min("seen").alias("seen"))
     board = counted.withColumn("rank", F.row_number().over(Window.partitionBy("direction").orderBy(F.desc("n"), "seen"))).where(F.col("rank") <= n)
     kept = rows.join(F.broadcast(board.select("direction", "signal")), ["direction", "signal"])
-    return board.join(_examples(kept, ["direction", "signal"], F.col("quote")), ["direction", "signal"]).select("direction", "rank", "signal", "n", "examples")
+    return board.join(
+        _examples(kept, ["direction", "signal"], F.col("quote")), ["direction", "signal"],
+    ).select("direction", "rank", "signal", "n", "examples")
 
 
 def feature_board(items: DataFrame, n: int = 25) -> DataFrame:
@@ -160,7 +187,10 @@ def feature_names(items: DataFrame, most: int = 400) -> DataFrame:
     """(member, feature, ai_related, quote, permalink, subreddit): the first features, which a clusterer is given in this order."""
     first = _top(_exploded(human(items), "features", "permalink"), most, "seen")
     at = (F.row_number().over(Window.orderBy("seen")) - 1).alias("member")  # at most ``most`` rows
-    return first.select(at, F.col("x.feature").alias("feature"), F.coalesce("x.ai_related", F.lit(False)).alias("ai_related"), F.col("x.quote").alias("quote"), "permalink", "subreddit")
+    return first.select(
+        at, F.col("x.feature").alias("feature"), F.coalesce("x.ai_related", F.lit(False)).alias("ai_related"), F.col("x.quote").alias("quote"),
+        "permalink", "subreddit",
+    )
 
 
 def clustered_features(items: DataFrame, groups: DataFrame, n: int = 40, most: int = 400) -> DataFrame:
@@ -173,13 +203,22 @@ def clustered_features(items: DataFrame, groups: DataFrame, n: int = 40, most: i
     found = numbered.join(F.broadcast(feature_names(items, most)), "member", "left")
     votes, resolved = F.count_if("ai_related"), F.count("feature")
     listed = F.array_sort(F.collect_list(F.when(F.col("feature").isNotNull(), F.struct("at", F.coalesce("quote", F.lit("")).alias("quote")))))
-    board = found.groupBy("canonical", "n").agg(((votes * 2 >= resolved) & (resolved > 0)).alias("ai_related"), F.array_join(F.transform(F.slice(listed, 1, 3), lambda e: e["quote"]), " | ").alias("examples"))
+    board = found.groupBy("canonical", "n").agg(
+        ((votes * 2 >= resolved) & (resolved > 0)).alias("ai_related"),
+        F.array_join(F.transform(F.slice(listed, 1, 3), lambda e: e["quote"]), " | ").alias("examples"),
+    )
     return _top(board, n, F.desc("n"), "canonical")
 
 
 def competitors(items: DataFrame, n: int = 25) -> DataFrame:
-    rows = _exploded(human(items), "tools").select("seen", F.trim("x.tool").alias("tool"), F.col("x.switching").alias("switching"), F.when(F.col("x.sentiment").isin(*V.TOOL_SENTIMENTS), F.col("x.sentiment")).otherwise("neutral").alias("sentiment")).where("tool <> ''")
-    board = rows.groupBy("tool").agg(_count().alias("mentions"), *[F.count_if(F.col("sentiment") == s).alias(s) for s in V.TOOL_SENTIMENTS], F.count_if("switching").alias("switching"), F.min("seen").alias("seen"))
+    rows = _exploded(human(items), "tools").select(
+        "seen", F.trim("x.tool").alias("tool"), F.col("x.switching").alias("switching"),
+        F.when(F.col("x.sentiment").isin(*V.TOOL_SENTIMENTS), F.col("x.sentiment")).otherwise("neutral").alias("sentiment"),
+    ).where("tool <> ''")
+    board = rows.groupBy("tool").agg(
+        _count().alias("mentions"), *[F.count_if(F.col("sentiment") == s).alias(s) for s in V.TOOL_SENTIMENTS],
+        F.count_if("switching").alias("switching"), F.min("seen").alias("seen"),
+    )
     return _top(board, n, F.desc("mentions"), "seen").drop("seen")
 
 
@@ -230,40 +269,65 @@ def ranked(items: DataFrame, rows: DataFrame) -> DataFrame:
 
 def quotes(items: DataFrame, n: int = 400) -> DataFrame:
     rows = ranked(items, human_ai(items).where("quote <> ''"))
-    return _top(rows, n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id").select("id", "quote", "stance", "experience", F.array_join("topics", ",").alias("topics"), "subreddit", "permalink", "title", "week", "kind", "salience")
+    return _top(rows, n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id").select(
+        "id", "quote", "stance", "experience", F.array_join("topics", ",").alias("topics"), "subreddit", "permalink", "title", "week", "kind",
+        "salience",
+    )
 
 
 def persona_sample(items: DataFrame, n: int = 200) -> DataFrame:
     """What a persona writer is given, by the same order."""
-    return _top(ranked(items, human_ai(items)), n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id").select("id", "stance", "experience", "summary", "quote")
+    return _top(
+        ranked(items, human_ai(items)), n, F.desc("salience"), F.coalesce("created_utc", F.lit(0)), "id",
+    ).select("id", "stance", "experience", "summary", "quote")
 
 
 def resonance(items: DataFrame, n: int = 50, least: int = 4) -> DataFrame:
     """Rows that ask for what the product's pillars offer, by fit and then salience, with what they hit; ``total_matching``
     beside each. The capture-time score is shown and ranks nothing."""
-    pool = F.array_join(F.concat(F.transform("features", lambda f: F.coalesce(f["feature"], F.lit(""))), F.transform("trust_signals", lambda t: F.coalesce(t["signal"], F.lit(""))), "pain_points", F.array("quote")), " | ")
+    pool = F.array_join(
+        F.concat(
+            F.transform("features", lambda f: F.coalesce(f["feature"], F.lit(""))),
+            F.transform("trust_signals", lambda t: F.coalesce(t["signal"], F.lit(""))), "pain_points", F.array("quote"),
+        ),
+        " | ",
+    )
     tests = [(F.array_contains("topics", t), p, label) for t, p, label in V.RESONANCE_TOPICS] + [(F.col("pool").rlike(f"(?i){p}"), 2, k) for k, p in V.PILLARS.items()]
-    hits = F.filter(F.array(*[F.when(c, F.struct(F.lit(p).alias("points"), F.lit(label).alias("label"))) for c, p, label in tests]), lambda h: h.isNotNull())
-    scored = human(items).withColumn("pool", pool).withColumn("hits", hits).withColumn("fit", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["points"]))
+    hits = F.filter(
+        F.array(*[F.when(c, F.struct(F.lit(p).alias("points"), F.lit(label).alias("label"))) for c, p, label in tests]), lambda h: h.isNotNull(),
+    )
+    scored = human(items).withColumn("pool", pool).withColumn("hits", hits).withColumn(
+        "fit", F.aggregate("hits", F.lit(0).cast("long"), lambda a, h: a + h["points"]),
+    )
     rows = scored.where(F.col("fit") >= least).drop("pool")
     total = rows.agg(_count()).scalar().alias("total_matching")
     best = _top(ranked(items, rows), n, F.desc("fit"), F.desc("salience"), "subreddit", "id")
-    return best.select("id", "fit", F.array_join(F.transform("hits", lambda h: h["label"]), ",").alias("hits"), "title", "quote", "permalink", "subreddit", "kind", "salience", "score_at_capture", "stance", "experience", "week", total)
+    return best.select(
+        "id", "fit", F.array_join(F.transform("hits", lambda h: h["label"]), ",").alias("hits"), "title", "quote", "permalink", "subreddit", "kind",
+        "salience", "score_at_capture", "stance", "experience", "week", total,
+    )
 
 
 def spikes(items: DataFrame) -> DataFrame:
     """Topics of the newest week against the mean of the four observed weeks before, missing weeks as 0; the highest ratio first."""
     topics = F.array(*[F.struct(F.lit(t).alias("topic"), F.lit(label).alias("label")) for t, label in V.TOPICS])
     grid = weeks(items).where("back <= 4").select("week", "back", F.inline(topics))
-    full = grid.join(heatmap_weeks(items), ["topic", "week"], "left").groupBy("topic", "label").agg(F.coalesce(F.sum(F.when(F.col("back") == 0, F.col("n"))), F.lit(0)).alias("this_week"), (F.coalesce(F.sum(F.when(F.col("back") > 0, F.col("n"))), F.lit(0)) / 4).alias("mean"), F.max("back").alias("last"))
+    full = grid.join(heatmap_weeks(items), ["topic", "week"], "left").groupBy("topic", "label").agg(
+        F.coalesce(F.sum(F.when(F.col("back") == 0, F.col("n"))), F.lit(0)).alias("this_week"),
+        (F.coalesce(F.sum(F.when(F.col("back") > 0, F.col("n"))), F.lit(0)) / 4).alias("mean"), F.max("back").alias("last"),
+    )
     floor = F.greatest(F.col("mean"), F.lit(1.0))
-    found = full.where((F.col("last") == 4) & (F.col("this_week") >= 5) & (F.col("this_week") >= 2 * floor)).select("topic", "label", "this_week", F.round("mean", 1).alias("trailing_mean"), F.round(F.col("this_week") / floor, 1).alias("ratio"))
+    found = full.where((F.col("last") == 4) & (F.col("this_week") >= 5) & (F.col("this_week") >= 2 * floor)).select(
+        "topic", "label", "this_week", F.round("mean", 1).alias("trailing_mean"), F.round(F.col("this_week") / floor, 1).alias("ratio"),
+    )
     return found.orderBy(F.desc("ratio"), "topic")
 
 
 def discovery(items: DataFrame, comment_mentions: DataFrame, tracked: list[str], n: int = 40, least: int = 3) -> DataFrame:
     """Communities named at least ``least`` times and neither tracked, ingested nor noise. comment_mentions: (subreddit, sub_mentions)."""
-    rows = human(items).select("subreddit", F.explode("sub_mentions").alias("sub")).unionByName(comment_mentions.select("subreddit", F.explode("sub_mentions").alias("sub")))
+    rows = human(items).select(
+        "subreddit", F.explode("sub_mentions").alias("sub"),
+    ).unionByName(comment_mentions.select("subreddit", F.explode("sub_mentions").alias("sub")))
     own = human(items).select(F.col("subreddit").alias("sub")).distinct()
     rows = rows.where(F.col("sub") != "").where(~F.col("sub").isin(*tracked, *V.DISCOVERY_NOISE)).join(own, "sub", "left_anti")
     found = rows.groupBy("sub").agg(_count().alias("mentions"), F.collect_set("subreddit").alias("by")).where(F.col("mentions") >= least)
@@ -272,14 +336,18 @@ def discovery(items: DataFrame, comment_mentions: DataFrame, tracked: list[str],
 
 def rules(items: DataFrame) -> DataFrame:
     """Non-human rows by community and reason."""
-    return non_human(items).groupBy("subreddit", F.when(F.col("content_class_reason") == "", "unknown").otherwise(F.col("content_class_reason")).alias("reason")).agg(_count().alias("n"))
+    return non_human(items).groupBy(
+        "subreddit", F.when(F.col("content_class_reason") == "", "unknown").otherwise(F.col("content_class_reason")).alias("reason"),
+    ).agg(_count().alias("n"))
 
 
 def rule_samples(items: DataFrame, k: int = 5) -> DataFrame:
     """Up to ``k`` different sample texts of a community's non-human rows, quote before summary before title."""
     text = F.substring(F.trim(F.coalesce(*[F.when(F.col(c) != "", F.col(c)) for c in ("quote", "summary", "title")])), 1, 400)
     rows = non_human(items).withColumn("text", text).where("text <> ''").groupBy("subreddit", "text").agg(F.min("id").alias("first_id"))
-    return rows.withColumn("r", F.row_number().over(Window.partitionBy("subreddit").orderBy("first_id", "text"))).where(F.col("r") <= k).select("subreddit", "first_id", "text")
+    return rows.withColumn(
+        "r", F.row_number().over(Window.partitionBy("subreddit").orderBy("first_id", "text")),
+    ).where(F.col("r") <= k).select("subreddit", "first_id", "text")
 
 
 def frame_of(tags: dict[str, str], kinds: dict[str, str]) -> Column:
@@ -293,7 +361,9 @@ def frame_of(tags: dict[str, str], kinds: dict[str, str]) -> Column:
 
 def modal_stance(rows: DataFrame, by: tuple[str, ...] = ("frame",)) -> DataFrame:
     """(frame, author, stance): each author's most frequent stance, the first seen of equals."""
-    counted = rows.where("author <> '' and author <> '[deleted]'").groupBy(*by, "author", "stance").agg(_count().alias("n"), F.min(F.struct("subreddit", "id")).alias("seen"))
+    counted = rows.where("author <> '' and author <> '[deleted]'").groupBy(*by, "author", "stance").agg(
+        _count().alias("n"), F.min(F.struct("subreddit", "id")).alias("seen"),
+    )
     best = counted.groupBy(*by, "author").agg(F.max("n").alias("most"))
     return counted.join(best, [*by, "author"]).where("n = most").groupBy(*by, "author").agg(F.min_by("stance", "seen").alias("stance"))
 
@@ -303,12 +373,21 @@ def cohort(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -> Dat
     is of it, the frame that comes first in (community, id) order. Frames are as many as there are tags and kinds."""
     rows = human_ai(items).withColumn("frame", frame_of(tags, kinds))
     negative = F.col("stance").isin(*V.NEGATIVE)
-    posts = rows.groupBy("frame").agg(_count().alias("ai_posts"), F.count_if(negative).alias("neg_posts"), F.countDistinct("thread_id").alias("distinct_threads"), F.countDistinct(F.when(negative, F.col("thread_id"))).alias("neg_threads"), F.count_if(negative & (F.col("intensity") >= 3)).alias("intense"), F.count_if(F.col("comment_mix").isNotNull()).alias("commented_posts"), F.min(F.struct("subreddit", "id")).alias("seen"))
+    posts = rows.groupBy("frame").agg(
+        _count().alias("ai_posts"), F.count_if(negative).alias("neg_posts"), F.countDistinct("thread_id").alias("distinct_threads"),
+        F.countDistinct(F.when(negative, F.col("thread_id"))).alias("neg_threads"), F.count_if(negative & (F.col("intensity") >= 3)).alias("intense"),
+        F.count_if(F.col("comment_mix").isNotNull()).alias("commented_posts"), F.min(F.struct("subreddit", "id")).alias("seen"),
+    )
     authors = modal_stance(rows).groupBy("frame").agg(_count().alias("distinct_authors"), F.count_if(negative).alias("neg_authors"))
     both = posts.join(authors, "frame", "left").na.fill(0, ["distinct_authors", "neg_authors"])
     c = F.col
     both = both.withColumn("first", F.row_number().over(Window.orderBy((c("frame") == "reddit").desc(), "seen")) == 1)
-    return both.select("frame", c("first").alias("is_primary"), "ai_posts", "neg_posts", share(c("neg_posts"), c("ai_posts")).alias("neg_post_share"), "distinct_authors", share(c("neg_authors"), c("distinct_authors")).alias("neg_author_share"), "distinct_threads", share(c("neg_threads"), c("distinct_threads")).alias("neg_thread_share"), share(c("intense"), c("neg_posts")).alias("hi_intensity_neg_share"), "commented_posts")
+    return both.select(
+        "frame", c("first").alias("is_primary"), "ai_posts", "neg_posts", share(c("neg_posts"), c("ai_posts")).alias("neg_post_share"),
+        "distinct_authors", share(c("neg_authors"), c("distinct_authors")).alias("neg_author_share"), "distinct_threads",
+        share(c("neg_threads"), c("distinct_threads")).alias("neg_thread_share"), share(c("intense"), c("neg_posts")).alias("hi_intensity_neg_share"),
+        "commented_posts",
+    )
 
 
 def cohort_basis(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -> DataFrame:
@@ -318,7 +397,9 @@ def cohort_basis(items: DataFrame, tags: dict[str, str], kinds: dict[str, str])
 
 def comment_mix(items: DataFrame, tags: dict[str, str], kinds: dict[str, str]) -> DataFrame:
     rows = human_ai(items).withColumn("frame", frame_of(tags, kinds))
-    return rows.select("frame", F.explode("comment_mix").alias("stance", "c")).groupBy("frame", "stance").agg(F.sum(F.coalesce("c", F.lit(0))).alias("n"))
+    return rows.select(
+        "frame", F.explode("comment_mix").alias("stance", "c"),
+    ).groupBy("frame", "stance").agg(F.sum(F.coalesce("c", F.lit(0))).alias("n"))
 
 
 #: Section name to the tables it is made of; each takes the items.
@@ -326,7 +407,10 @@ SECTIONS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
     "meta": {"counts": meta, "lists": meta_lists, "non_human": non_human_reasons},
     "heatmap": {"weeks": heatmap_weeks, "subs": heatmap_subs},
     "stance": {"by_week": stance_by_week},
-    "distributions": {"experience": lambda i: distribution(i, "experience"), "stance": lambda i: distribution(i, "stance"), "source_stance": source_stance, "topics": topic_totals, "tools": tool_totals, "pains": pain_totals},
+    "distributions": {
+        "experience": lambda i: distribution(i, "experience"), "stance": lambda i: distribution(i, "stance"), "source_stance": source_stance,
+        "topics": topic_totals, "tools": tool_totals, "pains": pain_totals,
+    },
     "features": {"board": feature_board},
     "minbar": {"baseline": baseline_totals, "dealbreakers": dealbreakers, "kinds": dealbreaker_kinds},
     "trust": {"board": trust_board},

@@ -15,7 +15,10 @@ from agorascope.operators.classify import classify_untagged, hashed
 from agorascope.operators.rows import parse_rows
 from agorascope.session import cut, read, read_texts
 
-FEATURES = ("proof of work", "continuity checker", "offline mode", "control over the ai", "dark mode", "Word export", "disclosure badge", "timeline view", "no training promise", "fast search")
+FEATURES = (
+    "proof of work", "continuity checker", "offline mode", "control over the ai", "dark mode", "Word export", "disclosure badge", "timeline view",
+    "no training promise", "fast search",
+)
 #: Tags of communities, and kinds of streams, as the settings would hold them.
 SUB_TAGS = {"src0": "enclave-pro", "src1": "enclave-pro", "src2": "enclave-anti", "src3": "enclave-satire"}
 STREAM_KINDS = {"src18": "topic", "src19": "community"}
@@ -28,9 +31,13 @@ def _of(values, index: str) -> str:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of submissions, analysis as JSON text; some of it is cut off, as after a failed write."""
     docs = read_texts(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "user_id", "ts", F.regexp_extract("props", "([0-9]+)", 1).cast("long").alias("k"))
+    events = read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("doc_id"), "user_id", "ts", F.regexp_extract("props", "([0-9]+)", 1).cast("long").alias("k"),
+    )
     labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    base = docs.join(events, "doc_id").join(labels, "doc_id", "left").select("*", F.expr("doc_id div 20").alias("q"), F.coalesce("user_id", F.lit(0)).alias("u"), F.unix_timestamp("ts").alias("created_utc"))
+    base = docs.join(events, "doc_id").join(labels, "doc_id", "left").select(
+        "*", F.expr("doc_id div 20").alias("q"), F.coalesce("user_id", F.lit(0)).alias("u"), F.unix_timestamp("ts").alias("created_utc"),
+    )
     stance = _of(V.STANCES, "k + q")
     analysis = {
         "week": X.week_key(F.col("created_utc")),
@@ -56,7 +63,9 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("post").alias("kind"), F.col("source").alias("subreddit"), F.concat(F.lit("d"), "doc_id").alias("row_key"),
         F.substring(F.substring_index("text", "\n", 1), 1, 200).alias("title"), F.col("text").alias("body"),
         F.expr("case when q % 17 = 0 then 'AutoModerator' when u % 50 = 0 then '[deleted]' else concat('user', u) end").alias("author"),
-        F.concat(F.lit("/r/"), "source", F.lit("/"), "doc_id").alias("permalink"), F.col("k").cast("int").alias("score"), F.col("u").cast("int").alias("num_comments"), "created_utc",
+        F.concat(
+            F.lit("/r/"), "source", F.lit("/"), "doc_id",
+        ).alias("permalink"), F.col("k").cast("int").alias("score"), F.col("u").cast("int").alias("num_comments"), "created_utc",
         F.expr("if(q % 23 = 0, 'moderator', null)").alias("distinguished"), F.expr("q % 29 = 0").alias("stickied"),
         F.expr("element_at(array(null, 'Critique', 'Discussion', 'Feedback request', 'News'), cast(1 + k % 5 as int))").alias("flair"),
         F.lit(None).cast("string").alias("link_id"), F.lit(None).cast("string").alias("parent_id"),
@@ -71,7 +80,9 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored rows of comments, one for each conversation turn; each third is a reply to the turn before."""
     turns = read_texts(spark, sf_dir, "conversations")
     return turns.select(
-        F.lit("comment").alias("kind"), F.concat(F.lit("c_"), "conv_id", F.lit("_"), "turn").alias("row_key"), F.concat(F.lit("d"), "conv_id").alias("link_id"),
+        F.lit("comment").alias("kind"), F.concat(
+            F.lit("c_"), "conv_id", F.lit("_"), "turn",
+        ).alias("row_key"), F.concat(F.lit("d"), "conv_id").alias("link_id"),
         F.expr("concat('src', conv_id % 20)").alias("subreddit"), F.col("text").alias("body"),
         F.expr("case role when 'assistant' then 'AutoModerator' when 'system' then 'mod' else concat('user', conv_id % 40) end").alias("author"),
         (F.col("role") == "system").alias("stickied"), F.lit(None).cast("string").alias("distinguished"), F.col("turn").alias("created_utc"),

@@ -19,7 +19,10 @@ from agorascope.plans.store import Versions
 from agorascope.session import cut
 
 
-def ask_rows(items: DataFrame, vector: list[float] | None = None, ai_only: bool = False, stance: str | None = None, topic: str | None = None, subreddit: str | None = None, n: int = 300, least_vectors: int = 50) -> DataFrame:
+def ask_rows(
+    items: DataFrame, vector: list[float] | None = None, ai_only: bool = False, stance: str | None = None, topic: str | None = None,
+    subreddit: str | None = None, n: int = 300, least_vectors: int = 50,
+) -> DataFrame:
     """Rows for an answer: filtered, then by similarity to ``vector`` if enough rows have an ``emb``, else the newest."""
     rows = items
     if ai_only:
@@ -38,7 +41,9 @@ def ask_rows(items: DataFrame, vector: list[float] | None = None, ai_only: bool
     return rows.orderBy(F.desc("created_utc"), "id").limit(n)
 
 
-def reanalyze_selection(rows: DataFrame, sub: str | None = None, kind: str | None = None, below_version: int | None = None, force: bool = False, limit: int = 1000) -> DataFrame:
+def reanalyze_selection(
+    rows: DataFrame, sub: str | None = None, kind: str | None = None, below_version: int | None = None, force: bool = False, limit: int = 1000,
+) -> DataFrame:
     """Rows to analyze again: older than a schema version, or any with ``force``."""
     out = rows.where("created_utc is not null")
     if sub:
@@ -52,7 +57,9 @@ def reanalyze_selection(rows: DataFrame, sub: str | None = None, kind: str | Non
 
 def health(posts: DataFrame, comments: DataFrame) -> DataFrame:
     said = comments.agg(F.count(F.lit(1))).scalar().alias("comments")
-    return posts.agg(F.count(F.lit(1)).alias("posts"), F.count_if("analyzed").alias("analyzed"), F.count_if(~F.col("analyzed")).alias("pending")).select("*", said)
+    return posts.agg(
+        F.count(F.lit(1)).alias("posts"), F.count_if("analyzed").alias("analyzed"), F.count_if(~F.col("analyzed")).alias("pending"),
+    ).select("*", said)
 
 
 def snapshot(items: DataFrame) -> DataFrame:
@@ -73,9 +80,13 @@ def export_rows(rows: DataFrame) -> DataFrame:
     got = lambda c, kind="string": F.col(c) if c in rows.columns else F.lit(None).cast(kind)
     analysis = F.from_json(F.concat(F.lit("["), "analysis_json", F.lit("]")), "array<variant>")
     return rows.where("analyzed").select(
-        "subreddit", F.col("row_key").alias("id"), "title", "author", F.when(F.col("kind") == "comment", "comment").otherwise("post").alias("kind"), "link_id", "parent_id",
+        "subreddit", F.col("row_key").alias("id"), "title", "author", F.when(
+            F.col("kind") == "comment", "comment",
+        ).otherwise("post").alias("kind"), "link_id", "parent_id",
         F.col("score").alias("score_at_capture"), F.col("num_comments").alias("num_comments_at_capture"), "created_utc", "permalink", "flair",
-        F.coalesce("schema_version", F.lit(1)).alias("schema_version"), F.coalesce(got("emb"), F.lit("")).alias("emb"), F.to_json(F.when(F.size(analysis) == 1, F.get(analysis, F.lit(0)))).alias("analysis"),
+        F.coalesce(
+            "schema_version", F.lit(1),
+        ).alias("schema_version"), F.coalesce(got("emb"), F.lit("")).alias("emb"), F.to_json(F.when(F.size(analysis) == 1, F.get(analysis, F.lit(0)))).alias("analysis"),
     )
 
 
@@ -120,7 +131,9 @@ def run_sections(items: DataFrame, store: Versions, sections: dict | None = None
     out = Summary()
     for name, tables in (sections or S.SECTIONS).items():
         try:
-            store.write(name, {table: build(items, store.table) if getattr(build, "reads", False) else build(items) for table, build in tables.items()})
+            store.write(
+                name, {table: build(items, store.table) if getattr(build, "reads", False) else build(items) for table, build in tables.items()},
+            )
             out.written.append(name)
         except Exception as failure:  # one bad section never ends the run
             out.failed[name] = str(failure).split("\n")[0][:500]
@@ -143,15 +156,22 @@ class Engine:
 
     VIEWS = (*S.SECTIONS, "cohort", "discovery", "brief", "snapshot", "comment_corpus", "registry", "health", "snapshots", "status", "all")
     #: The table that a view shows where none is named.
-    FIRST = {"cohort": "frames", "discovery": "candidates", "brief": "made", "snapshot": "headline", "comment_corpus": "dry_run", "registry": "hashes"} | {k: next(iter(v)) for k, v in S.SECTIONS.items()}
-
-    def __init__(self, spark: SparkSession, posts: DataFrame, comments: DataFrame, path: str, answer: Callable | None = None, notify: Callable | None = None, settings: Settings | None = None, models: dict[str, Callable] | None = None):
+    FIRST = {
+        "cohort": "frames", "discovery": "candidates", "brief": "made", "snapshot": "headline", "comment_corpus": "dry_run", "registry": "hashes",
+    } | {k: next(iter(v)) for k, v in S.SECTIONS.items()}
+
+    def __init__(
+        self, spark: SparkSession, posts: DataFrame, comments: DataFrame, path: str, answer: Callable | None = None, notify: Callable | None = None,
+        settings: Settings | None = None, models: dict[str, Callable] | None = None,
+    ):
         self.spark, self.posts, self.comments, self.path, self.answer, self.notify = spark, posts, comments, path, answer, notify
         self.settings, self.models, self.store = settings or Settings(), models or {}, Versions(spark, path)
 
     def items(self) -> DataFrame:
         """Classified items; the analyses are parsed once and kept in the shared folder."""
-        return K.classify_untagged(cut(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits)
+        return K.classify_untagged(
+            cut(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits,
+        )
 
     def sections(self) -> dict[str, dict[str, Callable]]:
         """All sections, those that need settings, comments, models or other sections' tables among them, in order."""
@@ -166,7 +186,9 @@ class Engine:
         if "features" in self.models:
             found["features"] = {"board": lambda i: jobs.feature_section(i, self.models["features"])}
         if "personas" in self.models:
-            found["personas"] = {"sample": S.persona_sample, "made": reading(jobs.made(self.spark, "personas", jobs.persona_evidence, self.models["personas"]))}
+            found["personas"] = {
+                "sample": S.persona_sample, "made": reading(jobs.made(self.spark, "personas", jobs.persona_evidence, self.models["personas"])),
+            }
         if "brief" in self.models:
             found["brief"] = {"made": reading(jobs.made(self.spark, "brief", jobs.brief_evidence, self.models["brief"]))}
         found["snapshot"] = {"headline": snapshot}
@@ -188,7 +210,10 @@ class Engine:
             except Exception as failure:
                 done.failed[name] = str(failure).split("\n")[0][:500]
         done.seconds = (datetime.now(UTC) - began).total_seconds()
-        row = [(done.ok, done.written, [f"{k}: {v}" for k, v in done.failed.items()], done.rows_scanned, done.rows_analyzed, done.skipped_rows, done.would_select, done.registry_hashes, done.seconds, datetime.now(UTC))]
+        row = [(
+            done.ok, done.written, [f"{k}: {v}" for k, v in done.failed.items()], done.rows_scanned, done.rows_analyzed, done.skipped_rows,
+            done.would_select, done.registry_hashes, done.seconds, datetime.now(UTC),
+        )]
         schema = "ok boolean, written array<string>, failed array<string>, rows_scanned long, rows_analyzed long, skipped_rows long, would_select long, registry_hashes long, seconds double, finished_at timestamp"
         self.spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/rollup_health")
         return done
@@ -215,7 +240,9 @@ class Engine:
     def insights(self, view: str, table: str | None = None):
         """A section's table as last written; ``health``, ``status``, all days' ``snapshots``, or ``all``: a dict of every view's first table."""
         if view == "all":
-            return {v: self.insights(v) for v in self.VIEWS if v in self.FIRST and self.store.table(v, self.FIRST[v]) is not None} | {"health": self.health()}
+            return {v: self.insights(v) for v in self.VIEWS if v in self.FIRST and self.store.table(
+                v, self.FIRST[v],
+            ) is not None} | {"health": self.health()}
         if view == "health":
             return self.health()
         if view == "status":
@@ -250,7 +277,11 @@ class Engine:
         last = lambda c: runs.agg(F.max_by(c, "finished_at")).scalar() if runs is not None else F.lit(None)
         tally = read_or_none(self.spark, f"{self.path}/filter_tally")
         filtered = K.filtered_last_day(tally, F.current_date()).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar() if tally is not None else F.lit(0)
-        return counts.select("*", last("finished_at").alias("last_rollup_at"), last("ok").alias("last_rollup_ok"), last("skipped_rows").alias("last_rollup_skipped"), last("written").alias("last_rollup_written"), last("failed").alias("last_rollup_failed"), filtered.alias("filtered_last_day"), self.registry().agg(F.count(F.lit(1))).scalar().alias("registry_hashes"))
+        return counts.select(
+            "*", last("finished_at").alias("last_rollup_at"), last("ok").alias("last_rollup_ok"), last("skipped_rows").alias("last_rollup_skipped"),
+            last("written").alias("last_rollup_written"), last("failed").alias("last_rollup_failed"), filtered.alias("filtered_last_day"),
+            self.registry().agg(F.count(F.lit(1))).scalar().alias("registry_hashes"),
+        )
 
     def reanalyze(self, put: Callable[[DataFrame], None] | None = None, **choice) -> DataFrame:
         """The rows to analyze again, given to ``put`` (a queue or pending table) if there is one."""
@@ -293,13 +324,19 @@ class Engine:
 
         return ingest.backfill(self.spark, store, client, subs, before, **more)
 
-    def analyze_pending(self, analyzer: Callable, cap: int, schema_version: int, used: int = 0, policy: str = "ingest-only", save: Callable[[DataFrame], None] | None = None) -> DataFrame:
+    def analyze_pending(
+        self, analyzer: Callable, cap: int, schema_version: int, used: int = 0, policy: str = "ingest-only",
+        save: Callable[[DataFrame], None] | None = None,
+    ) -> DataFrame:
         """Pending rows through the gate, the cap and the filter to the model; the stored rows with its results go to ``save``."""
         from agorascope.plans import jobs
 
         parents = self.posts.where("kind <> 'comment' or kind is null").select("row_key", self._ai().alias("ai_related"))
         pending = self.posts.where("not analyzed").withColumn("kind", F.coalesce("kind", F.lit("post")))
-        made = cut(jobs.analyze(pending, self.comments, parents, analyzer, "subreddit string, row_key string, analysis_json string", cap, used, policy, self.settings.comment_min_chars, self.registry()))
+        made = cut(jobs.analyze(
+            pending, self.comments, parents, analyzer, "subreddit string, row_key string, analysis_json string", cap, used, policy,
+            self.settings.comment_min_chars, self.registry(),
+        ))
         stored = R.save_analysis(self.posts, made, schema_version)
         if save:
             save(stored)

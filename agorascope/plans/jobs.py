@@ -36,9 +36,13 @@ def audit(items: DataFrame, posts: DataFrame, comments: DataFrame, tags: dict[st
     provenance = A.quote_provenance(items, posts, comments)
     missing = {} if raw is None else {"missing": A.missing_bodies(items, raw)}
     return missing | {
-        "author_concentration": A.author_concentration(items), "top_authors": A.top_authors(items), "sub_concentration": A.sub_concentration(items, tags or {"": ""}), "weeks": A.week_concentration(items),
+        "author_concentration": A.author_concentration(items), "top_authors": A.top_authors(items), "sub_concentration": A.sub_concentration(
+            items, tags or {"": ""},
+        ), "weeks": A.week_concentration(items),
         "stance_coherence": A.stance_coherence(items), "detection_coverage": A.detection_coverage(items), "flairs": A.flairs(items), "critique_sample": A.critique_sample(items),
-        "bodies": A.body_stats(posts), "duplicates": A.duplicate_summary(posts), "top_duplicates": A.top_duplicates(posts), "quotes": A.quote_buckets(provenance), "quote_sample": A.quote_sample(provenance), "contamination": A.contamination(items, comments),
+        "bodies": A.body_stats(posts), "duplicates": A.duplicate_summary(posts), "top_duplicates": A.top_duplicates(posts), "quotes": A.quote_buckets(provenance), "quote_sample": A.quote_sample(provenance), "contamination": A.contamination(
+            items, comments,
+        ),
     }
 
 
@@ -49,14 +53,19 @@ def write_report(tables: dict[str, DataFrame], path: str, day: str) -> None:
         table.sparkSession.read.parquet(f"{path}/{name}/{day}").write.mode("overwrite").parquet(f"{path}/{name}/latest")
 
 
-def settings_sections(tags: Callable[[], dict[str, str]], kinds: dict[str, str], tracked: list[str] | tuple[str, ...], comment_mentions: DataFrame | None) -> dict:
+def settings_sections(
+    tags: Callable[[], dict[str, str]], kinds: dict[str, str], tracked: list[str] | tuple[str, ...], comment_mentions: DataFrame | None,
+) -> dict:
     """The sections that need settings. ``tags()`` is asked when the cohort is built, so a missing setting fails that alone."""
     def discovery(i: DataFrame) -> DataFrame:
         mentions = comment_mentions if comment_mentions is not None else i.limit(0).select("subreddit", "sub_mentions")
         return S.discovery(i, mentions, list(tracked))
 
     return {
-        "cohort": {"frames": lambda i: S.cohort(i, tags(), kinds), "basis": lambda i: S.cohort_basis(i, tags(), kinds), "comment_mix": lambda i: S.comment_mix(i, tags(), kinds)},
+        "cohort": {
+            "frames": lambda i: S.cohort(i, tags(), kinds), "basis": lambda i: S.cohort_basis(i, tags(), kinds),
+            "comment_mix": lambda i: S.comment_mix(i, tags(), kinds),
+        },
         "discovery": {"candidates": discovery},
     }
 
@@ -68,12 +77,18 @@ def feature_section(items: DataFrame, cluster: Callable[[list[str]], list[tuple[
         groups = cluster(names) if names else []
     except Exception as failure:  # the model's own; the board degrades and says so
         reason = str(failure).split("\n")[0][:500]
-        return S.feature_board(items).select(F.col("feature").alias("canonical"), "n", F.lit(None).cast("boolean").alias("ai_related"), F.lit("").alias("examples"), F.lit(reason).alias("degraded"))
+        return S.feature_board(items).select(
+            F.col("feature").alias("canonical"), "n", F.lit(None).cast("boolean").alias("ai_related"), F.lit("").alias("examples"),
+            F.lit(reason).alias("degraded"),
+        )
     made = items.sparkSession.createDataFrame(groups, "canonical string, members array<int>")
     return S.clustered_features(items, made).select("canonical", "n", "ai_related", "examples", F.lit(None).cast("string").alias("degraded"))
 
 
-def analyze(pending: DataFrame, comments: DataFrame, parents: DataFrame, analyzer: Callable, schema: str, cap: int, used: int = 0, policy: str = "ingest-only", min_chars: int = 400, registry: DataFrame | None = None) -> DataFrame:
+def analyze(
+    pending: DataFrame, comments: DataFrame, parents: DataFrame, analyzer: Callable, schema: str, cap: int, used: int = 0,
+    policy: str = "ingest-only", min_chars: int = 400, registry: DataFrame | None = None,
+) -> DataFrame:
     """Model output for the rows that the gate and the day's cap admit.
 
     Cheap steps come first: the comment gate, then the cap, then the comment filter, and only then the
@@ -81,9 +96,13 @@ def analyze(pending: DataFrame, comments: DataFrame, parents: DataFrame, analyze
     """
     gated = K.comment_gate(comments, parents, policy, min_chars).where("selected").select("row_key")
     posts = pending.where("kind <> 'comment'")
-    admitted = K.admit_under_cap(posts.unionByName(pending.where("kind = 'comment'").join(gated, "row_key", "left_semi").select(*posts.columns)), cap, used)
+    admitted = K.admit_under_cap(
+        posts.unionByName(pending.where("kind = 'comment'").join(gated, "row_key", "left_semi").select(*posts.columns)), cap, used,
+    )
     kept = R.first_replies(K.filter_comments(comments, registry).where("reason is null"))
-    said = kept.groupBy("link_id").agg(F.array_sort(F.collect_list(F.struct("position", "body"))).alias("said")).select(F.col("link_id").alias("row_key"), F.expr("transform(said, s -> s.body)").alias("comments"))
+    said = kept.groupBy("link_id").agg(F.array_sort(F.collect_list(F.struct("position", "body"))).alias("said")).select(
+        F.col("link_id").alias("row_key"), F.expr("transform(said, s -> s.body)").alias("comments"),
+    )
     rows = admitted.join(said, "row_key", "left").withColumn("comments", F.coalesce("comments", F.array().cast("array<string>")))
     rows = rows.withColumn("sub_mentions", X.sub_mentions(F.concat_ws(" ", "title", "body", F.array_join("comments", " ")), F.col("subreddit")))
     return analyze_pending(rows, analyzer, schema)
@@ -123,7 +142,10 @@ def persona_evidence(items: DataFrame, n: int = 200) -> tuple[list, dict]:
 
 
 def brief_evidence(items: DataFrame) -> tuple[dict]:
-    boards = {"baseline": S.baseline_totals(items, 25), "dealbreakers": S.dealbreakers(items, 20), "trust": S.trust_board(items), "features": S.feature_board(items), "tools": S.tool_totals(items, 12), "pains": S.pain_totals(items, 15), "quotes": S.quotes(items, 120)}
+    boards = {
+        "baseline": S.baseline_totals(items, 25), "dealbreakers": S.dealbreakers(items, 20), "trust": S.trust_board(items),
+        "features": S.feature_board(items), "tools": S.tool_totals(items, 12), "pains": S.pain_totals(items, 15), "quotes": S.quotes(items, 120),
+    }
     return ({k: [r.asDict() for r in b.collect()] for k, b in boards.items()},)
 
 

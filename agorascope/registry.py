@@ -47,7 +47,10 @@ def _cosine(spark, d):
 def _base64(spark, d):
     rows = read(spark, d, "embeddings").withColumn("again", X.vector_from_base64(X.vector_to_base64(F.col("embedding"))))
     near = F.size(F.filter(F.zip_with("embedding", "again", lambda a, b: F.abs(a - b) < 1e-6), lambda same: same))
-    return rows.select("vec_id", F.size("again").cast("long").alias("n"), near.cast("long").alias("n_equal"), F.round(F.aggregate("again", F.lit(0.0), lambda s, x: s + x), 3).alias("total"))
+    return rows.select(
+        "vec_id", F.size("again").cast("long").alias("n"), near.cast("long").alias("n_equal"),
+        F.round(F.aggregate("again", F.lit(0.0), lambda s, x: s + x), 3).alias("total"),
+    )
 
 
 def _sub_mentions(spark, d):
@@ -77,7 +80,9 @@ def _upsert(spark, d):
     rows = C.posts(spark, d).withColumn("q", F.expr("cast(substring(row_key, 2) as bigint) div 20"))
     old = rows.where("q % 2 = 0").select("subreddit", "row_key", "title", "analyzed")
     merged = R.merge_rows(old, rows.select("subreddit", "row_key", "title"), ["subreddit", "row_key"])
-    return merged.groupBy("is_new").agg(_n(), F.sum(F.length("title")).alias("title_chars"), F.count_if(F.coalesce("analyzed", F.lit(False))).alias("analyzed"))
+    return merged.groupBy("is_new").agg(
+        _n(), F.sum(F.length("title")).alias("title_chars"), F.count_if(F.coalesce("analyzed", F.lit(False))).alias("analyzed"),
+    )
 
 
 def _new_rows(spark, d):
@@ -103,7 +108,10 @@ def _spiking(items: DataFrame) -> DataFrame:
 
 
 def _clusters(spark, d):
-    groups = spark.range(7).select(F.concat(F.lit("group "), "id").alias("canonical"), F.expr("transform(sequence(0, 13 - cast(id as int)), i -> cast(if(i = 2, 9000, id + 7 * i) as int))").alias("members"))
+    groups = spark.range(7).select(
+        F.concat(F.lit("group "), "id").alias("canonical"),
+        F.expr("transform(sequence(0, 13 - cast(id as int)), i -> cast(if(i = 2, 9000, id + 7 * i) as int))").alias("members"),
+    )
     return S.clustered_features(C.items(spark, d), groups)
 
 
@@ -112,14 +120,19 @@ def _saved(spark, d):
     made = rows.where(f"{_number('row_key')} % 31 <> 0 and {_number('row_key')} % 5 = 0").select("subreddit", "row_key", "analysis_json")
     stored = rows.where("analyzed").withColumns({"analyzed": F.lit(False), "analysis_json": F.lit(None).cast("string")})
     saved = R.save_analysis(stored, made, 4)
-    return saved.groupBy("analyzed", "stance").agg(_n(), F.sum("intensity").alias("intensity"), F.count_if("ai_related").alias("ai_related"), F.sum(F.length("topics_csv")).alias("topic_chars"), F.max("schema_version").alias("schema_version"))
+    return saved.groupBy("analyzed", "stance").agg(
+        _n(), F.sum("intensity").alias("intensity"), F.count_if("ai_related").alias("ai_related"), F.sum(F.length("topics_csv")).alias("topic_chars"),
+        F.max("schema_version").alias("schema_version"),
+    )
 
 
 def _tags_saved(spark, d):
     rows = C.posts(spark, d)
     changed, _ = J.retag(rows, body=None)
     saved = R.save_tags(rows, changed)
-    return saved.groupBy(F.coalesce("content_class", F.lit("-")).alias("content_class"), F.coalesce("content_class_reason", F.lit("-")).alias("reason")).agg(_n())
+    return saved.groupBy(
+        F.coalesce("content_class", F.lit("-")).alias("content_class"), F.coalesce("content_class_reason", F.lit("-")).alias("reason"),
+    ).agg(_n())
 
 
 def _missing(spark, d):
@@ -133,7 +146,10 @@ def _dry_run(spark, d):
 
 
 def _export(spark, d):
-    return E.export_rows(C.posts(spark, d)).select(*[c for c in E.export_rows(C.posts(spark, d)).columns if c != "analysis"], F.col("analysis").isNotNull().alias("parses"), F.get_json_object("analysis", "$.week").alias("week"))
+    return E.export_rows(C.posts(spark, d)).select(
+        *[c for c in E.export_rows(C.posts(spark, d)).columns if c != "analysis"], F.col("analysis").isNotNull().alias("parses"),
+        F.get_json_object("analysis", "$.week").alias("week"),
+    )
 
 
 def _keys(spark, d):
@@ -144,17 +160,24 @@ def _keys(spark, d):
 
 def _chunked(spark, d):
     rows = read(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("c", X.chunks(F.col("text"), 1000))
-    return rows.select("doc_id", F.size("c").cast("long").alias("n_chunks"), F.length(F.element_at("c", -1)).cast("long").alias("last_chars"), (F.array_join("c", "") == F.col("text")).alias("whole"))
+    return rows.select(
+        "doc_id", F.size("c").cast("long").alias("n_chunks"), F.length(F.element_at("c", -1)).cast("long").alias("last_chars"),
+        (F.array_join("c", "") == F.col("text")).alias("whole"),
+    )
 
 
 def _shrunk(spark, d):
-    fields = F.create_map(F.lit("title"), F.substring(F.substring_index("text", "\n", 1), 1, 200), F.lit("body"), F.col("text"), F.lit("lang"), F.col("lang"))
+    fields = F.create_map(
+        F.lit("title"), F.substring(F.substring_index("text", "\n", 1), 1, 200), F.lit("body"), F.col("text"), F.lit("lang"), F.col("lang"),
+    )
     rows = read(spark, d, "documents").select("doc_id", X.shrink_fields(fields, 2000).alias("s"))
     return rows.select("doc_id", F.array_join(F.array_sort(F.map_keys("s.kept")), ",").alias("kept"), F.array_join("s.dropped", ",").alias("dropped"))
 
 
 def _similar(spark, d):
-    vectors = read(spark, d, "embeddings").select(F.concat(F.lit("d"), "vec_id").alias("id"), X.l2_normalize(F.col("embedding").cast("array<double>")).alias("emb"))
+    vectors = read(spark, d, "embeddings").select(
+        F.concat(F.lit("d"), "vec_id").alias("id"), X.l2_normalize(F.col("embedding").cast("array<double>")).alias("emb"),
+    )
     target = vectors.where("id = 'd0'").first()["emb"]  # one vector, as a question's would be
     return E.ask_rows(C.items(spark, d).join(vectors, "id"), target, ai_only=True, n=50).select("id", F.round("similarity", 5).alias("similarity"))
 
@@ -165,11 +188,15 @@ def _gate(spark, d):
 
 
 QUERIES: dict[str, Query] = {
-    "normalize_hash": lambda s, d: read_texts(s, d, "documents").select("doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized")),
+    "normalize_hash": lambda s, d: read_texts(s, d, "documents").select(
+        "doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized"),
+    ),
     "week_key_counts": lambda s, d: read(s, d, "events").groupBy(X.week_key(F.unix_timestamp("ts")).alias("week")).agg(_n()),
     "sub_mentions": _sub_mentions,
     "ai_prefilter": lambda s, d: read_texts(s, d, "conversations").groupBy("role").agg(F.count_if(X.mentions_ai(F.col("text"))).alias("n_hit"), _n()),
-    "non_english_by_lang": lambda s, d: read_texts(s, d, "documents").groupBy("lang").agg(_n(), F.count_if(X.looks_non_english(F.col("text"))).alias("non_english")),
+    "non_english_by_lang": lambda s, d: read_texts(s, d, "documents").groupBy("lang").agg(
+        _n(), F.count_if(X.looks_non_english(F.col("text"))).alias("non_english"),
+    ),
     "empty_or_removed": lambda s, d: C.posts(s, d).groupBy("subreddit").agg(F.count_if(X.is_empty_or_removed(F.col("body"))).alias("n")),
     "embedding_cosine_top": _cosine,
     "vector_base64": _base64,
@@ -237,10 +264,14 @@ QUERIES: dict[str, Query] = {
     "backfill_watermarks": lambda s, d: I.watermarks(C.posts(s, d)),
     "daily_cap_admission": lambda s, d: K.admit_under_cap(C.posts(s, d).where("not analyzed"), 20, 5).select("row_key", "created_utc"),
     "ask_recency_top": lambda s, d: E.ask_rows(C.items(s, d), ai_only=True, stance="wary").select("id", "created_utc", "stance"),
-    "reanalyze_selection": lambda s, d: E.reanalyze_selection(C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100).select("row_key"),
+    "reanalyze_selection": lambda s, d: E.reanalyze_selection(
+        C.posts(s, d).where("analyzed"), sub="src5", below_version=4, limit=100,
+    ).select("row_key"),
     "health_counts": lambda s, d: E.health(C.posts(s, d), C.comments(s, d)),
     "registry_summary": lambda s, d: K.registry_summary(_registry(s, d)),
-    "filtered_last_day": lambda s, d: K.filtered_last_day(K.filter_tally(K.filter_comments(C.comments(s, d)), F.date_from_unix_date(F.col("turn").cast("int"))), F.to_date(F.lit("1970-01-06"))),
+    "filtered_last_day": lambda s, d: K.filtered_last_day(
+        K.filter_tally(K.filter_comments(C.comments(s, d)), F.date_from_unix_date(F.col("turn").cast("int"))), F.to_date(F.lit("1970-01-06")),
+    ),
     "keyset_page": lambda s, d: R.page_after(C.posts(s, d), ["subreddit", "row_key"], ("src3", "d5"), 50).select("subreddit", "row_key"),
     "row_keys": _keys,
     "payload_chunks": _chunked,

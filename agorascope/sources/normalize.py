@@ -24,9 +24,15 @@ def _bare(id: Column) -> Column:
 def posts(raw: DataFrame) -> DataFrame:
     sub = F.lower("subreddit")
     return raw.select(
-        F.lit("reddit").alias("source"), F.lit("post").alias("kind"), sub.alias("subreddit"), F.col("id").alias("row_key"), F.substring(F.coalesce("title", F.lit("")), 1, 500).alias("title"),
-        F.substring(F.coalesce("selftext", F.lit("")), 1, 12000).alias("body"), F.coalesce("author", F.lit("")).alias("author"), F.coalesce("permalink", F.concat(F.lit("/r/"), sub, F.lit("/comments/"), "id")).alias("permalink"),
-        F.coalesce("score", F.lit(0)).alias("score"), F.coalesce("num_comments", F.lit(0)).alias("num_comments"), epoch(F.col("created_utc")).alias("created_utc"), "distinguished", F.coalesce("stickied", F.lit(False)).alias("stickied"), F.col("link_flair_text").alias("flair"),
+        F.lit("reddit").alias("source"), F.lit("post").alias("kind"), sub.alias("subreddit"), F.col("id").alias("row_key"), F.substring(
+            F.coalesce("title", F.lit("")), 1, 500,
+        ).alias("title"),
+        F.substring(F.coalesce("selftext", F.lit("")), 1, 12000).alias("body"), F.coalesce("author", F.lit("")).alias("author"), F.coalesce(
+            "permalink", F.concat(F.lit("/r/"), sub, F.lit("/comments/"), "id"),
+        ).alias("permalink"),
+        F.coalesce("score", F.lit(0)).alias("score"), F.coalesce(
+            "num_comments", F.lit(0),
+        ).alias("num_comments"), epoch(F.col("created_utc")).alias("created_utc"), "distinguished", F.coalesce("stickied", F.lit(False)).alias("stickied"), F.col("link_flair_text").alias("flair"),
     )
 
 
@@ -34,9 +40,15 @@ def comments(raw: DataFrame, body_chars: int = 3000) -> DataFrame:
     """Comments under their submission; ``parent_id`` is null for top-level ones; the title is the first line."""
     sub, link, body = F.lower("subreddit"), _bare(F.col("link_id")), F.substring(F.coalesce("body", F.lit("")), 1, body_chars)
     return raw.select(
-        F.lit("reddit").alias("source"), F.lit("comment").alias("kind"), sub.alias("subreddit"), X.row_key(F.lit("comment"), F.col("id")).alias("row_key"), F.substring(F.substring_index(body, "\n", 1), 1, 200).alias("title"), body.alias("body"), F.coalesce("author", F.lit("")).alias("author"),
-        F.coalesce("permalink", F.concat(F.lit("/r/"), sub, F.lit("/comments/"), link, F.lit("/_/"), "id")).alias("permalink"), F.coalesce("score", F.lit(0)).alias("score"), epoch(F.col("created_utc")).alias("created_utc"), "distinguished", F.coalesce("stickied", F.lit(False)).alias("stickied"),
-        link.alias("link_id"), F.when(F.startswith("parent_id", F.lit("t1_")), _bare(F.col("parent_id"))).alias("parent_id"), F.length(body).cast("long").alias("body_chars"), X.mentions_ai(body).alias("ai_prefilter_hit"), X.sub_mentions(body, sub).alias("sub_mentions"),
+        F.lit("reddit").alias("source"), F.lit("comment").alias("kind"), sub.alias("subreddit"), X.row_key(F.lit("comment"), F.col("id")).alias("row_key"), F.substring(
+            F.substring_index(body, "\n", 1), 1, 200,
+        ).alias("title"), body.alias("body"), F.coalesce("author", F.lit("")).alias("author"),
+        F.coalesce(
+            "permalink", F.concat(F.lit("/r/"), sub, F.lit("/comments/"), link, F.lit("/_/"), "id"),
+        ).alias("permalink"), F.coalesce("score", F.lit(0)).alias("score"), epoch(F.col("created_utc")).alias("created_utc"), "distinguished", F.coalesce("stickied", F.lit(False)).alias("stickied"),
+        link.alias("link_id"), F.when(
+            F.startswith("parent_id", F.lit("t1_")), _bare(F.col("parent_id")),
+        ).alias("parent_id"), F.length(body).cast("long").alias("body_chars"), X.mentions_ai(body).alias("ai_prefilter_hit"), X.sub_mentions(body, sub).alias("sub_mentions"),
     )
 
 
@@ -45,7 +57,9 @@ def replies(raw: DataFrame, most: int = 20, body_chars: int = 3000) -> DataFrame
     from agorascope.operators.rows import first_replies
 
     kept = first_replies(comments(raw, body_chars), most)
-    each = F.struct("position", F.struct(F.col("row_key").alias("id"), "author", F.col("score").alias("score_at_capture"), "created_utc", "body").alias("reply"))
+    each = F.struct(
+        "position", F.struct(F.col("row_key").alias("id"), "author", F.col("score").alias("score_at_capture"), "created_utc", "body").alias("reply"),
+    )
     return kept.groupBy("link_id").agg(F.transform(F.array_sort(F.collect_list(each)), lambda e: e["reply"]).alias("replies"))
 
 
@@ -55,7 +69,13 @@ def stream_posts(raw: DataFrame, stream: str | Column) -> DataFrame:
     did, record = F.regexp_extract("uri", "^at://([^/]+)/", 1), F.regexp_extract("uri", "([^/]+)$", 1)
     text = F.coalesce("text", F.lit(""))
     return raw.select(
-        F.lit("bluesky").alias("source"), F.lit("post").alias("kind"), name.alias("subreddit"), F.concat_ws(".", F.regexp_replace(did, "[^A-Za-z0-9]", "_"), record).alias("row_key"), F.substring(F.substring_index(text, "\n", 1), 1, 200).alias("title"), text.alias("body"), F.coalesce("handle", F.lit("")).alias("author"),
-        F.when(F.col("handle").isNotNull(), F.concat(F.lit("https://bsky.app/profile/"), "handle", F.lit("/post/"), record)).otherwise(F.col("uri")).alias("permalink"),
-        (F.coalesce("like_count", F.lit(0)) + F.coalesce("repost_count", F.lit(0))).alias("score"), F.coalesce("reply_count", F.lit(0)).alias("num_comments"), epoch(F.col("created_at")).alias("created_utc"),
+        F.lit("bluesky").alias("source"), F.lit("post").alias("kind"), name.alias("subreddit"), F.concat_ws(
+            ".", F.regexp_replace(did, "[^A-Za-z0-9]", "_"), record,
+        ).alias("row_key"), F.substring(F.substring_index(text, "\n", 1), 1, 200).alias("title"), text.alias("body"), F.coalesce("handle", F.lit("")).alias("author"),
+        F.when(
+            F.col("handle").isNotNull(), F.concat(F.lit("https://bsky.app/profile/"), "handle", F.lit("/post/"), record),
+        ).otherwise(F.col("uri")).alias("permalink"),
+        (F.coalesce("like_count", F.lit(0)) + F.coalesce("repost_count", F.lit(0))).alias("score"), F.coalesce(
+            "reply_count", F.lit(0),
+        ).alias("num_comments"), epoch(F.col("created_at")).alias("created_utc"),
     )

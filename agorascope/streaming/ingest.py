@@ -102,7 +102,10 @@ class Frame:
 
 def stream_frame(client: str, streams: list[dict], pages: int = 3) -> Frame:
     """Keyword streams; a post's community is the stream that found it."""
-    return Frame("streams", client, [s["name"] for s in streams], Cursored.name(), "post", normalize.RAW_STREAM, lambda raw: normalize.stream_posts(raw, F.col("_sub")), {"pages": str(pages)})
+    return Frame(
+        "streams", client, [s["name"] for s in streams], Cursored.name(), "post", normalize.RAW_STREAM,
+        lambda raw: normalize.stream_posts(raw, F.col("_sub")), {"pages": str(pages)},
+    )
 
 
 def listing_frame(client: str, subs: list[str], pages: int = 2) -> Frame:
@@ -114,11 +117,16 @@ def fetched(spark: SparkSession, frame: Frame, begin: dict[str, int], now: int)
     """(sub, json, error) of one frame: a task for each community and window; one that fails gives its error and no more."""
     for source in (Archive, Cursored):
         spark.dataSource.register(source)
-    options = {"client": frame.client, "subs": ",".join(frame.subs), "after": str(min(begin.values(), default=0)), "before": str(now), "kind": f"{frame.kind}s", "starts": json.dumps(begin), "isolate": "true"} | frame.options
+    options = {
+        "client": frame.client, "subs": ",".join(frame.subs), "after": str(min(begin.values(), default=0)), "before": str(now),
+        "kind": f"{frame.kind}s", "starts": json.dumps(begin), "isolate": "true",
+    } | frame.options
     return spark.read.format(frame.source).options(**options).load()
 
 
-def run_ingest(spark: SparkSession, frames: list[Frame], store: str, raw: str | None = None, now: int | None = None, backfill_status: str | None = None) -> DataFrame:
+def run_ingest(
+    spark: SparkSession, frames: list[Frame], store: str, raw: str | None = None, now: int | None = None, backfill_status: str | None = None,
+) -> DataFrame:
     """One row a frame (frame, ok, discovered, admitted, failed, error): what is new since the watermarks goes to ``store``.
 
     Frames are isolated from each other and communities within a frame: what one fails to give, the others don't miss,
@@ -131,14 +139,19 @@ def run_ingest(spark: SparkSession, frames: list[Frame], store: str, raw: str |
             stored = read_or_none(spark, store)
             before = stored.count() if stored is not None else 0
             records = cut(fetched(spark, frame, starts(stored, frame.subs, now, frame.kind), now))
-            parsed = records.where("json is not null").select("sub", F.from_json("json", frame.schema).alias("r")).select(F.col("sub").alias("_sub"), "r.*")
+            parsed = records.where("json is not null").select(
+                "sub", F.from_json("json", frame.schema).alias("r"),
+            ).select(F.col("sub").alias("_sub"), "r.*")
             rows = frame.rows(parsed)
             errors = records.where("error is not null").groupBy("sub").agg(F.min("error").alias("error")).collect()
             append_new(rows, store, raw)
             if backfill_status:
                 for sub in without_status(spark, backfill_status, frame.subs, frame.kind):
                     request_backfill(spark, backfill_status, sub, kind=frame.kind)
-            out.append((frame.name, not errors, parsed.count(), spark.read.parquet(store).count() - before, [f"{r['sub']}: {r['error']}" for r in errors], None))
+            out.append((
+                frame.name, not errors, parsed.count(), spark.read.parquet(store).count() - before, [f"{r['sub']}: {r['error']}" for r in errors],
+                None,
+            ))
         except Exception as failure:  # a frame that is down never ends the others
             out.append((frame.name, False, 0, 0, [], str(failure).split("\n")[0][:500]))
     return spark.createDataFrame(out, "frame string, ok boolean, discovered long, admitted long, failed array<string>, error string")
@@ -148,7 +161,9 @@ def status_of(spark: SparkSession, path: str) -> DataFrame:
     """(sub, kind, queued, exhausted, months, watermark, updated_at): each walk's last status."""
     log = read_or_none(spark, path, STATUS)
     log = log if log is not None else spark.createDataFrame([], STATUS)
-    return log.groupBy("sub", "kind").agg(F.max_by(F.struct("queued", "exhausted", "months", "watermark", "updated_at"), "updated_at").alias("s")).select("sub", "kind", "s.*")
+    return log.groupBy("sub", "kind").agg(F.max_by(F.struct("queued", "exhausted", "months", "watermark", "updated_at"), "updated_at").alias("s")).select(
+        "sub", "kind", "s.*",
+    )
 
 
 def _mark(spark: SparkSession, path: str, sub: str, kind: str, queued: bool, exhausted: bool, months: int, watermark: int | None) -> None:
@@ -171,7 +186,10 @@ def request_backfill(spark: SparkSession, path: str, sub: str, months: int = 12,
     return True
 
 
-def backfill(spark: SparkSession, store: str, client: str, subs: list[str], before: int, months: int = 12, kind: str = "post", window: int = 7 * 86400, status: str | None = None, raw: str | None = None) -> DataFrame:
+def backfill(
+    spark: SparkSession, store: str, client: str, subs: list[str], before: int, months: int = 12, kind: str = "post", window: int = 7 * 86400,
+    status: str | None = None, raw: str | None = None,
+) -> DataFrame:
     """Read the months up to ``before`` from the archive, a task for each community and window, and append what is new.
 
     Returns the watermarks of the store. A repeated or resumed run adds nothing twice. With ``status``, a walk goes on from
@@ -182,11 +200,16 @@ def backfill(spark: SparkSession, store: str, client: str, subs: list[str], befo
     first = max(0, before - months * 30 * 86400)
     begin = {s: first for s in subs}
     if status:
-        known = status_of(spark, status).where((F.col("kind") == kind) & F.col("watermark").isNotNull() & F.col("sub").isin([s.lower() for s in subs])).collect()
+        known = status_of(
+            spark, status,
+        ).where((F.col("kind") == kind) & F.col("watermark").isNotNull() & F.col("sub").isin([s.lower() for s in subs])).collect()
         by_name = {s.lower(): s for s in subs}
         begin |= {by_name[r["sub"]]: max(first, r["watermark"]) for r in known}
     comment = kind == "comment"
-    frame = Frame("backfill", client, subs, kind=kind, schema=normalize.RAW_COMMENT if comment else normalize.RAW_POST, rows=normalize.comments if comment else normalize.posts, options={"window": str(window)} | ({} if status else {"isolate": "false"}))
+    frame = Frame(
+        "backfill", client, subs, kind=kind, schema=normalize.RAW_COMMENT if comment else normalize.RAW_POST,
+        rows=normalize.comments if comment else normalize.posts, options={"window": str(window)} | ({} if status else {"isolate": "false"}),
+    )
     records = cut(fetched(spark, frame, begin, before))
     parsed = records.where("json is not null").select(F.from_json("json", frame.schema).alias("r")).select("r.*")
     append_new(frame.rows(parsed), store, raw)
@@ -204,7 +227,9 @@ def ingest(spark: SparkSession, path: str, store: str, checkpoint: str, kind: st
     Returns the query; ``late_rows`` tells how many came too late. A batch is cut first: it is used several times, and the
     stateful step before it must run once.
     """
-    query = incoming(spark, path, kind).writeStream.foreachBatch(lambda batch, _: append_new(cut(batch), store)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = incoming(spark, path, kind).writeStream.foreachBatch(
+        lambda batch, _: append_new(cut(batch), store),
+    ).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
@@ -219,7 +244,10 @@ def weekly_counts(stream: DataFrame) -> DataFrame:
     return stream.groupBy("subreddit", X.week_key(F.col("created_utc")).alias("week")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def filter_stream(comments: DataFrame, registry: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, seconds: int = 300, clock: Callable[[], float] = time.time):
+def filter_stream(
+    comments: DataFrame, registry: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, seconds: int = 300,
+    clock: Callable[[], float] = time.time,
+):
     """Filter a stream of comments by the registry, which is read again when it is older than ``seconds``.
 
     If it can't be read, the last one that could be goes on; before there is one, none is known. ``write`` gets each

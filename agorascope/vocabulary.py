@@ -23,7 +23,9 @@ TOPICS = (
 STANCES = ("hostile", "wary", "conflicted", "curious", "pragmatic", "enthusiastic", "na")
 NEGATIVE = ("hostile", "wary")
 EXPERIENCE = ("professional", "hobbyist", "aspiring", "student", "unknown")
-STANCE_BASIS = ("philosophical-authorship", "economic-livelihood", "craft-quality", "consent-training-data", "community-pressure", "bad-experience", "vague-doom")
+STANCE_BASIS = (
+    "philosophical-authorship", "economic-livelihood", "craft-quality", "consent-training-data", "community-pressure", "bad-experience", "vague-doom",
+)
 DEALBREAKER_KINDS = ("missing-feature", "trust-privacy", "ai-policy", "cost", "platform-lock-in", "other")
 TOOL_SENTIMENTS = ("positive", "negative", "mixed", "neutral")
 SCHEMA_VERSION = 3
@@ -38,11 +40,16 @@ PILLARS = {
 #: What counts as mentioning AI, between characters that are not word characters. The boundaries are added by the users of
 #: this pattern, as the two regular expression engines that run it take ``\b`` to mean different things beyond ASCII.
 AI_WORDS = r"a\.?i\.?|artificial intelligence|chatgpt|gpt-?\d*|claude|gemini|llm|copilot|sudowrite|novelcrafter|midjourney|generative|genai|machine.?(written|generated)|ai-?(generated|written|assisted|slop|art)|prompt(ing|ed)?|algorithm(ic)?ally generated"
-ENGLISH_STOPWORDS = ("the", "and", "is", "to", "of", "a", "in", "that", "it", "for", "on", "with", "as", "was", "but", "are", "this", "have", "be", "i")
+ENGLISH_STOPWORDS = (
+    "the", "and", "is", "to", "of", "a", "in", "that", "it", "for", "on", "with", "as", "was", "but", "are", "this", "have", "be", "i",
+)
 REMOVED_MARKERS = ("[removed]", "[deleted]")
 BOT_AUTHORS = ("automoderator",)
 CRITIQUE_FLAIRS = ("critique", "excerpt", "feedback", "sharing")
 FICTION_HEAVY = ("destructivereaders", "betareaders", "writing", "fictionwriting")
 DISCOVERY_NOISE = ("all", "askreddit", "popular", "funny", "pics", "memes", "aita", "amitheasshole")
 #: Topic slugs of the product's concern, with their points and labels.
-RESONANCE_TOPICS = (("provenance-proof", 3, "provenance topic"), ("continuity-consistency", 2, "continuity topic"), ("detection-accusations", 2, "accusation pain"), ("ai-boundaries", 1, "boundaries topic"))
+RESONANCE_TOPICS = (
+    ("provenance-proof", 3, "provenance topic"), ("continuity-consistency", 2, "continuity topic"), ("detection-accusations", 2, "accusation pain"),
+    ("ai-boundaries", 1, "boundaries topic"),
+)

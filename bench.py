@@ -9,7 +9,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ("cohort_by_frame", "stance_by_week", "heatmap_topic_week", "quotes_top", "resonance_top", "audit_body_stats", "audit_duplicates", "audit_quote_provenance", "contamination_by_sub", "classify_with_bodies", "normalize_hash", "registry_hashes", "retag_report")
+HEADLINE = (
+    "cohort_by_frame", "stance_by_week", "heatmap_topic_week", "quotes_top", "resonance_top", "audit_body_stats", "audit_duplicates",
+    "audit_quote_provenance", "contamination_by_sub", "classify_with_bodies", "normalize_hash", "registry_hashes", "retag_report",
+)
 
 
 def main() -> None:
@@ -26,7 +29,9 @@ def main() -> None:
         queries[name](spark, sf).write.format("noop").mode("overwrite").save()
         took[name] = round(time.time() - start, 3)
     spark.stop()
-    print(json.dumps({"metric": "headline queries", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf.rstrip("/"))}))
+    print(json.dumps({
+        "metric": "headline queries", "value": round(sum(took.values()), 3), "unit": "sec", "queries": took, "sf": os.path.basename(sf.rstrip("/")),
+    }))
 
 
 if __name__ == "__main__":
