@@ -10,9 +10,7 @@ from __future__ import annotations
 import base64
 import os
 import re
-import sys
 import unicodedata
-from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -38,23 +36,26 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def unassigned() -> re.Pattern:
-    """Characters without a place in this Python's Unicode tables, on which libraries of other ages may differ."""
-    runs = [(k, [c for _, c in g]) for k, g in groupby(((unicodedata.category(chr(c)) in ("Cn", "Cs"), c) for c in range(128, sys.maxunicode + 1)), key=lambda x: x[0])]
-    return re.compile("[" + "".join(f"{chr(r[0])}-{chr(r[-1])}" for odd, r in runs if odd) + "]")
-
-
 class Splitter:
-    """Pre-tokens of a text by the vocabulary's own pattern; None where the library must split the text itself."""
+    """Pre-tokens of a text by the vocabulary's own pattern; None where the library must split the text itself.
+
+    That is so for special strings, and for characters without a place in this Python's Unicode tables, on which
+    libraries of other ages may differ. Characters once found to have one are remembered.
+    """
 
     def __init__(self, pattern: str):
         import regex
 
-        self.find, self.odd = regex.compile(pattern).findall, unassigned().search
+        self.find, self.fine = regex.compile(pattern).findall, set(map(chr, range(128)))
 
     def __call__(self, text: str) -> list[str] | None:
-        if SPECIAL in text or not text.isascii() and self.odd(text):
+        if SPECIAL in text:
             return None
+        if not text.isascii():
+            for c in set(text) - self.fine:
+                if unicodedata.category(c) in ("Cn", "Cs"):
+                    return None
+                self.fine.add(c)
         return self.find(text)
 
 
