@@ -20,6 +20,12 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def once(value: Column) -> Column:
+    """``value``, which filters on it see as it is: the condition always holds, but no filter is moved below it, where the
+    whole expression would be computed for the filter and then again for the column."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
 

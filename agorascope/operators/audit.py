@@ -104,7 +104,7 @@ def body_stats(rows: DataFrame, key: str = "subreddit") -> DataFrame:
 
 def duplicate_hashes(rows: DataFrame, min_chars: int = 120) -> DataFrame:
     """Bodies that occur more than once: crossposts over several communities, reposts within one."""
-    hashed = rows.select("subreddit", X.hash_if_eligible(F.col("body"), min_chars).alias("hash")).where("hash is not null")
+    hashed = rows.select("subreddit", X.once(X.hash_if_eligible(F.col("body"), min_chars)).alias("hash")).where("hash is not null")
     return hashed.groupBy("hash").agg(_count().alias("n"), F.countDistinct("subreddit").alias("subs")).where("n > 1").withColumn(
         "kind", F.when(F.col("subs") > 1, "crosspost").otherwise("repost"),
     )
@@ -131,7 +131,7 @@ def quote_fields(items: DataFrame) -> DataFrame:
 
 
 def _needles(items: DataFrame) -> DataFrame:
-    return quote_fields(items).withColumn("needle", X.normalize(F.col("quote"))).where(F.length("needle") >= X.QUOTE_MIN_CHARS)
+    return quote_fields(items).withColumn("needle", X.once(X.normalize(F.col("quote")))).where(F.length("needle") >= X.QUOTE_MIN_CHARS)
 
 
 def quote_provenance(items: DataFrame, bodies: DataFrame, comments: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def _flag(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFra
 
 def hashed(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = None) -> DataFrame:
     """Rows with ``title_hash`` and, if ``body`` names a column, ``body_hash``; those that are stored already are kept."""
-    out = rows if "title_hash" in rows.columns else rows.withColumn("title_hash", X.hash_if_eligible(F.col("title"), limits.title_chars))
+    out = rows if "title_hash" in rows.columns else rows.withColumn("title_hash", X.once(X.hash_if_eligible(F.col("title"), limits.title_chars)))
     return out.withColumn("body_hash", X.hash_if_eligible(F.col(body), limits.body_chars)) if body and "body_hash" not in rows.columns else out
 
 
@@ -123,7 +123,7 @@ def comment_gate(comments: DataFrame, parents: DataFrame, policy: str = "filtere
 def harvest(rows: DataFrame, text: str, kind: str, min_chars: int, min_repeats: int = 5) -> DataFrame:
     """(sub, hash, repeats, kind): texts that repeat within a community more than ``min_repeats`` times."""
     return repeat_counts(
-        rows.withColumn("_h", X.hash_if_eligible(F.col(text), min_chars)), "_h",
+        rows.withColumn("_h", X.once(X.hash_if_eligible(F.col(text), min_chars))), "_h",
     ).where(F.col("repeats") > min_repeats).withColumn("kind", F.lit(kind))
 
 
