@@ -128,20 +128,18 @@ def harvest(rows: DataFrame, text: str, kind: str, min_chars: int, min_repeats:
 
 
 def merge_registry(old: DataFrame, new: DataFrame, most: int = 4000) -> DataFrame:
-    """One entry a community and hash, the one with more repeats; the ``most`` repeated of each community.
+    """One entry a community and hash, the one with more repeats; the ``most`` repeated of each community, by hash among equals.
 
-    A community's rank is taken over a histogram of its repeats first, so that only entries at or above the count at
-    which the limit is reached meet in one task: at most ``most`` and the ties of the last count.
+    The limit is found on counts by repeats and the hash's first characters, so the entries that meet in one task to be
+    ranked are at most ``most`` and those of the last of these slots.
     """
-    both = old.unionByName(new).groupBy("sub", "hash").agg(F.max(F.struct("repeats", "kind")).alias("b")).select("sub", "hash", "b.repeats", "b.kind")
-    counts = both.groupBy("sub", "repeats").agg(F.count(F.lit(1)).alias("n"))
-    above = Window.partitionBy("sub").orderBy(F.desc("repeats")).rowsBetween(Window.unboundedPreceding, -1)
-    floor = counts.withColumn(
-        "before", F.coalesce(F.sum("n").over(above), F.lit(0)),
-    ).where(F.col("before") < most).groupBy("sub").agg(F.min("repeats").alias("floor"))
-    kept = both.join(floor, "sub").where(F.col("repeats") >= F.col("floor"))
+    both = old.unionByName(new).groupBy("sub", "hash").agg(F.max(F.struct("repeats", "kind")).alias("b"))
+    both = both.select("sub", "hash", "b.repeats", "b.kind", F.substring("hash", 1, 3).alias("_slot"))
+    slots = both.groupBy("sub", "repeats", "_slot").agg(F.count(F.lit(1)).alias("n"))
+    above = Window.partitionBy("sub").orderBy(F.desc("repeats"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = slots.withColumn("before", F.coalesce(F.sum("n").over(above), F.lit(0))).where(F.col("before") < most).select("sub", "repeats", "_slot")
     rank = F.row_number().over(Window.partitionBy("sub").orderBy(F.desc("repeats"), "hash"))
-    return kept.withColumn("_r", rank).where(F.col("_r") <= most).drop("_r", "floor")
+    return both.join(open_, ["sub", "repeats", "_slot"]).withColumn("_r", rank).where(F.col("_r") <= most).select("sub", "hash", "repeats", "kind")
 
 
 def registry_of(titles: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:

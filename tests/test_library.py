@@ -198,6 +198,13 @@ def test_registry(spark):
     assert sorted(str(r.reason) for r in K.filter_comments(talk, found).collect()) == ["None", "distinguished", "registry-hash"]
 
 
+def test_registry_limit_against_a_sort(spark):
+    rows = [(f"s{i % 2}", f"{i * 7919 % 65536:04x}{i:012x}", 6 + i % 3, "title") for i in range(3000)]
+    given = spark.createDataFrame(rows, "sub string, hash string, repeats int, kind string")
+    found = {(r["sub"], r.hash, r.repeats) for r in K.merge_registry(given, given.limit(0), 900).collect()}
+    assert found == {r[:3] for sub in ("s0", "s1") for r in sorted((r for r in rows if r[0] == sub), key=lambda r: (-r[2], r[1]))[:900]}
+
+
 def test_comment_gate(spark):
     talk = spark.createDataFrame([("p1", 10, False), ("p2", 500, True), ("p2", 500, False), ("p2", 10, True)], "link_id string, body_chars long, ai_prefilter_hit boolean")
     parents = spark.createDataFrame([("p1", True), ("p2", False)], "row_key string, ai_related boolean")
