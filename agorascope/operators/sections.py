@@ -325,13 +325,16 @@ def spikes(items: DataFrame) -> DataFrame:
 
 def discovery(items: DataFrame, comment_mentions: DataFrame, tracked: list[str], n: int = 40, least: int = 3) -> DataFrame:
     """Communities named at least ``least`` times and neither tracked, ingested nor noise. comment_mentions: (subreddit, sub_mentions)."""
-    rows = human(items).select(
-        "subreddit", F.explode("sub_mentions").alias("sub"),
-    ).unionByName(comment_mentions.select("subreddit", F.explode("sub_mentions").alias("sub")))
+    named = lambda rows: rows.select("subreddit", F.explode("sub_mentions").alias("sub"))
+    rows = named(human(items)).unionByName(named(comment_mentions)).where(F.col("sub") != "").where(~F.col("sub").isin(*tracked, *V.DISCOVERY_NOISE))
+    # counted by pairs first, so that neither a popular community's mentions nor those who cite it are gathered
     own = human(items).select(F.col("subreddit").alias("sub")).distinct()
-    rows = rows.where(F.col("sub") != "").where(~F.col("sub").isin(*tracked, *V.DISCOVERY_NOISE)).join(own, "sub", "left_anti")
-    found = rows.groupBy("sub").agg(_count().alias("mentions"), F.collect_set("subreddit").alias("by")).where(F.col("mentions") >= least)
-    return _top(found, n, F.desc("mentions"), "sub").select("sub", "mentions", F.array_join(F.slice(F.array_sort("by"), 1, 6), ",").alias("cited_by"))
+    pairs = rows.groupBy("sub", "subreddit").agg(_count().alias("n")).join(own, "sub", "left_anti")
+    best = _top(pairs.groupBy("sub").agg(F.sum("n").alias("mentions")).where(F.col("mentions") >= least), n, F.desc("mentions"), "sub")
+    rank = F.row_number().over(Window.partitionBy("sub").orderBy("subreddit"))
+    first = pairs.join(F.broadcast(best.select("sub")), "sub").withColumn("r", rank).where("r <= 6")
+    cited = first.groupBy("sub").agg(F.array_join(F.array_sort(F.collect_list("subreddit")), ",").alias("cited_by"))
+    return best.join(cited, "sub").orderBy(F.desc("mentions"), "sub").select("sub", "mentions", "cited_by")
 
 
 def rules(items: DataFrame) -> DataFrame:

@@ -278,7 +278,7 @@ def test_whole_rollup(spark, tmp_path):
         raise RuntimeError("no model")
 
     engine.models = dict.fromkeys(models, fails)
-    assert engine.rollup().failed == {}
+    assert engine.rollup({k: v for k, v in engine.sections().items() if k in models}).failed == {}
     row = engine.insights("personas", "made").first()
     assert json.loads(row.value) == {"n": 40} and row.stale and row.stale_reason == "no model"
     assert {r.degraded for r in engine.insights("features").collect()} == {"no model"} and engine.insights("features").count() == 4
