@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agorascope.config import Boilerplate
 from agorascope.functions import text as X
-from agorascope.session import cut
+from agorascope.session import kept
 from agorascope.vocabulary import BOT_AUTHORS
 
 
@@ -70,14 +70,14 @@ def classify_rows(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataF
 def classify_bodies(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str = "body") -> DataFrame:
     """(subreddit, row_key, content_class, content_class_reason, and ``old_reason``: the tag so far), by titles and bodies.
 
-    The texts are read and hashed once: what is left of a row, its key, flags and hashes, is cut to the shared folder,
+    The texts are read and hashed once: what is left of a row, its key, flags and hashes, is kept in the shared folder,
     and the counts and joins work on that.
     """
     old = F.coalesce("content_class_reason", F.lit("")) if "content_class_reason" in rows.columns else F.lit("")
     slim = hashed(rows, limits, body).select(
         "subreddit", "row_key", "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"),
     )
-    return _tagged(cut(slim), limits, {"title_hash": "_t", "body_hash": "_b"}).drop("author", "distinguished", "stickied")
+    return _tagged(kept(slim), limits, {"title_hash": "_t", "body_hash": "_b"}).drop("author", "distinguished", "stickied")
 
 
 def classify_untagged(rows: DataFrame, limits: Boilerplate = Boilerplate()) -> DataFrame:

@@ -16,7 +16,7 @@ from agorascope.operators import classify as K
 from agorascope.operators import rows as R
 from agorascope.operators import sections as S
 from agorascope.plans.store import Versions
-from agorascope.session import cut
+from agorascope.session import cut, forget, kept
 
 
 def ask_rows(
@@ -170,7 +170,7 @@ class Engine:
     def items(self) -> DataFrame:
         """Classified items; the analyses are parsed once and kept in the shared folder."""
         return K.classify_untagged(
-            cut(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits,
+            kept(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits,
         )
 
     def sections(self) -> dict[str, dict[str, Callable]]:
@@ -197,8 +197,14 @@ class Engine:
     def rollup(self, sections: dict | None = None) -> Summary:
         """All sections from one kept copy of the items; then the registry, the spike digest and a health row, none of them fatal."""
         began = datetime.now(UTC)
-        parsed = cut(K.hashed(R.parse_rows(self.posts.where("analyzed")), self.settings.limits))
-        items = cut(K.classify_untagged(parsed.where("valid").drop("valid"), self.settings.limits))
+        parsed = kept(K.hashed(R.parse_rows(self.posts.where("analyzed")), self.settings.limits))
+        items = kept(K.classify_untagged(parsed.where("valid").drop("valid"), self.settings.limits))
+        try:
+            return self._rolled(parsed, items, sections, began)
+        finally:
+            forget(items, parsed)
+
+    def _rolled(self, parsed: DataFrame, items: DataFrame, sections: dict | None, began: datetime) -> Summary:
         done = run_sections(items, self.store, sections or self.sections())
         counts = parsed.agg(F.count(F.lit(1)).alias("n"), F.count_if("valid").alias("valid")).first()
         done.rows_scanned, done.rows_analyzed, done.skipped_rows = counts["n"], counts["valid"], counts["n"] - counts["valid"]
@@ -309,9 +315,10 @@ class Engine:
         """Every table of the audit, written as the latest version and read back."""
         from agorascope.plans import jobs
 
-        items = cut(self.items())
+        items = kept(self.items())
         tables = jobs.audit(items, self.posts, self.comments, self.settings.tags or {}, raw)
         self.store.write("audit", tables)
+        forget(items)
         return {name: self.store.table("audit", name) for name in tables}
 
     def ingest(self, frames: list, store: str, **more) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +60,21 @@ def cut(df: DataFrame) -> DataFrame:
     executor repeats nothing before."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """As ``cut``, but as Parquet in the shared folder, so that each use reads only its columns and rows. ``forget`` removes it."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove what ``kept`` has written; the tables and what was made of them can't be read any more."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = shared_folder(spark)
+        for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if path.split(":", 1)[-1].lstrip("/").startswith(folder.split(":", 1)[-1].lstrip("/")):
+                place = spark._jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from agorascope import registry
 from agorascope.operators import sections as S
 from agorascope.plans import corpus as C
-from agorascope.session import read_texts
+from agorascope.session import forget, kept, read_texts
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,10 +20,26 @@ def executed(frame):
 def test_texts_are_read_once_and_nothing_crosses(spark, name):
     plan = executed(registry.queries()[name](spark, SF))
     if name not in ("retag_report", "discovery_candidates"):  # which read titles twice, and the comments
-        assert not any(step in plan for step in ("FileScan parquet", "from_json", "sha1", "regexp_replace"))  # all before the cut
+        assert not any(step in plan for step in ("documents.parquet", "from_json", "sha1", "regexp_replace"))  # all before what is kept
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_sections_read_only_their_columns(spark):
+    scans = [line for line in executed(registry.queries()["dist_stance"](spark, SF)).split("\n") if "FileScan parquet" in line]
+    assert scans and all("quote" not in s and "topics" not in s and "summary" not in s for s in scans)
+    assert any("IsNotNull(ai_related)" in s or "EqualTo(ai_related,true)" in s or "ai_related" in s.split("PushedFilters")[1] for s in scans)
+
+
+def test_what_is_kept_is_forgotten(spark):
+    table = kept(spark.range(10))
+    assert table.count() == 10
+    forget(table)
+    with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
+        spark.read.parquet(table.inputFiles()[0].rsplit("/", 1)[0])
+    forget(spark.read.parquet(f"{SF}/region.parquet"))  # not in the folder: it stays
+    assert spark.read.parquet(f"{SF}/region.parquet").count() == 5
+
+
 def test_what_is_parsed_is_read_once(spark):
     """The plan that the items are cut from scans the documents once and parses each analysis once."""
     posts = C.posts(spark, SF).where("analyzed")
@@ -50,7 +66,5 @@ def test_small_tables_are_dealt_and_large_ones_are_not(spark, monkeypatch):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = executed(registry.queries()["dist_stance"](spark, SF))
-    assert "InMemory" not in plan
     scan = executed(C.posts(spark, SF).where("subreddit = 'src3'").select("row_key", "created_utc"))
     assert "EqualTo(source,src3)" in scan and "n_chars" not in scan
