@@ -20,6 +20,7 @@ ARROW = {
     "string": pa.string(),
     "boolean": pa.bool_(),
     "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
     "array<struct<kind:string,start:int,end:int>>": pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])),
 }
 
