@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, html_text, language, licenses, packing, rules, rules_sql, secrets, sentence_pieces, simhash, tokens, urls
+from agorascope.llm import decontaminate, html_text, language, lexical, licenses, packing, rules, rules_sql, secrets, sentence_pieces, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -52,13 +52,18 @@ def op10_scored_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(_read(spark, sf_dir, "documents"))
+    return lexical.search(index, _read(spark, sf_dir, "benchmark"))
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_patience_licenses, op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html, op12_sentence_pieces)}
+    return {f.__name__: f for f in (op1_patience_licenses, op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html, op11_lexical_search, op12_sentence_pieces)}
 
 
 def oracle_sql() -> dict:
-    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules), "op6_spaced_seeds": decontaminate.sql(), "op2_link_graph_urls": urls.sql()}
+    return {"op5_rule_ledger": rules_sql.sql(rules.RULES, rules.BASE.rules), "op6_spaced_seeds": decontaminate.sql(), "op2_link_graph_urls": urls.sql(), "op11_lexical_search": lexical.sql()}
