@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agorascope.llm import decontaminate, html_text, language, lexical, licenses, packing, rules, rules_sql, secrets, sentence_pieces, simhash, tokens, urls
+from agorascope.llm import decontaminate, html_text, importance, language, lexical, licenses, packing, rules, rules_sql, secrets, sentence_pieces, simhash, tokens, urls
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -61,8 +61,12 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.digests(_read(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_patience_licenses, op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html, op11_lexical_search, op12_sentence_pieces)}
+    return {f.__name__: f for f in (op1_patience_licenses, op2_link_graph_urls, op3_golay_simhash, op4_markov_secrets, op5_rule_ledger, op6_spaced_seeds, op7_byte_network_language, op8_token_counts, op9_vector_best_fit, op10_scored_html, op11_lexical_search, op12_sentence_pieces, op13_importance_resampling)}
 
 
 def oracle_sql() -> dict:
