@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from agorascope.llm import decontaminate, html_text, language, licenses, packing, rules, secrets, simhash, tokens, urls
+from agorascope.llm import decontaminate, html_text, importance, language, lexical, licenses, packing, rules, secrets, sentence_pieces, simhash, tokens, urls
 
 PASSAGE = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
 TEXT = "The quick brown fox jumps over the lazy dog while seven wise old owls watch from a tall tree"
@@ -31,10 +31,13 @@ OPERATORS = {
     "language": lambda d: language.identify(d),
     "tokens": lambda d: tokens.token_counts(d),
     "pack": lambda d: packing.pack(d),
+    "lexical": lambda d: lexical.search(lexical.build(d), benchmark(d.sparkSession)),
+    "pieces": lambda d: sentence_pieces.digests(d),
+    "importance": lambda d: importance.resample(d, benchmark(d.sparkSession)),
     "html": lambda d: html_text.extract(d, id="doc_id", url="url", html="html"),
 }
 #: Operators with one row for each row given.
-EACH = ("urls", "simhash", "secrets", "redact", "rules", "language", "tokens", "html")
+EACH = ("urls", "simhash", "secrets", "redact", "rules", "language", "tokens", "pieces", "importance", "html")
 COLUMNS = "doc_id {}, text string, lang string, source string, n_chars long, url string, html string"
 
 
@@ -62,7 +65,7 @@ def test_rows_ids_and_names(spark, name):
     assert counted(OPERATORS[name](clashing)) == found
     texts = table(spark, [(None if i is None else f"id-{i}", t, h) for i, t, h in ROWS], "string")
     assert OPERATORS[name](texts).schema["doc_id"].dataType.simpleString() == "string"
-    if name != "language":  # which documents it learns from follows from the id
+    if name not in ("language", "importance"):  # what they learn from or draw follows from the id
         assert Counter({k.replace("'id-", "").replace("'", ""): n for k, n in counted(OPERATORS[name](texts)).items()}) == Counter({k.replace("'", ""): n for k, n in found.items()})
     assert OPERATORS[name](given.limit(0)).collect() == []
 
