@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
+from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,6 +32,8 @@ KINDS = ("assign", "access", "hex", "markov")
 LEAST, LEAST_CHARACTERS = 12, 6
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 PIECE = re.compile(r"[A-Za-z0-9]+")
+#: So many pieces of a run are weighed against each other; longer runs are taken part by part.
+TOGETHER = 128
 #: Random by make, but a name and no secret.
 UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 
@@ -100,7 +105,8 @@ class MarkovModels:
 
     def spans(self, run: str) -> list[tuple[int, int]]:
         """Random parts of a run: of each part the neighbouring pieces that lie highest above the threshold together."""
-        out, todo = [], [[(m.start(), m.end()) for m in PIECE.finditer(run)]]
+        pieces = [(m.start(), m.end()) for m in PIECE.finditer(run)]
+        out, todo = [], [pieces[k : k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
         while todo:
             pieces = todo.pop()
             if not pieces or pieces[-1][1] - pieces[0][0] < LEAST:
@@ -208,6 +214,17 @@ def default_models() -> MarkovModels:
     return _DEFAULT[0]
 
 
+def _touching(base: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span shares a character with one of ``base``, which are in order: of those that start before its end, the furthest end."""
+    starts, furthest = [s for s, _ in base], list(accumulate((e for _, e in base), max))
+
+    def touches(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before > 0 and furthest[before - 1] > start
+
+    return touches
+
+
 def spans(text: str | None, models: MarkovModels) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of one whole text in code points, sorted; method spans never touch base spans."""
     if not text:
@@ -219,11 +236,11 @@ def spans(text: str | None, models: MarkovModels) -> list[tuple[int, int, int]]:
     if runs:  # no longer than either pattern's least length, so nothing is missed
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
         found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-        base = list(found)
+        touches = _touching(sorted((s, e) for s, _, e in found))
         for m in runs:
             run = m[0]
             if not run.isdigit():
-                found += [(m.start() + a, 3, m.start() + b) for a, b in models.spans(run) if not any(x < m.start() + b and m.start() + a < y for x, _, y in base)]
+                found += [(m.start() + a, 3, m.start() + b) for a, b in models.spans(run) if not touches(m.start() + a, m.start() + b)]
     return sorted(found)
 
 

@@ -57,6 +57,39 @@ def test_markov_models_on_held_out_samples():
         assert models.spans(name) == []
 
 
+def test_many_secrets_in_one_text():
+    """Time follows the number of spans: twenty times as many take no more than sixty times as long."""
+    import time
+
+    rng, models = random.Random(5), secrets.default_models()
+    def text(n):
+        return "\n".join("".join(rng.choice("0123456789abcdef") for _ in range(40)) + " q7Zr0pLw9XkD2vTb8NfYs1Jm4HcG6aEu" for _ in range(n))
+
+    took = []
+    for n in (2500, 50_000):
+        given = text(n)
+        start = time.process_time()
+        found = secrets.spans(given, models)
+        took.append(time.process_time() - start)
+        kinds = Counter(k for _, k, _ in found)
+        assert kinds[2] == n and kinds[3] == n
+    assert took[1] < 60 * took[0]
+    run = "-".join(rng.choice(("q7Zr0pLw9XkD2vTb8NfYs1Jm4HcG6aEu", "ordinary", "words")) for _ in range(30_000))
+    start = time.process_time()
+    assert secrets.spans(run, models)
+    assert time.process_time() - start < 60
+
+
+def test_spans_that_touch_base_spans():
+    rng = random.Random(9)
+    for _ in range(500):
+        base = sorted((s, s + rng.randint(1, 9)) for s in (rng.randrange(60) for _ in range(rng.randint(0, 6))))
+        touches = secrets._touching(base)
+        for a in range(0, 70, 3):
+            b = a + rng.randint(1, 8)
+            assert touches(a, b) == any(x < b and a < y for x, y in base)
+
+
 def test_random_strings_are_found_in_texts():
     """Letters only and short ones too, alone, in paths and behind prefixes; the words around stay."""
     rng, models, found = random.Random(5), secrets.default_models(), 0
