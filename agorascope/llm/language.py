@@ -12,17 +12,18 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agorascope.llm.common import map_batches, named
 
 WINDOW, EMBEDDING, WIDTHS, FILTERS = 192, 8, (2, 3, 4), 8
 WIDEST = max(WIDTHS)
-#: Bound of the labelled sample: about this many texts a language, and characters of each.
-TEXTS_PER_LANGUAGE, SAMPLE_CHARS = 400, 1000
-#: Most languages that are learned, those with the most texts; it bounds what a dirty column can bring to the driver.
-MOST_LANGUAGES = 200
+#: Hard bounds of the labelled sample: texts of a language, characters of each, and texts of all languages together,
+#: which are shared equally by languages beyond 200.
+TEXTS_PER_LANGUAGE, SAMPLE_CHARS, MOST_TEXTS = 400, 1000, 80_000
+#: All languages are learned; a column with more different values than this holds no languages.
+MOST_LANGUAGES = 5000
 #: Windows scored at a time.
 CHUNK = 256
 #: Word characters but decimal digits: letters, and a few numbers such as fractions, which ``has_letter`` sorts out.
@@ -134,19 +135,27 @@ def held_out(id: str = "doc_id") -> F.Column:
 
 
 def labelled_sample(docs: DataFrame, id: str, text: str, lang: str, per_language: int) -> list:
-    """About ``per_language`` passages of each language from texts outside the held-out part, chosen by the id's hash.
+    """At most ``per_language`` passages of each language from texts outside the held-out part, those with the least hashes.
 
-    At most ``MOST_LANGUAGES`` languages are learned, those with the most texts, the first in order of equals.
+    Repeated rows, by id and text, count once, so no id or text can bring more to the driver. With so many languages that all
+    their passages were more than ``MOST_TEXTS``, each has fewer; none is left out. Rows with a null id, text or language
+    are not looked at.
     """
     known = docs.select(named(id).alias("id"), named(text).cast("string").alias("t"), named(lang).cast("string").alias("lang")).where(F.col("id").isNotNull() & F.col("t").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    known = known.withColumn("h", F.xxhash64("id", "t"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"{lang} has more than {MOST_LANGUAGES} different values, so it can't hold languages")
     if not counts:
         return []
-    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(int(10_000_000 * min(1.0, per_language / r["n"]))))])
-    h = F.xxhash64("id")
-    chosen = known.where(F.pmod(h, F.lit(10_000_000)) < F.element_at(share, F.col("lang")))
-    start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.length("t") - SAMPLE_CHARS)).cast("int") + 1
-    return sorted(chosen.select(F.col("id").cast("string").alias("id"), "lang", F.substring(F.col("t"), start, SAMPLE_CHARS).alias("t")).collect())
+    most = max(1, min(per_language, MOST_TEXTS // len(counts)))
+    # three times as many as wanted come through, nearly never fewer than wanted; of these the least hashes are taken
+    share = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(int(10_000_000 * min(1.0, 3 * (most + 10) / r["n"]))))])
+    some = known.where(F.pmod("h", F.lit(10_000_000)) < F.element_at(share, F.col("lang")))
+    start = F.pmod(F.xxhash64("h", F.lit(1)), F.greatest(F.lit(1), F.length("t") - SAMPLE_CHARS)).cast("int") + 1
+    once = some.groupBy("lang", "h").agg(F.max(F.substring("t", start, F.lit(SAMPLE_CHARS))).alias("t"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return once.withColumn("place", place).where(F.col("place") <= most).select("lang", "t").orderBy("lang", "h").collect()
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = TEXTS_PER_LANGUAGE) -> ByteNetwork | None:

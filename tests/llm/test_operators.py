@@ -57,6 +57,17 @@ def test_markov_models_on_held_out_samples():
         assert models.spans(name) == []
 
 
+def test_the_labelled_sample_is_bounded(spark):
+    rows = [(i, f"text number {i} of this language", "en") for i in range(900)] + [(7777, f"one id, text {i % 3}", "de") for i in range(400)] + [(i, "the same text again and again", "fr") for i in range(5000, 5400)]
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = Counter(r["lang"] for r in language.labelled_sample(given, "doc_id", "text", "lang", 50))
+    assert found["en"] == 50 and found["fr"] == 50 and found["de"] <= 3
+    assert language.labelled_sample(given, "doc_id", "text", "lang", 50) == language.labelled_sample(given.repartition(7), "doc_id", "text", "lang", 50)
+    many = spark.range(9000).select("id", F.lit("x").alias("text"), F.concat(F.lit("lang"), "id").alias("lang"))
+    with pytest.raises(ValueError, match="lang has more than"):
+        language.labelled_sample(many, "id", "text", "lang", 50)
+
+
 def test_many_secrets_in_one_text():
     """Time follows the number of spans: twenty times as many take no more than sixty times as long."""
     import time
