@@ -376,13 +376,6 @@ def test_language_on_the_table(spark):
     assert n[True] > 0.985 * sum(n.values()) and sum(n.values()) > 1500
 
 
-def test_languages_beyond_the_bound_are_not_learned(spark, monkeypatch):
-    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
-    rows = [(i, f"some words in language {i % 4} stand here", "abcd"[i % 4]) for i in range(400) if i % 4 < 2 or i % 8 > 4]
-    sample = language.labelled_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", 50)
-    assert {r["lang"] for r in sample} == {"a", "b"}
-
-
 def test_training_uses_every_window_of_a_split():
     seen = []
 
