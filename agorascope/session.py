@@ -69,6 +69,28 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, in any store that Spark writes to."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    files, place = _place(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
 def forget(*tables: DataFrame) -> None:
     """Remove what ``kept`` has written; the tables and what was made of them can't be read any more."""
     for table in tables:
@@ -76,5 +98,4 @@ def forget(*tables: DataFrame) -> None:
         folder = shared_folder(spark)
         for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
             if path.split(":", 1)[-1].lstrip("/").startswith(folder.split(":", 1)[-1].lstrip("/")):
-                place = spark._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+                remove(spark, path)

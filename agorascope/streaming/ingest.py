@@ -1,7 +1,7 @@
 """Incremental ingest: raw records to stored rows, each once, late ones within three days; backfills that resume.
 
 A store is a Parquet table by community and day. A row's day follows from its time, so a batch is compared only
-with the days it holds.
+with the days it has and those of the overlap around them. How far each community was read is a small table beside it.
 """
 
 from __future__ import annotations
@@ -12,18 +12,22 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from agorascope.functions import text as X
 from agorascope.operators.rows import admit
-from agorascope.plans.store import read_or_none
+from agorascope.plans.states import Marks
+from agorascope.plans.store import append_log, read_or_none
+from agorascope.plans.tables import KEYS, pruned
 from agorascope.session import cut
 from agorascope.sources import normalize
 from agorascope.sources.archive import Archive, Cursored
 
-OVERLAP, OVERLAP_SECONDS, FIRST_RUN_SECONDS = "3 days", 3 * 86400, 14 * 86400
-KEYS = ["subreddit", "row_key"]
+OVERLAP_DAYS = 3
+OVERLAP, OVERLAP_SECONDS, FIRST_RUN_SECONDS = f"{OVERLAP_DAYS} days", OVERLAP_DAYS * 86400, 14 * 86400
+#: The day of rows without a time.
+NO_DAY = "1970-01-01"
 STATUS = "sub string, kind string, queued boolean, exhausted boolean, months int, watermark long, updated_at timestamp"
 
 
@@ -37,25 +41,32 @@ def incoming(spark: SparkSession, path: str, kind: str = "post", max_files: int
 
 
 def day_of(created_utc: Column) -> Column:
-    return F.coalesce(F.to_date(F.timestamp_seconds(created_utc)), F.to_date(F.lit("1970-01-01")))
+    return F.coalesce(F.to_date(F.timestamp_seconds(created_utc)), F.to_date(F.lit(NO_DAY)))
 
 
-def append_new(rows: DataFrame, store: str, raw: str | None = None) -> None:
-    """Append the rows whose keys are not in the table at ``store`` yet, each key once, and, with ``raw``, archive them there
-    as well. Only the days and communities that the rows have are read of the store."""
+def around(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stored rows that may be those of a batch: of its communities, in its days and ``OVERLAP_DAYS`` before and after
+    each, and those without a time. No other day is read, whatever lies between a batch's days."""
+    spread = F.array_append(F.sequence(F.date_sub("day", OVERLAP_DAYS), F.date_add("day", OVERLAP_DAYS)), F.to_date(F.lit(NO_DAY)))
+    return pruned(stored, batch.select("subreddit", "day").distinct().select("subreddit", F.explode(spread).alias("day")))
+
+
+def append_new(rows: DataFrame, store: str, raw: str | None = None) -> int:
+    """Append the rows whose keys are not in the table at ``store`` yet, and, with ``raw``, archive them there as well; how many.
+
+    Each key is stored once: of a batch's rows with one key the newest, on whatever days they are, and none if the key is
+    stored within the overlap. ``rows`` are used several times, so they should be cut before if they are costly.
+    """
     session = rows.sparkSession
     dated = rows.withColumn("day", day_of(F.col("created_utc")))
     stored = read_or_none(session, store)
-    if stored is None:
-        known = dated.limit(0).select(*KEYS, "day")
-    else:
-        span = dated.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
-        known = stored.where(F.col("day").between(span["first"], span["last"])).select(*KEYS, "day")
-    fresh = admit(known, dated, [*KEYS, "day"])
+    fresh = admit(dated.limit(0) if stored is None else around(stored, dated), dated, KEYS)
     if raw:
         fresh = cut(fresh)  # both tables must get the same rows
         archive_raw(fresh, raw)
-    fresh.write.mode("append").partitionBy("subreddit", "day").parquet(store)
+    count = Observation()
+    fresh.observe(count, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("subreddit", "day").parquet(store)
+    return count.get["n"]
 
 
 def archive_raw(rows: DataFrame, path: str) -> None:
@@ -76,13 +87,21 @@ def watermarks(rows: DataFrame) -> DataFrame:
     return rows.groupBy("subreddit", "kind").agg(F.max("created_utc").alias("watermark"), F.count(F.lit(1)).alias("n"))
 
 
-def starts(stored: DataFrame | None, subs: list[str], now: int, kind: str = "post") -> dict[str, int]:
+def marks_of(spark: SparkSession, store: str) -> Marks:
+    """The watermarks of a store. One that has rows but no marks yet is read for them once."""
+    marks = Marks(spark, f"{store.rstrip('/')}-marks")
+    if marks.read() is None and (stored := read_or_none(spark, store)) is not None:
+        marks.merge(watermarks(stored))
+    return marks
+
+
+def starts(marks: DataFrame | None, subs: list[str], now: int, kind: str = "post") -> dict[str, int]:
     """Where each community's next read starts: its watermark less the overlap, or two weeks ago for a new one."""
-    if stored is None:
+    if marks is None:
         return {s: now - FIRST_RUN_SECONDS for s in subs}
     wanted = {s.lower(): s for s in subs}
-    marks = watermarks(stored.where(F.col("subreddit").isin(list(wanted)) & (F.col("kind") == kind))).collect()  # one row a setting's community
-    seen = {wanted[r["subreddit"]]: r["watermark"] - OVERLAP_SECONDS for r in marks if r["watermark"] is not None}
+    rows = marks.where(F.col("subreddit").isin(list(wanted)) & (F.col("kind") == kind)).collect()  # one row a setting's community
+    seen = {wanted[r["subreddit"]]: r["watermark"] - OVERLAP_SECONDS for r in rows if r["watermark"] is not None}
     return {s: seen.get(s, now - FIRST_RUN_SECONDS) for s in subs}
 
 
@@ -130,28 +149,25 @@ def run_ingest(
     """One row a frame (frame, ok, discovered, admitted, failed, error): what is new since the watermarks goes to ``store``.
 
     Frames are isolated from each other and communities within a frame: what one fails to give, the others don't miss,
-    and its watermark, which is the store's newest row, stays where it was. Communities without a backfill status are queued
-    for one.
+    and its watermark stays where it was, as what it gave need not be all up to its newest row. Watermarks are read
+    from their own table, never from the store. Communities without a backfill status are queued for one.
     """
     now, out = int(time.time()) if now is None else now, []
     for frame in frames:
         try:
-            stored = read_or_none(spark, store)
-            before = stored.count() if stored is not None else 0
-            records = cut(fetched(spark, frame, starts(stored, frame.subs, now, frame.kind), now))
+            marks = marks_of(spark, store)
+            records = cut(fetched(spark, frame, starts(marks.read(), frame.subs, now, frame.kind), now))
             parsed = records.where("json is not null").select(
                 "sub", F.from_json("json", frame.schema).alias("r"),
             ).select(F.col("sub").alias("_sub"), "r.*")
             rows = frame.rows(parsed)
             errors = records.where("error is not null").groupBy("sub").agg(F.min("error").alias("error")).collect()
-            append_new(rows, store, raw)
+            admitted = append_new(rows, store, raw)
+            marks.merge(watermarks(rows.where(~F.lower("subreddit").isin([r["sub"].lower() for r in errors]))))
             if backfill_status:
                 for sub in without_status(spark, backfill_status, frame.subs, frame.kind):
                     request_backfill(spark, backfill_status, sub, kind=frame.kind)
-            out.append((
-                frame.name, not errors, parsed.count(), spark.read.parquet(store).count() - before, [f"{r['sub']}: {r['error']}" for r in errors],
-                None,
-            ))
+            out.append((frame.name, not errors, parsed.count(), admitted, [f"{r['sub']}: {r['error']}" for r in errors], None))
         except Exception as failure:  # a frame that is down never ends the others
             out.append((frame.name, False, 0, 0, [], str(failure).split("\n")[0][:500]))
     return spark.createDataFrame(out, "frame string, ok boolean, discovered long, admitted long, failed array<string>, error string")
@@ -167,8 +183,8 @@ def status_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _mark(spark: SparkSession, path: str, sub: str, kind: str, queued: bool, exhausted: bool, months: int, watermark: int | None) -> None:
-    row = [(sub.lower(), kind, queued, exhausted, months, watermark, datetime.now(UTC))]
-    spark.createDataFrame(row, STATUS).coalesce(1).write.mode("append").parquet(path)
+    last = lambda log: log.groupBy("sub", "kind").agg(F.max_by(F.struct(*log.columns), "updated_at").alias("s")).select("s.*")
+    append_log(spark, path, [(sub.lower(), kind, queued, exhausted, months, watermark, datetime.now(UTC))], STATUS, last)
 
 
 def without_status(spark: SparkSession, path: str, subs: list[str], kind: str = "post") -> list[str]:
@@ -192,7 +208,7 @@ def backfill(
 ) -> DataFrame:
     """Read the months up to ``before`` from the archive, a task for each community and window, and append what is new.
 
-    Returns the watermarks of the store. A repeated or resumed run adds nothing twice. With ``status``, a walk goes on from
+    Returns the store's watermarks (subreddit, kind, watermark). A repeated or resumed run adds nothing twice. With ``status``, a walk goes on from
     where its last run ended, posts and comments each by themselves, and is marked exhausted unless its community failed.
     """
     if not 1 <= months <= 24:
@@ -212,13 +228,16 @@ def backfill(
     )
     records = cut(fetched(spark, frame, begin, before))
     parsed = records.where("json is not null").select(F.from_json("json", frame.schema).alias("r")).select("r.*")
-    append_new(frame.rows(parsed), store, raw)
+    rows = frame.rows(parsed)
+    marks = marks_of(spark, store)
+    append_new(rows, store, raw)
     if status:
         failed = {r["sub"] for r in records.where("error is not null").select("sub").distinct().collect()}
         for sub in subs:
             # a walk that failed keeps its start: what came of it is stored, and is not stored again
             _mark(spark, status, sub, kind, sub in failed, sub not in failed, months, begin[sub] if sub in failed else before)
-    return watermarks(spark.read.parquet(store))
+    # what a backfill brings is older than what is read from a watermark on, so a mark can only be raised by a first one
+    return marks.merge(watermarks(rows))
 
 
 def ingest(spark: SparkSession, path: str, store: str, checkpoint: str, kind: str = "post"):
@@ -228,12 +247,18 @@ def ingest(spark: SparkSession, path: str, store: str, checkpoint: str, kind: st
     stateful step before it must run once.
     """
     query = incoming(spark, path, kind).writeStream.foreachBatch(
-        lambda batch, _: append_new(cut(batch), store),
+        lambda batch, _: _appended(cut(batch), store),
     ).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 
 
+def _appended(rows: DataFrame, store: str) -> None:
+    marks = marks_of(rows.sparkSession, store)
+    append_new(rows, store)
+    marks.merge(watermarks(rows))
+
+
 def late_rows(query) -> int:
     """Rows of this run that were older than the newest less the overlap, and so were left out; a backfill brings them."""
     return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])

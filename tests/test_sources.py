@@ -99,7 +99,8 @@ def test_frames_and_communities_are_isolated(spark, tmp_path):
     assert {r["subreddit"] for r in rows.select("subreddit").distinct().collect()} == {"a", "x"} and spark.read.parquet(raw).count() == rows.count() == 270
     assert json.loads(ingest.raw_of(spark, raw, "X", 1003, "x9").first().record)["row_key"] == "x9"
     assert {(r["sub"], r.queued) for r in ingest.status_of(spark, status).collect()} == {("a", True), ("down", True), ("x", True)}
-    assert ingest.starts(rows, ["a", "x", "new"], 10**9) == {"a": 2000 - 3 * 86400, "x": 1083 - 3 * 86400, "new": 10**9 - 14 * 86400}
+    marks = ingest.marks_of(spark, store).read()
+    assert ingest.starts(marks, ["a", "x", "new"], 10**9) == {"a": 2000 - 3 * 86400, "x": 1083 - 3 * 86400, "new": 10**9 - 14 * 86400}
 
 
 def test_backfill_status_skip_force_and_resume(spark, tmp_path):
@@ -148,14 +149,66 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert sorted(r.row_key for r in spark.read.parquet(store).collect()) == ["a", "b", "in"]
 
 
+ROWS = "subreddit string, row_key string, created_utc long, kind string"
+DAY = 86400
+
+
 def test_appending_reads_the_days_it_needs(spark, tmp_path):
+    """Partitions of the batch's communities, in its days and the overlap around them; a row without a time adds one day."""
+    store = str(tmp_path / "store")
+    rows = spark.createDataFrame([(sub, f"k{d}", DAY * d, "post") for d in (0, *range(100, 140)) for sub in ("w", "v")], ROWS)
+    assert ingest.append_new(rows, store) == 82
+    batch = spark.createDataFrame([("w", "k107", 107 * DAY, "post"), ("w", "k130", 130 * DAY, "post"), ("w", "new", None, "post")], ROWS)
+    seen = ingest.around(spark.read.parquet(store), batch.withColumn("day", ingest.day_of(F.col("created_utc"))))
+    days = {str(r[0]) for r in seen.select("day").distinct().collect()}
+    assert len(days) == 7 + 7 + 1 and {r[0] for r in seen.select("subreddit").distinct().collect()} == {"w"}
+    scan = next(line for line in seen._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line)
+    filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "subreddit" in filters and "day" in filters and "DataFilters: []" in scan
+    assert ingest.append_new(batch, store) == 1 and spark.read.parquet(store).count() == 83
+
+
+def test_a_key_is_stored_once_on_whatever_day(spark, tmp_path):
+    """A record whose time moves over midnight, within a batch and in a later one, is one row, the newest of its batch."""
+    store = str(tmp_path / "store")
+    rows = lambda *times: spark.createDataFrame([("w", "k", t, "post") for t in times], ROWS)
+    assert ingest.append_new(rows(5 * DAY - 1, 5 * DAY + 1, 5 * DAY), store) == 1
+    assert ingest.append_new(rows(6 * DAY + 5, 4 * DAY), store) == 0
+    assert [(r.row_key, r.created_utc) for r in spark.read.parquet(store).collect()] == [("k", 5 * DAY + 1)]
+
+
+def test_watermarks_are_not_read_from_the_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    frame = ingest.Frame("archive", "tests.fake_archive:client", ["x"], options={"window": "5000"})
+    ingest.run_ingest(spark, [frame], store, now=2500)
+    marks = ingest.marks_of(spark, store)
+    assert [tuple(r) for r in marks.read().collect()] == [("x", "post", 1083)]
+    assert all("-marks/" in f for f in marks.read().inputFiles())
+    for name in spark.read.parquet(store).inputFiles():  # the store could be gone
+        open(name.removeprefix("file://"), "w").close()
+    assert ingest.starts(ingest.marks_of(spark, store).read(), ["x"], 9999) == {"x": 1083 - ingest.OVERLAP_SECONDS}
+    again = marks.merge(spark.createDataFrame([("x", "post", 7), ("y", "post", None), ("z", "comment", 3)], "subreddit string, kind string, watermark long"))
+    assert sorted(map(tuple, again.collect())) == [("x", "post", 1083), ("z", "comment", 3)]
+
+
+def test_a_frame_that_fails_midway_keeps_its_watermark(spark, tmp_path):
     store = str(tmp_path / "store")
-    rows = spark.createDataFrame([("w", f"k{d}", 86400 * d, "post") for d in range(20)], "subreddit string, row_key string, created_utc long, kind string")
-    ingest.append_new(rows, store)
-    ingest.append_new(rows.where("row_key = 'k7'"), store)
-    assert spark.read.parquet(store).count() == 20
-    pruned = spark.read.parquet(store).where(F.col("day").between("1970-01-08", "1970-01-08"))
-    assert len(pruned.inputFiles()) >= 1 and "PartitionFilters: [isnotnull(day" in pruned._jdf.queryExecution().executedPlan().toString()
+    spark.createDataFrame([("a", "old", 1000, "post")], ROWS).withColumn("day", ingest.day_of(F.col("created_utc"))).write.partitionBy("subreddit", "day").parquet(store)
+    broken = ingest.stream_frame("tests.test_sources:breaking_client", [{"name": "a"}], pages=3)
+    found = ingest.run_ingest(spark, [broken], store, now=2500).first()
+    assert not found.ok and found.admitted == 10 and ingest.marks_of(spark, store).read().first().watermark == 1000
+
+
+def breaking_client():
+    """A stream whose second page fails."""
+    first = cursor_client()
+
+    def fetch(name, cursor, after):
+        if cursor:
+            raise RuntimeError("gone")
+        return first(name, cursor, after)
+
+    return fetch
 
 
 def test_registry_cache_goes_on_when_it_cannot_be_read(spark, tmp_path):
