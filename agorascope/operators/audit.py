@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agorascope.functions import text as X
 from agorascope.operators.classify import filter_comments
+from agorascope.operators.quotes import contained
 from agorascope.operators.sections import share
 from agorascope.session import cut
 from agorascope.vocabulary import FICTION_HEAVY
@@ -137,17 +138,16 @@ def _needles(items: DataFrame) -> DataFrame:
 def quote_provenance(items: DataFrame, bodies: DataFrame, comments: DataFrame) -> DataFrame:
     """(id, subreddit, field, pos, bucket): where each quote of 25 characters or more stands.
 
-    Post text comes first, then human comments, then filtered ones. Quotes meet only the comments of
-    their own thread, by an equality join; threads without a quote are left out before their texts are
-    normalised, and matches are counted, never gathered.
+    Post text comes first, then human comments, then filtered ones. A quote meets only those comments of its own thread
+    that hold its anchor; threads without a quote are left out before their texts are normalised.
     """
     quotes = cut(_needles(items))
     asked = quotes.select("id").distinct()
     posts = bodies.select(F.col("row_key").alias("id"), "body").join(asked, "id", "left_semi").select("id", X.normalize(F.col("body")).alias("post"))
     there = filter_comments(comments).withColumn("id", F.col("link_id")).join(asked, "id", "left_semi")
-    said = there.select("id", X.normalize(F.col("body")).alias("said"), F.col("reason").isNull().alias("by_human"))
+    said = there.select("id", X.once(X.normalize(F.col("body"))).alias("said"), F.col("reason").isNull().alias("by_human"))
     in_post = quotes.join(posts, "id", "left").withColumn("in_post", F.coalesce(F.instr("post", F.col("needle")) > 0, F.lit(False))).drop("post")
-    in_talk = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).groupBy("id", "pos").agg(F.bool_or("by_human").alias("by_human"))
+    in_talk = quotes.select("id", "pos", "needle").join(contained(quotes, said, "by_human"), ["id", "needle"]).drop("needle")
     bucket = F.when(F.col("in_post"), "post-body").when(F.col("by_human"), "human-comment").when(
         F.col("by_human").isNotNull(), "bot-comment",
     ).otherwise("not-found")
@@ -188,9 +188,10 @@ def contamination(items: DataFrame, comments: DataFrame) -> DataFrame:
     """By community: rows with comments, with a filtered comment, and with a quote inside a filtered comment."""
     judged = filter_comments(comments).select(F.col("link_id").alias("id"), F.col("reason").isNotNull().alias("flagged"), "body")
     eligible = judged.groupBy("id").agg(F.bool_or("flagged").alias("broad"))
-    quotes = _needles(items)
-    said = judged.where("flagged").select("id", X.normalize(F.col("body")).alias("said"))
-    narrow = quotes.join(said, "id").where(F.instr("said", F.col("needle")) > 0).select("id").distinct().withColumn("narrow", F.lit(True))
+    quotes = cut(_needles(items))
+    flagged = judged.where("flagged").join(quotes.select("id").distinct(), "id", "left_semi")
+    said = flagged.select("id", X.once(X.normalize(F.col("body"))).alias("said"), F.lit(True).alias("narrow"))
+    narrow = contained(quotes, said, "narrow").select("id", "narrow").distinct()
     rows = items.select("id", "subreddit").join(eligible, "id").join(narrow, "id", "left")
     return rows.groupBy("subreddit").agg(
         _count().alias("eligible"), F.count_if("broad").alias("broad"), F.count_if(F.coalesce("narrow", F.lit(False))).alias("narrow"),

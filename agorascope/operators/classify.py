@@ -74,8 +74,9 @@ def classify_bodies(rows: DataFrame, limits: Boilerplate = Boilerplate(), body:
     and the counts and joins work on that.
     """
     old = F.coalesce("content_class_reason", F.lit("")) if "content_class_reason" in rows.columns else F.lit("")
+    time = ["created_utc"] if "created_utc" in rows.columns else []
     slim = hashed(rows, limits, body).select(
-        "subreddit", "row_key", "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"),
+        "subreddit", "row_key", *time, "author", "distinguished", "stickied", "title_hash", "body_hash", old.alias("old_reason"),
     )
     return _tagged(kept(slim), limits, {"title_hash": "_t", "body_hash": "_b"}).drop("author", "distinguished", "stickied")
 

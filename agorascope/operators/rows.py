@@ -16,11 +16,11 @@ ANALYSIS = (
 TOOL = "struct<tool: string, sentiment: string, switching: boolean, context: string>"
 
 
-def parse_rows(rows: DataFrame) -> DataFrame:
+def parse_rows(rows: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
     """Items with defaults filled in, and ``valid``: the analysis is exactly one JSON object.
 
     A list around the text makes trailing text, a second value or a cut object malformed. Old rows
-    name tools as bare strings; these read as neutral mentions.
+    name tools as bare strings; these read as neutral mentions. ``carried`` columns go along as they are.
     """
     list_of_one = F.from_json(
         F.concat(F.lit("["), "analysis_json", F.lit("]")), f"array<struct<{ANALYSIS}, tools_mentioned: variant>>", {"allowSingleQuotes": "false"},
@@ -70,7 +70,7 @@ def parse_rows(rows: DataFrame) -> DataFrame:
         F.coalesce(
             tools, empty(f"array<{TOOL}>"),
         ).alias("tools"), F.coalesce("a.notable_quote", F.lit("")).alias("quote"), F.coalesce("a.summary", F.lit("")).alias("summary"),
-        (F.coalesce(F.size("list") == 1, F.lit(False)) & F.col("a").isNotNull()).alias("valid"),
+        (F.coalesce(F.size("list") == 1, F.lit(False)) & F.col("a").isNotNull()).alias("valid"), *carried,
     )
 
 

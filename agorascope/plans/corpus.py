@@ -13,7 +13,7 @@ from agorascope import vocabulary as V
 from agorascope.functions import text as X
 from agorascope.operators.classify import classify_untagged, hashed
 from agorascope.operators.rows import parse_rows
-from agorascope.session import kept, read, read_texts
+from agorascope.session import read, read_texts
 
 FEATURES = (
     "proof of work", "continuity checker", "offline mode", "control over the ai", "dark mode", "Word export", "disclosure badge", "timeline view",
@@ -93,5 +93,6 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classified items of the analyzed submissions: what every section reads. The texts are read and the analyses parsed once."""
-    return classify_untagged(kept(hashed(parse_rows(posts(spark, sf_dir).where("analyzed")).where("valid").drop("valid"))))
+    """Classified items of the analyzed submissions, which every section reads. Nothing is written: a section that uses
+    them once parses only the fields that it needs."""
+    return classify_untagged(hashed(parse_rows(posts(spark, sf_dir).where("analyzed")).where("valid").drop("valid")))

@@ -15,7 +15,9 @@ from agorascope.functions import text as X
 from agorascope.operators import classify as K
 from agorascope.operators import rows as R
 from agorascope.operators import sections as S
-from agorascope.plans.store import Versions
+from agorascope.plans.states import CorruptState, States
+from agorascope.plans.store import Versions, append_log
+from agorascope.plans.tables import PartitionedTable
 from agorascope.session import cut, forget, kept
 
 
@@ -41,6 +43,28 @@ def ask_rows(
     return rows.orderBy(F.desc("created_utc"), "id").limit(n)
 
 
+def stored_filter(
+    posts: DataFrame, ai_only: bool = False, stance: str | None = None, topic: str | None = None, subreddit: str | None = None, **_,
+) -> DataFrame:
+    """Stored rows that ``ask_rows`` may choose, by the columns that stand beside the analysis, so that the scan skips the others
+    and their analyses are not parsed. Rows saved before there were such columns have null there and go on to be parsed."""
+    rows, has = posts, set(posts.columns)
+    def only(column: str, condition: Column) -> None:
+        nonlocal rows
+        if column in has:
+            rows = rows.where(F.col(column).isNull() | condition)
+
+    if ai_only:
+        only("ai_related", F.col("ai_related"))
+    if stance:
+        only("stance", F.col("stance") == stance)
+    if topic:
+        only("topics_csv", F.contains(F.concat(F.lit(","), "topics_csv", F.lit(",")), F.lit(f",{topic},")))
+    if subreddit and not isinstance(subreddit, Column):
+        rows = rows.where(F.lower("subreddit") == subreddit.lower())
+    return rows
+
+
 def reanalyze_selection(
     rows: DataFrame, sub: str | None = None, kind: str | None = None, below_version: int | None = None, force: bool = False, limit: int = 1000,
 ) -> DataFrame:
@@ -147,6 +171,10 @@ def reading(build: Callable) -> Callable:
     return build
 
 
+#: Rollups whose health rows stay.
+LAST_RUNS = 100
+
+
 class Engine:
     """Jobs over a store: ``posts`` and ``comments`` tables, sections under ``path``, and injected model calls.
 
@@ -162,15 +190,17 @@ class Engine:
 
     def __init__(
         self, spark: SparkSession, posts: DataFrame, comments: DataFrame, path: str, answer: Callable | None = None, notify: Callable | None = None,
-        settings: Settings | None = None, models: dict[str, Callable] | None = None,
+        settings: Settings | None = None, models: dict[str, Callable] | None = None, table: PartitionedTable | None = None,
     ):
         self.spark, self.posts, self.comments, self.path, self.answer, self.notify = spark, posts, comments, path, answer, notify
         self.settings, self.models, self.store = settings or Settings(), models or {}, Versions(spark, path)
+        #: The stored table of ``posts``, if results are to be merged into it.
+        self.table = table
 
     def items(self) -> DataFrame:
-        """Classified items; the analyses are parsed once and kept in the shared folder."""
+        """Classified items, parsed where they are used; jobs that use them many times keep them meanwhile."""
         return K.classify_untagged(
-            kept(K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits)), self.settings.limits,
+            K.hashed(R.parse_rows(self.posts.where("analyzed")).where("valid").drop("valid"), self.settings.limits), self.settings.limits,
         )
 
     def sections(self) -> dict[str, dict[str, Callable]]:
@@ -221,7 +251,7 @@ class Engine:
             done.would_select, done.registry_hashes, done.seconds, datetime.now(UTC),
         )]
         schema = "ok boolean, written array<string>, failed array<string>, rows_scanned long, rows_analyzed long, skipped_rows long, would_select long, registry_hashes long, seconds double, finished_at timestamp"
-        self.spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/rollup_health")
+        append_log(self.spark, f"{self.path}/rollup_health", row, schema, lambda log: log.orderBy(F.desc("finished_at")).limit(LAST_RUNS))
         return done
 
     def _publish(self, items: DataFrame, done: Summary) -> None:
@@ -246,9 +276,9 @@ class Engine:
     def insights(self, view: str, table: str | None = None):
         """A section's table as last written; ``health``, ``status``, all days' ``snapshots``, or ``all``: a dict of every view's first table."""
         if view == "all":
-            return {v: self.insights(v) for v in self.VIEWS if v in self.FIRST and self.store.table(
-                v, self.FIRST[v],
-            ) is not None} | {"health": self.health()}
+            current = self.store.current()
+            found = {v: self.store.table(v, self.FIRST[v], current) for v in self.VIEWS if v in self.FIRST}
+            return {v: t for v, t in found.items() if t is not None} | {"health": self.health()}
         if view == "health":
             return self.health()
         if view == "status":
@@ -263,8 +293,17 @@ class Engine:
         return found
 
     def ask(self, question: str, vector: list[float] | None = None, **filters):
-        """The answerer's reply on the chosen rows, or the rows if there is no answerer."""
-        rows = ask_rows(self.items(), vector, **filters)
+        """The answerer's reply on the chosen rows, or the rows if there is no answerer. Nothing is written.
+
+        Rows are chosen by their stored columns first; only what is left is parsed, and judged by the analysis itself.
+        Their class is the stored one, as no answer depends on it.
+        """
+        chosen = stored_filter(self.posts.where("analyzed"), **filters)
+        vectors = ("emb",) if vector is not None and "emb" in chosen.columns else ()
+        parsed = R.parse_rows(chosen, vectors).where("valid").drop("valid")
+        if vectors:
+            parsed = parsed.withColumn("emb", X.vector_from_base64(F.col("emb")))
+        rows = ask_rows(parsed, vector, **filters)
         return self.answer(question, rows.collect()) if self.answer else rows
 
     def take_snapshot(self, day: str) -> None:
@@ -304,6 +343,8 @@ class Engine:
         if not dry_run:
             if save:
                 save(R.save_tags(self.posts, changed))
+            if self.table:
+                self.table.merge(dated(changed), R.save_tags)
             found = K.registry_of(self.posts, self.settings.limits)
             if bodies:
                 found = found.unionByName(K.harvest(self.posts, "body", "body", self.settings.limits.body_chars, self.settings.limits.min_repeats))
@@ -316,10 +357,40 @@ class Engine:
         from agorascope.plans import jobs
 
         items = kept(self.items())
-        tables = jobs.audit(items, self.posts, self.comments, self.settings.tags or {}, raw)
-        self.store.write("audit", tables)
-        forget(items)
-        return {name: self.store.table("audit", name) for name in tables}
+        try:
+            tables = jobs.audit(items, self.posts, self.comments, self.settings.tags or {}, raw)
+            self.store.write("audit", tables)
+        finally:
+            forget(items)
+        current = self.store.current()
+        return {name: self.store.table("audit", name, current) for name in tables}
+
+    def audit_in_steps(self, run: str, raw: DataFrame | None = None) -> tuple[dict[str, DataFrame], str | None]:
+        """As ``audit``, table by table: a run of this name that died goes on with the tables that it hasn't written.
+
+        The second value tells why the run began anew, if the state of its progress was damaged; None if it was whole or
+        there was none.
+        """
+        from agorascope.plans import jobs
+
+        states, restarted = States(self.spark, f"{self.path}/_states"), None
+        try:
+            state = states.load("audit") or {}
+        except CorruptState as damage:
+            state, restarted = {}, str(damage)
+        done = state.get("done", []) if state.get("run") == run else []
+        items = kept(self.items())
+        try:
+            tables = jobs.audit(items, self.posts, self.comments, self.settings.tags or {}, raw)
+            for name, table in tables.items():
+                if name not in done:
+                    self.store.write(f"audit_{name}", {name: table})
+                    done = [*done, name]
+                    states.save("audit", {"run": run, "done": done})
+        finally:
+            forget(items)
+        current = self.store.current()
+        return {name: self.store.table(f"audit_{name}", name, current) for name in tables}, restarted
 
     def ingest(self, frames: list, store: str, **more) -> DataFrame:
         from agorascope.streaming import ingest
@@ -344,7 +415,11 @@ class Engine:
             pending, self.comments, parents, analyzer, "subreddit string, row_key string, analysis_json string", cap, used, policy,
             self.settings.comment_min_chars, self.registry(),
         ))
-        stored = R.save_analysis(self.posts, made, schema_version)
+        put = lambda old, new: R.save_analysis(old, new, schema_version)
+        if self.table:
+            times = pending.select("subreddit", "row_key", "created_utc").dropDuplicates(["subreddit", "row_key"])
+            self.table.merge(dated(made.join(times, ["subreddit", "row_key"])), lambda old, new: put(old, new.drop("created_utc")))
+        stored = put(self.posts, made)
         if save:
             save(stored)
         return stored
@@ -353,6 +428,13 @@ class Engine:
         return F.coalesce(F.get_json_object("analysis_json", "$.ai_related").cast("boolean"), F.lit(False))
 
 
+def dated(rows: DataFrame) -> DataFrame:
+    """With the day under which the store has a row."""
+    from agorascope.streaming.ingest import day_of
+
+    return rows.withColumn("day", day_of(F.col("created_utc")))
+
+
 def analyze_pending(rows: DataFrame, analyzer: Callable[[], Callable[[dict], dict]], schema: str) -> DataFrame:
     """Model output for each pending row. ``analyzer()`` makes one client a task; filter before, since Python stages stop pushdown."""
     import pandas as pd

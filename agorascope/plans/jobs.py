@@ -15,6 +15,8 @@ from agorascope.operators import classify as K
 from agorascope.operators import rows as R
 from agorascope.operators import sections as S
 from agorascope.plans.engine import analyze_pending, one_row
+from agorascope.plans.states import CorruptState, States
+from agorascope.session import cut
 
 
 def retag(posts: DataFrame, limits: Boilerplate = Boilerplate(), body: str | None = "body") -> tuple[DataFrame, DataFrame]:
@@ -24,7 +26,8 @@ def retag(posts: DataFrame, limits: Boilerplate = Boilerplate(), body: str | Non
     else:
         old = posts.withColumn("old_reason", F.coalesce("content_class_reason", F.lit(""))).drop("content_class", "content_class_reason")
         tagged = K.classify_rows(old, limits)
-    changed = tagged.where("content_class_reason <> old_reason").select("subreddit", "row_key", "content_class", "content_class_reason")
+    time = ["created_utc"] if "created_utc" in tagged.columns else []
+    changed = tagged.where("content_class_reason <> old_reason").select("subreddit", "row_key", *time, "content_class", "content_class_reason")
     return changed, A.retag_report(tagged)
 
 
@@ -99,7 +102,10 @@ def analyze(
     admitted = K.admit_under_cap(
         posts.unionByName(pending.where("kind = 'comment'").join(gated, "row_key", "left_semi").select(*posts.columns)), cap, used,
     )
-    kept = R.first_replies(K.filter_comments(comments, registry).where("reason is null"))
+    # only the threads of what was admitted: a few rows, however many comments there are
+    admitted = cut(admitted)
+    theirs = comments.join(admitted.select(F.col("row_key").alias("link_id")).distinct(), "link_id", "left_semi")
+    kept = R.first_replies(K.filter_comments(theirs, registry).where("reason is null"))
     said = kept.groupBy("link_id").agg(F.array_sort(F.collect_list(F.struct("position", "body"))).alias("said")).select(
         F.col("link_id").alias("row_key"), F.expr("transform(said, s -> s.body)").alias("comments"),
     )
@@ -109,17 +115,21 @@ def analyze(
 
 
 def synthesize(spark: SparkSession, name: str, path: str, build: Callable[[], dict]) -> dict:
-    """A model-made section. If the model fails, the last good one with ``_stale``; a good one is kept for later."""
-    place = f"{path}/{name}"
+    """A model-made section. If the model fails, the last good one with ``_stale``; a good one is kept for later.
+
+    If what was kept is damaged, there is nothing to go on with, and ``_corrupt`` says so: it is not taken for a first run.
+    The next good one takes its place.
+    """
+    states = States(spark, path)
     try:
         made = build()
     except Exception as failure:
         try:
-            last = json.loads(spark.read.text(place).first()[0])
-        except Exception:  # there is none yet
-            last = {}
+            last = states.load(name) or {}
+        except CorruptState as damage:
+            last = {"_corrupt": str(damage)}
         return last | {"_stale": True, "_staleReason": str(failure)}
-    spark.createDataFrame([(json.dumps(made),)], "value string").coalesce(1).write.mode("overwrite").text(place)
+    states.save(name, made)
     return made
 
 

@@ -355,3 +355,40 @@ def test_settings():
     assert config.stream_kinds({"BSKY_STREAMS": "?"}) == {} and config.stream_kinds({"BSKY_STREAMS": '[{"name": "a", "q": "b", "kind": "community"}]'}) == {"a": "community"}
     assert config.comment_policy({"COMMENT_ANALYZE_POLICY": "al"}) == "ingest-only"
     assert config.daily_cap({})[0] == 0 and config.daily_cap({"DAILY_ANALYZE_CAP": "lots"})[0] == 0 and config.daily_cap({"DAILY_ANALYZE_CAP": "7"}) == (7, None)
+
+
+def test_quotes_are_found_by_their_anchors(spark):
+    """Every needle against every text of its thread, words cut at both ends; few texts are searched for each."""
+    import random
+
+    from agorascope.operators import quotes as Q
+
+    rng = random.Random(4)
+    words = [f"word{i}" for i in range(60)] + ["of", "the", "a"]
+    texts = [("t", " ".join(rng.choice(words) for _ in range(rng.randint(0, 40))), i % 3 == 0) for i in range(300)] + [("other", "of the a word1", True), ("t", None, True), ("t", "", True)]
+    needles = [("t", "not a single text has these words"), ("t", "word1"), ("other", "of the a word1"), ("none", "of the a"), ("t", "of the")]
+    for _ in range(400):
+        said = rng.choice(texts)[1] or "of the"
+        at = rng.randrange(len(said) or 1)
+        needles.append(("t", said[at : at + rng.randint(3, 60)].strip() or "of"))
+    found = Q.contained(spark.createDataFrame(needles * 2, "id string, needle string"), spark.createDataFrame(texts * 2, "id string, said string, human boolean"), "human")
+    expected = {}
+    for i, needle in needles:
+        flags = [h for j, said, h in texts if i == j and said and needle in said]
+        if flags:
+            expected[i, needle] = any(flags)
+    assert {(r["id"], r.needle): r.human for r in found.collect()} == expected
+
+
+def test_a_megathread_of_quotes_grows_in_proportion(spark):
+    """Twice the quotes and twice the comments of one thread: twice the texts searched, not four times."""
+    from agorascope.operators import quotes as Q
+
+    def searched(n):
+        texts = spark.range(n).select(F.lit("mega").alias("id"), F.concat(F.lit("this is of the comment number n"), "id", F.lit(" of them and of the thread")).alias("said"), F.lit(True).alias("human"))
+        needles = spark.range(n).select(F.lit("mega").alias("id"), F.concat(F.lit("is of the comment number n"), "id", F.lit(" of them and")).alias("needle"))
+        found = Q.contained(needles, texts, "human")
+        assert found.count() == n
+        return Q.candidates(needles, texts, "human").count()
+
+    assert (searched(200), searched(400)) == (200, 400)
