@@ -21,6 +21,8 @@ TOLERANCE, ROUNDS = 1e-6, 8
 DIGITS = 4
 #: Hosts with more than one in this many of all pages are hot, so there are fewer of them than this; their pages are dealt in parts.
 HOT, PARTS = 256, 64
+#: Rounds after which scores that still move are an error.
+MOST_ROUNDS = 4096
 #: Addresses that name a host, in any attribute or in the text: href, src, base, canonical and the like, with or without a scheme.
 LINK = r"""(?i)(?:["'=]\s*|https?:)//([^"'\s<>/?#\\]+)"""
 #: What may follow an address in a text and is no part of its host.
@@ -55,7 +57,7 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return found.select("src", dst.alias("dst")).where("src <> '' and dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, hot: int = HOT, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """(host, trust, distrust) from seeds (host, allowed, blocked: page counts) and links (src, dst, n).
 
     Scores are never rounded and move until no score changes by more than ``tolerance`` of itself, so
@@ -63,6 +65,10 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tole
     kept beside the score, and a link of each host to itself carries the score over, so a round is one join
     and one sum, combined before the shuffle. What reaches a host without links ends there. Hosts that nothing
     reaches are not returned; without seeds there are none. A score under 1e-308 is lost.
+
+    The links of a hub, a host with more than one in ``hot`` of all links of a kind, are dealt in ``PARTS`` to as many copies
+    of its score. Rounds are as many as the longest chain of hosts from a seed has links, and some; more than
+    ``most_rounds`` are an error, not a result.
     """
     total = seeds.agg(F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked")).first()
     of = lambda column, kind: seeds.where(F.col(column) > 0).select("host", F.lit(kind).alias("kind"), (F.lit(1 - damping) * F.col(column) / F.lit(total[column])).alias("score"))
@@ -73,12 +79,21 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, tole
     ways = cut(ways.join(out, ["host", "kind"]).select("host", "kind", "to", (damping * F.col("n") / F.col("all")).alias("w")))
     if not ways.isEmpty():
         hosts = score.select("host", "kind").union(ways.select("to", "kind")).distinct()
-        ways = cut(ways.unionByName(hosts.select("host", "kind", F.col("host").alias("to"), F.lit(None).cast("double").alias("w"))))
-        change = None
+        ways = ways.unionByName(hosts.select("host", "kind", F.col("host").alias("to"), F.lit(None).cast("double").alias("w")))
+        sizes = cut(ways.groupBy("host", "kind").agg(F.count(F.lit(1)).alias("links")))
+        hubs = F.broadcast(cut(sizes.where(F.col("links") * hot > sizes.agg(F.sum("links")).first()[0]).select("host", "kind", F.lit(True).alias("hub"))))
+        part = F.when(F.col("hub"), F.pmod(F.xxhash64("to"), F.lit(PARTS)).cast("int")).otherwise(0)
+        ways = cut(ways.join(hubs, ["host", "kind"], "left").select("host", "kind", part.alias("part"), "to", "w"))
+        copies = F.when(F.col("hub"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+        change, rounds = None, 0
         while change is None or change > tolerance:
+            rounds += ROUNDS
+            if rounds > most_rounds:
+                raise RuntimeError(f"scores still move by {change:.1e} of themselves after {most_rounds} rounds")
             for _ in range(ROUNDS):
                 flow = F.col("moved") * F.col("w")
-                went = score.join(ways, ["host", "kind"]).select(F.col("to").alias("host"), "kind", F.coalesce(flow, "score").alias("score"), F.coalesce(flow, F.lit(0.0)).alias("moved"))
+                dealt = score.join(hubs, ["host", "kind"], "left").select("host", "kind", "score", "moved", F.explode(copies).alias("part"))
+                went = dealt.join(ways, ["host", "kind", "part"]).select(F.col("to").alias("host"), "kind", F.coalesce(flow, "score").alias("score"), F.coalesce(flow, F.lit(0.0)).alias("moved"))
                 score = went.groupBy("host", "kind").agg(F.sum("score").alias("score"), F.sum("moved").alias("moved"))
             score = cut(score.where("score > 0"))
             change = score.agg(F.max(F.col("moved") / F.col("score"))).first()[0] or 0.0
