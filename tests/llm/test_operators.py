@@ -68,6 +68,31 @@ def test_the_labelled_sample_is_bounded(spark):
         language.labelled_sample(many, "id", "text", "lang", 50)
 
 
+def test_a_hub_of_links(spark):
+    """A host that half of all links lead to and come from: its scores are those without dealing, and too few rounds are an error."""
+    rng = random.Random(2)
+    links = [("hub", f"h{i}", 1) for i in range(150)] + [(f"h{i}", "hub", 2) for i in range(150)] + [(f"h{rng.randrange(150)}", f"h{rng.randrange(150)}", 1) for _ in range(200)]
+    links = spark.createDataFrame(sorted({(a, b): (a, b, n) for a, b, n in links if a != b}.values()), "src string, dst string, n long")
+    seeds = spark.createDataFrame([("h1", 3, 0), ("h2", 0, 2), ("far", 1, 0)], "host string, allowed long, blocked long")
+    of = lambda **more: {r.host: (r.trust, r.distrust) for r in urls.propagate(seeds, links, **more).collect()}
+    dealt, whole = of(hot=4), of(hot=0)
+    assert dealt.keys() == whole.keys() and len(dealt) > 150
+    assert all(np.allclose(dealt[k], whole[k], rtol=1e-9, atol=0) for k in whole)
+    with pytest.raises(RuntimeError, match="still move"):
+        of(most_rounds=8)
+
+
+def test_equal_rows_are_packed_and_null_ids_cleaned(spark):
+    rows = [(None, "")] * 3000 + [(None, "some words here")] * 50
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(packed) == 3050 and len({(r.sequence_id, r.offset) for r in packed}) == 3050
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    given = spark.createDataFrame([(None, f"text {i} {passage if i % 2 else 'clean'}") for i in range(40)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    found = [decontaminate.overlaps(given, bench, broadcast_seeds=n) for n in (0, 10**6)]
+    assert [[tuple(r)[:5] for r in f.collect()] for f in found] == [[(None, 1, 15, 15, 13)]] * 2
+
+
 def test_many_secrets_in_one_text():
     """Time follows the number of spans: twenty times as many take no more than sixty times as long."""
     import time
@@ -162,8 +187,26 @@ def test_texts_of_all_scripts_split_and_encode_alike(spark):
         if words is not None:
             assert words == [t[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(t)]
     assert split("Привет, мир 你好 😀 λόγος") == ["Привет", ",", " мир", " 你好", " 😀", " λόγος"] and split("a\u0558") is None
-    table = tokens.frequent_lengths(path)
-    assert 30_000 < len(table) <= 50_257 and all(len(library.encode(w, add_special_tokens=False).ids) == table[w] for w in sorted(table)[::97])
+
+
+def test_frequent_pretokens_and_their_hit_rate(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    library, counts = tokens.load_tokenizer(tokens.tokenizer_path()), tokens.sample_counts(given)
+    lengths = tokens.frequent_lengths(counts, tokens.tokenizer_path())
+    assert len(lengths) <= tokens.ENTRIES and max(lengths.values()) > 1  # not the vocabulary: some are several tokens long
+    assert all(len(library.encode(w, add_special_tokens=False).ids) == n for w, n in list(lengths.items())[::37])
+    assert counts == tokens.sample_counts(given.repartition(3)) and min(counts[w] for w in lengths) > 1
+    rate = tokens.hit_rates(given, tokens.LengthTable.of(lengths)).first()
+    assert rate.in_table > 0.75 * rate.pretokens  # of made-up words; a fifth of them are rare
+    small = tokens.token_counts(given, table=tokens.LengthTable.of({}))
+    assert {tuple(r) for r in small.collect()} == {tuple(r) for r in tokens.token_counts(given).collect()}
+
+
+def test_a_table_of_lengths_tells_equal_hashes_apart():
+    table = tokens.LengthTable.of({"a": 1, " the": 1, "Ünï": 3})
+    assert table.find(["Ünï", "b", " the", "a", ""]).tolist() == [3, 0, 1, 1, 0] and table.find([]).tolist() == []
+    swapped = tokens.LengthTable(table.hashes, table.lengths, table.ends, table.words[::-1])  # the hashes of other words
+    assert swapped.find(["Ünï", " the"]).tolist() == [0, 0]
 
 
 def test_ids_of_the_whole_table_equal_the_library():
