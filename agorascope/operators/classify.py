@@ -11,7 +11,7 @@ from agorascope.session import kept
 from agorascope.vocabulary import BOT_AUTHORS
 
 
-def _by_row(author: Column, distinguished: Column, stickied: Column) -> Column:
+def reason_by_row(author: Column, distinguished: Column, stickied: Column) -> Column:
     """Reason that a row gives by itself, most certain first; null if there is none."""
     return F.when(F.lower(author).isin(*BOT_AUTHORS), "automod-author").when(
         F.lower(distinguished) == "moderator", "distinguished",
@@ -27,7 +27,7 @@ def repeat_counts(rows: DataFrame, hash: str, sub: str = "subreddit") -> DataFra
     return rows.where(F.col(hash).isNotNull()).groupBy(F.lower(sub).alias("sub"), F.col(hash).alias("hash")).agg(F.count(F.lit(1)).alias("repeats"))
 
 
-def _flag(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFrame:
+def flagged(rows: DataFrame, repeated: DataFrame, hash: str, flag: str) -> DataFrame:
     """Rows with ``flag`` true where (community, hash) is among ``repeated``.
 
     Rows without a hash can't match: their own key stands for it, which spreads them over all tasks instead of
@@ -51,9 +51,9 @@ def hashed(rows: DataFrame, limits: Boilerplate = Boilerplate(), body: str | Non
 def _tagged(rows: DataFrame, limits: Boilerplate, tests: dict[str, str]) -> DataFrame:
     out = rows
     for hash, flag in tests.items():
-        out = _flag(out, repeat_counts(rows, hash).where(F.col("repeats") > limits.min_repeats), hash, flag)
+        out = flagged(out, repeat_counts(rows, hash).where(F.col("repeats") > limits.min_repeats), hash, flag)
     repeated = F.coalesce(*[F.col(flag) for flag in tests.values()], F.lit(False))
-    reason = F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(repeated, "repeat-hash"), F.lit(""))
+    reason = F.coalesce(reason_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(repeated, "repeat-hash"), F.lit(""))
     out = out.withColumn("content_class_reason", reason).drop(*tests, *tests.values())
     return out.withColumn("content_class", class_of(F.col("content_class_reason")))
 
@@ -99,9 +99,9 @@ def filter_comments(comments: DataFrame, registry: DataFrame | None = None, min_
     out, listed = comments, F.lit(None).cast("boolean")
     if registry is not None:
         out = comments.withColumn("_hash", X.hash_if_eligible(F.col("body"), min_chars))
-        out, listed = _flag(out, registry.select("sub", "hash").distinct(), "_hash", "_listed"), F.col("_listed")
+        out, listed = flagged(out, registry.select("sub", "hash").distinct(), "_hash", "_listed"), F.col("_listed")
     return out.withColumn(
-        "reason", F.coalesce(_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(listed, "registry-hash")),
+        "reason", F.coalesce(reason_by_row(F.col("author"), F.col("distinguished"), F.col("stickied")), F.when(listed, "registry-hash")),
     ).drop("_hash", "_listed")
 
 

@@ -198,6 +198,28 @@ _COHORT = f"""SELECT p.frame, p.frame = 'reddit' AS is_primary, ai_posts, neg_po
 FROM (SELECT frame, count(*) AS ai_posts, count(*) FILTER (stance IN ('hostile', 'wary')) AS neg_posts, count(DISTINCT id) AS distinct_threads, count(DISTINCT id) FILTER (stance IN ('hostile', 'wary')) AS neg_threads, count(*) FILTER (stance IN ('hostile', 'wary') AND intensity >= 3) AS intense, count(*) FILTER (k % 5 = 0) AS commented_posts FROM framed GROUP BY frame) p
 LEFT JOIN (SELECT frame, count(*) AS distinct_authors, count(*) FILTER (stance IN ('hostile', 'wary')) AS neg_authors FROM ({SELECTS['author_modal_stance']}) GROUP BY frame) a ON a.frame = p.frame"""
 SELECTS["cohort_by_frame"] = _COHORT
+_DAY = "make_timestamp(created_utc * 1000000)::DATE"
+#: A day's tickets are 5 a community; what waits goes first, and once more when the stream's time is past its last day.
+_ADMITTED = f"""SELECT lane, day, n, last_ticket FROM (
+WITH RECURSIVE asks AS (SELECT subreddit AS lane, {_DAY} AS day, count(*) AS n FROM stored GROUP BY ALL),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY day) AS i FROM asks),
+steps AS (SELECT lane, day, i, least(5, n) AS got, n - least(5, n) AS waits FROM numbered WHERE i = 1 UNION ALL
+  SELECT m.lane, m.day, m.i, least(5, s.waits + m.n), s.waits + m.n - least(5, s.waits + m.n) FROM steps s JOIN numbered m ON m.lane = s.lane AND m.i = s.i + 1)
+SELECT lane, day::VARCHAR AS day, got AS n, got AS last_ticket FROM steps UNION ALL
+SELECT lane, (SELECT max(day) FROM asks)::VARCHAR, least(5, waits), least(5, waits) FROM (SELECT *, max(i) OVER (PARTITION BY lane) AS last FROM steps)
+WHERE i = last AND waits > 0 AND day < (SELECT max(day) FROM asks))"""
+SELECTS |= {
+    "stance_by_week_in_halves": SELECTS["stance_by_week"],
+    "heatmap_sub_topic_in_halves": SELECTS["heatmap_sub_topic"],
+    "recurrence_in_halves": SELECTS["recurrence"],
+    "rules_by_sub_in_halves": SELECTS["rules_by_sub"],
+    "repeats_in_batches": f"SELECT reason, count(*) AS n FROM (SELECT CASE WHEN author = 'AutoModerator' THEN 'automod-author' WHEN moderator THEN 'distinguished' WHEN stickied THEN 'stickied' WHEN th IS NOT NULL AND count(*) OVER (PARTITION BY subreddit, th) > 1 THEN 'repeat-hash' ELSE '' END AS reason FROM (SELECT *, {hashed('title', 40)} AS th FROM stored)) GROUP BY reason",
+    "analysis_merged": SELECTS["analysis_saved"].replace("WHERE analyzed OR (q % 31 <> 0 AND q % 5 = 0)", "WHERE analyzed"),
+    "tags_merged": SELECTS["retag_saved"],
+    "ingested_rows": f"SELECT subreddit, {_DAY}::VARCHAR AS day, count(*) AS n, 0::BIGINT AS older, max(max(created_utc)) OVER (PARTITION BY subreddit) AS watermark FROM stored GROUP BY subreddit, {_DAY}",
+    "admitted_stream": _ADMITTED,
+    "vector_cells_top": f"SELECT e.vec_id, round({_COSINE}, 5) AS similarity FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) t ORDER BY {_COSINE} DESC, e.vec_id LIMIT 100",
+}
 
 
 def oracle_sql() -> dict[str, str]:

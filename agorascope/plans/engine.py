@@ -343,15 +343,21 @@ class Engine:
         if not dry_run:
             if save:
                 save(R.save_tags(self.posts, changed))
-            if self.table:
-                self.table.merge(dated(changed), R.save_tags)
             found = K.registry_of(self.posts, self.settings.limits)
             if bodies:
                 found = found.unionByName(K.harvest(self.posts, "body", "body", self.settings.limits.body_chars, self.settings.limits.min_repeats))
             self.publish(found)
             self.store.write("retag", {"report": report})
+            report = self.store.table("retag", "report")
+            if self.table:
+                self._merged(dated(changed), R.save_tags)
         return report
 
+    def _merged(self, changes: DataFrame, put: Callable) -> None:
+        """Merge into the stored table; from then on ``posts`` are its rows as they are now."""
+        self.table.merge(changes, put)
+        self.posts = self.table.read()
+
     def audit(self, raw: DataFrame | None = None) -> dict[str, DataFrame]:
         """Every table of the audit, written as the latest version and read back."""
         from agorascope.plans import jobs
@@ -418,8 +424,8 @@ class Engine:
         put = lambda old, new: R.save_analysis(old, new, schema_version)
         if self.table:
             times = pending.select("subreddit", "row_key", "created_utc").dropDuplicates(["subreddit", "row_key"])
-            self.table.merge(dated(made.join(times, ["subreddit", "row_key"])), lambda old, new: put(old, new.drop("created_utc")))
-        stored = put(self.posts, made)
+            self._merged(dated(made.join(times, ["subreddit", "row_key"])), lambda old, new: put(old, new.drop("created_utc")))
+        stored = self.posts if self.table else put(self.posts, made)
         if save:
             save(stored)
         return stored

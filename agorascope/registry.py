@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,13 @@ from agorascope.operators import sections as S
 from agorascope.plans import corpus as C
 from agorascope.plans import engine as E
 from agorascope.plans import jobs as J
-from agorascope.session import read, read_texts
+from agorascope.plans.partials import STATES, Partials, cohort_states
+from agorascope.plans.repeats import RepeatCounts
+from agorascope.plans.store import read_or_none
+from agorascope.plans.tables import PartitionedTable
+from agorascope.plans.vectors import VectorIndex
+from agorascope.session import cut, forget, kept, read, read_texts, shared_folder
+from agorascope.streaming import admission
 from agorascope.streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,8 +40,19 @@ def _items(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(C.items(spark, d))
 
 
+#: What most sections use of an item.
+BASE = ("id", "thread_id", "subreddit", "content_class", "ai_related", "created_utc")
+
+
+def _several(build: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """As ``_items``, for sections that use the items several times: the few columns that they use are cut first."""
+    return lambda spark, d: build(cut(C.items(spark, d).select(*BASE, *columns)))
+
+
 def _framed(build) -> Query:
-    return lambda spark, d: build(C.items(spark, d), C.SUB_TAGS, C.STREAM_KINDS)
+    return lambda spark, d: build(
+        cut(C.items(spark, d).select(*BASE, "source", "author", "stance", "stance_basis", "intensity", "comment_mix")), C.SUB_TAGS, C.STREAM_KINDS,
+    )
 
 
 def _cosine(spark, d):
@@ -187,6 +205,100 @@ def _gate(spark, d):
     return K.comment_gate(C.comments(spark, d), parents).groupBy("reason", "selected").agg(_n())
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4()}"
+
+
+def _in_halves(name: str) -> Query:
+    """The section of two halves of the days, one of them refreshed twice."""
+    def run(spark, d):
+        states = {name: (STATES | cohort_states(S.frame_of(C.SUB_TAGS, C.STREAM_KINDS)))[name]}
+        items, even = kept(C.items(spark, d)), F.expr("created_utc div 86400") % 2 == 0
+        partials = Partials(spark, _folder(spark), states)
+        for half in (even, ~even, even):
+            partials.refresh(items.where(half))
+        forget(items)
+        return partials.table(name)
+
+    return run
+
+
+def _three_batches(rows: DataFrame) -> list[DataFrame]:
+    return [rows.where(f"{_number('row_key')} % 3 = {b}") for b in range(3)]
+
+
+def _repeats(spark, d):
+    """Reasons after three batches, the second of which came twice, as their changes add up."""
+    counts = RepeatCounts(spark, _folder(spark), FEW)
+    batches, tags = _three_batches(C.posts(spark, d)), None
+    for number, batch in enumerate((batches[0], batches[1], batches[1], batches[2])):
+        number = max(0, number - 1) if number > 1 else number
+        counts.add(number, batch)
+        new = cut(counts.changed(number))
+        tags = new if tags is None else new.unionByName(tags.join(new, ["subreddit", "row_key"], "left_anti"))
+    return tags.groupBy(F.col("content_class_reason").alias("reason")).agg(_n())
+
+
+def _merged(put, changes: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame], DataFrame]:
+    """The stored table after a merge of its changed rows."""
+    def run(spark, rows):
+        table = PartitionedTable(spark, _folder(spark))
+        table.write(E.dated(rows))
+        table.merge(E.dated(changes(rows)), put)
+        return table.read()
+
+    return run
+
+
+def _analysis_merged(spark, d):
+    rows = C.posts(spark, d).drop("flair")
+    stored = rows.where("analyzed").withColumns({"analyzed": F.lit(False), "analysis_json": F.lit(None).cast("string")})
+    chosen = rows.where(f"analyzed and {_number('row_key')} % 31 <> 0 and {_number('row_key')} % 5 = 0").select("subreddit", "row_key", "created_utc", "analysis_json")
+    saved = _merged(lambda old, new: R.save_analysis(old, new.drop("created_utc"), 4), lambda _: chosen)(spark, stored)
+    return saved.groupBy("analyzed", "stance").agg(
+        _n(), F.sum("intensity").alias("intensity"), F.count_if("ai_related").alias("ai_related"), F.sum(F.length("topics_csv")).alias("topic_chars"),
+        F.max("schema_version").alias("schema_version"),
+    )
+
+
+def _tags_merged(spark, d):
+    saved = _merged(R.save_tags, lambda rows: J.retag(rows, body=None)[0])(spark, C.posts(spark, d))
+    return saved.groupBy(
+        F.coalesce("content_class", F.lit("-")).alias("content_class"), F.coalesce("content_class_reason", F.lit("-")).alias("reason"),
+    ).agg(_n())
+
+
+def _ingested(spark, d):
+    """Rows by community and day after three batches: each key once, though it comes again and moves over midnight."""
+    rows, store = C.posts(spark, d).select("subreddit", "row_key", "kind", "created_utc", "title"), _folder(spark)
+    moved = rows.withColumn("created_utc", F.col("created_utc") - 86400).withColumn("title", F.lit("older"))
+    for batch in (_three_batches(rows)[0], rows.unionByName(moved), moved):
+        I._appended(cut(batch), store)
+    found, marks = spark.read.parquet(store), I.marks_of(spark, store).read()
+    days = found.groupBy("subreddit", "day").agg(_n(), F.count_if(F.col("title") == "older").alias("older"))
+    return days.join(marks.select("subreddit", "watermark"), "subreddit").select("subreddit", F.col("day").cast("string").alias("day"), "n", "older", "watermark")
+
+
+def _admitted_stream(spark, d):
+    """Tickets of each community and day, 5 a day, over a stream of requests for all rows at their own times."""
+    rows, place = C.posts(spark, d), _folder(spark)
+    asks = rows.select("row_key", "subreddit", "created_utc", F.timestamp_seconds("created_utc").alias("asked_at"))
+    asks.coalesce(1).write.parquet(f"{place}/in")
+    given = spark.readStream.schema(asks.schema).parquet(f"{place}/in")
+    rows = admission.admitted(given, lambda _: 5, F.col("subreddit"))
+    admission.write_batches(rows, f"{place}/out", f"{place}/check")
+    out = read_or_none(spark, f"{place}/out", admission.OUTPUT)
+    found = out if out is not None else spark.createDataFrame([], admission.OUTPUT)
+    return found.groupBy("lane", F.col("day").cast("string").alias("day")).agg(_n(), F.max("ticket").alias("last_ticket"))
+
+
+def _cells(spark, d):
+    vectors = read(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("emb"))
+    target = vectors.where("id = 0").first()["emb"]  # one vector, as a question's would be
+    found = VectorIndex(spark, _folder(spark)).build(vectors).search(target, 100, probes=2, exact=True)
+    return found.select(F.col("id").alias("vec_id"), F.round("similarity", 5).alias("similarity"))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_hash": lambda s, d: read_texts(s, d, "documents").select(
         "doc_id", X.hash_if_eligible(F.col("text"), 120).alias("hash"), F.length(X.normalize(F.col("text"))).cast("long").alias("n_normalized"),
@@ -215,19 +327,21 @@ QUERIES: dict[str, Query] = {
     "dist_tools_top": _items(S.tool_totals),
     "dist_pains_top": _items(S.pain_totals),
     "minbar_baseline": _items(S.baseline_totals),
-    "minbar_dealbreakers": _items(S.dealbreakers),
+    "minbar_dealbreakers": _several(S.dealbreakers, "deal_breakers"),
     "minbar_kinds": _items(S.dealbreaker_kinds),
-    "trust_board": _items(S.trust_board),
+    "trust_board": _several(S.trust_board, "trust_signals"),
     "features_board": _items(S.feature_board),
     "features_clustered": _clusters,
     "competitors_board": _items(S.competitors),
     "switching_moments": _items(S.switching_moments),
     "recurrence": _items(S.recurrence),
-    "salience_rows": _items(S.salience),
-    "quotes_top": _items(S.quotes),
-    "persona_sample": _items(S.persona_sample),
-    "resonance_top": _items(S.resonance),
-    "topic_spikes": _items(_spiking),
+    "salience_rows": _several(S.salience, "topics", "pain_points"),
+    "quotes_top": _several(S.quotes, "topics", "pain_points", "quote", "stance", "experience", "permalink", "title", "week", "kind"),
+    "persona_sample": _several(S.persona_sample, "topics", "pain_points", "stance", "experience", "summary", "quote"),
+    "resonance_top": _several(
+        S.resonance, "topics", "pain_points", "features", "trust_signals", "quote", "title", "permalink", "kind", "score_at_capture", "stance", "experience", "week",
+    ),
+    "topic_spikes": _several(_spiking, "topics", "score_at_capture", "week"),
     "discovery_candidates": lambda s, d: S.discovery(C.items(s, d), C.comments(s, d).select("subreddit", "sub_mentions"), ["sub1", "sub2"]),
     "rules_by_sub": _items(S.rules),
     "rules_samples": _items(S.rule_samples),
@@ -278,6 +392,16 @@ QUERIES: dict[str, Query] = {
     "payload_shrunk": _shrunk,
     "ask_similarity_top": _similar,
     "export_rows": _export,
+    "stance_by_week_in_halves": _in_halves("stance_by_week"),
+    "heatmap_sub_topic_in_halves": _in_halves("heatmap_subs"),
+    "recurrence_in_halves": _in_halves("recurrence"),
+    "rules_by_sub_in_halves": _in_halves("rules"),
+    "repeats_in_batches": _repeats,
+    "analysis_merged": _analysis_merged,
+    "tags_merged": _tags_merged,
+    "ingested_rows": _ingested,
+    "admitted_stream": _admitted_stream,
+    "vector_cells_top": _cells,
     "snapshot_headline": _items(E.snapshot),
 }
 

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 PAGE = 100
 
@@ -126,6 +126,53 @@ class CursorReader(Reader):
             yield partition.name, record
 
 
+class CursorWalk(SimpleDataSourceStreamReader):
+    """A walk back through streams or listings as a stream, ``pages`` pages of each name a batch.
+
+    The offset holds each name's next cursor, so Spark's checkpoint is the point from which a walk goes on: one that was
+    stopped asks for the next page, and a batch that is run again asks for the same pages. A name is done when a page is
+    empty, has no cursor, or is all older than ``after``. One that can't be read gives a row with its error and stays
+    where it is, at most ``tries`` times; then its walk is over and its error is the last that it gives.
+    """
+
+    def __init__(self, options: dict):
+        self.options, self.names = options, _names(options)
+        self.after, self.pages, self.tries = int(options.get("after", 0)), int(options.get("pages", 1)), int(options.get("tries", 3))
+
+    def initialOffset(self) -> dict:
+        return {n: {"cursor": None, "done": False, "failed": 0} for n in self.names}
+
+    def _walk(self, start: dict) -> tuple[list[tuple], dict]:
+        module, factory = self.options["client"].split(":")
+        fetch, rows, end = with_retries(getattr(importlib.import_module(module), factory)()), [], {}
+        for name, place in start.items():
+            at = dict(place)
+            try:
+                for _ in range(self.pages if not at["done"] else 0):
+                    records, cursor = fetch(name, at["cursor"], self.after)
+                    rows += [(name, json.dumps(r), None) for r in records if int(r["created_utc"]) >= self.after]
+                    over = not records or cursor is None or all(int(r["created_utc"]) < self.after for r in records)
+                    at = {"cursor": at["cursor"] if cursor is None else cursor, "done": over, "failed": 0}
+                    if over:
+                        break
+            except Exception as failure:
+                at["failed"] += 1
+                at["done"] = at["failed"] >= self.tries
+                rows.append((name, None, str(failure)[:500] or type(failure).__name__))
+            end[name] = at
+        return rows, end
+
+    def read(self, start: dict):
+        rows, end = self._walk(start)
+        return iter(rows), end
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter(self._walk(start)[0])
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class Archive(DataSource):
     """``spark.read.format("discussion_archive")`` with options client, subs, after, before, kind, window, starts, isolate."""
 
@@ -142,7 +189,8 @@ class Archive(DataSource):
 
 class Cursored(Archive):
     """``spark.read.format("discussion_cursor")``: keyword streams (newest first) and listings (new, top or search), with
-    options client, subs, after, pages, starts, isolate. The client knows the query or listing behind a name."""
+    options client, subs, after, pages, starts, isolate. The client knows the query or listing behind a name. As a stream it is
+    a walk back that goes on where it was stopped, with options client, subs, after, pages, tries."""
 
     @classmethod
     def name(cls) -> str:
@@ -151,6 +199,9 @@ class Cursored(Archive):
     def reader(self, schema) -> Reader:
         return CursorReader(dict(self.options))
 
+    def simpleStreamReader(self, schema) -> CursorWalk:
+        return CursorWalk(dict(self.options))
+
 
 def replies(posts: DataFrame, client: str, schema: str, least: int = 3, most: int = 20) -> DataFrame:
     """The first ``most`` replies of each post that has at least ``least``, as the client gives them, without a shuffle.

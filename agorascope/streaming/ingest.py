@@ -20,7 +20,7 @@ from agorascope.operators.rows import admit
 from agorascope.plans.states import Marks
 from agorascope.plans.store import append_log, read_or_none
 from agorascope.plans.tables import KEYS, pruned
-from agorascope.session import cut
+from agorascope.session import cut, listed
 from agorascope.sources import normalize
 from agorascope.sources.archive import Archive, Cursored
 
@@ -240,6 +240,32 @@ def backfill(
     return marks.merge(watermarks(rows))
 
 
+def walk_back(spark: SparkSession, frame: Frame, store: str, checkpoint: str, after: int = 0, pages: int = 10, raw: str | None = None) -> dict:
+    """Walk streams or listings back to ``after``, ``pages`` pages of each a batch, until all are done; what is new goes to ``store``.
+
+    A walk that was stopped goes on at the page after the last batch that ended, and a batch that is run again adds
+    nothing twice. Returns {name: {cursor, done, failed}}, where each walk stands.
+    """
+    spark.dataSource.register(Cursored)
+    options = {"client": frame.client, "subs": ",".join(frame.subs), "after": str(after), "pages": str(pages)} | frame.options
+    given = spark.readStream.format(Cursored.name()).options(**(options | {"pages": str(pages)})).load()
+
+    def put(batch: DataFrame, _: int) -> None:
+        records = cut(batch.where("json is not null"))
+        parsed = records.select("sub", F.from_json("json", frame.schema).alias("r")).select(F.col("sub").alias("_sub"), "r.*")
+        rows = cut(frame.rows(parsed))
+        if not rows.isEmpty():
+            append_new(rows, store, raw)
+
+    query = given.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    last = max((int(n) for n in listed(spark, f"{checkpoint}/offsets") if n.isdigit()), default=None)
+    return {} if last is None else json.loads(spark.read.text(f"{checkpoint}/offsets/{last}", wholetext=True).first()[0].strip().split("\n")[-1])
+
+
 def ingest(spark: SparkSession, path: str, store: str, checkpoint: str, kind: str = "post"):
     """Append new rows of a folder to the table at ``store``, then stop. A replayed batch adds nothing twice.
 

@@ -61,7 +61,7 @@ def test_rows_without_a_hash_are_spread_and_texts_hashed_once(spark):
     assert "sha1" not in plan and "regexp_replace" not in plan  # the hashes were made before the cut
     assert found.where("content_class = 'human'").count() == 40
     known = spark.createDataFrame([("s", "h")], "sub string, hash string")
-    keys = K._flag(rows.withColumn("title_hash", F.lit(None).cast("string")), known, "title_hash", "f")._jdf.queryExecution().analyzed().toString()
+    keys = K.flagged(rows.withColumn("title_hash", F.lit(None).cast("string")), known, "title_hash", "f")._jdf.queryExecution().analyzed().toString()
     assert "concat(-, row_key" in keys  # a row's own key stands for a missing hash
 
 

@@ -1,12 +1,14 @@
 """Shapes of plans that must hold at any size."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from agorascope import registry
 from agorascope.operators import sections as S
 from agorascope.plans import corpus as C
-from agorascope.session import forget, kept, read_texts
+from agorascope.session import forget, kept, read_texts, shared_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,17 +19,39 @@ def executed(frame):
 
 
 @pytest.mark.parametrize("name", ["resonance_top", "quotes_top", "cohort_by_frame", "classify_with_bodies", "retag_report", "topic_spikes", "discovery_candidates", "trust_board", "audit_author_concentration"])
-def test_texts_are_read_once_and_nothing_crosses(spark, name):
+def test_nothing_crosses(spark, name):
     plan = executed(registry.queries()[name](spark, SF))
-    if name not in ("retag_report", "discovery_candidates"):  # which read titles twice, and the comments
-        assert not any(step in plan for step in ("documents.parquet", "from_json", "sha1", "regexp_replace"))  # all before what is kept
+    if name in ("resonance_top", "quotes_top", "cohort_by_frame", "topic_spikes", "trust_board", "classify_with_bodies"):  # they use rows several times
+        assert not any(step in plan for step in ("documents.parquet", "from_json", "sha1", "regexp_replace"))  # all before what is cut
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["stance_by_week", "dist_stance", "rules_by_sub"])
+def test_what_is_used_once_is_not_written(spark, name):
+    before = set(Path(shared_folder(spark).removeprefix("file:")).rglob("*"))
+    registry.queries()[name](spark, SF).collect()
+    assert set(Path(shared_folder(spark).removeprefix("file:")).rglob("*")) <= before
+
+
+def test_ask_writes_nothing_and_filters_in_the_scan(spark, tmp_path):
+    from agorascope.operators.rows import save_analysis
+    from agorascope.plans.engine import Engine
+
+    posts = C.posts(spark, SF)
+    save_analysis(posts.drop("analysis_json").withColumn("analysis_json", F.lit(None).cast("string")), posts.where("analyzed").select("subreddit", "row_key", "analysis_json"), 4).write.parquet(f"{tmp_path}/posts")
+    engine = Engine(spark, spark.read.parquet(f"{tmp_path}/posts"), C.comments(spark, SF), f"{tmp_path}/engine")
+    before = set(Path(shared_folder(spark).removeprefix("file:")).rglob("*"))
+    found = engine.ask("?", ai_only=True, stance="wary", topic="other")
+    scan = next(line for line in executed(found).split("\n") if "FileScan" in line)
+    assert all(f in scan.split("PushedFilters")[1].split("ReadSchema")[0] for f in ("stance", "ai_related"))
+    assert set(Path(shared_folder(spark).removeprefix("file:")).rglob("*")) <= before
+    expected = C.items(spark, SF).where("ai_related and stance = 'wary' and array_contains(topics, 'other')")
+    assert {r.id for r in found.collect()} == {r.id for r in expected.collect()}
+
+
 def test_sections_read_only_their_columns(spark):
     scans = [line for line in executed(registry.queries()["dist_stance"](spark, SF)).split("\n") if "FileScan parquet" in line]
-    assert scans and all("quote" not in s and "topics" not in s and "summary" not in s for s in scans)
-    assert any("IsNotNull(ai_related)" in s or "EqualTo(ai_related,true)" in s or "ai_related" in s.split("PushedFilters")[1] for s in scans)
+    assert scans and all("n_chars" not in s and "lang" not in s.split("ReadSchema")[1] for s in scans)
 
 
 def test_what_is_kept_is_forgotten(spark):
