@@ -222,7 +222,7 @@ def test_a_walk_goes_on_where_it_was_stopped(spark, tmp_path):
     last.write_text("1000")
     reader = CursorWalk({"client": client, "subs": a, "pages": "3"})
     rows, end = reader.read({a: {"cursor": "40", "done": False, "failed": 1}})
-    assert json.loads(rows[0][1])["created_utc"] == 1960 and end == {a: {"cursor": "70", "done": False, "failed": 0}}
+    assert json.loads(next(rows)[1])["created_utc"] == 1960 and end == {a: {"cursor": "70", "done": False, "failed": 0}}
     assert len(list(reader.readBetweenOffsets({a: {"cursor": "40", "done": False, "failed": 0}}, end))) == 30
     # a batch whose write fails stops the walk; the next start begins with that batch, not with the first
     store, check, calls = str(tmp_path / "store2"), str(tmp_path / "check2"), []

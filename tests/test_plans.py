@@ -41,8 +41,10 @@ def test_ask_writes_nothing_and_filters_in_the_scan(spark, tmp_path):
     save_analysis(posts.drop("analysis_json").withColumn("analysis_json", F.lit(None).cast("string")), posts.where("analyzed").select("subreddit", "row_key", "analysis_json"), 4).write.parquet(f"{tmp_path}/posts")
     engine = Engine(spark, spark.read.parquet(f"{tmp_path}/posts"), C.comments(spark, SF), f"{tmp_path}/engine")
     before = set(Path(shared_folder(spark).removeprefix("file:")).rglob("*"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     found = engine.ask("?", ai_only=True, stance="wary", topic="other")
     scan = next(line for line in executed(found).split("\n") if "FileScan" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert all(f in scan.split("PushedFilters")[1].split("ReadSchema")[0] for f in ("stance", "ai_related"))
     assert set(Path(shared_folder(spark).removeprefix("file:")).rglob("*")) <= before
     expected = C.items(spark, SF).where("ai_related and stance = 'wary' and array_contains(topics, 'other')")
