@@ -201,6 +201,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     Null and empty texts have none. Repeated rows give repeated results, null ids stay, ids may be of any
     type, other columns are not read, an empty table gives an empty table. Texts are read whole; the regions
     that are aligned are at most a few templates long unless hits follow one another. No shuffle.
+
+    A region has at most ``STRETCH`` times the template's words and ``WIDER`` more: what covers a template only over a
+    longer stretch is not told, as it is two notices, or one with as much put in as a quarter of it.
     """
     scanner = Scanner(templates or TEMPLATES, coverage, keys if templates else KEYS)
     names = ("license", "coverage", "n_matched", "start", "end")
