@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.types import StructType
 
 PAGE = 100
 
@@ -203,10 +204,11 @@ class Cursored(Archive):
         return CursorWalk(dict(self.options))
 
 
-def replies(posts: DataFrame, client: str, schema: str, least: int = 3, most: int = 20) -> DataFrame:
+def replies(posts: DataFrame, client: str, schema: str, least: int = 3, most: int = 20, errors: bool = False) -> DataFrame:
     """The first ``most`` replies of each post that has at least ``least``, as the client gives them, without a shuffle.
 
-    ``factory()`` returns ``fetch(row, most)``, which lists records of ``schema``. A post whose replies can't be read has none.
+    ``factory()`` returns ``fetch(row, most)``, which lists records of ``schema``. A post whose replies can't be read has none;
+    with ``errors`` it has one row instead, all null but its ``post`` (its row_key) and ``error``, so that they can be counted.
     """
     def run(batches):
         import pandas as pd
@@ -218,9 +220,13 @@ def replies(posts: DataFrame, client: str, schema: str, least: int = 3, most: in
             for row in batch.to_dict("records"):
                 try:
                     found += fetch(row, most)[:most]
-                except Exception:  # one post's replies never end the read; the post itself is kept
-                    continue
+                except Exception as failure:  # one post's replies never end the read; the post itself is kept
+                    if errors:
+                        found.append({"post": row["row_key"], "error": str(failure)[:500] or type(failure).__name__})
             if found:
-                yield pd.DataFrame(found)
+                made = pd.DataFrame(found).reindex(columns=names).astype(object)
+                yield made.where(made.notna(), None)
 
+    schema = f"{schema}, post string, error string" if errors else schema
+    names = StructType.fromDDL(schema).names
     return posts.where(F.col("num_comments") >= least).mapInPandas(run, schema)

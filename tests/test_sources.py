@@ -122,6 +122,8 @@ def test_replies_of_posts(spark):
     posts = spark.createDataFrame([("p1", 5), ("p2", 1), ("bad", 9)], "row_key string, num_comments int")
     found = replies(posts, "tests.test_sources:reply_client", "link_id string, id string, created_utc string", most=2).collect()
     assert {(r.link_id, r.id) for r in found} == {("p1", "r0"), ("p1", "r1")}
+    told = replies(posts, "tests.test_sources:reply_client", "link_id string, id string, created_utc string", most=2, errors=True).collect()
+    assert {(r.link_id, r.post, r.error) for r in told} == {("p1", None, None), (None, "bad", "gone")}
     raw = spark.createDataFrame([(f"r{i}", "w", f"text {i}", "u", None, 1, str(100 - i), "t3_p", "t3_p" if i % 2 else "t1_r0", None, None) for i in range(6)], normalize.RAW_COMMENT)
     kept = normalize.replies(raw, 2).first()
     assert [r.id for r in kept.replies] == ["c_r5", "c_r3"] and kept.link_id == "p"
