@@ -166,7 +166,7 @@ def pack(docs: DataFrame, capacity: Capacity = Capacity(), path: str | None = No
     places = docs.sparkSession.sparkContext.broadcast(plan(histogram, capacity).lookup())
     # A length that a third of all pieces share is dealt over many salts, equal pieces too; ranks run on from salt to salt.
     salts = max(64, sum(histogram.values()) // 1_000_000)
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("id", "piece", "ids_crc32", "row"), F.lit(salts)))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("piece", "ids_crc32", "row"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     within = Window.partitionBy("length", "salt").orderBy("id", "piece", "start", "ids_crc32")
