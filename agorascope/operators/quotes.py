@@ -7,15 +7,14 @@ from pyspark.sql import functions as F
 
 from agorascope.session import cut
 
-#: Words of an anchor, and the least words of a quote that has one: the first and the last may be parts of words in the text.
-GRAM, LEAST = 2, 4
+#: The least words of a quote that has an anchor: its first and last may be parts of words in the text, two stand between.
+LEAST = 4
 
 
-def _grams(words: Column) -> Column:
-    """Hashes of each ``GRAM`` words in a row, each once."""
-    starts = F.sequence(F.lit(1), F.size(words) - GRAM + 1)
-    made = F.transform(starts, lambda i: F.xxhash64(F.array_join(F.slice(words, i, GRAM), " ")))
-    return F.when(F.size(words) >= GRAM, F.array_distinct(made)).otherwise(F.array().cast("array<bigint>"))
+def _pairs(words: Column) -> Column:
+    """Hashes of each two words in a row, each once."""
+    n = F.greatest(F.lit(0), F.size(words) - 1)
+    return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b)))
 
 
 def candidates(needles: DataFrame, texts: DataFrame, flag: str) -> DataFrame:
@@ -30,10 +29,10 @@ def candidates(needles: DataFrame, texts: DataFrame, flag: str) -> DataFrame:
     said = texts.where("said is not null and said <> ''").groupBy("id", "said").agg(F.bool_or(flag).alias(flag))
     said = cut(said.withColumn("text", F.xxhash64("said")))
     inner = F.slice("words", 2, F.greatest(F.lit(0), F.size("words") - 2))
-    of_needle = asked.where("long").select("id", "needle", F.explode(_grams(inner)).alias("gram"))
+    of_needle = asked.where("long").select("id", "needle", F.explode(_pairs(inner)).alias("gram"))
     wanted = of_needle.select("id", "gram").distinct()
     # the index: for each thread the pairs that some quote asks for, and the texts that have them
-    index = cut(said.select("id", "text", F.explode(_grams(F.split("said", " "))).alias("gram")).join(wanted, ["id", "gram"], "left_semi"))
+    index = cut(said.select("id", "text", F.explode(_pairs(F.split("said", " "))).alias("gram")).join(wanted, ["id", "gram"], "left_semi"))
     counts = index.groupBy("id", "gram").agg(F.count(F.lit(1)).alias("n"))
     anchors = of_needle.join(counts, ["id", "gram"], "left").groupBy("id", "needle").agg(
         F.min(F.struct("n", "gram")).alias("best"), F.bool_or(F.col("n").isNull()).alias("nowhere"),
