@@ -21,7 +21,7 @@ from agorascope.plans.partials import STATES, Partials, cohort_states
 from agorascope.plans.repeats import RepeatCounts
 from agorascope.plans.states import CorruptState, States
 from agorascope.plans.store import LOG_FILES, Versions, append_log
-from agorascope.plans.tables import PartitionedTable
+from agorascope.plans.tables import PartitionedTable, pruned
 from agorascope.plans.vectors import VectorIndex
 from agorascope.session import exists
 from agorascope.sources.archive import CursorWalk
@@ -68,6 +68,32 @@ def test_a_merge_that_died_is_ended_or_forgotten(spark, tmp_path):
     assert not table.recover() and table.read().where("title = 'half'").isEmpty() and table.read().count() == n
 
 
+def test_a_partition_has_a_file_and_is_moved(spark, tmp_path):
+    """Files don't multiply with the tasks that write, and what is staged is put in place as it is."""
+    table = PartitionedTable(spark, f"{tmp_path}/posts")
+    rows = spark.range(4000).selectExpr("concat('s', id % 2) as subreddit", "date_from_unix_date(cast(id % 3 as int)) as day", "concat('d', id) as row_key", "'old' as title")
+    table.write(rows.repartition(8))
+    assert len(files(table.path)) == 6
+    table.read().where("day < '1970-01-03'").withColumn("title", F.lit("new")).repartition(2).write.partitionBy("subreddit", "day").parquet(table.staged)
+    staged = files(table.staged)
+    first = next(iter(staged)).rsplit("/", 1)[0]  # a merge that died after the first partition
+    shutil.rmtree(f"{table.path}/{first}")
+    os.rename(f"{table.staged}/{first}", f"{table.path}/{first}")
+    assert table.recover() and staged.items() <= files(table.path).items() and not exists(spark, table.staged)
+    assert Counter((r.title, str(r.day)) for r in table.read().collect()) == {("new", "1970-01-01"): 1334, ("new", "1970-01-02"): 1333, ("old", "1970-01-03"): 1333}
+
+
+def test_named_partitions_are_read_without_a_shuffle(spark, tmp_path):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.range(100).selectExpr("concat('s', id % 2) as subreddit", "date_from_unix_date(cast(id % 3 as int)) as day", "id")
+        found = pruned(rows, rows.where("id < 2"))
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == 34
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_engine_merges_analysis_and_tags(spark, tmp_path):
     table = stored(spark, f"{tmp_path}/posts")
     before = files(f"{tmp_path}/posts")
