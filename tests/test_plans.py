@@ -94,3 +94,35 @@ def test_small_tables_are_dealt_and_large_ones_are_not(spark, monkeypatch):
 def test_filters_and_columns_reach_the_scan(spark):
     scan = executed(C.posts(spark, SF).where("subreddit = 'src3'").select("row_key", "created_utc"))
     assert "EqualTo(source,src3)" in scan and "n_chars" not in scan
+
+
+def _joined_columns(df):
+    """Names of what goes through each join of a plan."""
+    found, left = [], [df._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "Join":
+            found.append({a.name() for a in map(node.output().apply, range(node.output().size()))})
+        left += map(node.children().apply, range(node.children().size()))
+    return found
+
+
+def test_texts_go_through_joins_only_for_bodies(spark):
+    for name in ("ingest_dedupe", "comment_policy_dry_run", "retag_report"):
+        joined = _joined_columns(registry.QUERIES[name](spark, SF))
+        assert joined and not any(c & {"text", "body"} for c in joined if "conv_id" not in c), name
+    assert any("text" in c for c in _joined_columns(C.posts(spark, SF).select("row_key", "body")))
+
+
+def test_bodies_are_not_shuffled_again_for_their_own_key(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = C.posts(spark, SF).select(F.col("row_key").alias("id"), "body")
+        asked = C.posts(spark, SF).select(F.col("row_key").alias("id")).distinct()
+        plan = rows.join(asked, "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+        alone = rows._jdf.queryExecution().executedPlan().toString()
+        shuffles = lambda p: sum("Exchange hashpartitioning" in line for line in p.splitlines())
+        assert shuffles(plan) <= 2 * shuffles(alone)  # those of each side, none for the join
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
