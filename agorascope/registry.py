@@ -283,7 +283,7 @@ def _admitted_stream(spark, d):
     """Tickets of each community and day, 5 a day, over a stream of requests for all rows at their own times."""
     rows, place = C.posts(spark, d), _folder(spark)
     asks = rows.select("row_key", "subreddit", "created_utc", F.timestamp_seconds("created_utc").alias("asked_at"))
-    asks.coalesce(1).write.parquet(f"{place}/in")
+    asks.write.parquet(f"{place}/in")  # all files are one batch, as no trigger is limited
     given = spark.readStream.schema(asks.schema).parquet(f"{place}/in")
     rows = admission.admitted(given, lambda _: 5, F.col("subreddit"))
     admission.write_batches(rows, f"{place}/out", f"{place}/check")

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from agorascope import registry
 from agorascope.streaming import admission
 
 ASKS = "row_key string, created_utc long, asked_at timestamp"
@@ -75,3 +76,14 @@ def test_a_tally_counts_a_batch_once(spark, tmp_path):
     for batch in (0, 0, 1):
         found = admission.tally(spark, rows, str(tmp_path), batch, F.to_date("at"))
     assert [(str(r.day), r.reason, r.n) for r in found.collect()] == [("2024-01-01", "stickied", 4)]
+
+
+def test_requests_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(admission, "write_batches", lambda *_: None)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        registry._admitted_stream(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "in").glob("part-*"))) > 1
