@@ -3,7 +3,8 @@
 A text is escaped (a space is the space mark, one stands in front) and cut before space marks: where no entry of
 the vocabulary holds two characters side by side, no merge can cross. Within a part, adjacent symbols lie on an
 agenda ordered by score; the best pair is merged first, until no pair is in the vocabulary. Characters that are
-no entry are spelled in bytes. Parts that come again are looked up in a worker's cache.
+no entry are spelled in bytes. Parts that come again are looked up in a worker's cache; the agendas of those that don't
+are worked off together, a merge of each at a time, in arrays.
 
 In each Arrow batch the sentencepiece library encodes every part that the worker meets for the first time, and rows
 whose text doesn't come back whole; where it differs, its result is given and the row says so.
@@ -15,8 +16,10 @@ import codecs
 import heapq
 import re
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain, pairwise
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +28,9 @@ from agorascope.llm.common import map_batches, named
 MARK = "▁"
 #: Entries of each of the two generations of a worker's cache (about 100 MB each), and the longest part that stays in it.
 CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
-#: Characters of a text that are looked at together.
+#: Characters that are looked at together, of one text or several.
 SEGMENT_CHARS = 500_000
-#: Up to so many characters the agenda is a list, beyond it a heap.
+#: Up to so many characters the agenda is a stretch of an array or a list, beyond it a heap.
 SHORT_CHARS = 32
 
 
@@ -72,15 +75,25 @@ class Pieces:
         #: Two symbols to the rank of the score of what they make; equal scores rank alike, the leftmost of them goes first.
         places = {s: k for k, s in enumerate(sorted({processor.get_score(i) for i in plain}, reverse=True))}
         self.ranks, self.none = {pair: places[processor.get_score(self.ids[s])] for pair, s in self.pairs.items()}, len(places)
+        self.id_of, self.symbol_of = np.array(self.ids), np.zeros(0x110000, np.int64)
+        for p, s in self.symbols.items():
+            if len(p) == 1:
+                self.symbol_of[ord(p)] = s
         inside = {p[k : k + 2] for p in self.symbols for k in range(len(p) - 1)}
         self.inside, self.at_spaces = inside, not any(a[0] != MARK and a[1] == MARK for a in inside)
         self.bytes = {int(self.said[i][3:5], 16): i for i in special if processor.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        #: What decoding gives for an id; None for bytes, which are read together.
-        self.texts = [None if i in self.byte_of else " ⁇ " if processor.is_unknown(i) else "" if processor.is_control(i) else p.replace(MARK, " ") for i, p in enumerate(self.said)]
+        #: What decoding gives for an id; None for bytes that are read together, which those of ASCII never are.
+        self.texts = [(chr(b) if b < 128 else None) if (b := self.byte_of.get(i)) is not None else " ⁇ " if processor.is_unknown(i) else "" if processor.is_control(i) else p.replace(MARK, " ") for i, p in enumerate(self.said)]
         self.young: dict[str, list[int]] = {}
         self.old: dict[str, list[int]] = {}
 
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs in order, what they make, and its rank."""
+        order = sorted(self.ranks)
+        return np.array(order, np.int64), np.array([self.pairs[p] for p in order], np.int64), np.array([self.ranks[p] for p in order], np.int32)
+
     def segments(self, text: str) -> Iterator[str]:
         """The escaped text in stretches that no merge crosses."""
         escaped, at = MARK + text.replace(" ", MARK), 0
@@ -91,28 +104,98 @@ class Pieces:
             yield escaped[at:end]
             at = end
 
-    def encode(self, text: str, fresh: dict[str, list[int]] | None = None) -> list[int]:
-        """Ids of a whole text; parts met for the first time are added to ``fresh``."""
-        out: list[int] = []
-        for segment in self.segments(text) if text else ():
-            parts = re.findall(f"{MARK}+[^{MARK}]*", segment) if self.at_spaces else [segment]
-            if len(self.young) > CACHE_ENTRIES:
-                self.young, self.old = {}, self.young
-            young = self.young
-            new, long = set(parts).difference(young), []
-            for part in new:
-                known = self.old.get(part)
-                if known is None:
-                    known = self.encode_part(part)
-                    if fresh is not None:
-                        fresh[part] = known
-                    if len(part) > CACHE_CHARS:
-                        long.append(part)
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str], fresh: dict[str, list[int]] | None = None) -> list[list[int]]:
+        """Ids of whole texts; parts met for the first time are added to ``fresh``."""
+        out, near, chars = [[] for _ in texts], [], 0
+        for ids, text in zip(out, texts, strict=True):
+            for segment in self.segments(text) if text else ():
+                near.append((ids, re.findall(f"{MARK}+[^{MARK}]*", segment) if self.at_spaces else [segment]))
+                chars += len(segment)
+                if chars >= SEGMENT_CHARS:
+                    self._put(near, fresh)
+                    near, chars = [], 0
+        self._put(near, fresh)
+        return out
+
+    def _put(self, near: list[tuple[list[int], list[str]]], fresh: dict[str, list[int]] | None) -> None:
+        """Add the ids of parts to the lists beside them."""
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        young, unknown = self.young, []
+        new = set().union(*(parts for _, parts in near)).difference(young)
+        for part in new:
+            known = self.old.get(part)
+            if known is None:
+                unknown.append(part)
+            else:
                 young[part] = known
-            out += chain.from_iterable(map(young.__getitem__, parts))
-            for part in long:
+        made = dict(zip(unknown, self.encode_parts(unknown), strict=True))
+        young.update(made)
+        if fresh is not None:
+            fresh.update(made)
+        for ids, parts in near:
+            ids += chain.from_iterable(map(young.__getitem__, parts))
+        for part in new:
+            if len(part) > CACHE_CHARS:
                 del young[part]
-        return out
+
+    def encode_parts(self, parts: list[str]) -> list[list[int]]:
+        short = [p for p in parts if len(p) <= SHORT_CHARS]
+        merged = iter(self._merge_together(short))
+        return [next(merged) if len(p) <= SHORT_CHARS else self.encode_part(p) for p in parts]
+
+    def _ranked(self, pairs: np.ndarray) -> np.ndarray:
+        keys, _, ranks = self.table
+        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+        return np.where(keys[at] == pairs, ranks[at], self.none)
+
+    def _merge_together(self, parts: list[str]) -> list[list[int]]:
+        """As ``_merge_listed`` of each part. All agendas lie in a row, the rank of a symbol and the next at the first of the
+        two; in each turn the first of the least of every part is merged, and parts that have none leave."""
+        keys, makes, _ = self.table
+        if not parts or not len(keys):
+            return [self._merge_listed(p) for p in parts]
+        size, none = self.size, self.none
+        symbols = self.symbol_of[np.frombuffer("".join(parts).encode("utf-32-le"), "<u4")]
+        of = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        ranks = np.full(len(of), none, np.int32)
+        ranks[:-1] = np.where(of[1:] == of[:-1], self._ranked(symbols[:-1] * size + symbols[1:]), none)
+        done = []
+        while len(of):
+            starts = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+            lengths = np.diff(np.append(starts, len(of)))
+            least = np.minimum.reduceat(ranks, starts)
+            going = least < none
+            if not going.all():
+                stay = np.repeat(going, lengths)
+                done.append((of[~stay], symbols[~stay]))
+                of, symbols, ranks, least, lengths = of[stay], symbols[stay], ranks[stay], least[going], lengths[going]
+                if not len(of):
+                    break
+            at = np.flatnonzero(ranks == np.repeat(least, lengths))
+            at = at[np.concatenate(([True], of[at[1:]] != of[at[:-1]]))]  # the first of each part
+            symbols[at] = makes[np.searchsorted(keys, symbols[at] * size + symbols[at + 1])]
+            stay = np.ones(len(of), bool)
+            stay[at + 1] = False
+            of, symbols, ranks = of[stay], symbols[stay], ranks[stay]
+            at = at - np.arange(len(at))
+            changed = np.concatenate((at, at[at > 0] - 1))
+            inner = changed[changed < len(of) - 1]
+            inner = inner[of[inner] == of[inner + 1]]
+            ranks[at] = none
+            ranks[inner] = self._ranked(symbols[inner] * size + symbols[inner + 1])
+        of, symbols = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(of, kind="stable")
+        symbols, ends = symbols[order], np.cumsum(np.bincount(of, minlength=len(parts))).tolist()
+        ids = self.id_of[symbols].tolist()
+        found = [ids[a:b] for a, b in pairwise([0, *ends])]
+        for k in np.unique(of[order][symbols == 0]).tolist():
+            found[k] = self._spelled(symbols[ends[k - 1] if k else 0 : ends[k]].tolist(), parts[k])
+        return found
 
     def encode_part(self, part: str) -> list[int]:
         if len(part) <= SHORT_CHARS:
@@ -181,8 +264,10 @@ class Pieces:
                 if self.texts[i] is None:
                     run.append(self.byte_of[i])
                 else:
-                    out += (run.decode(errors="each_byte"), self.texts[i])
-                    run.clear()
+                    if run:
+                        out.append(run.decode(errors="each_byte"))
+                        run.clear()
+                    out.append(self.texts[i])
             text = "".join((*out, run.decode(errors="each_byte")))
         return text[1:] if marked else text
 
@@ -201,7 +286,7 @@ def worker(path: str) -> tuple:
 def checked(texts: list[str], pieces: Pieces, processor) -> tuple[list[list[int]], list[str], list[bool]]:
     """(ids, decoded texts, whether the library agrees) of a batch, each as the library has it."""
     fresh: dict[str, list[int]] = {}
-    ids = [pieces.encode(t, fresh) for t in texts]
+    ids = pieces.encode_all(texts, fresh)
     decoded = [pieces.decode(i) for i in ids]
     # The library puts a mark in front, so it gets a part without its own. A lone mark, before a space or at the end of
     # a text, leaves no text to give; it is an entry.

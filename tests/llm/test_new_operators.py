@@ -122,6 +122,15 @@ def test_both_agendas_merge_alike(pieces):
         assert own._merge_listed(part) == own._merge_heaped(part)
 
 
+def test_agendas_worked_off_together_merge_alike(pieces):
+    own, processor = pieces
+    rng = random.Random(5)
+    parts = ["".join(rng.choice("▁ethiasnorcl漢🙂\n") for _ in range(rng.randint(1, 60))) for _ in range(3000)] + ["▁", "🙂", "e"]
+    assert own.encode_parts(parts) == [own.encode_part(p) for p in parts] and own.encode_parts([]) == []
+    texts = [" ".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(500)]
+    assert own.encode_all(texts) == processor.encode(texts)
+
+
 def test_any_ids_are_decoded_as_by_the_library(pieces):
     own, processor = pieces
     rng = random.Random(4)
