@@ -475,6 +475,27 @@ def test_decontamination_of_short_items(spark):
     assert left == {i for i, _ in docs} - {r[0] for r in expected}
 
 
+def _seed_joins(found):
+    """The lines of the plan, as it is before it runs, that join seeds."""
+    return [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [seed" in line]
+
+
+def test_decontamination_of_copied_items(spark):
+    """Items with the same words are searched for once, so their copies don't count for the limit of what is broadcast."""
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    other = passage.replace("alpha", "omega")
+    bench = spark.createDataFrame([(i, passage) for i in range(50)] + [(0, other), (0, passage.upper()), (None, passage)], "item_id long, text string")
+    given = spark.createDataFrame([(1, f"x {passage}"), (1, f"x {passage}"), (2, other), (3, "clean"), (None, passage)], "doc_id long, text string")
+    each = {1: (14, 13, 1), 2: (13, 13, 0), None: (14, 13, 0)}
+    expected = sorted(((d, i, 14, *((14, 13, 0) if (d, i) == (2, 0) else e)) for d, e in each.items() for i in [*range(50), None]), key=str)
+    seeds = 2 * 3 * (14 - 8)  # of two different items
+    for most in (seeds, 0):
+        found = decontaminate.overlaps(given, bench, broadcast_seeds=most)
+        assert not most or ["BroadcastHashJoin" in line for line in _seed_joins(found)] == [True]
+        assert sorted(map(tuple, found.collect()), key=str) == expected
+    assert [r.doc_id for r in decontaminate.clean(given, bench).collect()] == [3]
+
+
 def test_urls(spark):
     pages = [
         (1, "https://A.Example.org/en/2", '<a href="https://good.net/x">'), (2, "http://example.org/es/1?x", ""), (3, "x://example.org/en/15", None), (4, "http://a.com/fr/", ""), (5, "http://b.com/de/x#y", '<a href="http://far.net/">'),
