@@ -491,11 +491,21 @@ def test_decontamination_of_copied_items(spark):
     seeds = 2 * 3 * (14 - 8)  # of two different items
     for most in (seeds, 0):
         found = decontaminate.overlaps(given, bench, broadcast_seeds=most)
-        assert not most or ["BroadcastHashJoin" in line for line in _seed_joins(found)] == [True]
+        assert [("BroadcastHashJoin" if most else "SortMergeJoin") in line for line in _seed_joins(found)] == [True]
         assert sorted(map(tuple, found.collect()), key=str) == expected
     assert [r.doc_id for r in decontaminate.clean(given, bench).collect()] == [3]
 
 
+def test_seeds_beyond_the_limit_are_never_broadcast(spark, tmp_path):
+    """Spark sizes them by the benchmark's file, which is small, and not by what becomes of it."""
+    passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    spark.createDataFrame([(i, f"{passage} {i}") for i in range(20)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark"))
+    given = spark.createDataFrame([(1, f"x {passage}"), (2, "clean")], "doc_id long, text string")
+    found = decontaminate.overlaps(given, spark.read.parquet(str(tmp_path / "benchmark")), broadcast_seeds=20 * 3 * (15 - 8) - 1)
+    assert ["SortMergeJoin" in line for line in _seed_joins(found)] == [True]
+    assert {tuple(r) for r in found.collect()} == {(1, i, 15, 14, 13, 1) for i in range(20)}
+
+
 def test_urls(spark):
     pages = [
         (1, "https://A.Example.org/en/2", '<a href="https://good.net/x">'), (2, "http://example.org/es/1?x", ""), (3, "x://example.org/en/15", None), (4, "http://a.com/fr/", ""), (5, "http://b.com/de/x#y", '<a href="http://far.net/">'),
